@@ -11,14 +11,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pylonflow.operators.detect import detect_alerts
+from pylonflow.operators.episodes import red_episodes, status_changes
+from pylonflow.operators.filters import anomaly_filter, breach_flags, escalation_filter
+from pylonflow.operators.maintain import retain
+from pylonflow.operators.runbook import enrich_if_absent, generate_runbooks, parse_runbook, severity_default
+from pylonflow.operators.tagging import flatten_text_parts, tag_by_rules
+from pylonflow.operators.views import alert_feed, latest_by_key, runbook_feed, tower_status
+from pylonflow.functions.prompt import build_prompt
+from pylonflow.schemas import ALERT, PARSED_FIELDS, conform
+from pylonflow.sources.envelope import decode_envelope, encode_envelope
 from pylonflow.sources.tables import read_table
 from pylonflow.sources.telemetry import telemetry_from_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Parameters of the raw-event variants and of the views.
+RAW_RULES = (("value", ">", 100.0),)
+RAW_METRICS = (("avg_value", "avg", "value"), ("max_value", "max", "value"), ("min_value", "min", "value"))
+RAW_TTL = "2 hours"
+STATUS_LOOKAHEAD = "45 seconds"
+ALERT_FEED_LIMIT = 50
+RUNBOOK_FEED_LIMIT = 20
+DOC_RULES = (("nicht", "de-negation"), ("from,", "en-from"), ("que", "romance-que"), (" the ", "en-article"))
+DOC_DEFAULT = "other"
+
 
 def register(name: str):
     def deco(fn: Query) -> Query:
@@ -27,18 +47,211 @@ def register(name: str):
     return deco
 
 
-def _round_avgs(df: DataFrame, cols=("avg_temperature", "avg_signal")) -> DataFrame:
+def _round_avgs(df: DataFrame, cols=("avg_temperature", "avg_signal", "avg_value")) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), 6) for c in cols if c in df.columns})
 
 
+# --- shared inputs -----------------------------------------------------------
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "events")
+
+
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry_from_events(read_table(spark, sf_dir, "events").select("event_id"))
+    return telemetry_from_events(events(spark, sf_dir).select("event_id"))
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_alerts(telemetry(spark, sf_dir))
 
 
+def raw_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect_alerts(events(spark, sf_dir), rules=RAW_RULES, window="1 hour", keys=("user_id",),
+                         metrics=RAW_METRICS, time_col="ts")
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return generate_runbooks(alerts(spark, sf_dir))
+
+
+# --- filters, flags, sink contract ------------------------------------------
+
+@register("anomaly_filter")
+def q_anomaly_filter(spark, sf_dir):
+    return anomaly_filter(telemetry(spark, sf_dir))
+
+
+@register("breach_flags")
+def q_breach_flags(spark, sf_dir):
+    return breach_flags(telemetry(spark, sf_dir)).select(
+        "tower_id", "event_time", "temperature", "signal_strength",
+        "temperature_breach", "signal_breach", "any_breach")
+
+
+@register("conform_alerts")
+def q_conform_alerts(spark, sf_dir):
+    """Alerts grouped by tower id only, conformed to the alert record:
+    name and coordinates take the record defaults."""
+    by_id = detect_alerts(telemetry(spark, sf_dir), keys=("tower_id",))
+    return _round_avgs(conform(by_id, ALERT))
+
+
+# --- detection ---------------------------------------------------------------
+
 @register("detect_alerts_60s")
 def q_detect_alerts_60s(spark, sf_dir):
     return _round_avgs(alerts(spark, sf_dir))
+
+
+@register("detect_alerts_1h_raw_events")
+def q_detect_alerts_1h_raw_events(spark, sf_dir):
+    return _round_avgs(raw_alerts(spark, sf_dir))
+
+
+# --- escalation, prompt, model, runbooks --------------------------------------
+
+@register("escalated_alerts")
+def q_escalated_alerts(spark, sf_dir):
+    return _round_avgs(escalation_filter(alerts(spark, sf_dir)))
+
+
+@register("alert_prompts")
+def q_alert_prompts(spark, sf_dir):
+    return build_prompt(alerts(spark, sf_dir)).select("tower_id", "window_start", "window_end", "prompt")
+
+
+@register("generate_runbooks")
+def q_generate_runbooks(spark, sf_dir):
+    return _round_avgs(responses(spark, sf_dir).drop("processed_at"))
+
+
+@register("parse_runbook")
+def q_parse_runbook(spark, sf_dir):
+    return parse_runbook(responses(spark, sf_dir)).select("tower_id", "window_start", *PARSED_FIELDS)
+
+
+@register("parse_runbook_text")
+def q_parse_runbook_text(spark, sf_dir):
+    conv = read_table(spark, sf_dir, "conversations")
+    return parse_runbook(conv, "text").select("conv_id", "turn", *PARSED_FIELDS)
+
+
+def _mixed_responses(spark, sf_dir) -> DataFrame:
+    """Responses in mixed states: rows with an even event count already carry
+    a severity, every row carries a diagnosis."""
+    even = (F.col("event_count") % 2) == 0
+    return responses(spark, sf_dir).withColumns({
+        "severity_level": F.when(even, F.lit("PRESET")),
+        "diagnosis": F.lit("kept"),
+    })
+
+
+@register("enrich_if_absent")
+def q_enrich_if_absent(spark, sf_dir):
+    return enrich_if_absent(_mixed_responses(spark, sf_dir)).select("tower_id", "window_start", *PARSED_FIELDS)
+
+
+@register("severity_default")
+def q_severity_default(spark, sf_dir):
+    """Rows whose text is missing stay unparsed and show the default label."""
+    even = (F.col("event_count") % 2) == 0
+    raw = responses(spark, sf_dir).withColumn("agent_response", F.when(~even, F.col("agent_response")))
+    return severity_default(enrich_if_absent(raw)).select("tower_id", "window_start", "severity_level",
+                                                          "severity_label")
+
+
+# --- live views ----------------------------------------------------------------
+
+@register("latest_by_tower")
+def q_latest_by_tower(spark, sf_dir):
+    return latest_by_key(telemetry(spark, sf_dir))
+
+
+@register("latest_by_user_raw_events")
+def q_latest_by_user_raw_events(spark, sf_dir):
+    return latest_by_key(events(spark, sf_dir), keys=("user_id",), time_col="ts",
+                         value_cols=("event_id", "event_type", "value"), tie_col="event_id")
+
+
+@register("alert_feed")
+def q_alert_feed(spark, sf_dir):
+    return _round_avgs(alert_feed(alerts(spark, sf_dir), ALERT_FEED_LIMIT))
+
+
+@register("runbook_feed")
+def q_runbook_feed(spark, sf_dir):
+    feed = runbook_feed(severity_default(enrich_if_absent(responses(spark, sf_dir))), RUNBOOK_FEED_LIMIT)
+    return _round_avgs(feed.drop("processed_at"))
+
+
+@register("tower_status")
+def q_tower_status(spark, sf_dir):
+    a = alerts(spark, sf_dir)
+    as_of = a.select(F.max("window_end") + F.expr(f"INTERVAL {STATUS_LOOKAHEAD}")).scalar()
+    return tower_status(telemetry(spark, sf_dir), a, as_of)
+
+
+@register("red_episodes")
+def q_red_episodes(spark, sf_dir):
+    return red_episodes(alerts(spark, sf_dir))
+
+
+@register("red_episodes_raw_events")
+def q_red_episodes_raw_events(spark, sf_dir):
+    return red_episodes(raw_alerts(spark, sf_dir), ttl=RAW_TTL, keys=("user_id",))
+
+
+@register("status_changes")
+def q_status_changes(spark, sf_dir):
+    return status_changes(alerts(spark, sf_dir))
+
+
+# --- sources, maintenance, text rules --------------------------------------
+
+@register("retain")
+def q_retain(spark, sf_dir):
+    return retain(events(spark, sf_dir), "ts", "8 hours")
+
+
+@register("decode_envelope")
+def q_decode_envelope(spark, sf_dir):
+    """A mixed topic: event properties (JSON objects) and conversation turns
+    (free text, rejected by the decoder)."""
+    ev = events(spark, sf_dir).select(F.col("user_id").cast("string").alias("k"), F.col("props"), F.col("ts"))
+    conv = read_table(spark, sf_dir, "conversations").select(
+        F.concat_ws("-", "conv_id", "turn").alias("k"), F.col("text").alias("props"), F.lit(None).cast("timestamp"))
+    env = ev.unionByName(conv.toDF("k", "props", "ts")).select(
+        F.col("k").cast("binary").alias("key"), F.col("props").cast("binary").alias("value"),
+        F.col("ts").alias("timestamp"))
+    decoded = decode_envelope(env, T.StructType([T.StructField("k", T.LongType())]))
+    return decoded.select(F.col("key").cast("string").alias("msg_key"), "k", "timestamp")
+
+
+@register("encode_decode_roundtrip")
+def q_encode_decode_roundtrip(spark, sf_dir):
+    from pylonflow.schemas import TELEMETRY
+    env = encode_envelope(telemetry(spark, sf_dir), key="tower_id", time_col="event_time")
+    return decode_envelope(env, TELEMETRY).drop("key", "timestamp")
+
+
+@register("tag_by_rules")
+def q_tag_by_rules(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return tag_by_rules(docs, "text", DOC_RULES, DOC_DEFAULT).select("doc_id", "tool")
+
+
+@register("tag_by_rules_default")
+def q_tag_by_rules_default(spark, sf_dir):
+    conv = read_table(spark, sf_dir, "conversations")
+    return tag_by_rules(conv, "text").select("conv_id", "turn", "tool")
+
+
+@register("flatten_text_parts")
+def q_flatten_text_parts(spark, sf_dir):
+    """Each turn as a list of line parts; only assistant lines are text."""
+    conv = read_table(spark, sf_dir, "conversations")
+    parts = F.transform(F.split("text", "\n"), lambda l: F.struct(
+        F.when(F.col("role") != F.lit("assistant"), F.col("role"))
+         .when(l == F.lit(""), F.lit("blank")).otherwise(F.lit("text")).alias("type"),
+        l.alias("text")))
+    return flatten_text_parts(conv.withColumn("parts", parts), "parts", "flat").select("conv_id", "turn", "flat")
