@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NL = F.lit("\n")
+_NL = "\n"
 
 
 def _num(c: str) -> Column:
@@ -18,6 +18,7 @@ def prompt_expr() -> Column:
 
     ``concat`` is NULL-propagating: a NULL field gives a NULL prompt.
     """
+    NL = F.lit(_NL)
     return F.concat(
         F.lit("Tower:"), F.col("tower_id"), F.lit(" "), F.col("tower_name"), NL,
         F.lit("AvgTemp:"), _num("avg_temperature"), F.lit("C"),

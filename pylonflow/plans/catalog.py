@@ -255,3 +255,39 @@ def q_flatten_text_parts(spark, sf_dir):
          .when(l == F.lit(""), F.lit("blank")).otherwise(F.lit("text")).alias("type"),
         l.alias("text")))
     return flatten_text_parts(conv.withColumn("parts", parts), "parts", "flat").select("conv_id", "turn", "flat")
+
+
+# --- streaming twins (run to completion with an available-now trigger) ----------
+
+STREAM_DELAY = "10 seconds"
+
+
+@register("stream_detect_alerts")
+def q_stream_detect_alerts(spark, sf_dir):
+    """Events as a file stream -> closed 60 s alerts in a parquet sink."""
+    from pylonflow.sources.tables import stream_table
+    from pylonflow.streaming.flows import Sink, alerts_stream, run_to_sink
+    out = run_to_sink(alerts_stream(stream_table(spark, sf_dir, "events"), STREAM_DELAY),
+                      Sink.fresh(spark, "stream_detect_alerts"))
+    return _round_avgs(out)
+
+
+@register("stream_chain")
+def q_stream_chain(spark, sf_dir):
+    """Two chained streaming statements: events -> alerts table -> runbooks."""
+    from pylonflow.sources.tables import stream_table
+    from pylonflow.streaming.flows import run_chain
+    _, responses_path = run_chain(spark, stream_table(spark, sf_dir, "events"), STREAM_DELAY)
+    return _round_avgs(spark.read.parquet(responses_path).drop("processed_at"))
+
+
+@register("stream_red_episodes")
+def q_stream_red_episodes(spark, sf_dir):
+    """Closed alerts stream -> session-window episodes (append mode)."""
+    from pylonflow.operators.episodes import red_episodes_stream
+    from pylonflow.sources.tables import stream_table
+    from pylonflow.streaming.flows import Sink, alerts_stream, run_to_sink
+    a_sink = Sink.fresh(spark, "stream_alerts")
+    run_to_sink(alerts_stream(stream_table(spark, sf_dir, "events"), STREAM_DELAY), a_sink)
+    alerts_in = spark.readStream.schema(ALERT).parquet(a_sink.path)
+    return run_to_sink(red_episodes_stream(alerts_in, watermark=STREAM_DELAY), Sink.fresh(spark, "stream_episodes"))

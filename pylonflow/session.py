@@ -37,6 +37,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "8g")
         .config("spark.python.worker.reuse", "true")
         .config("spark.speculation", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
