@@ -291,3 +291,31 @@ def q_stream_red_episodes(spark, sf_dir):
     run_to_sink(alerts_stream(stream_table(spark, sf_dir, "events"), STREAM_DELAY), a_sink)
     alerts_in = spark.readStream.schema(ALERT).parquet(a_sink.path)
     return run_to_sink(red_episodes_stream(alerts_in, watermark=STREAM_DELAY), Sink.fresh(spark, "stream_episodes"))
+
+
+@register("stream_latest_by_tower")
+def q_stream_latest_by_tower(spark, sf_dir):
+    """Latest reading per tower kept by a streaming aggregate in update mode."""
+    from pylonflow.session import scratch_path
+    from pylonflow.sources.tables import stream_table
+    from pylonflow.streaming.flows import run_update_view
+    tel = telemetry_from_events(stream_table(spark, sf_dir, "events").select("event_id"))
+    base = scratch_path(spark, "latest_by_tower")
+    return run_update_view(latest_by_key(tel), base + "/data", base + "/checkpoint", ("tower_id",))
+
+
+@register("stream_tower_status")
+def q_stream_tower_status(spark, sf_dir):
+    """Closed alerts stream -> last alert per tower (update mode); status is
+    computed at read time against the known towers."""
+    from pylonflow.session import scratch_path
+    from pylonflow.sources.tables import stream_table
+    from pylonflow.streaming.flows import Sink, alerts_stream, run_to_sink, run_update_view
+    a_sink = Sink.fresh(spark, "status_alerts")
+    closed = run_to_sink(alerts_stream(stream_table(spark, sf_dir, "events"), STREAM_DELAY), a_sink)
+    last = (spark.readStream.schema(ALERT).parquet(a_sink.path)
+            .groupBy("tower_id").agg(F.max("window_end").alias("window_end")))
+    base = scratch_path(spark, "last_alert")
+    snapshot = run_update_view(last, base + "/data", base + "/checkpoint", ("tower_id",))
+    as_of = closed.select(F.max("window_end") + F.expr(f"INTERVAL {STATUS_LOOKAHEAD}")).scalar()
+    return tower_status(telemetry(spark, sf_dir), snapshot, as_of)

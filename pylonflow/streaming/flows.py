@@ -149,3 +149,45 @@ def run_chain(spark: SparkSession, events_stream: DataFrame, delay: str = "10 se
          .option("checkpointLocation", responder_checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return alerts_sink.path, responses_path
+
+
+def partition_by_key(df: DataFrame, n: int = 3, key: str = "tower_id") -> DataFrame:
+    """Hash-partition by the message key into ``n`` partitions, like a bus
+    topic's partitions: all rows of one key land in the same partition. Use
+    it where a sink needs key co-location, not to spread compute (a hot key
+    stays in one partition by definition)."""
+    return df.repartition(n, key)
+
+
+# --- update-mode views: an idempotent upsert log ---------------------------------
+
+BATCH_COL = "_batch_id"
+
+
+def upsert_log_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body for ``update`` output mode: append each batch's
+    changed rows tagged with the batch id. A replayed batch appends the same
+    rows with the same id, which the compaction below collapses."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
+
+    return body
+
+
+def read_upsert_log(spark: SparkSession, path: str, keys: tuple[str, ...]) -> DataFrame:
+    """Current snapshot of an upsert log: per key, the row of the newest batch
+    (``max_by``, partially aggregated: no key is gathered in one task)."""
+    log = spark.read.parquet(path)
+    values = [c for c in log.columns if c not in keys and c != BATCH_COL]
+    return (log.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col(BATCH_COL)).alias("_v"))
+            .select(*keys, "_v.*"))
+
+
+def run_update_view(agg: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...]) -> DataFrame:
+    """Run a streaming aggregate in update mode into an upsert log (available
+    now) and return the compacted snapshot."""
+    q = (agg.writeStream.outputMode("update").foreachBatch(upsert_log_writer(path))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return read_upsert_log(agg.sparkSession, path, keys)

@@ -78,3 +78,23 @@ def test_rule_model_grades():
     p = "Tower:TWR-002 Salamanca\nAvgTemp:91.5C MaxTemp:93.1C\nAvgSig:-95.2dBm MinSig:-98.4dBm\nEvents:4"
     assert rule_model("", p, {}).startswith("SEVERITY: CRITICAL\nDIAGNOSIS: average 91.5C over limit\nACTION1: check TWR-002")
     assert rule_model("", p.replace("91.5", "87.9"), {}).endswith("TICKET: P4")
+
+
+def test_sql_lateral_model_call(spark):
+    from pylonflow.operators.sql_surface import register_predict_udtf
+    register_predict_udtf(spark, rule_model)
+    catalog.alerts(spark, SF001).createOrReplaceTempView("alerts_sql_test")
+    q = spark.sql("""
+        SELECT a.tower_id, p.response
+        FROM (SELECT *, concat('Tower:', tower_id, ' ', tower_name, '\\n', 'AvgTemp:',
+                               cast(round(avg_temperature, 1) AS string), 'C') AS prompt
+              FROM alerts_sql_test WHERE avg_temperature > 88.0 OR avg_signal < -93.0) a,
+             LATERAL ml_predict(a.prompt) p""")
+    rows = q.collect()
+    assert len(rows) == catalog.q_escalated_alerts(spark, SF001).count()
+    assert all(r.response.startswith("SEVERITY: ") and f"check {r.tower_id}" in r.response for r in rows)
+
+
+def test_processed_at_is_one_value_per_query(spark):
+    out = generate_runbooks(catalog.alerts(spark, SF001))
+    assert out.select("processed_at").distinct().count() == 1
