@@ -4,23 +4,25 @@ A key turns red at an alert and back to green ``ttl`` after its last alert,
 so an episode is [first alert, last alert + ttl). Gaps of exactly ``ttl``
 stay in one episode.
 
-Batch plan (skew-safe gaps-and-islands). Alerts are cut into time buckets per
-key; each (key, bucket) is handled by its own task, so a key that holds a
-third of all rows is spread over its buckets:
-
-1. a per-(key, bucket) summary (max / min time, row count) and, over that
-   small table, per-key prefix/suffix values: the last time before the
-   bucket, the first time after it, and the number of rows before it;
-2. one join of the rows with their bucket's summary, then ``lag``/``lead``
-   inside the (key, bucket) partition (same hash partitioning as the join,
-   so no extra exchange) gives each row's neighbours, hence start/end flags
-   and a global rank;
-3. only boundary rows (starts and ends, at most two per episode) go through
-   a per-key window that pairs each end with the latest start.
-
-No step holds more than one bucket of one key, and the per-key steps see
-buckets or episode boundaries only, bounded by time span, not by data size.
-The streaming twin uses ``session_window`` in append mode.
+Batch plan (skew-safe gaps-and-islands, the input is consumed once):
+
+1. rows are cut into (key, time bucket) partitions; one window pass inside
+   each partition gives every row its local neighbours (``lag``/``lead``)
+   and local rank. A key that holds a third of all rows is spread over its
+   buckets, so no task holds more than one bucket of one key;
+2. only candidate rows survive: the first and last row of each bucket and
+   rows that start or end an episode locally (at most two per bucket plus
+   two per episode);
+3. a per-key window over the candidates stitches buckets together: the
+   previous candidate of a bucket's first row is the last row of the
+   previous bucket (and vice versa), and a running sum of bucket sizes
+   turns local ranks into global ones; a second pass over the same
+   partitioning pairs every episode end with its start.
+
+Exchanges: one on (key, bucket) for the rows, one on key for the candidates.
+The per-key steps see candidates only, bounded by time span / bucket width
+plus the episode count, not by data size. The streaming twin uses
+``session_window`` in append mode.
 """
 
 from __future__ import annotations
@@ -44,39 +46,44 @@ def red_episodes(
 ) -> DataFrame:
     ttl_us, bucket_us = duration_us(ttl), duration_us(bucket)
     keys = list(keys)
+    t = F.col("_t")
     rows = (alerts.filter(F.col(alert_time).isNotNull())
             .select(*keys, F.unix_micros(F.col(alert_time)).alias("_t"))
-            .withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_us))))
-
-    per_key = Window.partitionBy(*keys).orderBy("_b")
-    before = per_key.rowsBetween(Window.unboundedPreceding, -1)
-    after = per_key.rowsBetween(1, Window.unboundedFollowing)
-    summary = (rows.groupBy(*keys, "_b")
-               .agg(F.max("_t").alias("_bmax"), F.min("_t").alias("_bmin"), F.count(F.lit(1)).alias("_bcnt"))
-               .select(*keys, "_b",
-                       F.max("_bmax").over(before).alias("_carry_in"),
-                       F.min("_bmin").over(after).alias("_carry_out"),
-                       F.coalesce(F.sum("_bcnt").over(before), F.lit(0)).alias("_n_before")))
+            .withColumn("_b", F.floor(t / F.lit(bucket_us))))
 
+    # 1. local pass inside (key, bucket)
     local = Window.partitionBy(*keys, "_b").orderBy("_t")
-    prev = F.coalesce(F.lag("_t").over(local), F.col("_carry_in"))
-    nxt = F.coalesce(F.lead("_t").over(local), F.col("_carry_out"))
-    flagged = (rows.join(summary, [*keys, "_b"])
-               .select(*keys, "_t",
-                       (F.col("_n_before") + F.row_number().over(local)).alias("_rank"),
-                       (prev.isNull() | (F.col("_t") - prev > ttl_us)).alias("_start"),
-                       (nxt.isNull() | (nxt - F.col("_t") > ttl_us)).alias("_end"))
+    lprev, lnext = F.lag("_t").over(local), F.lead("_t").over(local)
+    staged = rows.select(*keys, "_t", F.row_number().over(local).alias("_lr"),
+                         lprev.alias("_lprev"), lnext.alias("_lnext"))
+    first, last = F.col("_lr") == 1, F.col("_lnext").isNull()
+    local_start = F.col("_lprev").isNotNull() & (t - F.col("_lprev") > ttl_us)
+    local_end = F.col("_lnext").isNotNull() & (F.col("_lnext") - t > ttl_us)
+
+    # 2. candidates only
+    cand = (staged.filter(first | last | local_start | local_end)
+            .select(*keys, "_t", "_lr", "_lprev", "_lnext", first.alias("_first"), last.alias("_last")))
+
+    # 3. stitch buckets per key, then pair ends with starts (same partitioning and order)
+    per_key = Window.partitionBy(*keys).orderBy("_t", "_lr")
+    gprev = F.when(F.col("_first"), F.lag("_t").over(per_key)).otherwise(F.col("_lprev"))
+    gnext = F.when(F.col("_last"), F.lead("_t").over(per_key)).otherwise(F.col("_lnext"))
+    n_before = F.coalesce(F.sum(F.when(F.col("_last"), F.col("_lr")))
+                          .over(per_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    flagged = (cand.select(*keys, "_t", (n_before + F.col("_lr")).alias("_rank"),
+                           (gprev.isNull() | (t - gprev > ttl_us)).alias("_start"),
+                           (gnext.isNull() | (gnext - t > ttl_us)).alias("_end"))
                .filter(F.col("_start") | F.col("_end")))
 
     upto = Window.partitionBy(*keys).orderBy("_t", "_rank").rowsBetween(Window.unboundedPreceding, 0)
     paired = flagged.select(*keys, "_t", "_rank", "_end",
-                            F.max(F.when(F.col("_start"), F.col("_t"))).over(upto).alias("_s_t"),
+                            F.max(F.when(F.col("_start"), t)).over(upto).alias("_s_t"),
                             F.max(F.when(F.col("_start"), F.col("_rank"))).over(upto).alias("_s_rank"))
     return (paired.filter(F.col("_end"))
             .select(*keys,
                     F.timestamp_micros(F.col("_s_t")).alias("episode_start"),
-                    F.timestamp_micros(F.col("_t") + F.lit(ttl_us)).alias("episode_end"),
-                    F.timestamp_micros(F.col("_t")).alias("last_alert"),
+                    F.timestamp_micros(t + F.lit(ttl_us)).alias("episode_end"),
+                    F.timestamp_micros(t).alias("last_alert"),
                     (F.col("_rank") - F.col("_s_rank") + 1).alias("alert_count")))
 
 

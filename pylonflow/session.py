@@ -19,9 +19,14 @@ ENGINE_CONF = {
 }
 
 
+# The only setting results depend on; pinned on whatever session we are given.
+# Performance settings (AQE etc.) are left to the session owner.
+REQUIRED_CONF = {"spark.sql.session.timeZone": "UTC"}
+
+
 def apply_engine_conf(spark: SparkSession) -> SparkSession:
-    """Pin the runtime settings above on an existing session (idempotent)."""
-    for k, v in ENGINE_CONF.items():
+    """Pin the result-relevant settings on an existing session (idempotent)."""
+    for k, v in REQUIRED_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
     return spark
@@ -56,7 +61,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    master = spark.sparkContext.master
+    master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at shared storage "
