@@ -45,14 +45,25 @@ def detect_alerts(
     the keys, final HashAggregate after it, so a hot key is pre-combined on
     the map side and its windows spread over reducers.
 
-    With ``watermark`` set the same plan runs as a stream in append mode: a
-    window is emitted once, after the watermark passes its end.
+    With ``watermark`` set it runs as a stream in append mode: a window is
+    emitted once, after the watermark passes its end. Every reading must
+    advance event time (a run of normal readings closes the open window), but
+    Spark pushes a plain filter below ``withWatermark``, which would let only
+    breaching rows move the watermark. So the streaming form aggregates all
+    readings with conditional aggregates (``avg(when(breach, x))``,
+    ``count(when(breach, 1))``) and drops groups without a breach afterwards.
+    Same results; the state holds one entry per active key and open window.
     """
-    df = telemetry
-    if watermark is not None:
-        df = df.withWatermark(time_col, watermark)
-    grouped = (df.filter(any_of(rules))
-               .groupBy(*keys, F.window(time_col, window).alias("_w"))
-               .agg(*[_metric(*m) for m in metrics], F.count(F.lit(1)).alias(count_col)))
+    if watermark is None:
+        grouped = (telemetry.filter(any_of(rules))
+                   .groupBy(*keys, F.window(time_col, window).alias("_w"))
+                   .agg(*[_metric(*m) for m in metrics], F.count(F.lit(1)).alias(count_col)))
+    else:
+        breach = any_of(rules)
+        grouped = (telemetry.withWatermark(time_col, watermark)
+                   .groupBy(*keys, F.window(time_col, window).alias("_w"))
+                   .agg(*[_AGGS[a](F.when(breach, F.col(c))).alias(n) for n, a, c in metrics],
+                        F.count(F.when(breach, F.lit(1))).alias(count_col))
+                   .filter(F.col(count_col) > 0))
     return grouped.select(*keys, *[m[0] for m in metrics], count_col,
                           F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"))

@@ -319,3 +319,17 @@ def q_stream_tower_status(spark, sf_dir):
     snapshot = run_update_view(last, base + "/data", base + "/checkpoint", ("tower_id",))
     as_of = closed.select(F.max("window_end") + F.expr(f"INTERVAL {STATUS_LOOKAHEAD}")).scalar()
     return tower_status(telemetry(spark, sf_dir), snapshot, as_of)
+
+
+@register("stream_status_changes")
+def q_stream_status_changes(spark, sf_dir):
+    """Closed alerts stream -> live red/green changes (stateful, event-time
+    timeout for the return to green)."""
+    from pylonflow.sources.tables import stream_table
+    from pylonflow.streaming.flows import Sink, alerts_stream, run_to_sink
+    from pylonflow.streaming.status import status_changes_stream
+    a_sink = Sink.fresh(spark, "changes_alerts")
+    run_to_sink(alerts_stream(stream_table(spark, sf_dir, "events"), STREAM_DELAY), a_sink)
+    alerts_in = spark.readStream.schema(ALERT).parquet(a_sink.path)
+    return run_to_sink(status_changes_stream(alerts_in, watermark=STREAM_DELAY),
+                       Sink.fresh(spark, "status_changes"))

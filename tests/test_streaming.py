@@ -99,3 +99,48 @@ def test_upsert_log_compaction_is_idempotent(spark, scratch):
     body(b1, 1)  # replayed batch
     snap = sorted(tuple(r) for r in read_upsert_log(spark, f"{scratch}/log", ("k",)).collect())
     assert snap == [("A", 2), ("B", 1)]
+
+
+def test_live_status_turns_red_immediately_and_green_on_expiry(spark, scratch):
+    from datetime import datetime, timedelta
+
+    from pylonflow.streaming.status import status_changes_stream
+    t0 = datetime(2024, 1, 1, 0, 1)
+    src = f"{scratch}/alerts_in"
+    schema = "tower_id string, window_end timestamp"
+    spark.createDataFrame([("A", t0), ("A", t0 + timedelta(seconds=60))], schema).write.parquet(src + "/b1")
+    sink = Sink(f"{scratch}/changes", f"{scratch}/ck")
+    stream = lambda: status_changes_stream(spark.readStream.schema(schema).parquet(src + "/*"))
+    first = sorted((r.changed_at, r.status) for r in run_to_sink(stream(), sink).collect())
+    assert first == [(t0, "red")]  # red now, while the episode is still open
+    spark.createDataFrame([("A", t0 + timedelta(seconds=1000)), ("B", t0 + timedelta(seconds=2000))],
+                          schema).write.parquet(src + "/b2")
+    second = sorted((r.tower_id, r.changed_at, r.status) for r in run_to_sink(stream(), sink).collect())
+    assert ("A", t0 + timedelta(seconds=150), "green") in second          # gap seen in data
+    assert ("A", t0 + timedelta(seconds=1000), "red") in second
+    assert ("A", t0 + timedelta(seconds=1090), "green") in second         # watermark passed expiry
+    assert ("B", t0 + timedelta(seconds=2000), "red") in second
+    assert len(second) == len(set(second))
+
+
+def test_sentinel_closes_every_window(spark, scratch):
+    ev = spark.read.parquet(f"{SF01}/events.parquet").select("event_id")
+    src = f"{scratch}/events"
+    ev.coalesce(1).write.parquet(src + "/all")
+    # a normal reading far after the last one advances the watermark past every window
+    spark.createDataFrame([(10_000_000,)], "event_id bigint").write.parquet(src + "/sentinel")
+    out = run_to_sink(alerts_stream(spark.readStream.schema("event_id bigint").parquet(src + "/*"), DELAY),
+                      Sink(f"{scratch}/alerts", f"{scratch}/ck"))
+    assert _keys(out) == _keys(detect_alerts(telemetry_from_events(ev)))
+
+
+def test_max_files_per_trigger_paces_input(spark, scratch):
+    from pylonflow.sources.tables import stream_table  # noqa: F401 (same option name)
+    ev = spark.read.parquet(f"{SF01}/events.parquet").select("event_id")
+    src = f"{scratch}/events"
+    for i in range(3):
+        ev.filter(F.col("event_id") % 3 == i).coalesce(1).write.parquet(f"{src}/p{i}")
+    reader = spark.readStream.schema("event_id bigint").option("maxFilesPerTrigger", "1").parquet(src + "/*")
+    q = start_sink(reader, Sink(f"{scratch}/out", f"{scratch}/ck"))
+    q.awaitTermination()
+    assert sum(1 for p in q.recentProgress if p["numInputRows"] > 0) == 3
