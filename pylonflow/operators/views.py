@@ -32,6 +32,11 @@ def latest_by_key(
             .select(*keys, "_latest.*"))
 
 
+def latest_by_tower(telemetry: DataFrame) -> DataFrame:
+    """Current temperature, signal, CPU and last-updated time per tower."""
+    return latest_by_key(telemetry)
+
+
 def alert_feed(alerts: DataFrame, limit: int = 50, time_col: str = "window_end",
                tie_cols: Sequence[str] = ("tower_id",)) -> DataFrame:
     """Newest ``limit`` alerts: ORDER BY window_end DESC, tower_id LIMIT n.

@@ -277,8 +277,8 @@ def q_stream_chain(spark, sf_dir):
     """Two chained streaming statements: events -> alerts table -> runbooks."""
     from pylonflow.sources.tables import stream_table
     from pylonflow.streaming.flows import run_chain
-    _, responses_path = run_chain(spark, stream_table(spark, sf_dir, "events"), STREAM_DELAY)
-    return _round_avgs(spark.read.parquet(responses_path).drop("processed_at"))
+    _, responses = run_chain(spark, stream_table(spark, sf_dir, "events"), STREAM_DELAY)
+    return _round_avgs(spark.read.parquet(responses.path).drop("key", "processed_at"))
 
 
 @register("stream_red_episodes")

@@ -20,9 +20,8 @@ from pylonflow.operators.detect import detect_alerts
 from pylonflow.operators.filters import escalation_filter
 from pylonflow.operators.infer import CallOptions, ModelCall, ModelSpec, rule_model
 from pylonflow.operators.runbook import generate_runbooks
-from pylonflow.schemas import ALERT, RESPONSE
+from pylonflow.schemas import ALERT, RESPONSE, conform
 from pylonflow.session import scratch_path
-from pylonflow.sources.envelope import encode_envelope
 from pylonflow.sources.telemetry import telemetry_from_events
 
 RESPONSE_KEYS = ("tower_id", "window_start")
@@ -65,33 +64,6 @@ def run_to_sink(df: DataFrame, sink: Sink, **kw) -> DataFrame:
     return df.sparkSession.read.parquet(sink.path)
 
 
-def write_topic(df: DataFrame, topic: str, checkpoint: str, key: str = "tower_id",
-                bootstrap_servers: str | None = None, time_col: str | None = None,
-                available_now: bool = False) -> StreamingQuery:
-    """Append a stream to a message-bus topic keyed by ``key`` (same key ->
-    same partition). Needs the Kafka connector package; the value is JSON."""
-    env = encode_envelope(df, key=key, time_col=time_col).drop("timestamp")
-    w = (env.writeStream.format("kafka").option("topic", topic).option("checkpointLocation", checkpoint)
-         .option("kafka.bootstrap.servers", bootstrap_servers or ""))
-    w = w.trigger(availableNow=True) if available_now else w
-    return w.start()
-
-
-def read_topic(spark: SparkSession, topic: str, bootstrap_servers: str, start: str = "earliest",
-               max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """Kafka-shaped envelope stream ``(key, value, timestamp)``.
-
-    ``start`` applies only when the query has no checkpoint yet (Spark
-    resumes from the checkpoint otherwise); to skip a backlog on redeploy,
-    start the consumer with a fresh checkpoint and ``start="latest"``.
-    """
-    r = (spark.readStream.format("kafka").option("subscribe", topic)
-         .option("kafka.bootstrap.servers", bootstrap_servers).option("startingOffsets", start))
-    if max_offsets_per_trigger:
-        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    return r.load().select("key", "value", "timestamp")
-
-
 # --- stage A: telemetry -> alerts ----------------------------------------------
 
 def alerts_stream(events_stream: DataFrame, delay: str = "10 seconds") -> DataFrame:
@@ -129,26 +101,29 @@ def answer_alerts_once(
             seen = answered.filter(F.col("window_start") >= lo).select(*RESPONSE_KEYS)
             severe = severe.join(seen, list(RESPONSE_KEYS), "left_anti")
         out = generate_runbooks(severe, call, model, options=options, n_callers=n_callers)
-        out.write.mode("append").parquet(responses_path)
+        conform(out, RESPONSE, key="tower_id").write.mode("append").parquet(responses_path)
 
     return body
 
 
 def run_chain(spark: SparkSession, events_stream: DataFrame, delay: str = "10 seconds",
-              call: ModelCall = rule_model, alerts_sink: Sink | None = None,
-              responses_path: str | None = None, responder_checkpoint: str | None = None) -> tuple[str, str]:
-    """Two chained streaming statements with a durable table between them:
-    events -> alerts table; alerts table -> responses table."""
-    alerts_sink = alerts_sink or Sink.fresh(spark, "alerts")
-    base = scratch_path(spark, "responses")
-    responses_path = responses_path or base + "/data"
-    responder_checkpoint = responder_checkpoint or base + "/checkpoint"
-    run_to_sink(alerts_stream(events_stream, delay), alerts_sink)
-    alerts_in = spark.readStream.schema(ALERT).parquet(alerts_sink.path)
-    q = (alerts_in.writeStream.foreachBatch(answer_alerts_once(responses_path, call))
-         .option("checkpointLocation", responder_checkpoint).trigger(availableNow=True).start())
+              call: ModelCall = rule_model, alerts_topic=None, responses_topic=None) -> tuple:
+    """Two chained streaming statements with a topic between them:
+    events -> ``alerts`` topic (keyed by tower); ``alerts`` topic ->
+    exactly-once responder -> ``responses`` table. Each statement owns its
+    checkpoint. Returns the two topics."""
+    from pylonflow.streaming.topics import file_topic, read_topic, write_topic
+    alerts_topic = alerts_topic or file_topic(spark, "anomaly-alerts", ALERT)
+    responses_topic = responses_topic or file_topic(spark, "ai-agent-responses", RESPONSE)
+    q = write_topic(alerts_stream(events_stream, delay), alerts_topic,
+                    scratch_path(spark, "consumers", "detector"), available_now=True)
+    q.awaitTermination()
+    alerts_in = read_topic(spark, alerts_topic).drop("key")
+    q = (alerts_in.writeStream.foreachBatch(answer_alerts_once(responses_topic.path, call))
+         .option("checkpointLocation", scratch_path(spark, "consumers", "responder"))
+         .trigger(availableNow=True).start())
     q.awaitTermination()
-    return alerts_sink.path, responses_path
+    return alerts_topic, responses_topic
 
 
 def partition_by_key(df: DataFrame, n: int = 3, key: str = "tower_id") -> DataFrame:

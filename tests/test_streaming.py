@@ -144,3 +144,23 @@ def test_max_files_per_trigger_paces_input(spark, scratch):
     q = start_sink(reader, Sink(f"{scratch}/out", f"{scratch}/ck"))
     q.awaitTermination()
     assert sum(1 for p in q.recentProgress if p["numInputRows"] > 0) == 3
+
+
+def test_file_topic_roundtrip_keyed(spark, scratch):
+    from pylonflow.plans import catalog
+    from pylonflow.schemas import ALERT
+    from pylonflow.streaming.topics import Topic, consumer_checkpoint, read_topic, write_topic
+    topic = Topic("anomaly-alerts", ALERT, path=f"{scratch}/topic")
+    src = f"{scratch}/events"
+    spark.read.parquet(f"{SF01}/events.parquet").select("event_id").write.parquet(src)
+    q = write_topic(alerts_stream(spark.readStream.schema("event_id bigint").parquet(src), DELAY), topic,
+                    f"{scratch}/ck", available_now=True, keyed_partitions=True)
+    q.awaitTermination()
+    back = read_topic(spark, topic, streaming=False)
+    assert back.columns == ["key"] + ALERT.fieldNames()  # 12 columns, key first
+    assert back.filter(F.col("key").cast("string") != F.col("tower_id")).count() == 0
+    assert back.count() == catalog.q_stream_detect_alerts(spark, SF01).count()
+    ck, start = consumer_checkpoint(spark, "dash", "resume")
+    assert start == "earliest" and ck == consumer_checkpoint(spark, "dash", "resume")[0]
+    ck2, start2 = consumer_checkpoint(spark, "dash", "skip")
+    assert start2 == "latest" and ck2 != ck and ck2 != consumer_checkpoint(spark, "dash", "skip")[0]
