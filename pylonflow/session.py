@@ -43,6 +43,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.python.worker.reuse", "true")
         .config("spark.speculation", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Python call-site capture for error messages costs several py4j
+        # round-trips per column function while plans are being built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
