@@ -135,7 +135,6 @@ def test_sentinel_closes_every_window(spark, scratch):
 
 
 def test_max_files_per_trigger_paces_input(spark, scratch):
-    from pylonflow.sources.tables import stream_table  # noqa: F401 (same option name)
     ev = spark.read.parquet(f"{SF01}/events.parquet").select("event_id")
     src = f"{scratch}/events"
     for i in range(3):
