@@ -333,3 +333,16 @@ def q_stream_status_changes(spark, sf_dir):
     alerts_in = spark.readStream.schema(ALERT).parquet(a_sink.path)
     return run_to_sink(status_changes_stream(alerts_in, watermark=STREAM_DELAY),
                        Sink.fresh(spark, "status_changes"))
+
+
+@register("stream_runbook_feed")
+def q_stream_runbook_feed(spark, sf_dir):
+    """Chained statements, then a third consumer parses the responses stream
+    into runbook fields and persists them."""
+    from pylonflow.schemas import RESPONSE
+    from pylonflow.sources.tables import stream_table
+    from pylonflow.streaming.flows import Sink, run_chain, run_to_sink, runbook_stream
+    _, responses = run_chain(spark, stream_table(spark, sf_dir, "events"), STREAM_DELAY)
+    resp_in = spark.readStream.schema(RESPONSE).parquet(responses.path)
+    out = run_to_sink(runbook_stream(resp_in), Sink.fresh(spark, "runbooks"))
+    return _round_avgs(out.drop("processed_at"))

@@ -3,12 +3,13 @@ and on streams.
 
     flow = AlertingDataflow(AlertingConfig(n_callers=4), call=my_client)
     alerts = flow.alerts(telemetry_df)              # batch
-    handles = flow.start(spark, telemetry_stream)    # three streaming queries
+    handles = flow.start(spark, telemetry_stream)    # five streaming queries
 
 Streaming layout (each query owns its checkpoint under the shared root):
 telemetry stream -> alerts table (append) -> responses table (exactly-once
-responder); telemetry stream -> latest-reading upsert log; alerts table ->
-last-alert upsert log (status is computed at read time).
+responder) -> parsed runbook table; telemetry stream -> latest-reading
+upsert log; alerts table -> last-alert upsert log (status is computed at
+read time).
 """
 
 from __future__ import annotations
@@ -27,9 +28,11 @@ from pylonflow.operators.episodes import red_episodes
 from pylonflow.operators.infer import CallOptions, ModelCall, ModelSpec, rule_model
 from pylonflow.operators.runbook import enrich_if_absent, generate_runbooks
 from pylonflow.operators.views import latest_by_key, tower_status
-from pylonflow.schemas import ALERT
+from pylonflow.schemas import ALERT, RESPONSE
 from pylonflow.session import scratch_path
-from pylonflow.streaming.flows import Sink, answer_alerts_once, read_upsert_log, start_sink, upsert_log_writer
+from pylonflow.streaming.flows import (
+    Sink, answer_alerts_once, read_upsert_log, runbook_stream, start_sink, upsert_log_writer,
+)
 
 
 @dataclass(frozen=True)
@@ -55,13 +58,15 @@ class StreamHandles:
     responder: StreamingQuery
     latest: StreamingQuery
     last_alert: StreamingQuery
+    runbooks: StreamingQuery
     alerts_path: str
     responses_path: str
     latest_path: str
     last_alert_path: str
+    runbooks_path: str
 
     def queries(self) -> list[StreamingQuery]:
-        return [self.alerts, self.responder, self.latest, self.last_alert]
+        return [self.alerts, self.responder, self.latest, self.last_alert, self.runbooks]
 
     def stop(self) -> None:
         for q in self.queries():
@@ -97,7 +102,7 @@ class AlertingDataflow:
     # --- streaming --------------------------------------------------------------
     def start(self, spark: SparkSession, telemetry_stream: DataFrame, available_now: bool = False,
               trigger: str = "2 seconds") -> StreamHandles:
-        """Start the four streaming queries; returns their handles and tables."""
+        """Start the five streaming queries; returns their handles and tables."""
         key = self.config.keys[0]
         alerts_sink = Sink.fresh(spark, "flow_alerts")
         q_alerts = start_sink(self.alerts(telemetry_stream, streaming=True), alerts_sink,
@@ -112,6 +117,8 @@ class AlertingDataflow:
             return w.start()
 
         resp = scratch_path(spark, "flow_responses")
+        # create the (empty) responses table so its consumer can start first
+        spark.createDataFrame([], RESPONSE).write.mode("append").parquet(resp + "/data")
         q_resp = _writer(alerts_in, answer_alerts_once(resp + "/data", self.call, self.config.model,
                                                        self.config.options, self.config.n_callers),
                          resp + "/checkpoint")
@@ -121,8 +128,13 @@ class AlertingDataflow:
         last = scratch_path(spark, "flow_last_alert")
         last_alert = alerts_in.groupBy(key).agg(F.max("window_end").alias("window_end"))
         q_last = _writer(last_alert, upsert_log_writer(last + "/data"), last + "/checkpoint", "update")
-        return StreamHandles(q_alerts, q_resp, q_lat, q_last, alerts_sink.path, resp + "/data",
-                             lat + "/data", last + "/data")
+        if available_now:
+            q_resp.awaitTermination()
+        runbooks_sink = Sink.fresh(spark, "flow_runbooks")
+        q_rb = start_sink(runbook_stream(spark.readStream.schema(RESPONSE).parquet(resp + "/data")), runbooks_sink,
+                          available_now=available_now, processing_time=trigger)
+        return StreamHandles(q_alerts, q_resp, q_lat, q_last, q_rb, alerts_sink.path, resp + "/data",
+                             lat + "/data", last + "/data", runbooks_sink.path)
 
     def read_latest(self, spark: SparkSession, handles: StreamHandles) -> DataFrame:
         return read_upsert_log(spark, handles.latest_path, (self.config.keys[0],))

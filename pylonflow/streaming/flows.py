@@ -166,3 +166,11 @@ def run_update_view(agg: DataFrame, path: str, checkpoint: str, keys: tuple[str,
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return read_upsert_log(agg.sparkSession, path, keys)
+
+
+def runbook_stream(responses_stream: DataFrame) -> DataFrame:
+    """Responses stream -> parsed runbooks (raw text kept). Stateless, so it
+    runs in append mode and the parse is persisted once instead of being
+    redone by every reader."""
+    from pylonflow.operators.runbook import enrich_if_absent
+    return enrich_if_absent(responses_stream)

@@ -32,6 +32,8 @@ def test_streaming_facade(spark):
     for q in h.queries():
         q.awaitTermination()
     resp = spark.read.parquet(h.responses_path)
+    runbooks = spark.read.parquet(h.runbooks_path)
+    assert runbooks.count() == resp.count() and runbooks.filter("severity_level IS NULL").count() == 0
     closed = spark.read.parquet(h.alerts_path)
     assert resp.count() == catalog.escalation_filter(closed).count() > 0
     batch_latest = catalog.q_latest_by_tower(spark, SF001)
