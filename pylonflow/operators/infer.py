@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pylonflow.session import ship_package
+
 # The runbook instruction given to the model.
 SYSTEM_PROMPT = (
     "You are a 5G NOC agent. Reply using ONLY these 7 lines:\n"
@@ -112,6 +114,7 @@ def predict(
     output_col = output_col or model.output_col
     if on_error not in ("raise", "column"):
         raise ValueError("on_error must be 'raise' or 'column'")
+    ship_package(df.sparkSession)
     src = df.filter(F.col(prompt_col).isNotNull())
     if n_callers:
         src = src.repartition(int(n_callers))

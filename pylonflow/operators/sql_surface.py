@@ -13,10 +13,12 @@ from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
 
 from pylonflow.operators.infer import CallOptions, ModelCall, ModelSpec, _call_with_retry
+from pylonflow.session import ship_package
 
 
 def register_predict_udtf(spark: SparkSession, call: ModelCall, model: ModelSpec = ModelSpec(),
                           options: CallOptions = CallOptions(), name: str = "ml_predict") -> None:
+    ship_package(spark)
     system_prompt = model.system_prompt
     params = {**model.params(), "client_timeout": options.client_timeout}
 

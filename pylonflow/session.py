@@ -78,3 +78,42 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh unique location under the checkpoint root (new per call)."""
     return "/".join([checkpoint_root(spark), "pylonflow", *parts, uuid.uuid4().hex])
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pylonflow`` importable by Python workers (once per application).
+
+    Operators that run Python on executors (the model call, the live status
+    operator) pickle references to this package's functions. When the package
+    is not installed on the executors, it is zipped on the driver and handed
+    to Spark's file distribution (``addPyFile``), exactly what
+    ``spark-submit --py-files`` does. A package already loaded from a zip or
+    wheel is left alone.
+    """
+    import zipfile
+
+    import pylonflow
+    pkg_dir = os.path.dirname(os.path.abspath(pylonflow.__file__))
+    if not os.path.isdir(pkg_dir):
+        return
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        app = "connect:" + str(id(spark))
+    if app in _SHIPPED:
+        return
+    zpath = os.path.join(tempfile.mkdtemp(prefix="pylonflow-pkg-"), "pylonflow.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    try:
+        spark.sparkContext.addPyFile(zpath)
+    except Exception:  # noqa: BLE001
+        spark.addArtifacts(zpath, pyfile=True)
+    _SHIPPED.add(app)

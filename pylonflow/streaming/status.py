@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from pylonflow.functions.timeutil import duration_us
+from pylonflow.session import ship_package
 
 STATE_SCHEMA = T.StructType([T.StructField("last_alert_us", T.LongType())])
 
@@ -31,6 +32,7 @@ def status_changes_stream(
     key: str = "tower_id",
     watermark: str = "10 seconds",
 ) -> DataFrame:
+    ship_package(alerts.sparkSession)
     ttl_us = duration_us(ttl)
     key_type = alerts.schema[key].dataType
     out_schema = T.StructType([T.StructField(key, key_type), T.StructField("changed_at", T.TimestampType()),
