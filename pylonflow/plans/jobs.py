@@ -35,13 +35,16 @@ def run_batch(spark: SparkSession, sf_dir: str, query: str, out: str, partitions
     df.write.mode("overwrite").parquet(out)
 
 
-def run_stream(spark: SparkSession, events_dir: str, trigger: str, timeout_s: float | None = None):
+def run_stream(spark: SparkSession, events_dir: str, trigger: str, timeout_s: float | None = None,
+               wait: bool = True):
     from pylonflow.plans.dataflow import AlertingDataflow
     from pylonflow.sources.telemetry import telemetry_from_events
     schema = spark.read.parquet(events_dir).schema
     events = spark.readStream.schema(schema).parquet(events_dir)
     flow = AlertingDataflow()
     handles = flow.start(spark, telemetry_from_events(events.select("event_id")), trigger=trigger)
+    if not wait:
+        return handles
     if timeout_s is None:
         spark.streams.awaitAnyTermination()
     else:

@@ -12,6 +12,9 @@ def test_batch_job_writes_table(spark, scratch):
 def test_stream_job_runs_and_stops(spark, scratch):
     src = f"{scratch}/events"
     spark.read.parquet(f"{SF001}/events.parquet").write.parquet(src)
-    h = run_stream(spark, src, "1 second", timeout_s=20)
+    h = run_stream(spark, src, "1 second", wait=False)
+    for q in h.queries():          # upstream first: alerts, responder, latest, last alert, runbooks
+        q.processAllAvailable()
+    h.stop()
     assert all(not q.isActive for q in h.queries())
     assert spark.read.parquet(h.alerts_path).count() > 0
