@@ -115,3 +115,54 @@ def conform(
         else:
             raise SchemaMismatch(f"required column {f.name!r} is missing and has no default")
     return df.select(*cols)
+
+
+# --- registered record schemas (Avro JSON) -> Spark types ---------------------
+
+_AVRO_PRIMITIVES = {
+    "string": T.StringType(), "double": T.DoubleType(), "float": T.FloatType(), "long": T.LongType(),
+    "int": T.IntegerType(), "boolean": T.BooleanType(), "bytes": T.BinaryType(),
+}
+_AVRO_LOGICAL = {
+    "timestamp-millis": T.TimestampType(), "timestamp-micros": T.TimestampType(),
+    "local-timestamp-millis": T.TimestampNTZType(), "local-timestamp-micros": T.TimestampNTZType(),
+    "date": T.DateType(),
+}
+
+
+def _avro_type(t) -> tuple[T.DataType, bool]:
+    """(Spark type, nullable) of one Avro field type."""
+    if isinstance(t, list):
+        branches = [b for b in t if b != "null"]
+        if len(branches) != 1:
+            raise ValueError(f"only [null, T] unions are supported, got {t}")
+        return _avro_type(branches[0])[0], "null" in t
+    if isinstance(t, dict):
+        if t.get("logicalType") in _AVRO_LOGICAL:
+            return _AVRO_LOGICAL[t["logicalType"]], False
+        if t.get("type") in _AVRO_PRIMITIVES:
+            return _AVRO_PRIMITIVES[t["type"]], False
+        raise ValueError(f"unsupported Avro type {t}")
+    if t in _AVRO_PRIMITIVES:
+        return _AVRO_PRIMITIVES[t], False
+    raise ValueError(f"unsupported Avro type {t!r}")
+
+
+def struct_from_avro(record) -> tuple[T.StructType, dict]:
+    """A flat Avro record schema (JSON text or dict) -> (StructType, defaults).
+
+    What a schema-registry lookup gives a catalog: column names, types and
+    nullability in field order, plus the declared defaults that ``conform``
+    applies to missing columns.
+    """
+    import json
+    rec = json.loads(record) if isinstance(record, str) else record
+    if rec.get("type") != "record":
+        raise ValueError("expected an Avro record schema")
+    fields, defaults = [], {}
+    for f in rec["fields"]:
+        dtype, nullable = _avro_type(f["type"])
+        fields.append(T.StructField(f["name"], dtype, nullable))
+        if "default" in f:
+            defaults[f["name"]] = f["default"]
+    return T.StructType(fields), defaults

@@ -49,3 +49,38 @@ def test_readers_cast_ntz_and_stream_single_table(spark):
     q.awaitTermination()
     assert spark.table("ev_stream_probe").count() == ev.count()
     assert spark.table("ev_stream_probe").agg(F.countDistinct("event_id")).first()[0] == ev.count()
+
+
+def test_struct_from_avro_matches_record_constants():
+    from pylonflow.schemas import ALERT, RESPONSE, TELEMETRY, struct_from_avro
+    ts = {"type": "long", "logicalType": "timestamp-millis"}
+
+    def rec(fields):
+        return {"type": "record", "name": "R", "fields": fields}
+
+    tel = rec([{"name": n, "type": t} for n, t in [
+        ("tower_id", "string"), ("tower_name", "string"), ("latitude", "double"), ("longitude", "double"),
+        ("temperature", "double"), ("signal_strength", "double"), ("cpu_load", "double"), ("event_time", ts),
+        ("is_anomaly", "boolean")]])
+    assert struct_from_avro(tel)[0] == TELEMETRY
+    alert = rec([{"name": "tower_id", "type": "string"}, {"name": "tower_name", "type": "string", "default": ""},
+                 {"name": "latitude", "type": "double", "default": 0.0},
+                 {"name": "longitude", "type": "double", "default": 0.0}]
+                + [{"name": n, "type": "double"} for n in ("avg_temperature", "avg_signal", "max_temperature",
+                                                           "min_signal")]
+                + [{"name": "event_count", "type": "long"}, {"name": "window_start", "type": ts},
+                   {"name": "window_end", "type": ts}])
+    schema, defaults = struct_from_avro(json.dumps(alert))
+    assert schema == ALERT and defaults == {"tower_name": "", "latitude": 0.0, "longitude": 0.0}
+    resp = rec([{"name": f.name, "type": ["null", "string"], "default": None} if f.nullable
+                else {"name": f.name, "type": ts if f.dataType == T.TimestampType() else
+                      {"string": "string", "double": "double", "bigint": "long"}[f.dataType.simpleString()]}
+                for f in RESPONSE.fields])
+    assert struct_from_avro(resp)[0] == RESPONSE
+
+
+def test_avro_encode_requires_package(spark):
+    import pytest
+    df = spark.createDataFrame([("a",)], "tower_id string")
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        encode_envelope(df, avro_schema='{"type":"record","name":"R","fields":[]}', schema_id=1)
