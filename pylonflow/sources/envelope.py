@@ -69,17 +69,25 @@ def decode_envelope(
         parsed_avro = avro.from_avro(F.expr(f"substring({value_col}, 6)"), avro_schema, {"mode": "PERMISSIVE"})
         decoded = F.when(framed, F.struct(*[parsed_avro[f.name].alias(f.name) for f in schema.fields],
                                           F.lit(None).cast("string").alias(CORRUPT))).otherwise(parsed_json)
-        ok = v.isNotNull() & decoded.isNotNull() & decoded[CORRUPT].isNull()
     else:
         decoded = parsed_json
-        ok = v.isNotNull() & ~framed & decoded.isNotNull() & decoded[CORRUPT].isNull()
     carried = [c for c in carry if c in env.columns]
+    # Parse once: the decoded struct is materialised in its own projection and
+    # invalid rows are dropped by a generator (zero or one row per input).
+    # A plain filter would be pushed below the projection with the parse
+    # inlined into its condition, decoding every value two or three times.
     staged = env.select(*carried, *[c for c in env.columns if c not in carried],
-                        decoded.alias("_decoded"), F.coalesce(ok, F.lit(False)).alias("_ok"))
-    good = staged.filter("_ok").select(*carried, *[F.col("_decoded")[f.name].alias(f.name) for f in schema.fields])
+                        decoded.alias("_decoded"), framed.alias("_framed"))
+    d = F.col("_decoded")
+    valid = v.isNotNull() & d.isNotNull() & d[CORRUPT].isNull()
+    if avro is None:
+        valid = valid & ~F.col("_framed")
+    valid = F.coalesce(valid, F.lit(False))
+    row = F.struct(*[d[f.name].alias(f.name) for f in schema.fields])
+    good = staged.select(*carried, F.inline(F.when(valid, F.array(row))))
     if not with_rejected:
         return good
-    bad = staged.filter(~F.col("_ok")).select(*env.columns)
+    bad = staged.filter(~valid).select(*env.columns)
     return good, bad
 
 
