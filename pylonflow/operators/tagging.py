@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,23 +23,53 @@ NO_RESPONSE = "(no response)"
 EMPTY_RESPONSE = "(empty response)"
 
 
-def rule_tag(text: Column, rules: Sequence[tuple[str, str]] = TOOL_RULES, default: str = DEFAULT_TOOL) -> Column:
-    """First rule whose regex finds a match in ``lower(text)`` wins.
+_REGEX_META = set("\\^$.?*+()[]{}")
+
+
+def _literal_alternatives(pattern: str) -> list[str] | None:
+    """``"topic|stream|lag"`` -> ``["topic", "stream", "lag"]``; None when the
+    pattern uses any regex syntax beyond ``|``."""
+    if any(ch in _REGEX_META for ch in pattern):
+        return None
+    parts = pattern.split("|")
+    return parts if all(parts) else None
+
+
+def _finds(low: Column, pattern: str) -> Column:
+    """Regex *find* on lower-cased text. Literal alternations become OR-ed
+    substring tests (same result, no regex engine: ~3x faster on long
+    texts); anything else goes through ``rlike``."""
+    words = _literal_alternatives(pattern)
+    if words is None:
+        return low.rlike(pattern)
+    return reduce(lambda a, b: a | b, [low.contains(w) for w in words])
 
-    Substring semantics (no word boundaries). A chain of ``CASE WHEN`` over
-    ``rlike``; evaluation stops at the first hit.
-    """
-    low = F.lower(text)
+
+def rule_tag_lowered(low: Column, rules: Sequence[tuple[str, str]] = TOOL_RULES,
+                     default: str = DEFAULT_TOOL) -> Column:
+    """First rule whose pattern is found in the (already lower-cased) text
+    wins; substring semantics, no word boundaries."""
     expr = None
     for pattern, tag in rules:
-        expr = (F.when(low.rlike(pattern), F.lit(tag)) if expr is None
-                else expr.when(low.rlike(pattern), F.lit(tag)))
+        hit = _finds(low, pattern)
+        expr = F.when(hit, F.lit(tag)) if expr is None else expr.when(hit, F.lit(tag))
     return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
 
 
+def rule_tag(text: Column, rules: Sequence[tuple[str, str]] = TOOL_RULES, default: str = DEFAULT_TOOL) -> Column:
+    """Expression form: ``lower(text)`` then the first matching rule's tag."""
+    return rule_tag_lowered(F.lower(text), rules, default)
+
+
 def tag_by_rules(df: DataFrame, text_col: str, rules: Sequence[tuple[str, str]] = TOOL_RULES,
                  default: str = DEFAULT_TOOL, output_col: str = "tool") -> DataFrame:
-    return df.withColumn(output_col, rule_tag(F.col(text_col), rules, default))
+    """Add ``output_col`` with the routed tag. The text is lower-cased once
+    in its own projection and shared by all rules (a CASE WHEN chain would
+    otherwise lower-case it again in every branch it reaches)."""
+    low = "_tag_lowered"
+    return (df.withColumn(low, F.lower(F.col(text_col)))
+            .withColumn(output_col, rule_tag_lowered(F.col(low), rules, default))
+            .drop(low))
 
 
 def flatten_parts(parts: Column, sep: str = "\n") -> Column:

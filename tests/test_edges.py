@@ -183,3 +183,19 @@ def test_conform_contract(spark):
 def test_schema_sizes():
     assert (len(TELEMETRY.fields), len(ALERT.fields), len(RESPONSE.fields)) == (9, 11, 16)
     assert "latitude" not in RESPONSE.fieldNames()
+
+
+def test_tag_rules_literal_and_regex_paths_agree(spark):
+    from pylonflow.operators.tagging import TOOL_RULES, _literal_alternatives, tag_by_rules
+    texts = ["The consumer LAG grew", "a flag was set", "SQL window", "Connector down", "new Avro schema",
+             "bytes per request", "org chart", "nothing here", None, "", "Aggregation of metrics"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    lit = {r.id: r.tool for r in tag_by_rules(df, "text").collect()}
+    # the same rules forced through the regex engine ((?:..) is regex syntax, same meaning)
+    forced = [(f"(?:{p})", t) for p, t in TOOL_RULES]
+    assert all(_literal_alternatives(p) is None for p, _ in forced)
+    rx = {r.id: r.tool for r in tag_by_rules(df, "text", forced).collect()}
+    assert lit == rx
+    assert lit[0] == "list-topics" and lit[1] == "list-topics"  # "lag" hits "flag": no word boundaries
+    assert lit[7] == "search-product-docs" and lit[8] == "search-product-docs"
+    assert lit[10] == "list-flink-statements"
