@@ -107,7 +107,7 @@ PARSE_CASES = [
     (GOLDEN_TEXT, ("CRITICAL", "Cooling fan failure causing thermal overload",
                    "1. Check cooling system via SSH\n2. Reduce TX power by 3 dB\n3. Dispatch field engineer",
                    "RF team if temp exceeds 95C", "P1")),
-    ("\ufeff DIAGNOSIS:\u3000hot \nnotes without label\nACTION7:   x  ", (None, "hot", "1. x", None, None)),
+    ("\ufeff\u00a0 DIAGNOSIS:\u3000hot\u2029\nnotes without label\nACTION7:   x  ", (None, "hot", "1. x", None, None)),
     ("diagnosis: first\nDiagnosis: second", (None, "second", None, None, None)),
 ]
 
