@@ -22,7 +22,7 @@ def register_predict_udtf(spark: SparkSession, call: ModelCall, model: ModelSpec
     system_prompt = model.system_prompt
     params = {**model.params(), "client_timeout": options.client_timeout}
 
-    @udtf(returnType=f"{model.output_col}: string")
+    @udtf(returnType=f"{model.output_col}: string", useArrow=True)
     class _ModelCall:
         def eval(self, prompt: str):
             if prompt is None:

@@ -346,3 +346,17 @@ def q_stream_runbook_feed(spark, sf_dir):
     resp_in = spark.readStream.schema(RESPONSE).parquet(responses.path)
     out = run_to_sink(runbook_stream(resp_in), Sink.fresh(spark, "runbooks"))
     return _round_avgs(out.drop("processed_at"))
+
+
+# --- the same statements written in Spark SQL ----------------------------------
+
+@register("sql_detect_alerts")
+def q_sql_detect_alerts(spark, sf_dir):
+    from pylonflow.plans.sql import detect_alerts_sql
+    return _round_avgs(detect_alerts_sql(spark, sf_dir))
+
+
+@register("sql_generate_runbooks")
+def q_sql_generate_runbooks(spark, sf_dir):
+    from pylonflow.plans.sql import generate_runbooks_sql
+    return _round_avgs(generate_runbooks_sql(spark, sf_dir).drop("processed_at"))

@@ -68,4 +68,4 @@ def test_only_model_call_uses_python(spark):
         p = plan_of(entry.queries()[name](spark, SF001))
         uses_python = "MapInPandas" in p or "ArrowEvalPython" in p
         assert uses_python == (name in {"generate_runbooks", "parse_runbook", "enrich_if_absent",
-                                        "severity_default", "runbook_feed"}), name
+                                        "severity_default", "runbook_feed", "sql_generate_runbooks"}), name
