@@ -64,9 +64,10 @@ class CallOptions:
 
     ``async_enabled=False`` means one call in flight per caller; the number
     of callers is ``predict(n_callers=...)``. ``calls_per_minute`` paces each
-    caller; ``retry_count`` extra attempts follow a failure with exponential
-    back-off starting at ``backoff_s``; ``client_timeout`` is handed to the
-    callable in ``params``.
+    caller; ``total_calls_per_minute`` is a budget for all callers together
+    (a provider quota), split evenly over ``n_callers``. ``retry_count``
+    extra attempts follow a failure with exponential back-off starting at
+    ``backoff_s``; ``client_timeout`` is handed to the callable in ``params``.
     """
 
     async_enabled: bool = False
@@ -74,6 +75,7 @@ class CallOptions:
     client_timeout: float = 30.0
     backoff_s: float = 1.0
     calls_per_minute: float | None = None
+    total_calls_per_minute: float | None = None
 
 
 class ModelCallError(RuntimeError):
@@ -123,7 +125,13 @@ def predict(
         fields.append(T.StructField(output_col + "_error", T.StringType(), True))
     out_schema = T.StructType(fields)
     system_prompt, params = model.system_prompt, {**model.params(), "client_timeout": options.client_timeout}
-    min_gap = 60.0 / options.calls_per_minute if options.calls_per_minute else 0.0
+    per_caller = options.calls_per_minute
+    if options.total_calls_per_minute:
+        if not n_callers:
+            raise ValueError("total_calls_per_minute needs n_callers (the budget is split over the callers)")
+        share = options.total_calls_per_minute / int(n_callers)
+        per_caller = min(per_caller, share) if per_caller else share
+    min_gap = 60.0 / per_caller if per_caller else 0.0
 
     def run(batches):
         last = 0.0

@@ -98,3 +98,19 @@ def test_sql_lateral_model_call(spark):
 def test_processed_at_is_one_value_per_query(spark):
     out = generate_runbooks(catalog.alerts(spark, SF001))
     assert out.select("processed_at").distinct().count() == 1
+
+
+def test_total_budget_is_split_over_callers(spark):
+    df = spark.range(6).select(F.col("id").cast("string").alias("prompt"))
+    out = predict(df, lambda s, p, params: repr(time.monotonic()), n_callers=2,
+                  options=CallOptions(total_calls_per_minute=600)).select(
+        F.spark_partition_id().alias("part"), "response").collect()
+    by_part = {}
+    for r in out:
+        by_part.setdefault(r.part, []).append(float(r.response))
+    assert len(by_part) == 2
+    for ts in by_part.values():           # 600/min over 2 callers -> >= 0.2 s apart per caller
+        ts.sort()
+        assert all(b - a >= 0.199 for a, b in zip(ts, ts[1:]))
+    with pytest.raises(ValueError):
+        predict(df, rule_model, options=CallOptions(total_calls_per_minute=30))
