@@ -41,7 +41,7 @@ def _norm(v):
     if hasattr(v, "isoformat"):
         return v.isoformat()
     if isinstance(v, float):
-        return repr(round(v, 9))
+        return repr(float(v))
     if isinstance(v, (bytes, bytearray, memoryview)):
         return bytes(v).hex()
     if hasattr(v, "tolist"):
