@@ -37,18 +37,24 @@ def latest_by_tower(telemetry: DataFrame) -> DataFrame:
     return latest_by_key(telemetry)
 
 
+_TIES = ("tower_id", "tower_name", "latitude", "longitude")
+
+
 def alert_feed(alerts: DataFrame, limit: int = 50, time_col: str = "window_end",
-               tie_cols: Sequence[str] = ("tower_id",)) -> DataFrame:
-    """Newest ``limit`` alerts: ORDER BY window_end DESC, tower_id LIMIT n.
+               tie_cols: Sequence[str] | None = None) -> DataFrame:
+    """Newest ``limit`` alerts: ORDER BY window_end DESC, tower_id, ... LIMIT n.
 
-    Planned as ``TakeOrderedAndProject``: each partition keeps its own top n,
-    only n rows per partition reach the final merge.
+    Ties are broken by the grouping attributes present (an alert is unique per
+    attributes and window), so the cut is deterministic. Planned as
+    ``TakeOrderedAndProject``: each partition keeps its own top n, only n rows
+    per partition reach the final merge.
     """
-    return alerts.orderBy(F.col(time_col).desc(), *[F.col(c).asc() for c in tie_cols]).limit(limit)
+    ties = tie_cols if tie_cols is not None else [c for c in _TIES if c in alerts.columns]
+    return alerts.orderBy(F.col(time_col).desc(), *[F.col(c).asc() for c in ties]).limit(limit)
 
 
 def runbook_feed(responses: DataFrame, limit: int = 20, time_col: str = "window_end",
-                 tie_cols: Sequence[str] = ("tower_id",)) -> DataFrame:
+                 tie_cols: Sequence[str] | None = None) -> DataFrame:
     """Newest ``limit`` runbooks, same ordering rule as ``alert_feed``."""
     return alert_feed(responses, limit, time_col, tie_cols)
 
