@@ -84,20 +84,21 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``pylonflow`` importable by Python workers (once per application).
+    """Make ``pylonflow`` importable by local Python workers (once per app).
 
     Operators that run Python on executors (the model call, the live status
-    operator) pickle references to this package's functions. When the package
-    is not installed on the executors, it is zipped on the driver and handed
-    to Spark's file distribution (``addPyFile``), exactly what
-    ``spark-submit --py-files`` does. A package already loaded from a zip or
-    wheel is left alone.
+    operator) pickle references to this package's functions. In local mode
+    the workers run on this machine but may not share the driver's import
+    path, so the package is zipped and handed to ``addPyFile``. On a cluster
+    the package is deployed like any PySpark code (``spark-submit
+    --py-files pylonflow.zip`` or an installed wheel) and this is a no-op; a
+    package already loaded from a zip or wheel is left alone too.
     """
     import zipfile
 
     import pylonflow
     pkg_dir = os.path.dirname(os.path.abspath(pylonflow.__file__))
-    if not os.path.isdir(pkg_dir):
+    if not os.path.isdir(pkg_dir) or not spark.conf.get("spark.master", "").startswith("local"):
         return
     try:
         app = spark.sparkContext.applicationId
