@@ -2,11 +2,11 @@
 
     spark-submit --py-files pylonflow.zip -m pylonflow.plans.jobs batch \\
         --sf-dir s3://bucket/telemetry --query detect_alerts_60s --out s3://bucket/alerts
-    spark-submit ... -m pylonflow.plans.jobs stream --events s3://bucket/events/ --trigger "10 seconds"
+    spark-submit ... -m pylonflow.plans.jobs stream --telemetry s3://bucket/telemetry/ --trigger "10 seconds"
 
 ``batch`` materialises one registered query into a parquet table (overwrite).
-``stream`` starts the five streaming queries of the alerting dataflow over an
-``events`` folder and waits; state and tables live under
+``stream`` starts the five streaming queries of the alerting dataflow over a
+telemetry folder (or the test ``events`` folder) and waits; state and tables live under
 ``spark.checkpoint.dir`` (required on a cluster), so a restarted job resumes
 where it stopped.
 """
@@ -35,14 +35,25 @@ def run_batch(spark: SparkSession, sf_dir: str, query: str, out: str, partitions
     df.write.mode("overwrite").parquet(out)
 
 
-def run_stream(spark: SparkSession, events_dir: str, trigger: str, timeout_s: float | None = None,
-               wait: bool = True):
+def run_stream(spark: SparkSession, events_dir: str | None, trigger: str, timeout_s: float | None = None,
+               wait: bool = True, telemetry_dir: str | None = None, max_files_per_trigger: int | None = None):
+    """Start the streaming dataflow over either a telemetry folder (records
+    with the registered telemetry schema, the production shape) or an events
+    folder (test data, mapped to readings)."""
     from pylonflow.plans.dataflow import AlertingDataflow
+    from pylonflow.schemas import TELEMETRY
     from pylonflow.sources.telemetry import telemetry_from_events
-    schema = spark.read.parquet(events_dir).schema
-    events = spark.readStream.schema(schema).parquet(events_dir)
+    if (events_dir is None) == (telemetry_dir is None):
+        raise ValueError("give exactly one of events_dir / telemetry_dir")
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if telemetry_dir is not None:
+        telemetry = reader.schema(TELEMETRY).parquet(telemetry_dir)
+    else:
+        telemetry = telemetry_from_events(reader.schema("event_id bigint").parquet(events_dir))
     flow = AlertingDataflow()
-    handles = flow.start(spark, telemetry_from_events(events.select("event_id")), trigger=trigger)
+    handles = flow.start(spark, telemetry, trigger=trigger)
     if not wait:
         return handles
     if timeout_s is None:
@@ -62,15 +73,19 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--out", required=True)
     b.add_argument("--partitions", type=int)
     s = sub.add_parser("stream")
-    s.add_argument("--events", required=True)
+    src = s.add_mutually_exclusive_group(required=True)
+    src.add_argument("--telemetry", help="folder of telemetry records (registered schema)")
+    src.add_argument("--events", help="folder of events (test data mapped to readings)")
     s.add_argument("--trigger", default="2 seconds")
+    s.add_argument("--max-files-per-trigger", type=int)
     s.add_argument("--timeout", type=float)
     args = ap.parse_args(argv)
     spark = _session(f"pylonflow-{args.cmd}")
     if args.cmd == "batch":
         run_batch(spark, args.sf_dir, args.query, args.out, args.partitions)
     else:
-        run_stream(spark, args.events, args.trigger, args.timeout)
+        run_stream(spark, args.events, args.trigger, args.timeout, telemetry_dir=args.telemetry,
+                   max_files_per_trigger=args.max_files_per_trigger)
 
 
 if __name__ == "__main__":

@@ -12,9 +12,21 @@ def test_batch_job_writes_table(spark, scratch):
 def test_stream_job_runs_and_stops(spark, scratch):
     src = f"{scratch}/events"
     spark.read.parquet(f"{SF001}/events.parquet").write.parquet(src)
-    h = run_stream(spark, src, "1 second", wait=False)
+    h = run_stream(spark, src, "1 second", wait=False)  # events folder (test data)
     for q in h.queries():          # upstream first: alerts, responder, latest, last alert, runbooks
         q.processAllAvailable()
     h.stop()
     assert all(not q.isActive for q in h.queries())
     assert spark.read.parquet(h.alerts_path).count() > 0
+
+
+def test_stream_job_on_telemetry_records(spark, scratch):
+    from pylonflow.plans import catalog
+    src = f"{scratch}/telemetry"
+    catalog.telemetry(spark, SF001).write.parquet(src)
+    h = run_stream(spark, None, "1 second", wait=False, telemetry_dir=src, max_files_per_trigger=4)
+    for q in h.queries():
+        q.processAllAvailable()
+    h.stop()
+    assert spark.read.parquet(h.alerts_path).count() > 0
+    assert spark.read.parquet(h.latest_path).select("tower_id").distinct().count() == 16
