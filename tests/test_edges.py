@@ -199,3 +199,13 @@ def test_tag_rules_literal_and_regex_paths_agree(spark):
     assert lit[0] == "list-topics" and lit[1] == "list-topics"  # "lag" hits "flag": no word boundaries
     assert lit[7] == "search-product-docs" and lit[8] == "search-product-docs"
     assert lit[10] == "list-flink-statements"
+
+
+def test_golden_telemetry_record_alerts(spark):
+    # documented reading: TWR-002, 91.4 C, -96.1 dBm, cpu 88.3, anomalous
+    row = [("TWR-002", "Salamanca", 40.4308, -3.68, 91.4, -96.1, 88.3, datetime(2024, 7, 15, 10, 23, 45), True)]
+    df = spark.createDataFrame(row, _nullable(TELEMETRY))
+    assert anomaly_filter(df).count() == 1
+    a = detect_alerts(df).first()
+    assert (a.event_count, a.max_temperature, a.min_signal) == (1, 91.4, -96.1)
+    assert escalation_filter(detect_alerts(df)).count() == 1

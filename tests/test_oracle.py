@@ -37,7 +37,8 @@ def test_entry_smoke(spark):
                           "max_temperature", "min_signal", "event_count", "window_start", "window_end"]
 
 
-@pytest.mark.parametrize("sf,expected", [(SF001, (27, 23, 8, 5, 4)), (SF01, (275, 250, 66, 42, 13))])
+@pytest.mark.parametrize("sf,expected", [(SF001, (27, 23, 8, 5, 4)), (SF01, (275, 250, 66, 42, 13)),
+                                         ("/root/testdata/sf0.1", (2750, 2500, 659, 418, 103))])
 def test_fixture_counts(spark, sf, expected):
     from pyspark.sql import functions as F
 
