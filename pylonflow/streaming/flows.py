@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -94,7 +95,9 @@ def answer_alerts_once(
         severe = escalation_filter(batch, ESCALATION_RULES)
         try:
             answered = spark.read.schema(RESPONSE).parquet(responses_path)
-        except Exception:  # noqa: BLE001 - first batch: table not created yet
+        except AnalysisException as exc:  # first batch: table not created yet
+            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+                raise
             answered = None
         if answered is not None:
             lo = severe.select(F.min("window_start")).scalar()
