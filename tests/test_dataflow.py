@@ -42,3 +42,26 @@ def test_streaming_facade(spark):
     as_of = closed.select(F.max("window_end")).scalar()
     st = flow.read_status(spark, h, catalog.telemetry(spark, SF001), as_of)
     assert st.count() == 16 and st.filter("status = 'red'").count() >= 1
+
+
+def test_custom_config_matches_brute_force(spark):
+    import pandas as pd
+
+    from pylonflow.plans.dataflow import AlertingConfig
+    from pylonflow.sources.tables import read_table
+    cfg = AlertingConfig(rules=(("value", ">", 150.0), ("value", "<", 1.0)), window="5 minutes", keys=("user_id",),
+                         metrics=(("peak", "max", "value"), ("low", "min", "value")), time_col="ts",
+                         status_ttl="10 minutes", episode_bucket="1 hour")
+    flow = AlertingDataflow(cfg)
+    ev = read_table(spark, "/root/testdata/sf0.01", "events")
+    got = flow.alerts(ev).toPandas()
+    pdf = ev.select("user_id", "ts", "value").toPandas()
+    hit = pdf[(pdf.value > 150.0) | (pdf.value < 1.0)].copy()
+    hit["window_start"] = hit.ts.dt.floor("5min")
+    exp = hit.groupby(["user_id", "window_start"]).agg(peak=("value", "max"), low=("value", "min"),
+                                                      event_count=("value", "size")).reset_index()
+    m = got.merge(exp, on=["user_id", "window_start"], suffixes=("", "_x"))
+    assert len(got) == len(exp) == len(m)
+    assert (m.peak == m.peak_x).all() and (m.low == m.low_x).all() and (m.event_count == m.event_count_x).all()
+    eps = flow.episodes(flow.alerts(ev))
+    assert eps.agg(F.sum("alert_count")).first()[0] == len(exp)
