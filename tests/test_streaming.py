@@ -163,3 +163,19 @@ def test_file_topic_roundtrip_keyed(spark, scratch):
     assert start == "earliest" and ck == consumer_checkpoint(spark, "dash", "resume")[0]
     ck2, start2 = consumer_checkpoint(spark, "dash", "skip")
     assert start2 == "latest" and ck2 != ck and ck2 != consumer_checkpoint(spark, "dash", "skip")[0]
+
+
+def test_stateful_twins_on_rocksdb_state_store(spark):
+    import __spark_entry__ as entry
+    from tests.oracle_compare import duck, fingerprint
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        con = duck(SF01)
+        for name in ("stream_detect_alerts", "stream_status_changes"):
+            a = fingerprint(entry.queries()[name](spark, SF01).toPandas())
+            b = fingerprint(con.execute(entry.oracle_sql()[name]).df())
+            assert a[:3] == b[:3], name
+    finally:
+        spark.conf.set(key, old)
