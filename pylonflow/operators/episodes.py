@@ -49,7 +49,7 @@ def red_episodes(
     t = F.col("_t")
     rows = (alerts.filter(F.col(alert_time).isNotNull())
             .select(*keys, F.unix_micros(F.col(alert_time)).alias("_t"))
-            .withColumn("_b", F.floor(t / F.lit(bucket_us))))
+            .withColumn("_b", F.expr(f"(_t - pmod(_t, {bucket_us})) div {bucket_us}")))  # exact floor
 
     # 1. local pass inside (key, bucket)
     local = Window.partitionBy(*keys, "_b").orderBy("_t")
