@@ -177,3 +177,13 @@ def runbook_stream(responses_stream: DataFrame) -> DataFrame:
     redone by every reader."""
     from pylonflow.operators.runbook import enrich_if_absent
     return enrich_if_absent(responses_stream)
+
+
+def late_rows_dropped(query: StreamingQuery) -> int:
+    """Rows the query's stateful operators dropped as late (behind the
+    watermark), summed over its recent progress reports."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators") or []:
+            total += int(op.get("numRowsDroppedByWatermark", 0))
+    return total
