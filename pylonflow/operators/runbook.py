@@ -22,7 +22,8 @@ _CARRIED = ("tower_id", "tower_name", "window_start", "window_end",
 
 def _processed_at(as_of: datetime | str | Column | None) -> Column:
     if as_of is None:
-        return F.current_timestamp()  # one value per query / micro-batch
+        # one value per query / micro-batch, at the record's millisecond precision
+        return F.date_trunc("millisecond", F.current_timestamp())
     if isinstance(as_of, Column):
         return as_of
     return F.lit(as_of).cast("timestamp")

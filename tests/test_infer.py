@@ -114,3 +114,8 @@ def test_total_budget_is_split_over_callers(spark):
         assert all(b - a >= 0.199 for a, b in zip(ts, ts[1:]))
     with pytest.raises(ValueError):
         predict(df, rule_model, options=CallOptions(total_calls_per_minute=30))
+
+
+def test_processed_at_has_millisecond_precision(spark):
+    out = generate_runbooks(catalog.alerts(spark, SF001)).select("processed_at").first()[0]
+    assert out.microsecond % 1000 == 0
