@@ -139,7 +139,12 @@ class AlertingDataflow:
     def read_latest(self, spark: SparkSession, handles: StreamHandles) -> DataFrame:
         return read_upsert_log(spark, handles.latest_path, (self.config.keys[0],))
 
-    def read_status(self, spark: SparkSession, handles: StreamHandles, towers: DataFrame,
-                    as_of: datetime | str | Column) -> DataFrame:
-        last = read_upsert_log(spark, handles.last_alert_path, (self.config.keys[0],))
-        return self.status(towers, last, as_of)
+    def read_status(self, spark: SparkSession, handles: StreamHandles, as_of: datetime | str | Column,
+                    towers: DataFrame | None = None) -> DataFrame:
+        """Red/green per known tower from the two live views. The known towers
+        default to the latest-reading view (one row per tower), so no
+        telemetry is scanned: both join inputs are tower-sized."""
+        key = (self.config.keys[0],)
+        last = read_upsert_log(spark, handles.last_alert_path, key)
+        known = towers if towers is not None else read_upsert_log(spark, handles.latest_path, key)
+        return self.status(known, last, as_of)

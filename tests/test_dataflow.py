@@ -40,8 +40,10 @@ def test_streaming_facade(spark):
     cols = ["tower_id", "temperature", "last_updated"]
     assert _rows(flow.read_latest(spark, h), cols) == _rows(batch_latest, cols)
     as_of = closed.select(F.max("window_end")).scalar()
-    st = flow.read_status(spark, h, catalog.telemetry(spark, SF001), as_of)
+    st = flow.read_status(spark, h, as_of)
     assert st.count() == 16 and st.filter("status = 'red'").count() >= 1
+    explicit = flow.read_status(spark, h, as_of, towers=catalog.telemetry(spark, SF001))
+    assert sorted(map(tuple, st.collect())) == sorted(map(tuple, explicit.collect()))
 
 
 def test_custom_config_matches_brute_force(spark):
