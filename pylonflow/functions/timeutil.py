@@ -24,7 +24,8 @@ def duration_us(text: str) -> int:
         if s[pos:m.start()].strip():
             raise ValueError(f"bad duration {text!r}")
         unit = m.group(2)
-        unit = unit[:-1] if unit.endswith("s") and unit[:-1] in _UNITS else unit
+        if unit not in _UNITS and unit.endswith("s") and unit[:-1] in _UNITS:
+            unit = unit[:-1]  # plural ("seconds"); never strips a unit that is itself known ("ms")
         if unit not in _UNITS:
             raise ValueError(f"bad duration unit in {text!r}")
         total += int(m.group(1)) * _UNITS[unit]
@@ -32,3 +33,10 @@ def duration_us(text: str) -> int:
     if total <= 0 or s[pos:].strip():
         raise ValueError(f"bad duration {text!r}")
     return total
+
+
+def spark_duration(text: str) -> str:
+    """The same duration as a string Spark's window functions parse
+    exactly (``"<n> microseconds"``), so every operator reads a duration
+    the same way."""
+    return f"{duration_us(text)} microseconds"

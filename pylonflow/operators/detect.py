@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pylonflow.functions.predicates import ANOMALY_RULES, Rule, any_of
+from pylonflow.functions.timeutil import spark_duration
 
 TOWER_KEYS = ("tower_id", "tower_name", "latitude", "longitude")
 # (output column, aggregate, input column); COUNT(*) is always appended as event_count.
@@ -54,14 +55,15 @@ def detect_alerts(
     ``count(when(breach, 1))``) and drops groups without a breach afterwards.
     Same results; the state holds one entry per active key and open window.
     """
+    win = F.window(time_col, spark_duration(window)).alias("_w")
     if watermark is None:
         grouped = (telemetry.filter(any_of(rules))
-                   .groupBy(*keys, F.window(time_col, window).alias("_w"))
+                   .groupBy(*keys, win)
                    .agg(*[_metric(*m) for m in metrics], F.count(F.lit(1)).alias(count_col)))
     else:
         breach = any_of(rules)
-        grouped = (telemetry.withWatermark(time_col, watermark)
-                   .groupBy(*keys, F.window(time_col, window).alias("_w"))
+        grouped = (telemetry.withWatermark(time_col, spark_duration(watermark))
+                   .groupBy(*keys, win)
                    .agg(*[_AGGS[a](F.when(breach, F.col(c))).alias(n) for n, a, c in metrics],
                         F.count(F.when(breach, F.lit(1))).alias(count_col))
                    .filter(F.col(count_col) > 0))

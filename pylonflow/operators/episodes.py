@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pylonflow.functions.timeutil import duration_us
+from pylonflow.functions.timeutil import duration_us, spark_duration
 
 EPISODE_COLS = ("episode_start", "episode_end", "last_alert", "alert_count")
 
@@ -96,8 +96,8 @@ def red_episodes_stream(
 ) -> DataFrame:
     """Streaming twin: ``session_window(alert_time, ttl)`` per key, append
     mode (an episode is emitted once the watermark passes its end)."""
-    df = alerts.withWatermark(alert_time, watermark) if watermark else alerts
-    return (df.groupBy(*keys, F.session_window(alert_time, ttl).alias("_s"))
+    df = alerts.withWatermark(alert_time, spark_duration(watermark)) if watermark else alerts
+    return (df.groupBy(*keys, F.session_window(alert_time, spark_duration(ttl)).alias("_s"))
             .agg(F.min(alert_time).alias("episode_start"), F.max(alert_time).alias("last_alert"),
                  F.count(F.lit(1)).alias("alert_count"))
             .select(*keys, "episode_start", F.col("_s.end").alias("episode_end"), "last_alert", "alert_count"))

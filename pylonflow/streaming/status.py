@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from pylonflow.functions.timeutil import duration_us
+from pylonflow.functions.timeutil import duration_us, spark_duration
 from pylonflow.session import ship_package
 
 STATE_SCHEMA = T.StructType([T.StructField("last_alert_us", T.LongType())])
@@ -62,6 +62,6 @@ def status_changes_stream(
             yield pd.DataFrame({key: [k[0]] * len(events), "changed_at": [e[0] for e in events],
                                 "status": [e[1] for e in events]})
 
-    return (alerts.withWatermark(alert_time, watermark)
+    return (alerts.withWatermark(alert_time, spark_duration(watermark))
             .groupBy(key)
             .applyInPandasWithState(step, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout))

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from pylonflow import (
     ALERT, RESPONSE, TELEMETRY, anomaly_filter, breach_flags, build_prompt, conform, decode_envelope,
-    detect_alerts, enrich_if_absent, escalation_filter, parse_runbook, severity_default,
+    detect_alerts, enrich_if_absent, escalation_filter, parse_runbook, retain, severity_default,
 )
 from pylonflow.schemas import PARSED_FIELDS, SchemaMismatch
 
@@ -209,3 +209,27 @@ def test_golden_telemetry_record_alerts(spark):
     a = detect_alerts(df).first()
     assert (a.event_count, a.max_temperature, a.min_signal) == (1, 91.4, -96.1)
     assert escalation_filter(detect_alerts(df)).count() == 1
+
+
+def test_durations_parse_one_way():
+    from pylonflow.functions.timeutil import duration_us
+    assert duration_us("500 ms") == 500_000 and duration_us("500 milliseconds") == 500_000
+    assert duration_us("90 s") == duration_us("90 seconds") == 90_000_000
+    assert duration_us("10 m") == duration_us("10 minutes") == 600_000_000
+    assert duration_us("1 day 2 hours") == 93_600_000_000
+    for bad in ("", "ten seconds", "5 parsecs", "-1 s"):
+        with pytest.raises(ValueError):
+            duration_us(bad)
+
+
+def test_short_units_work_in_every_operator(spark):
+    from pylonflow.operators.episodes import red_episodes, red_episodes_stream
+    from pylonflow.operators.views import tower_status
+    df = spark.createDataFrame([("A", datetime(2024, 1, 1, 0, 0, 0)), ("A", datetime(2024, 1, 1, 0, 1, 30))],
+                               "tower_id string, window_end timestamp")
+    assert red_episodes(df, ttl="90 s").count() == 1 and red_episodes(df, ttl="89 s").count() == 2
+    assert red_episodes_stream(df, ttl="90 s", watermark=None).count() == 1
+    st = tower_status(df, df, datetime(2024, 1, 1, 0, 2, 59), ttl="90 s").first()
+    assert st.status == "red"
+    assert tower_status(df, df, datetime(2024, 1, 1, 0, 3, 0), ttl="90 s").first().status == "green"
+    assert retain(df.withColumnRenamed("window_end", "ts"), "ts", "60 s").count() == 1
