@@ -21,19 +21,22 @@ _CARRIED = ("tower_id", "tower_name", "window_start", "window_end",
 
 
 def _processed_at(as_of: datetime | str | Column | None) -> Column:
+    """Write time at the record's millisecond precision; by default one value
+    per query / micro-batch (``current_timestamp``)."""
     if as_of is None:
-        # one value per query / micro-batch, at the record's millisecond precision
-        return F.date_trunc("millisecond", F.current_timestamp())
-    if isinstance(as_of, Column):
-        return as_of
-    return F.lit(as_of).cast("timestamp")
+        c = F.current_timestamp()
+    elif isinstance(as_of, Column):
+        c = as_of
+    else:
+        c = F.lit(as_of).cast("timestamp")
+    return F.date_trunc("millisecond", c)
 
 
 def generate_runbooks(
     alerts: DataFrame,
     call: ModelCall = rule_model,
     model: ModelSpec = ModelSpec(),
-    rules: Sequence[Rule | tuple] = ESCALATION_RULES,
+    rules: Sequence[Rule | tuple] | None = ESCALATION_RULES,
     options: CallOptions = CallOptions(),
     n_callers: int | None = None,
     processed_at: datetime | str | Column | None = None,
@@ -42,9 +45,11 @@ def generate_runbooks(
 
     The escalation filter and the column projection run in the JVM before the
     rows cross into Python, so only severe alerts are sent and only the nine
-    carried columns plus the prompt travel over Arrow.
+    carried columns plus the prompt travel over Arrow. ``rules=None`` skips
+    the filter (the caller has applied it already).
     """
-    severe = escalation_filter(alerts, rules).select(*_CARRIED, prompt_expr().alias(model.input_col))
+    severe = alerts if rules is None else escalation_filter(alerts, rules)
+    severe = severe.select(*_CARRIED, prompt_expr().alias(model.input_col))
     answered = predict(severe, call, model, options=options, n_callers=n_callers)
     return conform(
         answered.select(*_CARRIED, F.col(model.output_col).alias("agent_response"),

@@ -3,7 +3,7 @@ and on streams.
 
     flow = AlertingDataflow(AlertingConfig(n_callers=4), call=my_client)
     alerts = flow.alerts(telemetry_df)              # batch
-    handles = flow.start(spark, telemetry_stream)    # five streaming queries
+    handles = flow.start(spark, telemetry_stream, root=".../flows/towers")  # restartable
 
 Streaming layout (each query owns its checkpoint under the shared root):
 telemetry stream -> alerts table (append) -> responses table (exactly-once
@@ -19,7 +19,9 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pylonflow.functions.predicates import ANOMALY_RULES, ESCALATION_RULES, Rule
@@ -34,6 +36,18 @@ from pylonflow.streaming.flows import (
     Sink, answer_alerts_once, read_upsert_log, runbook_stream, start_sink, upsert_log_writer,
 )
 
+# responses as written by the responder: the record with its key first
+RESPONSE_TABLE = T.StructType([T.StructField("key", T.BinaryType(), True), *RESPONSE.fields])
+
+
+def _ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Create an empty table once, so its stream consumer can start before
+    the first batch lands; an existing table (restart) is left alone."""
+    try:
+        spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        spark.createDataFrame([], schema).write.mode("append").parquet(path)
+
 
 @dataclass(frozen=True)
 class AlertingConfig:
@@ -55,10 +69,10 @@ class AlertingConfig:
 @dataclass
 class StreamHandles:
     alerts: StreamingQuery
-    responder: StreamingQuery
+    responder: StreamingQuery | None
     latest: StreamingQuery
     last_alert: StreamingQuery
-    runbooks: StreamingQuery
+    runbooks: StreamingQuery | None
     alerts_path: str
     responses_path: str
     latest_path: str
@@ -66,7 +80,8 @@ class StreamHandles:
     runbooks_path: str
 
     def queries(self) -> list[StreamingQuery]:
-        return [self.alerts, self.responder, self.latest, self.last_alert, self.runbooks]
+        """Upstream first: alerts, responder, latest, last alert, runbooks."""
+        return [q for q in (self.alerts, self.responder, self.latest, self.last_alert, self.runbooks) if q]
 
     def stop(self) -> None:
         for q in self.queries():
@@ -101,50 +116,70 @@ class AlertingDataflow:
 
     # --- streaming --------------------------------------------------------------
     def start(self, spark: SparkSession, telemetry_stream: DataFrame, available_now: bool = False,
-              trigger: str = "2 seconds") -> StreamHandles:
-        """Start the five streaming queries; returns their handles and tables."""
+              trigger: str = "2 seconds", root: str | None = None) -> StreamHandles:
+        """Start the streaming queries; returns their handles and tables.
+
+        With ``root`` (a folder under the shared ``spark.checkpoint.dir``)
+        every table and checkpoint has a fixed path, so starting again after
+        a stop or a crash resumes each query where it stopped: no input is
+        reprocessed and no alert is sent to the model twice. Without it a
+        fresh folder is used (tests, one-off runs).
+
+        The responder and the runbook consumer need the alert record's
+        columns (the prompt is built from them); with custom keys or metrics
+        only the alert, latest-reading and last-alert queries run.
+        """
         key = self.config.keys[0]
-        alerts_sink = Sink.fresh(spark, "flow_alerts")
-        q_alerts = start_sink(self.alerts(telemetry_stream, streaming=True), alerts_sink,
-                              available_now=available_now, processing_time=trigger, query_name=None)
+        base = (root.rstrip("/") if root else scratch_path(spark, "flow"))
+        sink = lambda name: Sink(f"{base}/{name}/data", f"{base}/{name}/checkpoint")
+        alerts_df = self.alerts(telemetry_stream, streaming=True)
+        alerts_sink, resp, lat, last, rb = (sink(n) for n in ("alerts", "responses", "latest", "last_alert",
+                                                               "runbooks"))
+        q_alerts = start_sink(alerts_df, alerts_sink, available_now=available_now, processing_time=trigger)
         if available_now:
             q_alerts.awaitTermination()
-        alerts_in = spark.readStream.schema(ALERT).parquet(alerts_sink.path)
+        # the file sink has created its commit log by now, so readers see only committed files
+        alerts_in = spark.readStream.schema(alerts_df.schema).parquet(alerts_sink.path)
 
         def _writer(df, body, ckpt, mode="append"):
             w = df.writeStream.outputMode(mode).foreachBatch(body).option("checkpointLocation", ckpt)
             w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
             return w.start()
 
-        resp = scratch_path(spark, "flow_responses")
-        # create the (empty) responses table so its consumer can start first
-        spark.createDataFrame([], RESPONSE).write.mode("append").parquet(resp + "/data")
-        q_resp = _writer(alerts_in, answer_alerts_once(resp + "/data", self.call, self.config.model,
-                                                       self.config.options, self.config.n_callers),
-                         resp + "/checkpoint")
-        lat = scratch_path(spark, "flow_latest")
-        q_lat = _writer(self.latest(telemetry_stream), upsert_log_writer(lat + "/data"), lat + "/checkpoint",
-                        "update")
-        last = scratch_path(spark, "flow_last_alert")
+        q_lat = _writer(self.latest(telemetry_stream), upsert_log_writer(lat.path), lat.checkpoint, "update")
         last_alert = alerts_in.groupBy(key).agg(F.max("window_end").alias("window_end"))
-        q_last = _writer(last_alert, upsert_log_writer(last + "/data"), last + "/checkpoint", "update")
-        if available_now:
-            q_resp.awaitTermination()
-        runbooks_sink = Sink.fresh(spark, "flow_runbooks")
-        q_rb = start_sink(runbook_stream(spark.readStream.schema(RESPONSE).parquet(resp + "/data")), runbooks_sink,
-                          available_now=available_now, processing_time=trigger)
-        return StreamHandles(q_alerts, q_resp, q_lat, q_last, q_rb, alerts_sink.path, resp + "/data",
-                             lat + "/data", last + "/data", runbooks_sink.path)
+        q_last = _writer(last_alert, upsert_log_writer(last.path), last.checkpoint, "update")
+
+        q_resp = q_rb = None
+        if set(ALERT.fieldNames()) <= set(alerts_df.columns):
+            _ensure_table(spark, resp.path, RESPONSE_TABLE)
+            q_resp = _writer(alerts_in, answer_alerts_once(resp.path, self.call, self.config.model,
+                                                           self.config.options, self.config.n_callers,
+                                                           rules=self.config.escalation_rules),
+                             resp.checkpoint)
+            if available_now:
+                q_resp.awaitTermination()
+            q_rb = start_sink(runbook_stream(spark.readStream.schema(RESPONSE).parquet(resp.path)), rb,
+                              available_now=available_now, processing_time=trigger)
+        return StreamHandles(q_alerts, q_resp, q_lat, q_last, q_rb, alerts_sink.path, resp.path,
+                             lat.path, last.path, rb.path)
 
     def read_latest(self, spark: SparkSession, handles: StreamHandles) -> DataFrame:
         return read_upsert_log(spark, handles.latest_path, (self.config.keys[0],))
 
+    def read_last_alert(self, spark: SparkSession, handles: StreamHandles) -> DataFrame:
+        """Newest alert end per tower (the live update-mode view)."""
+        return read_upsert_log(spark, handles.last_alert_path, (self.config.keys[0],))
+
     def read_status(self, spark: SparkSession, handles: StreamHandles, as_of: datetime | str | Column,
                     towers: DataFrame | None = None) -> DataFrame:
-        """Red/green per known tower from the two live views. The known towers
-        default to the latest-reading view (one row per tower), so no
-        telemetry is scanned: both join inputs are tower-sized."""
-        key = (self.config.keys[0],)
-        last = read_upsert_log(spark, handles.last_alert_path, key)
-        known = towers if towers is not None else read_upsert_log(spark, handles.latest_path, key)
-        return self.status(known, last, as_of)
+        """Red/green per known tower at ``as_of``, from the alerts table (so
+        any ``as_of`` is exact, not only the latest one). Known towers
+        default to every tower seen by either live view; both join inputs
+        are tower-sized, no telemetry is scanned."""
+        key = self.config.keys[0]
+        alerts = spark.read.parquet(handles.alerts_path)
+        if towers is None:
+            towers = (self.read_latest(spark, handles).select(key)
+                      .unionByName(alerts.select(key)))
+        return self.status(towers, alerts, as_of)

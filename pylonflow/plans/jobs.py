@@ -35,8 +35,18 @@ def run_batch(spark: SparkSession, sf_dir: str, query: str, out: str, partitions
     df.write.mode("overwrite").parquet(out)
 
 
+def load_callable(spec: str):
+    """``"package.module:function"`` -> the function (the model client)."""
+    import importlib
+    module, _, name = spec.partition(":")
+    if not module or not name:
+        raise ValueError("model must be given as 'package.module:function'")
+    return getattr(importlib.import_module(module), name)
+
+
 def run_stream(spark: SparkSession, events_dir: str | None, trigger: str, timeout_s: float | None = None,
-               wait: bool = True, telemetry_dir: str | None = None, max_files_per_trigger: int | None = None):
+               wait: bool = True, telemetry_dir: str | None = None, max_files_per_trigger: int | None = None,
+               name: str = "towers", root: str | None = None, model: str | None = None):
     """Start the streaming dataflow over either a telemetry folder (records
     with the registered telemetry schema, the production shape) or an events
     folder (test data, mapped to readings)."""
@@ -52,8 +62,12 @@ def run_stream(spark: SparkSession, events_dir: str | None, trigger: str, timeou
         telemetry = reader.schema(TELEMETRY).parquet(telemetry_dir)
     else:
         telemetry = telemetry_from_events(reader.schema("event_id bigint").parquet(events_dir))
-    flow = AlertingDataflow()
-    handles = flow.start(spark, telemetry, trigger=trigger)
+    from pylonflow.operators.infer import rule_model
+    from pylonflow.session import checkpoint_root
+    flow = AlertingDataflow(call=load_callable(model) if model else rule_model)
+    # a fixed folder per flow name: a restarted job resumes every query from its checkpoint
+    root = root or f"{checkpoint_root(spark)}/pylonflow/flows/{name}"
+    handles = flow.start(spark, telemetry, trigger=trigger, root=root)
     if not wait:
         return handles
     if timeout_s is None:
@@ -79,13 +93,16 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--trigger", default="2 seconds")
     s.add_argument("--max-files-per-trigger", type=int)
     s.add_argument("--timeout", type=float)
+    s.add_argument("--name", default="towers", help="flow name: its tables/checkpoints live under "
+                   "<spark.checkpoint.dir>/pylonflow/flows/<name>, so a restart resumes")
+    s.add_argument("--model", help="model client as 'package.module:function' (default: local stub)")
     args = ap.parse_args(argv)
     spark = _session(f"pylonflow-{args.cmd}")
     if args.cmd == "batch":
         run_batch(spark, args.sf_dir, args.query, args.out, args.partitions)
     else:
         run_stream(spark, args.events, args.trigger, args.timeout, telemetry_dir=args.telemetry,
-                   max_files_per_trigger=args.max_files_per_trigger)
+                   max_files_per_trigger=args.max_files_per_trigger, name=args.name, model=args.model)
 
 
 if __name__ == "__main__":

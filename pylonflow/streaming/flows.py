@@ -80,6 +80,7 @@ def answer_alerts_once(
     model: ModelSpec = ModelSpec(),
     options: CallOptions = CallOptions(),
     n_callers: int | None = None,
+    rules=ESCALATION_RULES,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body that calls the model at most once per alert.
 
@@ -92,7 +93,8 @@ def answer_alerts_once(
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        severe = escalation_filter(batch, ESCALATION_RULES)
+        batch.persist()  # read once: it feeds the window bound and the anti-join
+        severe = escalation_filter(batch, rules)
         try:
             answered = spark.read.schema(RESPONSE).parquet(responses_path)
         except AnalysisException as exc:  # first batch: table not created yet
@@ -103,8 +105,11 @@ def answer_alerts_once(
             lo = severe.select(F.min("window_start")).scalar()
             seen = answered.filter(F.col("window_start") >= lo).select(*RESPONSE_KEYS)
             severe = severe.join(seen, list(RESPONSE_KEYS), "left_anti")
-        out = generate_runbooks(severe, call, model, options=options, n_callers=n_callers)
-        conform(out, RESPONSE, key="tower_id").write.mode("append").parquet(responses_path)
+        try:
+            out = generate_runbooks(severe, call, model, rules=None, options=options, n_callers=n_callers)
+            conform(out, RESPONSE, key="tower_id").write.mode("append").parquet(responses_path)
+        finally:
+            batch.unpersist()
 
     return body
 

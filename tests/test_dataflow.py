@@ -67,3 +67,26 @@ def test_custom_config_matches_brute_force(spark):
     assert (m.peak == m.peak_x).all() and (m.low == m.low_x).all() and (m.event_count == m.event_count_x).all()
     eps = flow.episodes(flow.alerts(ev))
     assert eps.agg(F.sum("alert_count")).first()[0] == len(exp)
+
+
+def test_streaming_with_custom_keys_and_historical_status(spark):
+    from datetime import timedelta
+
+    from pylonflow.plans.dataflow import AlertingConfig
+    cfg = AlertingConfig(rules=(("value", ">", 150.0),), window="5 minutes", keys=("user_id",),
+                         metrics=(("peak", "max", "value"),), time_col="ts",
+                         latest_values=("event_type", "value"))
+    flow = AlertingDataflow(cfg)
+    ev = stream_table(spark, "/root/testdata/sf0.01", "events")
+    h = flow.start(spark, ev, available_now=True)
+    for q in h.queries():
+        q.awaitTermination()
+    assert h.responder is None and h.runbooks is None      # runbooks need the tower alert record
+    alerts = spark.read.parquet(h.alerts_path)
+    assert "peak" in alerts.columns and alerts.count() > 0
+    assert flow.read_latest(spark, h).count() == 150
+    # status at a past instant: exact from the alerts table, not only the newest alert
+    one = alerts.orderBy("window_end").first()
+    as_of = one.window_end + timedelta(seconds=30)
+    st = {r.user_id: r for r in flow.read_status(spark, h, as_of).collect()}
+    assert st[one.user_id].status == "red" and st[one.user_id].last_alert == one.window_end
