@@ -16,7 +16,7 @@ BLANK_CLASS = "[\\t\\n\\x0B\\f\\r \\u00A0\\u1680\\u2000-\\u200A\\u202F\\u205F\\u
 # Characters a JavaScript-style "." does not match (line terminators).
 DOT = "[^\\n\\r\\u2028\\u2029]"
 
-_TRIM_RE = f"^{BLANK_CLASS}+|{BLANK_CLASS}+$"
+_TRIM_RE = f"^{BLANK_CLASS}+|{BLANK_CLASS}+\\z"  # \z: end of input, unlike $
 
 
 def js_trim(c: Column) -> Column:

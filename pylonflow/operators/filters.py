@@ -36,10 +36,11 @@ def breach_flags(df: DataFrame, rules: Sequence[Rule | tuple] = ANOMALY_RULES,
     is NULL only when no flag is true and at least one is NULL.
     """
     rs = as_rules(rules)
-    names = []
-    out = df
-    for r in rs:
-        name = r.column.replace("_strength", "") + suffix
-        names.append(name)
-        out = out.withColumn(name, r.expr())
-    return out.withColumn(any_col, any_of(rs))
+    ops = {">": "gt", ">=": "ge", "<": "lt", "<=": "le", "==": "eq", "!=": "ne"}
+    base = [r.column.replace("_strength", "") for r in rs]
+    flags = {}
+    for r, b in zip(rs, base):
+        # one flag per column; a column with several rules gets one flag per comparison
+        name = (b if base.count(b) == 1 else f"{b}_{ops[r.op]}_{r.value:g}".replace(".", "_").replace("-", "m"))
+        flags[name + suffix] = r.expr()
+    return df.withColumns(flags).withColumn(any_col, any_of(rs))

@@ -15,6 +15,7 @@ project before calling.
 from __future__ import annotations
 
 import re
+import threading
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -62,15 +63,18 @@ class ModelSpec:
 class CallOptions:
     """Per-call options (the options map of the model call).
 
-    ``async_enabled=False`` means one call in flight per caller; the number
-    of callers is ``predict(n_callers=...)``. ``calls_per_minute`` paces each
-    caller; ``total_calls_per_minute`` is a budget for all callers together
+    ``async_enabled=False`` means one call in flight per caller (``True``:
+    up to ``max_in_flight`` concurrent calls per caller, results kept in row
+    order); the number of callers is ``predict(n_callers=...)``.
+    ``calls_per_minute`` paces each caller (call starts at least 60/rate s
+    apart, remembered per Python worker across tasks and micro-batches); ``total_calls_per_minute`` is a budget for all callers together
     (a provider quota), split evenly over ``n_callers``. ``retry_count``
     extra attempts follow a failure with exponential back-off starting at
     ``backoff_s``; ``client_timeout`` is handed to the callable in ``params``.
     """
 
     async_enabled: bool = False
+    max_in_flight: int = 4
     retry_count: int = 3
     client_timeout: float = 30.0
     backoff_s: float = 1.0
@@ -82,6 +86,27 @@ class ModelCallError(RuntimeError):
     pass
 
 
+# Per Python worker process: start time of the last call, per pacing key. Python
+# workers are reused across tasks, so pacing carries over from one task or
+# micro-batch to the next on the same worker.
+_LAST_CALL: dict[str, float] = {}
+
+
+class _Pacer:
+    def __init__(self, key: str, min_gap: float):
+        self.key, self.min_gap = key, min_gap
+        self._lock = threading.Lock()
+
+    def wait(self) -> None:
+        if not self.min_gap:
+            return
+        with self._lock:
+            wait = _LAST_CALL.get(self.key, 0.0) + self.min_gap - time.monotonic()
+            if wait > 0:
+                time.sleep(wait)
+            _LAST_CALL[self.key] = time.monotonic()
+
+
 def _call_with_retry(call: ModelCall, system_prompt: str, prompt: str, params: dict, opts: CallOptions,
                      sleep=time.sleep) -> str:
     attempt = 0
@@ -132,29 +157,37 @@ def predict(
         share = options.total_calls_per_minute / int(n_callers)
         per_caller = min(per_caller, share) if per_caller else share
     min_gap = 60.0 / per_caller if per_caller else 0.0
+    pace_key = f"{model.name}|{getattr(call, '__module__', '')}.{getattr(call, '__qualname__', 'call')}|{min_gap}"
+
+    def one(prompt, pacer):
+        pacer.wait()
+        try:
+            return _call_with_retry(call, system_prompt, prompt, params, options), None
+        except ModelCallError as exc:
+            if on_error == "raise":
+                raise
+            return None, str(exc)
 
     def run(batches):
-        last = 0.0
-        for pdf in batches:
-            answers, errors = [], []
-            for prompt in pdf[prompt_col].tolist():
-                if min_gap:
-                    wait = last + min_gap - time.monotonic()
-                    if wait > 0:
-                        time.sleep(wait)
-                    last = time.monotonic()
-                try:
-                    answers.append(_call_with_retry(call, system_prompt, prompt, params, options))
-                    errors.append(None)
-                except ModelCallError as exc:
-                    if on_error == "raise":
-                        raise
-                    answers.append(None)
-                    errors.append(str(exc))
-            pdf = pdf.assign(**{output_col: pd.Series(answers, index=pdf.index, dtype=object)})
-            if on_error == "column":
-                pdf[output_col + "_error"] = pd.Series(errors, index=pdf.index, dtype=object)
-            yield pdf
+        pacer = _Pacer(pace_key, min_gap)
+        pool = None
+        if options.async_enabled and options.max_in_flight > 1:
+            from concurrent.futures import ThreadPoolExecutor
+            pool = ThreadPoolExecutor(max_workers=options.max_in_flight)
+        try:
+            for pdf in batches:
+                prompts = pdf[prompt_col].tolist()
+                results = (list(pool.map(lambda p: one(p, pacer), prompts)) if pool
+                           else [one(p, pacer) for p in prompts])
+                answers = [r[0] for r in results]
+                errors = [r[1] for r in results]
+                pdf = pdf.assign(**{output_col: pd.Series(answers, index=pdf.index, dtype=object)})
+                if on_error == "column":
+                    pdf[output_col + "_error"] = pd.Series(errors, index=pdf.index, dtype=object)
+                yield pdf
+        finally:
+            if pool:
+                pool.shutdown(wait=True)
 
     return src.mapInPandas(run, out_schema)
 

@@ -64,8 +64,8 @@ DEFAULTS: Mapping[str, Mapping[str, object]] = {
     "response": {"tower_name": "", **{f: None for f in PARSED_FIELDS}},
 }
 
-_DEFAULTS_BY_SCHEMA = {id(TELEMETRY): DEFAULTS["telemetry"], id(ALERT): DEFAULTS["alert"],
-                       id(RESPONSE): DEFAULTS["response"]}
+_DEFAULTS_BY_SCHEMA = ((TELEMETRY, DEFAULTS["telemetry"]), (ALERT, DEFAULTS["alert"]),
+                       (RESPONSE, DEFAULTS["response"]))
 
 
 class SchemaMismatch(ValueError):
@@ -92,7 +92,7 @@ def conform(
     This is a pure projection: no shuffle, runs on streams unchanged.
     """
     if defaults is None:
-        defaults = _DEFAULTS_BY_SCHEMA.get(id(schema), {})
+        defaults = next((d for known, d in _DEFAULTS_BY_SCHEMA if known == schema), {})
     present = set(df.columns)
     wanted = [f.name for f in schema.fields]
     extra = present - set(wanted) - ({key} if isinstance(key, str) else set())
@@ -164,5 +164,22 @@ def struct_from_avro(record) -> tuple[T.StructType, dict]:
         dtype, nullable = _avro_type(f["type"])
         fields.append(T.StructField(f["name"], dtype, nullable))
         if "default" in f:
-            defaults[f["name"]] = f["default"]
+            defaults[f["name"]] = _avro_default(f["type"], f["default"])
     return T.StructType(fields), defaults
+
+
+def _avro_default(t, value):
+    """Avro JSON default -> Python value of the Spark type (logical types are
+    encoded as numbers in Avro: epoch millis/micros, days)."""
+    import datetime as _dt
+    if value is None:
+        return None
+    logical = t.get("logicalType") if isinstance(t, dict) else None
+    epoch = _dt.datetime(1970, 1, 1)
+    if logical in ("timestamp-millis", "local-timestamp-millis"):
+        return epoch + _dt.timedelta(milliseconds=value)
+    if logical in ("timestamp-micros", "local-timestamp-micros"):
+        return epoch + _dt.timedelta(microseconds=value)
+    if logical == "date":
+        return _dt.date(1970, 1, 1) + _dt.timedelta(days=value)
+    return value

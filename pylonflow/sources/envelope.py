@@ -40,14 +40,16 @@ def decode_envelope(
     value_col: str = "value",
     carry: tuple[str, ...] = ("key", "timestamp"),
     with_rejected: bool = False,
+    schema_id: int | None = None,
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Decode the value bytes into ``schema`` columns, carrying ``carry``.
 
     * NULL value -> dropped;
     * first byte 0x00 -> Avro with a 5-byte header (magic + schema id);
       needs ``avro_schema`` and the spark-avro package (checked up front,
-      raising a clear error if missing); without ``avro_schema`` such rows
-      are rejected;
+      raising a clear error if missing); a body that fails to decode, or a
+      header whose id differs from ``schema_id`` (when given), is rejected;
+      without ``avro_schema`` such rows are rejected;
     * otherwise the bytes are UTF-8 JSON text decoded with ``from_json``;
       malformed text, a non-object, or values of the wrong type -> rejected.
 
@@ -67,8 +69,12 @@ def decode_envelope(
     framed = _is_avro_framed(v)
     if avro is not None:
         parsed_avro = avro.from_avro(F.expr(f"substring({value_col}, 6)"), avro_schema, {"mode": "PERMISSIVE"})
-        decoded = F.when(framed, F.struct(*[parsed_avro[f.name].alias(f.name) for f in schema.fields],
-                                          F.lit(None).cast("string").alias(CORRUPT))).otherwise(parsed_json)
+        ok_avro = parsed_avro.isNotNull()
+        if schema_id is not None:
+            ok_avro = ok_avro & (F.hex(F.substring(v, 2, 4)) == F.lit(format(int(schema_id), "08X")))
+        decoded = F.when(framed, F.when(ok_avro, F.struct(
+            *[parsed_avro[f.name].alias(f.name) for f in schema.fields],
+            F.lit(None).cast("string").alias(CORRUPT)))).otherwise(parsed_json)
     else:
         decoded = parsed_json
     carried = [c for c in carry if c in env.columns]

@@ -119,3 +119,27 @@ def test_total_budget_is_split_over_callers(spark):
 def test_processed_at_has_millisecond_precision(spark):
     out = generate_runbooks(catalog.alerts(spark, SF001)).select("processed_at").first()[0]
     assert out.microsecond % 1000 == 0
+
+
+def test_async_calls_overlap_and_keep_row_order(spark):
+    def slow(s, p, params):
+        time.sleep(0.3)
+        return f"{p}:{time.monotonic()}"
+
+    df = spark.range(8).select(F.col("id").cast("string").alias("prompt")).coalesce(1)
+    t0 = time.perf_counter()
+    out = predict(df, slow, options=CallOptions(async_enabled=True, max_in_flight=4)).collect()
+    assert [r.response.split(":")[0] for r in out] == [r.prompt for r in out]
+    assert sorted(int(r.prompt) for r in out) == list(range(8))
+    starts = sorted(float(r.response.split(":")[1]) for r in out)
+    assert starts[-1] - starts[0] < 0.3 * 8 * 0.75          # overlapped, not 8 serial calls
+    assert time.perf_counter() - t0 < 30
+
+
+def test_breach_flags_unique_names_per_rule(spark):
+    from pylonflow.operators.filters import breach_flags
+    df = spark.createDataFrame([(90.0,), (-20.0,), (20.0,)], "temperature double")
+    out = breach_flags(df, rules=(("temperature", ">", 85.0), ("temperature", "<", -10.0)))
+    cols = [c for c in out.columns if c.endswith("_breach")]
+    assert len(cols) == 3 and "any_breach" in cols
+    assert [r.any_breach for r in out.collect()] == [True, True, False]

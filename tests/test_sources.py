@@ -84,3 +84,25 @@ def test_avro_encode_requires_package(spark):
     df = spark.createDataFrame([("a",)], "tower_id string")
     with pytest.raises(RuntimeError, match="spark-avro"):
         encode_envelope(df, avro_schema='{"type":"record","name":"R","fields":[]}', schema_id=1)
+
+
+def test_conform_uses_defaults_of_an_equal_schema(spark):
+    from pylonflow.schemas import ALERT, conform
+    copy = T.StructType.fromJson(ALERT.jsonValue())   # equal, not the same object
+    df = spark.createDataFrame([("T", 1.0, 2.0, 3.0, 4.0, 5, T0, T0)],
+                               "tower_id string, avg_temperature double, avg_signal double, max_temperature double, "
+                               "min_signal double, event_count long, window_start timestamp, window_end timestamp")
+    r = conform(df, copy).first()
+    assert (r.tower_name, r.latitude, r.longitude) == ("", 0.0, 0.0)
+
+
+def test_avro_logical_type_defaults():
+    from datetime import date
+
+    from pylonflow.schemas import struct_from_avro
+    rec = {"type": "record", "name": "R", "fields": [
+        {"name": "t", "type": {"type": "long", "logicalType": "timestamp-millis"}, "default": 1704067200000},
+        {"name": "d", "type": {"type": "int", "logicalType": "date"}, "default": 19723},
+        {"name": "s", "type": ["null", "string"], "default": None}]}
+    _, defaults = struct_from_avro(rec)
+    assert defaults == {"t": datetime(2024, 1, 1), "d": date(2024, 1, 1), "s": None}
