@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import re
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 _UNITS = {
     "microsecond": 1, "us": 1,
     "millisecond": 1_000, "ms": 1_000,
@@ -30,11 +33,26 @@ def duration_us(text: str) -> int:
             raise ValueError(f"bad duration unit in {text!r}")
         total += int(m.group(1)) * _UNITS[unit]
         pos = m.end()
-    if total <= 0 or s[pos:].strip():
+    if pos == 0 or s[pos:].strip():
         raise ValueError(f"bad duration {text!r}")
     return total
 
 
+def interval_us(us: int) -> Column:
+    """An exact day-time interval of ``us`` microseconds."""
+    sign = "-" if us < 0 else ""
+    secs, micros = divmod(abs(int(us)), 1_000_000)
+    return F.expr(f"make_dt_interval(0, 0, 0, {sign}{secs}.{micros:06d})")
+
+
+def shift_time(ts: Column, duration: str | int) -> Column:
+    """``ts`` moved by a duration (string or microseconds; negative = back).
+    Interval arithmetic, so TIMESTAMP and TIMESTAMP_NTZ columns both work and
+    a literal ``ts`` constant-folds (filters stay pushable)."""
+    us = duration_us(duration) if isinstance(duration, str) else int(duration)
+    return ts + interval_us(us)
+
+
 def spark_duration(text: str) -> str:
     """The same duration as a string Spark's window functions parse
     exactly (``"<n> microseconds"``), so every operator reads a duration

@@ -47,8 +47,9 @@ def red_episodes(
     ttl_us, bucket_us = duration_us(ttl), duration_us(bucket)
     keys = list(keys)
     t = F.col("_t")
+    in_type = alerts.schema[alert_time].dataType
     rows = (alerts.filter(F.col(alert_time).isNotNull())
-            .select(*keys, F.unix_micros(F.col(alert_time)).alias("_t"))
+            .select(*keys, F.unix_micros(F.col(alert_time).cast("timestamp")).alias("_t"))
             .withColumn("_b", F.expr(f"(_t - pmod(_t, {bucket_us})) div {bucket_us}")))  # exact floor
 
     # 1. local pass inside (key, bucket)
@@ -81,9 +82,9 @@ def red_episodes(
                             F.max(F.when(F.col("_start"), F.col("_rank"))).over(upto).alias("_s_rank"))
     return (paired.filter(F.col("_end"))
             .select(*keys,
-                    F.timestamp_micros(F.col("_s_t")).alias("episode_start"),
-                    F.timestamp_micros(t + F.lit(ttl_us)).alias("episode_end"),
-                    F.timestamp_micros(t).alias("last_alert"),
+                    F.timestamp_micros(F.col("_s_t")).cast(in_type).alias("episode_start"),
+                    F.timestamp_micros(t + F.lit(ttl_us)).cast(in_type).alias("episode_end"),
+                    F.timestamp_micros(t).cast(in_type).alias("last_alert"),
                     (F.col("_rank") - F.col("_s_rank") + 1).alias("alert_count")))
 
 

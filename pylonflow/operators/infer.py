@@ -74,12 +74,12 @@ class CallOptions:
     """
 
     async_enabled: bool = False
-    max_in_flight: int = 4
     retry_count: int = 3
     client_timeout: float = 30.0
     backoff_s: float = 1.0
     calls_per_minute: float | None = None
     total_calls_per_minute: float | None = None
+    max_in_flight: int = 4
 
 
 class ModelCallError(RuntimeError):
@@ -108,10 +108,12 @@ class _Pacer:
 
 
 def _call_with_retry(call: ModelCall, system_prompt: str, prompt: str, params: dict, opts: CallOptions,
-                     sleep=time.sleep) -> str:
+                     sleep=time.sleep, before_attempt=None) -> str:
     attempt = 0
     while True:
         try:
+            if before_attempt is not None:
+                before_attempt()  # pacing applies to every attempt, retries included
             return call(system_prompt, prompt, params)
         except Exception as exc:  # noqa: BLE001 - any provider failure is retried
             if attempt >= opts.retry_count:
@@ -160,9 +162,8 @@ def predict(
     pace_key = f"{model.name}|{getattr(call, '__module__', '')}.{getattr(call, '__qualname__', 'call')}|{min_gap}"
 
     def one(prompt, pacer):
-        pacer.wait()
         try:
-            return _call_with_retry(call, system_prompt, prompt, params, options), None
+            return _call_with_retry(call, system_prompt, prompt, params, options, before_attempt=pacer.wait), None
         except ModelCallError as exc:
             if on_error == "raise":
                 raise

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pylonflow.functions.timeutil import duration_us
+from pylonflow.functions.timeutil import duration_us, shift_time
 
 
 def retain(df: DataFrame, time_col: str, keep: str = "8 hours",
@@ -19,13 +19,10 @@ def retain(df: DataFrame, time_col: str, keep: str = "8 hours",
     by the caller). The filter is pushed into the parquet scan when ``as_of``
     is a literal.
     """
-    keep_us = duration_us(keep)
-    if isinstance(as_of, datetime):  # literal threshold: pushed into the scan
-        return df.filter(F.col(time_col) > F.lit(as_of - timedelta(microseconds=keep_us)))
     if as_of is None:
         now = df.select(F.max(time_col)).scalar()
     elif isinstance(as_of, Column):
         now = as_of
     else:
-        now = F.lit(as_of).cast("timestamp")
-    return df.filter(F.col(time_col) > F.timestamp_micros(F.unix_micros(now) - F.lit(keep_us)))
+        now = F.lit(as_of).cast(df.schema[time_col].dataType)
+    return df.filter(F.col(time_col) > shift_time(now, -duration_us(keep)))

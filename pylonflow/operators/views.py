@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pylonflow.functions.timeutil import duration_us
+from pylonflow.functions.timeutil import shift_time
 
 
 def latest_by_key(
@@ -84,11 +84,9 @@ def tower_status(
     the join input is the tower count, not the data size.
     """
     now = _as_column(as_of)
-    ttl_us = duration_us(ttl)
     known = towers.select(key).distinct()
     last = (alerts.filter(F.col(alert_time) <= now)
             .groupBy(key).agg(F.max(alert_time).alias("last_alert")))
-    expiry = F.timestamp_micros(F.unix_micros(F.col("last_alert")) + F.lit(ttl_us))
-    red = F.col("last_alert").isNotNull() & (now < expiry)
+    red = F.col("last_alert").isNotNull() & (now < shift_time(F.col("last_alert"), ttl))
     return (known.join(last, key, "left")
             .select(key, "last_alert", F.when(red, F.lit("red")).otherwise(F.lit("green")).alias("status")))

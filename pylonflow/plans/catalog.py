@@ -21,7 +21,7 @@ from pylonflow.operators.runbook import enrich_if_absent, generate_runbooks, par
 from pylonflow.operators.tagging import flatten_text_parts, tag_by_rules
 from pylonflow.operators.views import alert_feed, latest_by_key, runbook_feed, tower_status
 from pylonflow.functions.prompt import build_prompt
-from pylonflow.functions.timeutil import duration_us
+from pylonflow.functions.timeutil import shift_time
 from pylonflow.schemas import ALERT, PARSED_FIELDS, conform
 from pylonflow.sources.envelope import decode_envelope, encode_envelope
 from pylonflow.sources.tables import read_table
@@ -188,7 +188,7 @@ def q_runbook_feed(spark, sf_dir):
 @register("tower_status")
 def q_tower_status(spark, sf_dir):
     a = alerts(spark, sf_dir)
-    as_of = a.select(F.timestamp_micros(F.unix_micros(F.max("window_end")) + F.lit(duration_us(STATUS_LOOKAHEAD)))).scalar()
+    as_of = a.select(shift_time(F.max("window_end"), STATUS_LOOKAHEAD)).scalar()
     return tower_status(telemetry(spark, sf_dir), a, as_of)
 
 
@@ -318,7 +318,7 @@ def q_stream_tower_status(spark, sf_dir):
             .groupBy("tower_id").agg(F.max("window_end").alias("window_end")))
     base = scratch_path(spark, "last_alert")
     snapshot = run_update_view(last, base + "/data", base + "/checkpoint", ("tower_id",))
-    as_of = closed.select(F.timestamp_micros(F.unix_micros(F.max("window_end")) + F.lit(duration_us(STATUS_LOOKAHEAD)))).scalar()
+    as_of = closed.select(shift_time(F.max("window_end"), STATUS_LOOKAHEAD)).scalar()
     return tower_status(telemetry(spark, sf_dir), snapshot, as_of)
 
 

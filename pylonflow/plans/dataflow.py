@@ -74,10 +74,10 @@ class StreamHandles:
     last_alert: StreamingQuery
     runbooks: StreamingQuery | None
     alerts_path: str
-    responses_path: str
+    responses_path: str | None   # None when the runbook stage does not apply (custom alert schema)
     latest_path: str
     last_alert_path: str
-    runbooks_path: str
+    runbooks_path: str | None
 
     def queries(self) -> list[StreamingQuery]:
         """Upstream first: alerts, responder, latest, last alert, runbooks."""
@@ -122,8 +122,9 @@ class AlertingDataflow:
         With ``root`` (a folder under the shared ``spark.checkpoint.dir``)
         every table and checkpoint has a fixed path, so starting again after
         a stop or a crash resumes each query where it stopped: no input is
-        reprocessed and no alert is sent to the model twice. Without it a
-        fresh folder is used (tests, one-off runs).
+        reprocessed and an answered alert is never sent to the model again
+        (calls in flight in a failed task repeat). Without it a fresh folder
+        is used (tests, one-off runs).
 
         The responder and the runbook consumer need the alert record's
         columns (the prompt is built from them); with custom keys or metrics
@@ -161,8 +162,8 @@ class AlertingDataflow:
                 q_resp.awaitTermination()
             q_rb = start_sink(runbook_stream(spark.readStream.schema(RESPONSE).parquet(resp.path)), rb,
                               available_now=available_now, processing_time=trigger)
-        return StreamHandles(q_alerts, q_resp, q_lat, q_last, q_rb, alerts_sink.path, resp.path,
-                             lat.path, last.path, rb.path)
+        return StreamHandles(q_alerts, q_resp, q_lat, q_last, q_rb, alerts_sink.path,
+                             resp.path if q_resp else None, lat.path, last.path, rb.path if q_rb else None)
 
     def read_latest(self, spark: SparkSession, handles: StreamHandles) -> DataFrame:
         return read_upsert_log(spark, handles.latest_path, (self.config.keys[0],))
@@ -171,15 +172,25 @@ class AlertingDataflow:
         """Newest alert end per tower (the live update-mode view)."""
         return read_upsert_log(spark, handles.last_alert_path, (self.config.keys[0],))
 
-    def read_status(self, spark: SparkSession, handles: StreamHandles, as_of: datetime | str | Column,
-                    towers: DataFrame | None = None) -> DataFrame:
-        """Red/green per known tower at ``as_of``, from the alerts table (so
-        any ``as_of`` is exact, not only the latest one). Known towers
-        default to every tower seen by either live view; both join inputs
-        are tower-sized, no telemetry is scanned."""
+    def read_status(self, spark: SparkSession, handles: StreamHandles,
+                    as_of: datetime | str | Column | None = None, towers: DataFrame | None = None) -> DataFrame:
+        """Red/green per known tower at ``as_of`` (default: now).
+
+        The live read uses the last-alert view (one row per tower): exact
+        whenever ``as_of`` is at or after every tower's newest alert. Only a
+        historical ``as_of`` (earlier than some tower's newest alert) reads
+        the alerts table. Known towers default to every tower in either
+        live view; no telemetry is scanned.
+        """
         key = self.config.keys[0]
-        alerts = spark.read.parquet(handles.alerts_path)
+        last = self.read_last_alert(spark, handles)
+        if as_of is None:
+            now, source = F.current_timestamp(), last
+        else:
+            now = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+            # a one-row probe of the tower-sized view decides which table is needed
+            historical = last.filter(F.col("window_end") > now).limit(1).count() > 0
+            source = spark.read.parquet(handles.alerts_path) if historical else last
         if towers is None:
-            towers = (self.read_latest(spark, handles).select(key)
-                      .unionByName(alerts.select(key)))
-        return self.status(towers, alerts, as_of)
+            towers = self.read_latest(spark, handles).select(key).unionByName(last.select(key))
+        return self.status(towers, source, now)

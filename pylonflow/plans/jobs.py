@@ -36,12 +36,10 @@ def run_batch(spark: SparkSession, sf_dir: str, query: str, out: str, partitions
 
 
 def load_callable(spec: str):
-    """``"package.module:function"`` -> the function (the model client)."""
-    import importlib
-    module, _, name = spec.partition(":")
-    if not module or not name:
-        raise ValueError("model must be given as 'package.module:function'")
-    return getattr(importlib.import_module(module), name)
+    """``"package.module:function"`` (or a dotted attribute path) -> the
+    callable (the model client)."""
+    import pkgutil
+    return pkgutil.resolve_name(spec)
 
 
 def run_stream(spark: SparkSession, events_dir: str | None, trigger: str, timeout_s: float | None = None,

@@ -174,12 +174,19 @@ def _avro_default(t, value):
     import datetime as _dt
     if value is None:
         return None
+    if isinstance(t, list):  # [T, "null"] / ["null", T]: the default belongs to the first branch
+        t = t[0]
     logical = t.get("logicalType") if isinstance(t, dict) else None
-    epoch = _dt.datetime(1970, 1, 1)
-    if logical in ("timestamp-millis", "local-timestamp-millis"):
-        return epoch + _dt.timedelta(milliseconds=value)
-    if logical in ("timestamp-micros", "local-timestamp-micros"):
-        return epoch + _dt.timedelta(microseconds=value)
+    utc = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)   # instants
+    local = _dt.datetime(1970, 1, 1)                             # wall-clock (NTZ)
+    if logical == "timestamp-millis":
+        return utc + _dt.timedelta(milliseconds=value)
+    if logical == "timestamp-micros":
+        return utc + _dt.timedelta(microseconds=value)
+    if logical == "local-timestamp-millis":
+        return local + _dt.timedelta(milliseconds=value)
+    if logical == "local-timestamp-micros":
+        return local + _dt.timedelta(microseconds=value)
     if logical == "date":
         return _dt.date(1970, 1, 1) + _dt.timedelta(days=value)
     return value

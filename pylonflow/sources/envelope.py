@@ -68,13 +68,20 @@ def decode_envelope(
                               {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     framed = _is_avro_framed(v)
     if avro is not None:
-        parsed_avro = avro.from_avro(F.expr(f"substring({value_col}, 6)"), avro_schema, {"mode": "PERMISSIVE"})
-        ok_avro = parsed_avro.isNotNull()
+        # decode each framed body once, in its own column; a body that fails to
+        # decode (PERMISSIVE gives NULL or an all-NULL record) or carries another
+        # schema id is marked corrupt and rejected below
+        env = env.withColumn("_avro", F.when(framed, avro.from_avro(
+            F.expr(f"substring({value_col}, 6)"), avro_schema, {"mode": "PERMISSIVE"})))
+        a = F.col("_avro")
+        any_set = F.greatest(*[a[f.name].isNotNull() for f in schema.fields]) if len(schema.fields) > 1 \
+            else a[schema.fields[0].name].isNotNull()
+        ok_avro = a.isNotNull() & any_set
         if schema_id is not None:
             ok_avro = ok_avro & (F.hex(F.substring(v, 2, 4)) == F.lit(format(int(schema_id), "08X")))
-        decoded = F.when(framed, F.when(ok_avro, F.struct(
-            *[parsed_avro[f.name].alias(f.name) for f in schema.fields],
-            F.lit(None).cast("string").alias(CORRUPT)))).otherwise(parsed_json)
+        decoded = F.when(framed, F.struct(
+            *[a[f.name].alias(f.name) for f in schema.fields],
+            F.when(~ok_avro, F.lit("avro decode failed")).alias(CORRUPT))).otherwise(parsed_json)
     else:
         decoded = parsed_json
     carried = [c for c in carry if c in env.columns]
@@ -82,7 +89,8 @@ def decode_envelope(
     # invalid rows are dropped by a generator (zero or one row per input).
     # A plain filter would be pushed below the projection with the parse
     # inlined into its condition, decoding every value two or three times.
-    staged = env.select(*carried, *[c for c in env.columns if c not in carried],
+    raw_cols = [c for c in env.columns if c != "_avro"]
+    staged = env.select(*carried, *[c for c in raw_cols if c not in carried],
                         decoded.alias("_decoded"), framed.alias("_framed"))
     d = F.col("_decoded")
     valid = v.isNotNull() & d.isNotNull() & d[CORRUPT].isNull()
@@ -93,7 +101,7 @@ def decode_envelope(
     good = staged.select(*carried, F.inline(F.when(valid, F.array(row))))
     if not with_rejected:
         return good
-    bad = staged.filter(~valid).select(*env.columns)
+    bad = staged.filter(~valid).select(*raw_cols)
     return good, bad
 
 

@@ -88,24 +88,27 @@ def answer_alerts_once(
     alerts whose (tower_id, window_start) already has a response, using a
     left-anti join against the responses table restricted to the batch's
     window range (parquet statistics prune the rest), so answered alerts are
-    not sent again; the append is committed once per batch.
+    not sent again; the append is committed once per batch. Calls that were
+    in flight in a task or batch that failed before its append are repeated
+    (at-least-once calls, exactly-once responses). ``rules=None`` answers
+    every alert.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         batch.persist()  # read once: it feeds the window bound and the anti-join
-        severe = escalation_filter(batch, rules)
-        try:
-            answered = spark.read.schema(RESPONSE).parquet(responses_path)
-        except AnalysisException as exc:  # first batch: table not created yet
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-                raise
-            answered = None
-        if answered is not None:
-            lo = severe.select(F.min("window_start")).scalar()
-            seen = answered.filter(F.col("window_start") >= lo).select(*RESPONSE_KEYS)
-            severe = severe.join(seen, list(RESPONSE_KEYS), "left_anti")
         try:
+            severe = batch if rules is None else escalation_filter(batch, rules)
+            try:
+                answered = spark.read.schema(RESPONSE).parquet(responses_path)
+            except AnalysisException as exc:  # first batch: table not created yet
+                if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+                    raise
+                answered = None
+            if answered is not None:
+                lo = severe.select(F.min("window_start")).scalar()
+                seen = answered.filter(F.col("window_start") >= lo).select(*RESPONSE_KEYS)
+                severe = severe.join(seen, list(RESPONSE_KEYS), "left_anti")
             out = generate_runbooks(severe, call, model, rules=None, options=options, n_callers=n_callers)
             conform(out, RESPONSE, key="tower_id").write.mode("append").parquet(responses_path)
         finally:

@@ -217,6 +217,7 @@ def test_durations_parse_one_way():
     assert duration_us("90 s") == duration_us("90 seconds") == 90_000_000
     assert duration_us("10 m") == duration_us("10 minutes") == 600_000_000
     assert duration_us("1 day 2 hours") == 93_600_000_000
+    assert duration_us("0 seconds") == 0
     for bad in ("", "ten seconds", "5 parsecs", "-1 s"):
         with pytest.raises(ValueError):
             duration_us(bad)
@@ -233,3 +234,17 @@ def test_short_units_work_in_every_operator(spark):
     assert st.status == "red"
     assert tower_status(df, df, datetime(2024, 1, 1, 0, 3, 0), ttl="90 s").first().status == "green"
     assert retain(df.withColumnRenamed("window_end", "ts"), "ts", "60 s").count() == 1
+
+
+def test_time_operators_accept_timestamp_ntz(spark):
+    from pylonflow.operators.episodes import red_episodes
+    from pylonflow.operators.views import tower_status
+    df = spark.createDataFrame([("A", "2024-01-01 00:00:00"), ("A", "2024-01-01 00:01:30")], "tower_id string, t string") \
+        .select("tower_id", F.col("t").cast("timestamp_ntz").alias("window_end"))
+    ep = red_episodes(df, ttl="90 s")
+    assert ep.count() == 1 and dict(ep.dtypes)["episode_end"] == "timestamp_ntz"
+    st = tower_status(df, df, F.lit("2024-01-01 00:02:00").cast("timestamp_ntz"), ttl="90 s").first()
+    assert st.status == "red"
+    assert retain(df.withColumnRenamed("window_end", "ts"), "ts", "60 s").count() == 1
+    assert retain(df.withColumnRenamed("window_end", "ts"), "ts", "60 s",
+                  as_of=datetime(2024, 1, 1, 0, 0, 59)).count() == 2

@@ -97,7 +97,7 @@ def test_conform_uses_defaults_of_an_equal_schema(spark):
 
 
 def test_avro_logical_type_defaults():
-    from datetime import date
+    from datetime import date, timezone
 
     from pylonflow.schemas import struct_from_avro
     rec = {"type": "record", "name": "R", "fields": [
@@ -105,4 +105,8 @@ def test_avro_logical_type_defaults():
         {"name": "d", "type": {"type": "int", "logicalType": "date"}, "default": 19723},
         {"name": "s", "type": ["null", "string"], "default": None}]}
     _, defaults = struct_from_avro(rec)
-    assert defaults == {"t": datetime(2024, 1, 1), "d": date(2024, 1, 1), "s": None}
+    assert defaults == {"t": datetime(2024, 1, 1, tzinfo=timezone.utc), "d": date(2024, 1, 1), "s": None}
+    union = {"type": "record", "name": "R", "fields": [
+        {"name": "t", "type": [{"type": "long", "logicalType": "timestamp-millis"}, "null"],
+         "default": 1704067200000}]}
+    assert struct_from_avro(union)[1] == {"t": datetime(2024, 1, 1, tzinfo=timezone.utc)}
