@@ -47,7 +47,6 @@ def test_streaming_facade(spark):
 
 
 def test_custom_config_matches_brute_force(spark):
-    import pandas as pd
 
     from pylonflow.plans.dataflow import AlertingConfig
     from pylonflow.sources.tables import read_table
