@@ -47,7 +47,6 @@ def test_streaming_facade(spark):
 
 
 def test_custom_config_matches_brute_force(spark):
-
     from pylonflow.plans.dataflow import AlertingConfig
     from pylonflow.sources.tables import read_table
     cfg = AlertingConfig(rules=(("value", ">", 150.0), ("value", "<", 1.0)), window="5 minutes", keys=("user_id",),
