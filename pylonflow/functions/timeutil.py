@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _UNITS = {
     "microsecond": 1, "us": 1,
@@ -19,8 +20,10 @@ _UNITS = {
 _PART = re.compile(r"(\d+)\s*([a-z]+)")
 
 
-def duration_us(text: str) -> int:
-    """Parse ``"<n> <unit>"`` parts (plural allowed) into microseconds."""
+def duration_us(text: str, allow_zero: bool = False) -> int:
+    """Parse ``"<n> <unit>"`` parts (plural allowed) into microseconds.
+    Zero is rejected unless ``allow_zero`` (a watermark may be zero; a
+    window, ttl, bucket or retention may not)."""
     total, pos = 0, 0
     s = text.strip().lower()
     for m in _PART.finditer(s):
@@ -33,28 +36,73 @@ def duration_us(text: str) -> int:
             raise ValueError(f"bad duration unit in {text!r}")
         total += int(m.group(1)) * _UNITS[unit]
         pos = m.end()
-    if pos == 0 or s[pos:].strip():
+    if pos == 0 or s[pos:].strip() or (total == 0 and not allow_zero):
         raise ValueError(f"bad duration {text!r}")
     return total
 
 
-def interval_us(us: int) -> Column:
-    """An exact day-time interval of ``us`` microseconds."""
-    sign = "-" if us < 0 else ""
-    secs, micros = divmod(abs(int(us)), 1_000_000)
-    return F.expr(f"make_dt_interval(0, 0, 0, {sign}{secs}.{micros:06d})")
+_DAY_US = 86_400_000_000
 
 
-def shift_time(ts: Column, duration: str | int) -> Column:
-    """``ts`` moved by a duration (string or microseconds; negative = back).
-    Interval arithmetic, so TIMESTAMP and TIMESTAMP_NTZ columns both work and
-    a literal ``ts`` constant-folds (filters stay pushable)."""
+def _long(c: Column) -> Column:
+    return c.cast("long")
+
+
+def to_epoch_us(ts: Column, ntz: bool = False) -> Column:
+    """Microseconds since 1970-01-01 00:00. Instants (TIMESTAMP) use the exact
+    epoch value; wall-clock values (TIMESTAMP_NTZ) are read from their date
+    and time fields, so no session time zone (or DST gap) is involved."""
+    if not ntz:
+        return F.unix_micros(ts)
+    day = _long(F.unix_date(F.to_date(ts)))
+    secs = F.date_part(F.lit("SECOND"), ts)  # seconds with the fraction
+    return (day * F.lit(_DAY_US) + _long(F.hour(ts)) * F.lit(3_600_000_000)
+            + _long(F.minute(ts)) * F.lit(60_000_000) + _long(secs * F.lit(1_000_000)))
+
+
+def from_epoch_us(us: Column, ntz: bool = False) -> Column:
+    """Inverse of ``to_epoch_us`` (TIMESTAMP, or zone-free TIMESTAMP_NTZ)."""
+    if not ntz:
+        return F.timestamp_micros(us)
+    rem = F.pmod(us, F.lit(_DAY_US))
+    day = F.date_from_unix_date(((us - rem) / F.lit(_DAY_US)).cast("int"))
+    return F.make_timestamp_ntz(F.year(day), F.month(day), F.dayofmonth(day),
+                                (rem / F.lit(3_600_000_000)).cast("int"),
+                                F.pmod((rem / F.lit(60_000_000)).cast("long"), F.lit(60)).cast("int"),
+                                (F.pmod(rem, F.lit(60_000_000)) / F.lit(1_000_000)).cast("decimal(8,6)"))
+
+
+def is_ntz(df, col: str) -> bool:
+    return isinstance(df.schema[col].dataType, T.TimestampNTZType)
+
+
+def shift_time(ts: Column, duration: str | int, ntz: bool = False) -> Column:
+    """``ts`` moved by a duration (string or microseconds; negative = back),
+    exactly: instants by epoch microseconds, wall-clock values by their
+    fields. A literal ``ts`` constant-folds (filters stay pushable)."""
     us = duration_us(duration) if isinstance(duration, str) else int(duration)
-    return ts + interval_us(us)
+    return from_epoch_us(to_epoch_us(ts, ntz) + F.lit(us), ntz)
+
+
+def time_literal(value, ntz: bool = False) -> Column:
+    """A point in time as a column of the right type without going through
+    the driver's local time zone: naive datetimes are UTC instants (or the
+    wall clock itself for NTZ); aware datetimes keep their instant; strings
+    are cast as Spark casts them."""
+    from datetime import datetime, timezone
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, datetime):
+        if ntz:
+            wall = value.astimezone(timezone.utc).replace(tzinfo=None) if value.tzinfo else value
+            return F.lit(wall.isoformat(sep=" ")).cast("timestamp_ntz")
+        inst = value if value.tzinfo else value.replace(tzinfo=timezone.utc)
+        return F.lit(inst)
+    return F.lit(value).cast("timestamp_ntz" if ntz else "timestamp")
 
 
-def spark_duration(text: str) -> str:
+def spark_duration(text: str, allow_zero: bool = False) -> str:
     """The same duration as a string Spark's window functions parse
     exactly (``"<n> microseconds"``), so every operator reads a duration
     the same way."""
-    return f"{duration_us(text)} microseconds"
+    return f"{duration_us(text, allow_zero)} microseconds"

@@ -62,7 +62,7 @@ def detect_alerts(
                    .agg(*[_metric(*m) for m in metrics], F.count(F.lit(1)).alias(count_col)))
     else:
         breach = any_of(rules)
-        grouped = (telemetry.withWatermark(time_col, spark_duration(watermark))
+        grouped = (telemetry.withWatermark(time_col, spark_duration(watermark, allow_zero=True))
                    .groupBy(*keys, win)
                    .agg(*[_AGGS[a](F.when(breach, F.col(c))).alias(n) for n, a, c in metrics],
                         F.count(F.when(breach, F.lit(1))).alias(count_col))

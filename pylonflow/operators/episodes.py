@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pylonflow.functions.timeutil import duration_us, spark_duration
+from pylonflow.functions.timeutil import duration_us, from_epoch_us, is_ntz, spark_duration, to_epoch_us
 
 EPISODE_COLS = ("episode_start", "episode_end", "last_alert", "alert_count")
 
@@ -47,9 +47,9 @@ def red_episodes(
     ttl_us, bucket_us = duration_us(ttl), duration_us(bucket)
     keys = list(keys)
     t = F.col("_t")
-    in_type = alerts.schema[alert_time].dataType
+    ntz = is_ntz(alerts, alert_time)   # wall-clock input: gaps measured without any time zone
     rows = (alerts.filter(F.col(alert_time).isNotNull())
-            .select(*keys, F.unix_micros(F.col(alert_time).cast("timestamp")).alias("_t"))
+            .select(*keys, to_epoch_us(F.col(alert_time), ntz).alias("_t"))
             .withColumn("_b", F.expr(f"(_t - pmod(_t, {bucket_us})) div {bucket_us}")))  # exact floor
 
     # 1. local pass inside (key, bucket)
@@ -82,9 +82,9 @@ def red_episodes(
                             F.max(F.when(F.col("_start"), F.col("_rank"))).over(upto).alias("_s_rank"))
     return (paired.filter(F.col("_end"))
             .select(*keys,
-                    F.timestamp_micros(F.col("_s_t")).cast(in_type).alias("episode_start"),
-                    F.timestamp_micros(t + F.lit(ttl_us)).cast(in_type).alias("episode_end"),
-                    F.timestamp_micros(t).cast(in_type).alias("last_alert"),
+                    from_epoch_us(F.col("_s_t"), ntz).alias("episode_start"),
+                    from_epoch_us(t + F.lit(ttl_us), ntz).alias("episode_end"),
+                    from_epoch_us(t, ntz).alias("last_alert"),
                     (F.col("_rank") - F.col("_s_rank") + 1).alias("alert_count")))
 
 
@@ -97,7 +97,7 @@ def red_episodes_stream(
 ) -> DataFrame:
     """Streaming twin: ``session_window(alert_time, ttl)`` per key, append
     mode (an episode is emitted once the watermark passes its end)."""
-    df = alerts.withWatermark(alert_time, spark_duration(watermark)) if watermark else alerts
+    df = alerts.withWatermark(alert_time, spark_duration(watermark, allow_zero=True)) if watermark else alerts
     return (df.groupBy(*keys, F.session_window(alert_time, spark_duration(ttl)).alias("_s"))
             .agg(F.min(alert_time).alias("episode_start"), F.max(alert_time).alias("last_alert"),
                  F.count(F.lit(1)).alias("alert_count"))

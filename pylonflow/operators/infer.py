@@ -59,7 +59,7 @@ class ModelSpec:
         return {"task": self.task, "temperature": self.temperature, "max_tokens": self.max_tokens, **self.extra}
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, kw_only=True)
 class CallOptions:
     """Per-call options (the options map of the model call).
 
@@ -71,6 +71,7 @@ class CallOptions:
     (a provider quota), split evenly over ``n_callers``. ``retry_count``
     extra attempts follow a failure with exponential back-off starting at
     ``backoff_s``; ``client_timeout`` is handed to the callable in ``params``.
+    Keyword-only, so adding an option never shifts the meaning of others.
     """
 
     async_enabled: bool = False
@@ -92,6 +93,10 @@ class ModelCallError(RuntimeError):
 _LAST_CALL: dict[str, float] = {}
 
 
+def pacing_key(model: ModelSpec, call: ModelCall, min_gap: float) -> str:
+    return f"{model.name}|{getattr(call, '__module__', '')}.{getattr(call, '__qualname__', 'call')}|{min_gap}"
+
+
 class _Pacer:
     def __init__(self, key: str, min_gap: float):
         self.key, self.min_gap = key, min_gap
@@ -159,7 +164,7 @@ def predict(
         share = options.total_calls_per_minute / int(n_callers)
         per_caller = min(per_caller, share) if per_caller else share
     min_gap = 60.0 / per_caller if per_caller else 0.0
-    pace_key = f"{model.name}|{getattr(call, '__module__', '')}.{getattr(call, '__qualname__', 'call')}|{min_gap}"
+    pace_key = pacing_key(model, call, min_gap)
 
     def one(prompt, pacer):
         try:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql.functions import udtf
 
-from pylonflow.operators.infer import CallOptions, ModelCall, ModelSpec, _call_with_retry
+from pylonflow.operators.infer import CallOptions, ModelCall, ModelSpec, _call_with_retry, _Pacer, pacing_key
 from pylonflow.session import ship_package
 
 
@@ -21,12 +21,18 @@ def register_predict_udtf(spark: SparkSession, call: ModelCall, model: ModelSpec
     ship_package(spark)
     system_prompt = model.system_prompt
     params = {**model.params(), "client_timeout": options.client_timeout}
+    min_gap = 60.0 / options.calls_per_minute if options.calls_per_minute else 0.0
+    key = pacing_key(model, call, min_gap)
 
     @udtf(returnType=f"{model.output_col}: string", useArrow=True)
     class _ModelCall:
+        def __init__(self):
+            self.pacer = _Pacer(key, min_gap)   # same per-worker pacing as predict()
+
         def eval(self, prompt: str):
             if prompt is None:
                 return
-            yield (_call_with_retry(call, system_prompt, prompt, params, options),)
+            yield (_call_with_retry(call, system_prompt, prompt, params, options,
+                                    before_attempt=self.pacer.wait),)
 
     spark.udtf.register(name, _ModelCall)

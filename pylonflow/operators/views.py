@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pylonflow.functions.timeutil import shift_time
+from pylonflow.functions.timeutil import is_ntz, shift_time, time_literal
 
 
 def latest_by_key(
@@ -61,12 +61,6 @@ def runbook_feed(responses: DataFrame, limit: int = 20, time_col: str = "window_
     return alert_feed(responses, limit, time_col, tie_cols)
 
 
-def _as_column(v: datetime | str | Column) -> Column:
-    if isinstance(v, Column):
-        return v
-    return F.lit(v).cast("timestamp")
-
-
 def tower_status(
     towers: DataFrame,
     alerts: DataFrame,
@@ -83,10 +77,11 @@ def tower_status(
     Both sides are aggregated to one row per tower before the left join, so
     the join input is the tower count, not the data size.
     """
-    now = _as_column(as_of)
+    ntz = is_ntz(alerts, alert_time)
+    now = time_literal(as_of, ntz)
     known = towers.select(key).distinct()
     last = (alerts.filter(F.col(alert_time) <= now)
             .groupBy(key).agg(F.max(alert_time).alias("last_alert")))
-    red = F.col("last_alert").isNotNull() & (now < shift_time(F.col("last_alert"), ttl))
+    red = F.col("last_alert").isNotNull() & (now < shift_time(F.col("last_alert"), ttl, ntz))
     return (known.join(last, key, "left")
             .select(key, "last_alert", F.when(red, F.lit("red")).otherwise(F.lit("green")).alias("status")))

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from pylonflow.functions.predicates import ANOMALY_RULES, ESCALATION_RULES, Rule
+from pylonflow.functions.timeutil import duration_us, is_ntz, shift_time, time_literal
 from pylonflow.operators.detect import ALERT_METRICS, TOWER_KEYS, detect_alerts
 from pylonflow.operators.episodes import red_episodes
 from pylonflow.operators.infer import CallOptions, ModelCall, ModelSpec, rule_model
@@ -172,25 +173,24 @@ class AlertingDataflow:
         """Newest alert end per tower (the live update-mode view)."""
         return read_upsert_log(spark, handles.last_alert_path, (self.config.keys[0],))
 
-    def read_status(self, spark: SparkSession, handles: StreamHandles,
-                    as_of: datetime | str | Column | None = None, towers: DataFrame | None = None) -> DataFrame:
-        """Red/green per known tower at ``as_of`` (default: now).
-
-        The live read uses the last-alert view (one row per tower): exact
-        whenever ``as_of`` is at or after every tower's newest alert. Only a
-        historical ``as_of`` (earlier than some tower's newest alert) reads
-        the alerts table. Known towers default to every tower in either
-        live view; no telemetry is scanned.
+    def read_status(self, spark: SparkSession, handles: StreamHandles, as_of: datetime | str | Column,
+                    towers: DataFrame | None = None, lookback: str = "8 hours") -> DataFrame:
+        """Red/green per known tower at ``as_of`` (an explicit event time).
+
+        Read from the alerts table itself (never behind it), restricted to
+        alerts in ``(as_of - lookback, as_of]``: parquet statistics skip
+        older files, so the read stays small as the table grows, and the
+        status is exact whenever ``lookback >= ttl``. ``last_alert`` is the
+        newest alert within the lookback (default: the 8 h retention).
+        Known towers default to the latest-reading view plus the towers with
+        alerts in that range; no telemetry is scanned.
         """
         key = self.config.keys[0]
-        last = self.read_last_alert(spark, handles)
-        if as_of is None:
-            now, source = F.current_timestamp(), last
-        else:
-            now = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
-            # a one-row probe of the tower-sized view decides which table is needed
-            historical = last.filter(F.col("window_end") > now).limit(1).count() > 0
-            source = spark.read.parquet(handles.alerts_path) if historical else last
+        alerts = spark.read.parquet(handles.alerts_path)
+        ntz = is_ntz(alerts, "window_end")
+        now = time_literal(as_of, ntz)
+        recent = alerts.filter((F.col("window_end") <= now)
+                               & (F.col("window_end") > shift_time(now, -duration_us(lookback), ntz)))
         if towers is None:
-            towers = self.read_latest(spark, handles).select(key).unionByName(last.select(key))
-        return self.status(towers, source, now)
+            towers = self.read_latest(spark, handles).select(key).unionByName(recent.select(key))
+        return self.status(towers, recent, now)

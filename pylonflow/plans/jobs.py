@@ -39,7 +39,12 @@ def load_callable(spec: str):
     """``"package.module:function"`` (or a dotted attribute path) -> the
     callable (the model client)."""
     import pkgutil
-    return pkgutil.resolve_name(spec)
+    if ":" not in spec:
+        raise ValueError("model must be given as 'package.module:function'")
+    obj = pkgutil.resolve_name(spec)
+    if not callable(obj):
+        raise ValueError(f"{spec!r} does not name a callable")
+    return obj
 
 
 def run_stream(spark: SparkSession, events_dir: str | None, trigger: str, timeout_s: float | None = None,

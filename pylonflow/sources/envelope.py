@@ -47,8 +47,9 @@ def decode_envelope(
     * NULL value -> dropped;
     * first byte 0x00 -> Avro with a 5-byte header (magic + schema id);
       needs ``avro_schema`` and the spark-avro package (checked up front,
-      raising a clear error if missing); a body that fails to decode, or a
-      header whose id differs from ``schema_id`` (when given), is rejected;
+      raising a clear error if missing); a body that fails to decode or
+      lacks a required field, or a header whose id differs from
+      ``schema_id`` (when given), is rejected;
       without ``avro_schema`` such rows are rejected;
     * otherwise the bytes are UTF-8 JSON text decoded with ``from_json``;
       malformed text, a non-object, or values of the wrong type -> rejected.
@@ -74,9 +75,10 @@ def decode_envelope(
         env = env.withColumn("_avro", F.when(framed, avro.from_avro(
             F.expr(f"substring({value_col}, 6)"), avro_schema, {"mode": "PERMISSIVE"})))
         a = F.col("_avro")
-        any_set = F.greatest(*[a[f.name].isNotNull() for f in schema.fields]) if len(schema.fields) > 1 \
-            else a[schema.fields[0].name].isNotNull()
-        ok_avro = a.isNotNull() & any_set
+        ok_avro = a.isNotNull()
+        for f in schema.fields:   # a decoded record must carry every required field
+            if not f.nullable:
+                ok_avro = ok_avro & a[f.name].isNotNull()
         if schema_id is not None:
             ok_avro = ok_avro & (F.hex(F.substring(v, 2, 4)) == F.lit(format(int(schema_id), "08X")))
         decoded = F.when(framed, F.struct(
@@ -101,7 +103,8 @@ def decode_envelope(
     good = staged.select(*carried, F.inline(F.when(valid, F.array(row))))
     if not with_rejected:
         return good
-    bad = staged.filter(~valid).select(*raw_cols)
+    # the rejected side uses the same generator, so the parse is not re-run in a filter
+    bad = staged.select(F.inline(F.when(~valid, F.array(F.struct(*[F.col(c) for c in raw_cols])))))
     return good, bad
 
 

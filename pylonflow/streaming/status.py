@@ -35,7 +35,8 @@ def status_changes_stream(
     ship_package(alerts.sparkSession)
     ttl_us = duration_us(ttl)
     key_type = alerts.schema[key].dataType
-    out_schema = T.StructType([T.StructField(key, key_type), T.StructField("changed_at", T.TimestampType()),
+    time_type = alerts.schema[alert_time].dataType   # output keeps the input's timestamp type
+    out_schema = T.StructType([T.StructField(key, key_type), T.StructField("changed_at", time_type),
                                T.StructField("status", T.StringType())])
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -62,6 +63,6 @@ def status_changes_stream(
             yield pd.DataFrame({key: [k[0]] * len(events), "changed_at": [e[0] for e in events],
                                 "status": [e[1] for e in events]})
 
-    return (alerts.withWatermark(alert_time, spark_duration(watermark))
+    return (alerts.withWatermark(alert_time, spark_duration(watermark, allow_zero=True))
             .groupBy(key)
             .applyInPandasWithState(step, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout))

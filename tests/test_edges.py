@@ -217,7 +217,9 @@ def test_durations_parse_one_way():
     assert duration_us("90 s") == duration_us("90 seconds") == 90_000_000
     assert duration_us("10 m") == duration_us("10 minutes") == 600_000_000
     assert duration_us("1 day 2 hours") == 93_600_000_000
-    assert duration_us("0 seconds") == 0
+    assert duration_us("0 seconds", allow_zero=True) == 0
+    with pytest.raises(ValueError):
+        duration_us("0 seconds")  # a window, ttl, bucket or retention of zero is a mistake
     for bad in ("", "ten seconds", "5 parsecs", "-1 s"):
         with pytest.raises(ValueError):
             duration_us(bad)
@@ -248,3 +250,19 @@ def test_time_operators_accept_timestamp_ntz(spark):
     assert retain(df.withColumnRenamed("window_end", "ts"), "ts", "60 s").count() == 1
     assert retain(df.withColumnRenamed("window_end", "ts"), "ts", "60 s",
                   as_of=datetime(2024, 1, 1, 0, 0, 59)).count() == 2
+
+
+def test_ntz_episodes_ignore_session_time_zone(spark):
+    """Wall-clock alert times are compared as wall clock, whatever the zone."""
+    from pylonflow.operators.episodes import red_episodes
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("A", "2024-03-10 02:30:00"), ("A", "2024-03-10 03:29:00")],
+                                   "tower_id string, t string") \
+            .select("tower_id", F.col("t").cast("timestamp_ntz").alias("window_end"))
+        got = sorted((r.episode_start, r.last_alert) for r in red_episodes(df, ttl="90 s").collect())
+        assert got == [(datetime(2024, 3, 10, 2, 30), datetime(2024, 3, 10, 2, 30)),
+                       (datetime(2024, 3, 10, 3, 29), datetime(2024, 3, 10, 3, 29))]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
