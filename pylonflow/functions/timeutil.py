@@ -72,32 +72,67 @@ def from_epoch_us(us: Column, ntz: bool = False) -> Column:
                                 (F.pmod(rem, F.lit(60_000_000)) / F.lit(1_000_000)).cast("decimal(8,6)"))
 
 
+def time_type(df, col: str) -> T.DataType:
+    """Type of a (possibly nested, e.g. ``"w.end"``) time column."""
+    return df.select(F.col(col)).schema.fields[0].dataType
+
+
 def is_ntz(df, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, T.TimestampNTZType)
+    return isinstance(time_type(df, col), T.TimestampNTZType)
+
+
+def as_time(df, col: str) -> tuple[Column, bool]:
+    """The time column as TIMESTAMP or TIMESTAMP_NTZ (strings and dates are
+    cast to TIMESTAMP) and whether it is wall clock (NTZ)."""
+    t = time_type(df, col)
+    if isinstance(t, T.TimestampNTZType):
+        return F.col(col), True
+    if isinstance(t, T.TimestampType):
+        return F.col(col), False
+    return F.col(col).cast("timestamp"), False
+
+
+def require_instant(df, col: str) -> None:
+    """Streams need TIMESTAMP event time (a watermark on TIMESTAMP_NTZ is
+    rejected by Spark); fail early with a clear message."""
+    if is_ntz(df, col):
+        raise ValueError(f"event time column {col!r} is TIMESTAMP_NTZ; cast it to TIMESTAMP for streaming "
+                         "(the table readers do this for test data)")
+
+
+def interval_us(us: int) -> Column:
+    """An exact day-time interval of ``us`` microseconds."""
+    sign = "-" if us < 0 else ""
+    secs, micros = divmod(abs(int(us)), 1_000_000)
+    return F.expr(f"make_dt_interval(0, 0, 0, {sign}{secs}.{micros:06d})")
 
 
 def shift_time(ts: Column, duration: str | int, ntz: bool = False) -> Column:
     """``ts`` moved by a duration (string or microseconds; negative = back),
-    exactly: instants by epoch microseconds, wall-clock values by their
-    fields. A literal ``ts`` constant-folds (filters stay pushable)."""
+    exactly. Instants move by epoch microseconds (interval arithmetic on
+    TIMESTAMP adds whole days as calendar days in the session zone, which is
+    not a fixed duration across DST); wall-clock values (NTZ) move by a plain
+    interval, which Spark applies without any zone. Literals constant-fold,
+    so filters stay pushable."""
     us = duration_us(duration) if isinstance(duration, str) else int(duration)
-    return from_epoch_us(to_epoch_us(ts, ntz) + F.lit(us), ntz)
+    if ntz:
+        return ts + interval_us(us)
+    return F.timestamp_micros(F.unix_micros(ts) + F.lit(us))
 
 
 def time_literal(value, ntz: bool = False) -> Column:
-    """A point in time as a column of the right type without going through
-    the driver's local time zone: naive datetimes are UTC instants (or the
-    wall clock itself for NTZ); aware datetimes keep their instant; strings
-    are cast as Spark casts them."""
-    from datetime import datetime, timezone
+    """A point in time as a column of the right type. ``datetime`` values
+    follow PySpark's convention for TIMESTAMP (naive = driver-local time, so
+    values collected from Spark round-trip; aware = that instant); for NTZ
+    columns the datetime's own wall clock is used. Strings are cast as Spark
+    casts them."""
+    from datetime import datetime
     if isinstance(value, Column):
         return value
     if isinstance(value, datetime):
         if ntz:
-            wall = value.astimezone(timezone.utc).replace(tzinfo=None) if value.tzinfo else value
-            return F.lit(wall.isoformat(sep=" ")).cast("timestamp_ntz")
-        inst = value if value.tzinfo else value.replace(tzinfo=timezone.utc)
-        return F.lit(inst)
+            return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+        return F.lit(value)
     return F.lit(value).cast("timestamp_ntz" if ntz else "timestamp")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pylonflow.functions.predicates import ANOMALY_RULES, Rule, any_of
-from pylonflow.functions.timeutil import spark_duration
+from pylonflow.functions.timeutil import require_instant, spark_duration
 
 TOWER_KEYS = ("tower_id", "tower_name", "latitude", "longitude")
 # (output column, aggregate, input column); COUNT(*) is always appended as event_count.
@@ -56,6 +56,8 @@ def detect_alerts(
     Same results; the state holds one entry per active key and open window.
     """
     win = F.window(time_col, spark_duration(window)).alias("_w")
+    if watermark is not None:
+        require_instant(telemetry, time_col)
     if watermark is None:
         grouped = (telemetry.filter(any_of(rules))
                    .groupBy(*keys, win)

@@ -32,7 +32,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pylonflow.functions.timeutil import duration_us, from_epoch_us, is_ntz, spark_duration, to_epoch_us
+from pylonflow.functions.timeutil import (
+    as_time, duration_us, from_epoch_us, require_instant, spark_duration, to_epoch_us,
+)
 
 EPISODE_COLS = ("episode_start", "episode_end", "last_alert", "alert_count")
 
@@ -47,9 +49,9 @@ def red_episodes(
     ttl_us, bucket_us = duration_us(ttl), duration_us(bucket)
     keys = list(keys)
     t = F.col("_t")
-    ntz = is_ntz(alerts, alert_time)   # wall-clock input: gaps measured without any time zone
-    rows = (alerts.filter(F.col(alert_time).isNotNull())
-            .select(*keys, to_epoch_us(F.col(alert_time), ntz).alias("_t"))
+    tcol, ntz = as_time(alerts, alert_time)   # wall-clock input: gaps measured without any time zone
+    rows = (alerts.filter(tcol.isNotNull())
+            .select(*keys, to_epoch_us(tcol, ntz).alias("_t"))
             .withColumn("_b", F.expr(f"(_t - pmod(_t, {bucket_us})) div {bucket_us}")))  # exact floor
 
     # 1. local pass inside (key, bucket)
@@ -96,7 +98,9 @@ def red_episodes_stream(
     watermark: str | None = "10 seconds",
 ) -> DataFrame:
     """Streaming twin: ``session_window(alert_time, ttl)`` per key, append
-    mode (an episode is emitted once the watermark passes its end)."""
+    mode (an episode is emitted once the watermark passes its end). Event
+    time must be TIMESTAMP (Spark's watermark rejects TIMESTAMP_NTZ)."""
+    require_instant(alerts, alert_time)
     df = alerts.withWatermark(alert_time, spark_duration(watermark, allow_zero=True)) if watermark else alerts
     return (df.groupBy(*keys, F.session_window(alert_time, spark_duration(ttl)).alias("_s"))
             .agg(F.min(alert_time).alias("episode_start"), F.max(alert_time).alias("last_alert"),

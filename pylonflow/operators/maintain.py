@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pylonflow.functions.timeutil import duration_us, is_ntz, shift_time, time_literal
+from pylonflow.functions.timeutil import as_time, duration_us, shift_time, time_literal
 
 
 def retain(df: DataFrame, time_col: str, keep: str = "8 hours",
@@ -19,6 +19,6 @@ def retain(df: DataFrame, time_col: str, keep: str = "8 hours",
     by the caller). The filter is pushed into the parquet scan when ``as_of``
     is a literal.
     """
-    ntz = is_ntz(df, time_col)
-    now = df.select(F.max(time_col)).scalar() if as_of is None else time_literal(as_of, ntz)
-    return df.filter(F.col(time_col) > shift_time(now, -duration_us(keep), ntz))
+    t, ntz = as_time(df, time_col)
+    now = df.select(F.max(t)).scalar() if as_of is None else time_literal(as_of, ntz)
+    return df.filter(t > shift_time(now, -duration_us(keep), ntz))

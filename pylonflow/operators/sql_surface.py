@@ -18,6 +18,9 @@ from pylonflow.session import ship_package
 
 def register_predict_udtf(spark: SparkSession, call: ModelCall, model: ModelSpec = ModelSpec(),
                           options: CallOptions = CallOptions(), name: str = "ml_predict") -> None:
+    if options.total_calls_per_minute:
+        raise ValueError("the SQL form has no fixed number of callers to split a total budget over; "
+                         "use calls_per_minute (per worker) or predict(n_callers=...)")
     ship_package(spark)
     system_prompt = model.system_prompt
     params = {**model.params(), "client_timeout": options.client_timeout}

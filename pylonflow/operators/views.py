@@ -9,7 +9,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pylonflow.functions.timeutil import is_ntz, shift_time, time_literal
+from pylonflow.functions.timeutil import as_time, shift_time, time_literal
 
 
 def latest_by_key(
@@ -77,11 +77,11 @@ def tower_status(
     Both sides are aggregated to one row per tower before the left join, so
     the join input is the tower count, not the data size.
     """
-    ntz = is_ntz(alerts, alert_time)
+    t, ntz = as_time(alerts, alert_time)
     now = time_literal(as_of, ntz)
     known = towers.select(key).distinct()
-    last = (alerts.filter(F.col(alert_time) <= now)
-            .groupBy(key).agg(F.max(alert_time).alias("last_alert")))
+    last = (alerts.filter(t <= now)
+            .groupBy(key).agg(F.max(t).alias("last_alert")))
     red = F.col("last_alert").isNotNull() & (now < shift_time(F.col("last_alert"), ttl, ntz))
     return (known.join(last, key, "left")
             .select(key, "last_alert", F.when(red, F.lit("red")).otherwise(F.lit("green")).alias("status")))

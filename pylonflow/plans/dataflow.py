@@ -8,8 +8,8 @@ and on streams.
 Streaming layout (each query owns its checkpoint under the shared root):
 telemetry stream -> alerts table (append) -> responses table (exactly-once
 responder) -> parsed runbook table; telemetry stream -> latest-reading
-upsert log; alerts table -> last-alert upsert log (status is computed at
-read time).
+upsert log; alerts table -> last-alert upsert log (a live per-tower view for
+dashboards). Status is computed at read time from the alerts table.
 """
 
 from __future__ import annotations
@@ -75,6 +75,7 @@ class StreamHandles:
     last_alert: StreamingQuery
     runbooks: StreamingQuery | None
     alerts_path: str
+    alerts_schema: T.StructType
     responses_path: str | None   # None when the runbook stage does not apply (custom alert schema)
     latest_path: str
     last_alert_path: str
@@ -163,7 +164,7 @@ class AlertingDataflow:
                 q_resp.awaitTermination()
             q_rb = start_sink(runbook_stream(spark.readStream.schema(RESPONSE).parquet(resp.path)), rb,
                               available_now=available_now, processing_time=trigger)
-        return StreamHandles(q_alerts, q_resp, q_lat, q_last, q_rb, alerts_sink.path,
+        return StreamHandles(q_alerts, q_resp, q_lat, q_last, q_rb, alerts_sink.path, alerts_df.schema,
                              resp.path if q_resp else None, lat.path, last.path, rb.path if q_rb else None)
 
     def read_latest(self, spark: SparkSession, handles: StreamHandles) -> DataFrame:
@@ -186,11 +187,12 @@ class AlertingDataflow:
         alerts in that range; no telemetry is scanned.
         """
         key = self.config.keys[0]
-        alerts = spark.read.parquet(handles.alerts_path)
+        alerts = spark.read.schema(handles.alerts_schema).parquet(handles.alerts_path)
         ntz = is_ntz(alerts, "window_end")
         now = time_literal(as_of, ntz)
+        span = max(duration_us(lookback), duration_us(self.config.status_ttl))  # never shorter than the ttl
         recent = alerts.filter((F.col("window_end") <= now)
-                               & (F.col("window_end") > shift_time(now, -duration_us(lookback), ntz)))
+                               & (F.col("window_end") > shift_time(now, -span, ntz)))
         if towers is None:
             towers = self.read_latest(spark, handles).select(key).unionByName(recent.select(key))
         return self.status(towers, recent, now)

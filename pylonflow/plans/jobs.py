@@ -36,8 +36,8 @@ def run_batch(spark: SparkSession, sf_dir: str, query: str, out: str, partitions
 
 
 def load_callable(spec: str):
-    """``"package.module:function"`` (or a dotted attribute path) -> the
-    callable (the model client)."""
+    """``"package.module:function"`` (the attribute may be dotted, e.g.
+    ``"pkg.mod:Client.generate"``) -> the callable (the model client)."""
     import pkgutil
     if ":" not in spec:
         raise ValueError("model must be given as 'package.module:function'")

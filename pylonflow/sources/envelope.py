@@ -47,9 +47,9 @@ def decode_envelope(
     * NULL value -> dropped;
     * first byte 0x00 -> Avro with a 5-byte header (magic + schema id);
       needs ``avro_schema`` and the spark-avro package (checked up front,
-      raising a clear error if missing); a body that fails to decode or
-      lacks a required field, or a header whose id differs from
-      ``schema_id`` (when given), is rejected;
+      raising a clear error if missing); a body that fails to decode, or a
+      header whose id differs from ``schema_id`` (when given), is rejected;
+    * any record missing a required (non-nullable) field is rejected;
       without ``avro_schema`` such rows are rejected;
     * otherwise the bytes are UTF-8 JSON text decoded with ``from_json``;
       malformed text, a non-object, or values of the wrong type -> rejected.
@@ -76,9 +76,10 @@ def decode_envelope(
             F.expr(f"substring({value_col}, 6)"), avro_schema, {"mode": "PERMISSIVE"})))
         a = F.col("_avro")
         ok_avro = a.isNotNull()
-        for f in schema.fields:   # a decoded record must carry every required field
-            if not f.nullable:
-                ok_avro = ok_avro & a[f.name].isNotNull()
+        if not any(not f.nullable for f in schema.fields):
+            # PERMISSIVE decoding turns a corrupt body into an all-NULL record:
+            # without required fields, at least one field must be set
+            ok_avro = ok_avro & F.greatest(*[a[f.name].isNotNull() for f in schema.fields], F.lit(False))
         if schema_id is not None:
             ok_avro = ok_avro & (F.hex(F.substring(v, 2, 4)) == F.lit(format(int(schema_id), "08X")))
         decoded = F.when(framed, F.struct(
@@ -96,6 +97,9 @@ def decode_envelope(
                         decoded.alias("_decoded"), framed.alias("_framed"))
     d = F.col("_decoded")
     valid = v.isNotNull() & d.isNotNull() & d[CORRUPT].isNull()
+    for f in schema.fields:   # a record must carry every required field, whatever its encoding
+        if not f.nullable:
+            valid = valid & d[f.name].isNotNull()
     if avro is None:
         valid = valid & ~F.col("_framed")
     valid = F.coalesce(valid, F.lit(False))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from pylonflow.functions.timeutil import duration_us, spark_duration
+from pylonflow.functions.timeutil import duration_us, require_instant, spark_duration
 from pylonflow.session import ship_package
 
 STATE_SCHEMA = T.StructType([T.StructField("last_alert_us", T.LongType())])
@@ -32,11 +32,11 @@ def status_changes_stream(
     key: str = "tower_id",
     watermark: str = "10 seconds",
 ) -> DataFrame:
+    require_instant(alerts, alert_time)
     ship_package(alerts.sparkSession)
     ttl_us = duration_us(ttl)
     key_type = alerts.schema[key].dataType
-    time_type = alerts.schema[alert_time].dataType   # output keeps the input's timestamp type
-    out_schema = T.StructType([T.StructField(key, key_type), T.StructField("changed_at", time_type),
+    out_schema = T.StructType([T.StructField(key, key_type), T.StructField("changed_at", T.TimestampType()),
                                T.StructField("status", T.StringType())])
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
