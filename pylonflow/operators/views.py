@@ -51,7 +51,10 @@ def alert_feed(alerts: DataFrame, limit: int = 50, time_col: str = "window_end",
     ``TakeOrderedAndProject``: each partition keeps its own top n, only n rows
     per partition reach the final merge.
     """
-    ties = tie_cols if tie_cols is not None else [c for c in _TIES if c in alerts.columns]
+    if tie_cols is not None:
+        ties = list(tie_cols)
+    else:   # tower attributes when present, otherwise every other column: a total order either way
+        ties = [c for c in _TIES if c in alerts.columns] or [c for c in alerts.columns if c != time_col]
     return alerts.orderBy(F.col(time_col).desc(), *[F.col(c).asc() for c in ties]).limit(limit)
 
 

@@ -54,6 +54,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -64,14 +67,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    app = spark.conf.get("spark.app.id", "") or str(id(spark))
+    if app in _LOCAL_ROOTS:
+        return _LOCAL_ROOTS[app]
     master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at shared storage "
             "(HDFS/S3/ABFS) before running stateful or chained jobs"
         )
+    # spark.checkpoint.dir is a static setting in Spark 4: remember the folder
+    # and register it as the context's checkpoint directory instead
     root = tempfile.mkdtemp(prefix="pylonflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", root)
+    try:
+        spark.sparkContext.setCheckpointDir(root)
+    except Exception:  # noqa: BLE001 - Spark Connect
+        pass
+    _LOCAL_ROOTS[app] = root
     return root
 
 

@@ -35,13 +35,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """The same table as an append-only file stream.
 
-    File streams need a directory, so the folder is scanned with a glob
-    filter that admits only this table's file(s); the schema is taken from
-    the batch reader once and fixed (streams never infer).
+    File streams need a directory: a table stored as one file is streamed
+    from its folder with a glob filter admitting only that file; a table
+    stored as a folder of part files is streamed directly. The schema is
+    taken from the batch reader once and fixed (streams never infer).
     """
     apply_engine_conf(spark)
-    schema = spark.read.parquet(table_path(sf_dir, name)).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    path = table_path(sf_dir, name)
+    batch = spark.read.parquet(path)
+    reader = spark.readStream.schema(batch.schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return _fix_ntz(reader.parquet(sf_dir.rstrip("/") + "/"))
+    files = batch.inputFiles()   # file listing only, no data read
+    if len(files) == 1 and files[0].rstrip("/").endswith("/" + f"{name}.parquet"):
+        # a single-file table: stream its folder, admitting only that file
+        return _fix_ntz(reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir.rstrip("/") + "/"))
+    return _fix_ntz(reader.parquet(path))   # a table folder (part files)

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -32,37 +33,52 @@ def status_changes_stream(
     key: str = "tower_id",
     watermark: str = "10 seconds",
 ) -> DataFrame:
+    """Live red/green changes per key (append mode).
+
+    Times cross into Python as epoch microseconds computed by Spark
+    (``unix_micros``) and come back the same way, so no session time zone is
+    involved. If ``last alert + ttl`` is already behind the watermark (an
+    out-of-order alert after event time jumped ahead), green is emitted at
+    once instead of arming a timer in the past.
+    """
     require_instant(alerts, alert_time)
     ship_package(alerts.sparkSession)
     ttl_us = duration_us(ttl)
     key_type = alerts.schema[key].dataType
-    out_schema = T.StructType([T.StructField(key, key_type), T.StructField("changed_at", T.TimestampType()),
+    out_schema = T.StructType([T.StructField(key, key_type), T.StructField("changed_at_us", T.LongType()),
                                T.StructField("status", T.StringType())])
 
     def step(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        events: list[tuple[pd.Timestamp, str]] = []
-        to_ts = lambda us: pd.Timestamp(int(us), unit="us")
+        events: list[tuple[int, str]] = []
         if state.hasTimedOut:
             last = state.get[0]
             state.remove()
-            events.append((to_ts(last + ttl_us), "green"))
+            events.append((last + ttl_us, "green"))
         else:
             last = state.get[0] if state.exists else None
-            times = sorted(int(t.value // 1000) for b in batches for t in pd.to_datetime(b[alert_time]))
+            times = sorted(int(t) for b in batches for t in b["_t_us"])
             for t in times:
                 if last is not None and t - last > ttl_us:
-                    events.append((to_ts(last + ttl_us), "green"))
+                    events.append((last + ttl_us, "green"))
                     last = None
                 if last is None:
-                    events.append((to_ts(t), "red"))
+                    events.append((t, "red"))
                 last = t if last is None else max(last, t)
             if last is not None:
-                state.update((last,))
-                state.setTimeoutTimestamp((last + ttl_us) // 1000)  # milliseconds
+                expiry_ms = (last + ttl_us) // 1000
+                wm = state.getCurrentWatermarkMs()
+                if wm is not None and wm > 0 and expiry_ms <= wm:
+                    state.remove()
+                    events.append((last + ttl_us, "green"))
+                else:
+                    state.update((last,))
+                    state.setTimeoutTimestamp(expiry_ms)
         if events:
-            yield pd.DataFrame({key: [k[0]] * len(events), "changed_at": [e[0] for e in events],
+            yield pd.DataFrame({key: [k[0]] * len(events), "changed_at_us": [e[0] for e in events],
                                 "status": [e[1] for e in events]})
 
-    return (alerts.withWatermark(alert_time, spark_duration(watermark, allow_zero=True))
-            .groupBy(key)
-            .applyInPandasWithState(step, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout))
+    staged = (alerts.withWatermark(alert_time, spark_duration(watermark, allow_zero=True))
+              .select(key, alert_time, F.unix_micros(F.col(alert_time)).alias("_t_us")))
+    return (staged.groupBy(key)
+            .applyInPandasWithState(step, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+            .select(key, F.timestamp_micros("changed_at_us").alias("changed_at"), "status"))

@@ -143,3 +143,9 @@ def test_breach_flags_unique_names_per_rule(spark):
     cols = [c for c in out.columns if c.endswith("_breach")]
     assert len(cols) == 3 and "any_breach" in cols
     assert [r.any_breach for r in out.collect()] == [True, True, False]
+
+
+def test_sql_statement_uses_the_configured_output_column(spark):
+    from pylonflow.plans.sql import generate_runbooks_sql
+    out = generate_runbooks_sql(spark, SF001, model=ModelSpec(output_col="answer"))
+    assert out.count() == 5 and out.filter("agent_response LIKE 'SEVERITY:%'").count() == 5

@@ -28,7 +28,7 @@ def test_encode_envelope_is_keyed_json(spark):
     assert bytes(r.key) == b"TWR-002" and r.timestamp.astimezone(timezone.utc) == t0 if r.timestamp.tzinfo \
         else bytes(r.key) == b"TWR-002"
     assert json.loads(bytes(r.value)) == {"tower_id": "TWR-002", "temperature": 91.4,
-                                          "event_time": "2024-01-01T12:00:00.000Z"}
+                                          "event_time": "2024-01-01T12:00:00.000000Z"}
 
 
 def test_decode_keeps_empty_object_rejects_wrong_types(spark):
@@ -112,3 +112,40 @@ def test_avro_logical_type_defaults():
         {"name": "t", "type": [{"type": "long", "logicalType": "timestamp-millis"}, "null"],
          "default": 1704067200000}]}
     assert struct_from_avro(union)[1] == {"t": datetime(2024, 1, 1, tzinfo=timezone.utc)}
+
+
+def test_json_envelope_keeps_microseconds(spark):
+    from pylonflow.schemas import TELEMETRY
+    from pylonflow.sources.telemetry import telemetry_from_events
+    tel = telemetry_from_events(spark.createDataFrame([(3,)], "event_id long")) \
+        .withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 0.000123 SECOND"))
+    back = decode_envelope(encode_envelope(tel, key="tower_id"), TELEMETRY).first()
+    assert back.event_time == tel.first().event_time and back.event_time.microsecond % 1000 == 123
+
+
+def test_stream_table_reads_folder_tables(spark, tmp_path):
+    d = str(tmp_path)
+    spark.range(10).withColumnRenamed("id", "event_id").write.parquet(d + "/events.parquet")
+    st = stream_table(spark, d, "events")
+    q = st.writeStream.format("memory").queryName("folder_table_probe").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert spark.table("folder_table_probe").count() == 10
+
+
+def test_checkpoint_root_fallback_without_setting():
+    from pylonflow import session
+
+    class Conf:
+        def get(self, k, d=None):
+            return {"spark.master": "local[1]", "spark.app.id": "fake-app"}.get(k, d)
+
+    class Ctx:
+        def setCheckpointDir(self, p):
+            self.dir = p
+
+    class FakeSpark:
+        conf, sparkContext = Conf(), Ctx()
+
+    fake = FakeSpark()
+    root = session.checkpoint_root(fake)
+    assert root == session.checkpoint_root(fake) and fake.sparkContext.dir == root

@@ -178,3 +178,25 @@ def test_stateful_twins_on_rocksdb_state_store(spark):
             assert a[:3] == b[:3], name
     finally:
         spark.conf.set(key, old)
+
+
+def test_live_status_survives_out_of_order_alerts_and_non_utc_zone(spark, scratch):
+    from datetime import datetime, timedelta, timezone
+
+    from pylonflow.streaming.status import status_changes_stream
+    t0 = datetime(2024, 1, 1, 0, 1, tzinfo=timezone.utc)
+    schema = "tower_id string, window_end timestamp"
+    src = f"{scratch}/alerts_in"
+    for i, (k, m) in enumerate([("A", 0), ("B", 10), ("X", 5)]):   # X arrives after the watermark jumped
+        spark.createDataFrame([(k, t0 + timedelta(minutes=m))], schema).coalesce(1).write.parquet(f"{src}/b{i}")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(src + "/*")
+        out = run_to_sink(status_changes_stream(stream), Sink(f"{scratch}/out", f"{scratch}/ck"))
+        got = {(r.tower_id, r.status): r.changed_at.replace(tzinfo=None) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ("X", "red") in got and ("X", "green") in got          # green emitted at once, no invalid timer
+    assert ("A", "green") in got and ("B", "red") in got
+    assert len(got) == 5
