@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pylonflow.functions.timeutil import as_time, shift_time, time_literal
 
@@ -42,6 +43,16 @@ def latest_by_tower(telemetry: DataFrame) -> DataFrame:
 _TIES = ("tower_id", "tower_name", "latitude", "longitude")
 
 
+def _orderable(t: T.DataType) -> bool:
+    if isinstance(t, (T.MapType, T.VariantType)):
+        return False
+    if isinstance(t, T.StructType):
+        return all(_orderable(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return _orderable(t.elementType)
+    return True
+
+
 def alert_feed(alerts: DataFrame, limit: int = 50, time_col: str = "window_end",
                tie_cols: Sequence[str] | None = None) -> DataFrame:
     """Newest ``limit`` alerts: ORDER BY window_end DESC, tower_id, ... LIMIT n.
@@ -53,8 +64,11 @@ def alert_feed(alerts: DataFrame, limit: int = 50, time_col: str = "window_end",
     """
     if tie_cols is not None:
         ties = list(tie_cols)
-    else:   # tower attributes when present, otherwise every other column: a total order either way
-        ties = [c for c in _TIES if c in alerts.columns] or [c for c in alerts.columns if c != time_col]
+    else:   # tower attributes first, then every other orderable column: a total order
+        first = [c for c in _TIES if c in alerts.columns]
+        rest = [f.name for f in alerts.schema.fields
+                if f.name != time_col and f.name not in first and _orderable(f.dataType)]
+        ties = first + rest
     return alerts.orderBy(F.col(time_col).desc(), *[F.col(c).asc() for c in ties]).limit(limit)
 
 

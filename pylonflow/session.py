@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -55,36 +56,47 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 _LOCAL_ROOTS: dict[str, str] = {}
+_ROOT_LOCK = threading.Lock()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting must point at shared storage; we never invent a
-    machine-local folder there. Only a local-mode session without the setting
-    (tests) gets a scratch folder, and the setting is recorded on the session.
+    machine-local folder there. A local-mode session without the setting
+    (tests) uses the context's checkpoint directory if one was set, otherwise
+    a scratch folder that is registered as the context's checkpoint directory
+    and reused for the rest of the application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
     app = spark.conf.get("spark.app.id", "") or str(id(spark))
-    if app in _LOCAL_ROOTS:
-        return _LOCAL_ROOTS[app]
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at shared storage "
-            "(HDFS/S3/ABFS) before running stateful or chained jobs"
-        )
-    # spark.checkpoint.dir is a static setting in Spark 4: remember the folder
-    # and register it as the context's checkpoint directory instead
-    root = tempfile.mkdtemp(prefix="pylonflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    try:
-        spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # noqa: BLE001 - Spark Connect
-        pass
-    _LOCAL_ROOTS[app] = root
-    return root
+    with _ROOT_LOCK:
+        if app in _LOCAL_ROOTS:
+            return _LOCAL_ROOTS[app]
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; point it at shared storage "
+                "(HDFS/S3/ABFS) before running stateful or chained jobs"
+            )
+        existing = None
+        try:
+            existing = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - Spark Connect / fakes
+            pass
+        if existing:
+            root = existing.rstrip("/")
+        else:
+            # spark.checkpoint.dir is static in Spark 4: register the folder on the context instead
+            root = tempfile.mkdtemp(prefix="pylonflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+            try:
+                spark.sparkContext.setCheckpointDir(root)
+            except Exception:  # noqa: BLE001 - Spark Connect
+                pass
+        _LOCAL_ROOTS[app] = root
+        return root
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:

@@ -137,7 +137,8 @@ def encode_envelope(df: DataFrame, key: str | None = "tower_id", time_col: str |
         header = F.unhex(F.lit("00" + format(int(schema_id), "08x")))
         value = F.concat(header, avro.to_avro(body, avro_schema))
     else:
-        value = F.to_json(body, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).cast("binary")
+        value = F.to_json(body, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                                 "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).cast("binary")
     out = [F.col(key).cast("binary").alias("key") if key else F.lit(None).cast("binary").alias("key"),
            value.alias("value")]
     if time_col:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +48,7 @@ def stream_table(spark: SparkSession, sf_dir: str, name: str, max_files_per_trig
     reader = spark.readStream.schema(batch.schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = batch.inputFiles()   # file listing only, no data read
+    files = [unquote(f) for f in batch.inputFiles()]   # file listing only, no data read
     if len(files) == 1 and files[0].rstrip("/").endswith("/" + f"{name}.parquet"):
         # a single-file table: stream its folder, admitting only that file
         return _fix_ntz(reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir.rstrip("/") + "/"))

@@ -67,7 +67,7 @@ def status_changes_stream(
             if last is not None:
                 expiry_ms = (last + ttl_us) // 1000
                 wm = state.getCurrentWatermarkMs()
-                if wm is not None and wm > 0 and expiry_ms <= wm:
+                if wm is not None and wm > 0 and expiry_ms < wm:   # a timer there would be rejected
                     state.remove()
                     events.append((last + ttl_us, "green"))
                 else:
@@ -78,6 +78,7 @@ def status_changes_stream(
                                 "status": [e[1] for e in events]})
 
     staged = (alerts.withWatermark(alert_time, spark_duration(watermark, allow_zero=True))
+              .filter(F.col(alert_time).isNotNull())
               .select(key, alert_time, F.unix_micros(F.col(alert_time)).alias("_t_us")))
     return (staged.groupBy(key)
             .applyInPandasWithState(step, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)

@@ -132,14 +132,21 @@ def test_stream_table_reads_folder_tables(spark, tmp_path):
     assert spark.table("folder_table_probe").count() == 10
 
 
-def test_checkpoint_root_fallback_without_setting():
+def test_checkpoint_root_fallback_without_setting(monkeypatch, tmp_path):
     from pylonflow import session
+    monkeypatch.setattr(session, "_LOCAL_ROOTS", {})
+    monkeypatch.setenv("TMPDIR", str(tmp_path))
 
     class Conf:
         def get(self, k, d=None):
             return {"spark.master": "local[1]", "spark.app.id": "fake-app"}.get(k, d)
 
     class Ctx:
+        dir = None
+
+        def getCheckpointDir(self):
+            return self.dir
+
         def setCheckpointDir(self, p):
             self.dir = p
 
@@ -147,5 +154,13 @@ def test_checkpoint_root_fallback_without_setting():
         conf, sparkContext = Conf(), Ctx()
 
     fake = FakeSpark()
+    fake.sparkContext = Ctx()
     root = session.checkpoint_root(fake)
     assert root == session.checkpoint_root(fake) and fake.sparkContext.dir == root
+    assert root.startswith(str(tmp_path))
+    # an existing context checkpoint directory is reused, not replaced
+    monkeypatch.setattr(session, "_LOCAL_ROOTS", {})
+    fake2 = FakeSpark()
+    fake2.sparkContext = Ctx()
+    fake2.sparkContext.dir = "/data/ckpt"
+    assert session.checkpoint_root(fake2) == "/data/ckpt" and fake2.sparkContext.dir == "/data/ckpt"
