@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from pylonflow.llm.decontaminate import OP1_SQL, op1_decontamination
 from pylonflow.llm.mixing import op7_entropy_mixing
 from pylonflow.llm.quality import OP3_SQL, op3_quality_rules
 from pylonflow.llm.sharding import op2_hash_tree_sharding
+from pylonflow.llm.toxicity import op6_toxicity_cnn
 
 QUERIES = {
+    "op1_decontamination": op1_decontamination,
     "op2_hash_tree_sharding": op2_hash_tree_sharding,
     "op3_quality_rules": op3_quality_rules,
+    "op6_toxicity_cnn": op6_toxicity_cnn,
     "op7_entropy_mixing": op7_entropy_mixing,
 }
 
 ORACLE = {
+    "op1_decontamination": OP1_SQL,
     "op3_quality_rules": OP3_SQL,
 }
