@@ -49,13 +49,16 @@ _IS_WORD = ((_BYTES >= 0x30) & (_BYTES <= 0x39)) | ((_BYTES >= 0x61) & (_BYTES <
 _CLEAN = np.where((_BYTES >= 0x41) & (_BYTES <= 0x5A), _BYTES + 32, np.where(_IS_WORD, _BYTES, 0x20)).astype(np.uint8)
 
 
-def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All words of an array of texts, one after another, and each text's number of words."""
+def words_of(texts: pa.Array, clean_table: np.ndarray = _CLEAN) -> tuple[pa.Array, np.ndarray]:
+    """All words of an array of texts, one after another, and each text's number of words.
+
+    ``clean_table`` maps every byte to itself, to its lower case, or to a space if it parts words.
+    """
     raw = pc.fill_null(texts.cast(pa.large_binary()), b"")
     offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset: raw.offset + len(raw) + 1]
     if not len(raw) or raw.buffers()[2] is None or offsets[0] == offsets[-1]:
         return pa.array([], pa.binary()), np.zeros(len(raw), np.int64)
-    clean = _CLEAN[np.frombuffer(raw.buffers()[2], np.uint8)[offsets[0]: offsets[-1]]]
+    clean = clean_table[np.frombuffer(raw.buffers()[2], np.uint8)[offsets[0]: offsets[-1]]]
     offsets = offsets - offsets[0]
     word = clean != 0x20
     before = np.empty(len(word), bool)

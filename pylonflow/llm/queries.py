@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pylonflow.llm.decontaminate import OP1_SQL, op1_decontamination
+from pylonflow.llm.jaccard import op8_jaccard_join
 from pylonflow.llm.mixing import op7_entropy_mixing
 from pylonflow.llm.quality import OP3_SQL, op3_quality_rules
 from pylonflow.llm.sharding import op2_hash_tree_sharding
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op6_toxicity_cnn": op6_toxicity_cnn,
     "op7_entropy_mixing": op7_entropy_mixing,
+    "op8_jaccard_join": op8_jaccard_join,
 }
 
 ORACLE = {
