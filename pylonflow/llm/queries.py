@@ -5,20 +5,25 @@ from __future__ import annotations
 from pylonflow.llm.decontaminate import OP1_SQL, op1_decontamination
 from pylonflow.llm.jaccard import op8_jaccard_join
 from pylonflow.llm.mixing import op7_entropy_mixing
+from pylonflow.llm.preferences import OP10_SQL, op10_preference_format
 from pylonflow.llm.quality import OP3_SQL, op3_quality_rules
 from pylonflow.llm.sharding import op2_hash_tree_sharding
 from pylonflow.llm.toxicity import op6_toxicity_cnn
+from pylonflow.llm.url_filter import op4_url_filter
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_hash_tree_sharding": op2_hash_tree_sharding,
     "op3_quality_rules": op3_quality_rules,
+    "op4_url_filter": op4_url_filter,
     "op6_toxicity_cnn": op6_toxicity_cnn,
     "op7_entropy_mixing": op7_entropy_mixing,
     "op8_jaccard_join": op8_jaccard_join,
+    "op10_preference_format": op10_preference_format,
 }
 
 ORACLE = {
     "op1_decontamination": OP1_SQL,
     "op3_quality_rules": OP3_SQL,
+    "op10_preference_format": OP10_SQL,
 }
