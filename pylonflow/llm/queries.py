@@ -9,6 +9,7 @@ from pylonflow.llm.preferences import OP10_SQL, op10_preference_format
 from pylonflow.llm.quality import OP3_SQL, op3_quality_rules
 from pylonflow.llm.sharding import op2_hash_tree_sharding
 from pylonflow.llm.toxicity import op6_toxicity_cnn
+from pylonflow.llm.training_order import op9_training_order
 from pylonflow.llm.url_filter import op4_url_filter
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
     "op6_toxicity_cnn": op6_toxicity_cnn,
     "op7_entropy_mixing": op7_entropy_mixing,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_training_order": op9_training_order,
     "op10_preference_format": op10_preference_format,
 }
 
