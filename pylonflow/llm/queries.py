@@ -5,6 +5,7 @@ from __future__ import annotations
 from pylonflow.llm.decontaminate import OP1_SQL, op1_decontamination
 from pylonflow.llm.jaccard import op8_jaccard_join
 from pylonflow.llm.mixing import op7_entropy_mixing
+from pylonflow.llm.pii import op5_pii
 from pylonflow.llm.preferences import OP10_SQL, op10_preference_format
 from pylonflow.llm.quality import OP3_SQL, op3_quality_rules
 from pylonflow.llm.sharding import op2_hash_tree_sharding
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_hash_tree_sharding": op2_hash_tree_sharding,
     "op3_quality_rules": op3_quality_rules,
     "op4_url_filter": op4_url_filter,
+    "op5_pii": op5_pii,
     "op6_toxicity_cnn": op6_toxicity_cnn,
     "op7_entropy_mixing": op7_entropy_mixing,
     "op8_jaccard_join": op8_jaccard_join,
