@@ -1,0 +1,119 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from pylonflow.llm import jaccard as j
+from pylonflow.llm.components import connected_components
+
+ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(ASCII))
+    return frozenset(tuple(w[k:k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+
+
+def brute(docs):
+    sets = [(i, shingles(t)) for i, t in docs]
+    root = list(range(len(sets)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in range(len(sets)):
+        for b in range(a):
+            x, y = sets[a][1], sets[b][1]
+            if x and y and sets[a][0] is not None and sets[b][0] is not None and 100 * len(x & y) >= 80 * len(x | y):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    best = {}
+    for k, (i, s) in enumerate(sets):
+        if i is not None and s:
+            best[find(k)] = min(i, best.get(find(k), i))
+    return sorted(((i, len(s), best[find(k)] if i is not None and s else i) for k, (i, s) in enumerate(sets)), key=str)
+
+
+def near_copies(seed, groups=6, size=25, words=60):
+    rng, out = random.Random(seed), []
+    for g in range(groups):
+        base = [f"g{g}w{rng.randrange(500)}" for _ in range(words)]
+        passage = [f"common{k}" for k in range(12)]
+        for k in range(size):
+            t = list(base)
+            for _ in range(rng.randrange(0, 6)):
+                t[rng.randrange(len(t))] = f"edit{rng.randrange(10**6)}"
+            if k % 3 == 0:
+                t += passage
+            out.append((len(out) * 3 + 1, " ".join(t)))
+    out += [(10_000 + k, " ".join(f"own{k}x{i}" for i in range(rng.randrange(1, 40))) + " " + " ".join(f"common{i}" for i in range(12)))
+            for k in range(40)]
+    rng.shuffle(out)
+    return out
+
+
+def found(df):
+    return sorted(((r["id"], r["n_shingles"], r["component_id"]) for r in j.jaccard_components(df).collect()), key=str)
+
+
+@pytest.mark.parametrize("seed,block", [(1, 1024), (2, 7)])
+def test_components_match_brute_force(spark, monkeypatch, seed, block):
+    monkeypatch.setattr(j, "BLOCK", block)
+    docs = near_copies(seed)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert found(df) == brute(docs)
+
+
+def test_threshold_is_exact_on_the_border(spark):
+    # 5 words give 1 shingle; sequences built so that the similarity is exactly 0.8 and just below it
+    base = [f"w{k}" for k in range(22)]                      # 18 shingles
+    at = base[:20] + ["x0", "x1"]                            # 16 of 20: linked
+    below = base[:19] + ["y0", "y1", "y2"]                   # 15 of 21: not linked
+    docs = [(3, " ".join(base)), (2, " ".join(at)), (1, " ".join(below))]
+    assert found(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs) == [(1, 18, 1), (2, 18, 2), (3, 18, 2)]
+
+
+def test_odd_rows_and_empty_tables(spark, odd_docs, no_docs):
+    assert found(odd_docs) == brute([(r["doc_id"], r["text"]) for r in odd_docs.collect()])
+    assert found(no_docs) == []
+
+
+def test_sets_are_those_of_the_texts():
+    texts = ["A b c D e f", "a b\tc d e f", "a b c", "a  b c ", "a b", None, "", " ", "É é x y z"]
+    sets = j.shingle_sets(pa.array(texts))
+    assert [len(s) for s in sets] == [len(shingles(t)) for t in texts]
+    assert np.array_equal(sets[0], sets[1]) and np.array_equal(sets[2], sets[3]) and not np.array_equal(sets[2], sets[4])
+
+
+def test_bitmaps_never_exceed_the_difference():
+    rng = np.random.default_rng(2)
+    for n, m in ((300, 310), (900, 1100), (5, 6)):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: n * 9 // 10], rng.integers(0, 2**63, m - n * 9 // 10).astype(np.uint64)]))
+        size = np.array([len(a), len(b)])
+        rows = sorted([(len(a), a), (len(b), b)], key=lambda x: x[0])
+        maps = j._Bitmaps(np.sort(size), [j.parity_bitmap(x).tobytes() for _, x in rows])
+        table = maps.at[int(maps.width[0])]
+        apart = int(np.bitwise_count(table[0] ^ table[1]).sum())
+        assert apart <= len(np.setxor1d(a, b))
+
+
+def test_shared_only_across_batches():
+    token = [1, 1, 2, 3, 3, 3, 4, 4, 5]
+    hi = [7, 8, 1, 5, 5, 6, 9, 9, 2]
+    want = [(1, 7), (1, 8), (3, 5), (3, 6)]
+    for cut in range(10):
+        parts = [pa.RecordBatch.from_arrays([pa.array(token[a:b], pa.int64()), pa.array(hi[a:b], pa.int64())], names=["token", "hi"])
+                 for a, b in ((0, cut), (cut, 9))]
+        got = [r for b in j._shared_only(iter(parts)) for r in zip(*[c.to_pylist() for c in b.columns], strict=True)]
+        assert got == want
+
+
+def test_components_of_a_long_path_and_a_star(spark):
+    links = [(k, k + 1) for k in range(1, 60)] + [(100, 100 + k) for k in range(1, 30)] + [(200, 200)]
+    got = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {k: 1 for k in range(1, 61)} | {100 + k: 100 for k in range(30)}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
