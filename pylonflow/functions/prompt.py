@@ -5,28 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_NL = "\n"
+# The prompt's lines: (label, column, unit) parts. Numbers are rounded HALF_UP to one place, e.g. "90.7".
+PROMPT_LINES = (
+    (("Tower:", "tower_id", ""), (" ", "tower_name", "")),
+    (("AvgTemp:", "round(avg_temperature, 1)", "C"), (" MaxTemp:", "round(max_temperature, 1)", "C")),
+    (("AvgSig:", "round(avg_signal, 1)", "dBm"), (" MinSig:", "round(min_signal, 1)", "dBm")),
+    (("Events:", "event_count", ""),),
+)
 
 
-def _num(c: str) -> Column:
-    # ROUND(x, 1) is HALF_UP in Spark; cast to text gives e.g. "90.7" / "-95.2".
-    return F.round(F.col(c), 1).cast("string")
+def prompt_sql() -> str:
+    """The prompt as one Spark SQL expression (``concat`` is NULL-propagating: a NULL field gives a NULL prompt)."""
+    lines = ["".join(f"'{label}', CAST({value} AS STRING), '{unit}', " for label, value, unit in line) for line in PROMPT_LINES]
+    return "concat(" + "char(10), ".join(lines).rstrip(", ") + ")"
 
 
 def prompt_expr() -> Column:
-    """``Tower:<id> <name>\\nAvgTemp:<t>C MaxTemp:<t>C\\nAvgSig:<s>dBm MinSig:<s>dBm\\nEvents:<n>``.
-
-    ``concat`` is NULL-propagating: a NULL field gives a NULL prompt.
-    """
-    NL = F.lit(_NL)
-    return F.concat(
-        F.lit("Tower:"), F.col("tower_id"), F.lit(" "), F.col("tower_name"), NL,
-        F.lit("AvgTemp:"), _num("avg_temperature"), F.lit("C"),
-        F.lit(" MaxTemp:"), _num("max_temperature"), F.lit("C"), NL,
-        F.lit("AvgSig:"), _num("avg_signal"), F.lit("dBm"),
-        F.lit(" MinSig:"), _num("min_signal"), F.lit("dBm"), NL,
-        F.lit("Events:"), F.col("event_count").cast("string"),
-    )
+    return F.expr(prompt_sql())
 
 
 def build_prompt(alerts: DataFrame, output_col: str = "prompt") -> DataFrame:

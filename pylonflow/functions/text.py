@@ -1,7 +1,8 @@
 """Line-oriented text helpers as native Spark expressions (no Python UDF).
 
 The runbook text is parsed with higher-order functions over the array of
-lines, so it stays inside the JVM and whole-stage codegen.
+lines, so it stays inside the JVM (higher-order functions are evaluated
+row by row there, outside whole-stage codegen; no Python runs).
 """
 
 from __future__ import annotations

@@ -4,25 +4,21 @@ A key turns red at an alert and back to green ``ttl`` after its last alert,
 so an episode is [first alert, last alert + ttl). Gaps of exactly ``ttl``
 stay in one episode.
 
-Batch plan (skew-safe gaps-and-islands, the input is consumed once):
+Batch plan (gaps-and-islands, safe on hot keys):
 
 1. rows are cut into (key, time bucket) partitions; one window pass inside
-   each partition gives every row its local neighbours (``lag``/``lead``)
-   and local rank. A key that holds a third of all rows is spread over its
-   buckets, so no task holds more than one bucket of one key;
-2. only candidate rows survive: the first and last row of each bucket and
-   rows that start or end an episode locally (at most two per bucket plus
-   two per episode);
-3. a per-key window over the candidates stitches buckets together: the
-   previous candidate of a bucket's first row is the last row of the
-   previous bucket (and vice versa), and a running sum of bucket sizes
-   turns local ranks into global ones; a second pass over the same
-   partitioning pairs every episode end with its start.
-
-Exchanges: one on (key, bucket) for the rows, one on key for the candidates.
-The per-key steps see candidates only, bounded by time span / bucket width
-plus the episode count, not by data size. The streaming twin uses
-``session_window`` in append mode.
+   each partition finds the local runs, which are then aggregated to one row
+   each. A key that holds a third of all rows is spread over its buckets;
+2. a run that is neither the first nor the last of its bucket has its
+   neighbours in the same bucket, further than ``ttl`` away: it is an episode
+   already;
+3. only the first and last run of each bucket, two rows at most, meet in a
+   per-key window that joins runs across bucket borders. What a key brings
+   together there is bounded by its number of buckets, not by its rows or
+   episodes.
+
+Exchanges: one on (key, bucket) for the rows, one on key for the border
+runs. The streaming twin uses ``session_window`` in append mode.
 """
 
 from __future__ import annotations
@@ -39,6 +35,28 @@ from pylonflow.functions.timeutil import (
 EPISODE_COLS = ("episode_start", "episode_end", "last_alert", "alert_count")
 
 
+def local_runs(
+    alerts: DataFrame, ttl: str = "90 seconds", alert_time: str = "window_end",
+    keys: Sequence[str] = ("tower_id",), bucket: str = "1 day",
+) -> DataFrame:
+    """Runs inside (key, bucket): ``_first``, ``_last`` (epoch micros), ``_n`` rows, and ``_border`` for the
+    first and last run of a bucket (at most two)."""
+    ttl_us, bucket_us = duration_us(ttl), duration_us(bucket)
+    tcol, ntz = as_time(alerts, alert_time)   # wall-clock input: gaps measured without any time zone
+    rows = (alerts.filter(tcol.isNotNull())
+            .select(*keys, to_epoch_us(tcol, ntz).alias("_t"))
+            .withColumn("_b", F.expr(f"(_t - pmod(_t, {bucket_us})) div {bucket_us}"))  # exact floor
+            .groupBy(*keys, "_b", "_t").agg(F.count(F.lit(1)).alias("_c")))   # equal times are one row, summed before the shuffle
+    part = Window.partitionBy(*keys, "_b")
+    starts = F.when(F.col("_t") - F.lag("_t").over(part.orderBy("_t")) > ttl_us, 1).otherwise(0)
+    staged = rows.withColumn("_start", starts)
+    staged = staged.withColumn("_run", F.sum("_start").over(
+        part.orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)))
+    runs = staged.groupBy(*keys, "_b", "_run").agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"),
+                                                    F.sum("_c").alias("_n"))
+    return runs.withColumn("_border", (F.col("_run") == 0) | (F.col("_run") == F.max("_run").over(part)))
+
+
 def red_episodes(
     alerts: DataFrame,
     ttl: str = "90 seconds",
@@ -46,48 +64,20 @@ def red_episodes(
     keys: Sequence[str] = ("tower_id",),
     bucket: str = "1 day",
 ) -> DataFrame:
-    ttl_us, bucket_us = duration_us(ttl), duration_us(bucket)
-    keys = list(keys)
-    t = F.col("_t")
-    tcol, ntz = as_time(alerts, alert_time)   # wall-clock input: gaps measured without any time zone
-    rows = (alerts.filter(tcol.isNotNull())
-            .select(*keys, to_epoch_us(tcol, ntz).alias("_t"))
-            .withColumn("_b", F.expr(f"(_t - pmod(_t, {bucket_us})) div {bucket_us}")))  # exact floor
-
-    # 1. local pass inside (key, bucket)
-    local = Window.partitionBy(*keys, "_b").orderBy("_t")
-    lprev, lnext = F.lag("_t").over(local), F.lead("_t").over(local)
-    staged = rows.select(*keys, "_t", F.row_number().over(local).alias("_lr"),
-                         lprev.alias("_lprev"), lnext.alias("_lnext"))
-    first, last = F.col("_lr") == 1, F.col("_lnext").isNull()
-    local_start = F.col("_lprev").isNotNull() & (t - F.col("_lprev") > ttl_us)
-    local_end = F.col("_lnext").isNotNull() & (F.col("_lnext") - t > ttl_us)
-
-    # 2. candidates only
-    cand = (staged.filter(first | last | local_start | local_end)
-            .select(*keys, "_t", "_lr", "_lprev", "_lnext", first.alias("_first"), last.alias("_last")))
-
-    # 3. stitch buckets per key, then pair ends with starts (same partitioning and order)
-    per_key = Window.partitionBy(*keys).orderBy("_t", "_lr")
-    gprev = F.when(F.col("_first"), F.lag("_t").over(per_key)).otherwise(F.col("_lprev"))
-    gnext = F.when(F.col("_last"), F.lead("_t").over(per_key)).otherwise(F.col("_lnext"))
-    n_before = F.coalesce(F.sum(F.when(F.col("_last"), F.col("_lr")))
-                          .over(per_key.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    flagged = (cand.select(*keys, "_t", (n_before + F.col("_lr")).alias("_rank"),
-                           (gprev.isNull() | (t - gprev > ttl_us)).alias("_start"),
-                           (gnext.isNull() | (gnext - t > ttl_us)).alias("_end"))
-               .filter(F.col("_start") | F.col("_end")))
-
-    upto = Window.partitionBy(*keys).orderBy("_t", "_rank").rowsBetween(Window.unboundedPreceding, 0)
-    paired = flagged.select(*keys, "_t", "_rank", "_end",
-                            F.max(F.when(F.col("_start"), t)).over(upto).alias("_s_t"),
-                            F.max(F.when(F.col("_start"), F.col("_rank"))).over(upto).alias("_s_rank"))
-    return (paired.filter(F.col("_end"))
-            .select(*keys,
-                    from_epoch_us(F.col("_s_t"), ntz).alias("episode_start"),
-                    from_epoch_us(t + F.lit(ttl_us), ntz).alias("episode_end"),
-                    from_epoch_us(t, ntz).alias("last_alert"),
-                    (F.col("_rank") - F.col("_s_rank") + 1).alias("alert_count")))
+    ttl_us, keys = duration_us(ttl), list(keys)
+    _, ntz = as_time(alerts, alert_time)
+    runs = local_runs(alerts, ttl, alert_time, keys, bucket)
+    per_key = Window.partitionBy(*keys).orderBy("_first")
+    border = runs.filter("_border")
+    border = border.withColumn("_new", F.when(F.col("_first") - F.lag("_last").over(per_key) <= ttl_us, 0).otherwise(1))
+    joined = (border.withColumn("_island", F.sum("_new").over(per_key.rowsBetween(Window.unboundedPreceding, 0)))
+              .groupBy(*keys, "_island").agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"),
+                                             F.sum("_n").alias("_n")))
+    cols = [*keys, "_first", "_last", "_n"]
+    return joined.select(*cols).unionByName(runs.filter("NOT _border").select(*cols)).select(
+        *keys, from_epoch_us(F.col("_first"), ntz).alias("episode_start"),
+        from_epoch_us(F.col("_last") + F.lit(ttl_us), ntz).alias("episode_end"),
+        from_epoch_us(F.col("_last"), ntz).alias("last_alert"), F.col("_n").alias("alert_count"))
 
 
 def red_episodes_stream(
@@ -99,8 +89,11 @@ def red_episodes_stream(
 ) -> DataFrame:
     """Streaming twin: ``session_window(alert_time, ttl)`` per key, append
     mode (an episode is emitted once the watermark passes its end). Event
-    time must be TIMESTAMP (Spark's watermark rejects TIMESTAMP_NTZ)."""
+    time must be TIMESTAMP (Spark's watermark rejects TIMESTAMP_NTZ). Sessions
+    are merged inside each input partition first, so that a hot key sends a
+    few sessions a task, not its rows."""
     require_instant(alerts, alert_time)
+    alerts.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     df = alerts.withWatermark(alert_time, spark_duration(watermark, allow_zero=True)) if watermark else alerts
     return (df.groupBy(*keys, F.session_window(alert_time, spark_duration(ttl)).alias("_s"))
             .agg(F.min(alert_time).alias("episode_start"), F.max(alert_time).alias("last_alert"),

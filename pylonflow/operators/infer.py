@@ -3,17 +3,21 @@
 ``predict`` appends one model response per input row. The call is a
 user-supplied Python callable ``(system_prompt, prompt, params) -> str``;
 a network client is the user's business, the engine owns concurrency,
-pacing, retries and timeouts.
+pacing, retries and timeouts: a call that does not return within
+``client_timeout`` counts as failed and is retried, whatever the client does.
 
 Physical shape: ``filter(prompt IS NOT NULL)`` -> optional
 ``repartition(n_callers)`` -> ``mapInPandas``. Each Python task is one
-serial caller, so ``n_callers`` is the number of calls in flight. Rows reach
+serial caller, so ``n_callers`` is the number of calls in flight; without it
+every partition is a caller, as many as tasks run at once. Set it whenever
+the model has a quota. Rows reach
 Python as Arrow batches; only the columns of the frame passed in travel, so
 project before calling.
 """
 
 from __future__ import annotations
 
+import queue
 import re
 import threading
 import time
@@ -27,16 +31,17 @@ from pyspark.sql import types as T
 
 from pylonflow.session import ship_package
 
-# The runbook instruction given to the model.
+# The instruction given with every prompt. Only the labels are fixed (the parser reads them); the wording is a default.
 SYSTEM_PROMPT = (
-    "You are a 5G NOC agent. Reply using ONLY these 7 lines:\n"
-    "SEVERITY: CRITICAL|HIGH|MEDIUM|LOW\n"
-    "DIAGNOSIS: <10 words max>\n"
-    "ACTION1: <action>\n"
-    "ACTION2: <action>\n"
-    "ACTION3: <action>\n"
-    "ESCALATION: <who and when>\n"
-    "TICKET: P1|P2|P3|P4"
+    "Write a runbook for the network alert that follows. Put each item on a line of its own behind its label, "
+    "in this order, and write nothing else.\n"
+    "SEVERITY: one word, CRITICAL, HIGH, MEDIUM or LOW\n"
+    "DIAGNOSIS: the likely cause, briefly\n"
+    "ACTION1: the first step\n"
+    "ACTION2: the next step\n"
+    "ACTION3: the step after that\n"
+    "ESCALATION: whom to call, and by when\n"
+    "TICKET: priority P1, P2, P3 or P4"
 )
 
 ModelCall = Callable[[str, str, dict], str]
@@ -67,10 +72,15 @@ class CallOptions:
     up to ``max_in_flight`` concurrent calls per caller, results kept in row
     order); the number of callers is ``predict(n_callers=...)``.
     ``calls_per_minute`` paces each caller (call starts at least 60/rate s
-    apart, remembered per Python worker across tasks and micro-batches); ``total_calls_per_minute`` is a budget for all callers together
-    (a provider quota), split evenly over ``n_callers``. ``retry_count``
-    extra attempts follow a failure with exponential back-off starting at
-    ``backoff_s``; ``client_timeout`` is handed to the callable in ``params``.
+    apart, remembered per Python worker across tasks and micro-batches; a
+    worker that does not know when its caller last called waits a whole gap
+    first, so that new workers cannot exceed it). ``total_calls_per_minute``
+    is a budget for all callers together (a provider quota), split evenly
+    over ``n_callers``: however many workers come and go, at most
+    ``n_callers`` tasks call, each at its share. ``retry_count`` extra
+    attempts follow a failure with exponential back-off starting at
+    ``backoff_s``. ``client_timeout`` (seconds) is enforced on every attempt
+    and also handed to the callable in ``params``.
     Keyword-only, so adding an option never shifts the meaning of others.
     """
 
@@ -106,12 +116,35 @@ class _Pacer:
         if not self.min_gap:
             return
         with self._lock:
-            wait = _LAST_CALL.get(self.key, 0.0) + self.min_gap - time.monotonic()
+            last = _LAST_CALL.setdefault(self.key, time.monotonic())   # a new worker: as if it had just called
+            wait = last + self.min_gap - time.monotonic()
             if wait > 0:
                 time.sleep(wait)
             _LAST_CALL[self.key] = time.monotonic()
 
 
+def call_within(call: ModelCall, system_prompt: str, prompt: str, params: dict, timeout: float | None) -> str:
+    """Run the call in a thread of its own; a ``TimeoutError`` after ``timeout`` seconds leaves it behind."""
+    if not timeout:
+        return call(system_prompt, prompt, params)
+    done: queue.SimpleQueue = queue.SimpleQueue()
+
+    def run() -> None:
+        try:
+            done.put((True, call(system_prompt, prompt, params)))
+        except BaseException as exc:  # noqa: BLE001 - handed to the caller
+            done.put((False, exc))
+
+    threading.Thread(target=run, daemon=True).start()   # a daemon: a hung call does not keep the worker alive
+    try:
+        ok, value = done.get(timeout=timeout)
+    except queue.Empty:
+        raise TimeoutError(f"no answer within {timeout:g} s") from None
+    if not ok:
+        raise value
+    return value
+
+
 def _call_with_retry(call: ModelCall, system_prompt: str, prompt: str, params: dict, opts: CallOptions,
                      sleep=time.sleep, before_attempt=None) -> str:
     attempt = 0
@@ -119,7 +152,7 @@ def _call_with_retry(call: ModelCall, system_prompt: str, prompt: str, params: d
         try:
             if before_attempt is not None:
                 before_attempt()  # pacing applies to every attempt, retries included
-            return call(system_prompt, prompt, params)
+            return call_within(call, system_prompt, prompt, params, opts.client_timeout)
         except Exception as exc:  # noqa: BLE001 - any provider failure is retried
             if attempt >= opts.retry_count:
                 raise ModelCallError(f"model call failed after {attempt + 1} attempts: {exc}") from exc

@@ -8,13 +8,14 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pylonflow.functions.predicates import ESCALATION_RULES, Rule
 from pylonflow.functions.prompt import prompt_expr
 from pylonflow.functions.text import all_label_values, last_label_value, nonempty_lines, numbered
 from pylonflow.operators.filters import escalation_filter
 from pylonflow.operators.infer import CallOptions, ModelCall, ModelSpec, predict, rule_model
-from pylonflow.schemas import PARSED_FIELDS, RESPONSE, conform
+from pylonflow.schemas import DEFAULTS, PARSED_FIELDS, RESPONSE, conform
 
 _CARRIED = ("tower_id", "tower_name", "window_start", "window_end",
             "avg_temperature", "avg_signal", "max_temperature", "min_signal", "event_count")
@@ -40,21 +41,35 @@ def generate_runbooks(
     options: CallOptions = CallOptions(),
     n_callers: int | None = None,
     processed_at: datetime | str | Column | None = None,
+    carry: Sequence[str] = (),
+    on_error: str = "raise",
 ) -> DataFrame:
     """Alerts -> response records (RESPONSE schema, parsed fields NULL).
 
+    ``carry`` names further alert columns to keep behind the record's.
+    ``on_error="column"`` keeps an alert whose call failed for good with an
+    empty response and the message in ``response_error``, so that one bad
+    prompt does not stop the others; write such rows to a side table.
+
     The escalation filter and the column projection run in the JVM before the
     rows cross into Python, so only severe alerts are sent and only the nine
     carried columns plus the prompt travel over Arrow. ``rules=None`` skips
     the filter (the caller has applied it already).
     """
     severe = alerts if rules is None else escalation_filter(alerts, rules)
-    severe = severe.select(*_CARRIED, prompt_expr().alias(model.input_col))
-    answered = predict(severe, call, model, options=options, n_callers=n_callers)
+    severe = severe.select(*_CARRIED, *carry, prompt_expr().alias(model.input_col))
+    answered = predict(severe, call, model, options=options, n_callers=n_callers, on_error=on_error)
+    extra = [T.StructField(c, severe.schema[c].dataType) for c in carry]
+    response = F.col(model.output_col)
+    failed = []
+    if on_error == "column":
+        failed = [F.col(f"{model.output_col}_error").alias("response_error")]
+        extra.append(T.StructField("response_error", T.StringType()))
+        response = F.coalesce(response, F.lit(""))
     return conform(
-        answered.select(*_CARRIED, F.col(model.output_col).alias("agent_response"),
+        answered.select(*_CARRIED, *carry, response.alias("agent_response"), *failed,
                         _processed_at(processed_at).alias("processed_at")),
-        RESPONSE,
+        T.StructType([*RESPONSE.fields, *extra]), defaults=DEFAULTS["response"],
     )
 
 

@@ -72,17 +72,18 @@ def tag_by_rules(df: DataFrame, text_col: str, rules: Sequence[tuple[str, str]]
             .drop(low))
 
 
-def flatten_parts(parts: Column, sep: str = "\n") -> Column:
-    """``array<struct<type,text>>`` -> text of the ``type='text'`` parts joined
-    by ``sep``; a NULL array gives ``(no response)``, an empty join gives
-    ``(empty response)``. A NULL text inside a kept part joins as ''."""
+def joined_parts(parts: Column, sep: str = "\n") -> Column:
+    """Text of the ``type='text'`` parts joined by ``sep``; NULL for a NULL array; a NULL text joins as ''."""
     kept = F.transform(F.filter(parts, lambda p: p["type"] == F.lit("text")),
                        lambda p: F.coalesce(p["text"], F.lit("")))
-    joined = F.array_join(kept, sep)
-    return (F.when(parts.isNull(), F.lit(NO_RESPONSE))
-            .when(joined == F.lit(""), F.lit(EMPTY_RESPONSE))
-            .otherwise(joined))
+    return F.array_join(kept, sep)
 
 
 def flatten_text_parts(df: DataFrame, parts_col: str, output_col: str = "text") -> DataFrame:
-    return df.withColumn(output_col, flatten_parts(F.col(parts_col)))
+    """``array<struct<type,text>>`` -> its text: a NULL array gives
+    ``(no response)``, an empty join ``(empty response)``. The join is a
+    projection of its own, so that it is evaluated once."""
+    tmp = "_joined_parts"
+    text = F.col(tmp)
+    out = (F.when(text.isNull(), F.lit(NO_RESPONSE)).when(text == F.lit(""), F.lit(EMPTY_RESPONSE)).otherwise(text))
+    return df.withColumn(tmp, joined_parts(F.col(parts_col))).withColumn(output_col, out).drop(tmp)

@@ -26,10 +26,11 @@ def latest_by_key(
     A plain aggregate, so it pre-combines on the map side (one partial row per
     key and partition) before the exchange: a key holding a third of the rows
     still ships one row per input partition. Ties on ``time_col`` are broken
-    by ``tie_col`` (largest wins); give one whenever times can repeat. On a
-    stream run it in ``update`` (or ``complete``) output mode.
+    by ``tie_col`` (largest wins), by default by the values themselves, so the
+    row is the same on every run. On a stream run it in ``update`` (or
+    ``complete``) output mode.
     """
-    order = F.struct(F.col(time_col), F.col(tie_col)) if tie_col else F.col(time_col)
+    order = F.struct(F.col(time_col), *[F.col(c) for c in ([tie_col] if tie_col else value_cols)])
     payload = F.struct(*[F.col(c) for c in value_cols], F.col(time_col).alias(time_alias))
     return (df.groupBy(*keys).agg(F.max_by(payload, order).alias("_latest"))
             .select(*keys, "_latest.*"))
@@ -53,12 +54,12 @@ def _orderable(t: T.DataType) -> bool:
     return True
 
 
-def alert_feed(alerts: DataFrame, limit: int = 50, time_col: str = "window_end",
+def alert_feed(alerts: DataFrame, limit: int | None = None, time_col: str = "window_end",
                tie_cols: Sequence[str] | None = None) -> DataFrame:
-    """Newest ``limit`` alerts: ORDER BY window_end DESC, tower_id, ... LIMIT n.
+    """Alerts, newest first: ORDER BY window_end DESC, tower_id, ...; all of them, or the first ``limit``.
 
     Ties are broken by the grouping attributes present (an alert is unique per
-    attributes and window), so the cut is deterministic. Planned as
+    attributes and window), so the cut is deterministic. With a limit it is planned as
     ``TakeOrderedAndProject``: each partition keeps its own top n, only n rows
     per partition reach the final merge.
     """
@@ -69,12 +70,13 @@ def alert_feed(alerts: DataFrame, limit: int = 50, time_col: str = "window_end",
         rest = [f.name for f in alerts.schema.fields
                 if f.name != time_col and f.name not in first and _orderable(f.dataType)]
         ties = first + rest
-    return alerts.orderBy(F.col(time_col).desc(), *[F.col(c).asc() for c in ties]).limit(limit)
+    ordered = alerts.orderBy(F.col(time_col).desc(), *[F.col(c).asc() for c in ties])
+    return ordered if limit is None else ordered.limit(limit)
 
 
-def runbook_feed(responses: DataFrame, limit: int = 20, time_col: str = "window_end",
+def runbook_feed(responses: DataFrame, limit: int | None = None, time_col: str = "window_end",
                  tie_cols: Sequence[str] | None = None) -> DataFrame:
-    """Newest ``limit`` runbooks, same ordering rule as ``alert_feed``."""
+    """Runbooks, newest first, same ordering rule as ``alert_feed``."""
     return alert_feed(responses, limit, time_col, tie_cols)
 
 

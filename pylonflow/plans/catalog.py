@@ -24,8 +24,8 @@ from pylonflow.functions.prompt import build_prompt
 from pylonflow.functions.timeutil import shift_time
 from pylonflow.schemas import ALERT, PARSED_FIELDS, conform
 from pylonflow.sources.envelope import decode_envelope, encode_envelope
+from pylonflow.sources.readings import readings
 from pylonflow.sources.tables import read_table
-from pylonflow.sources.telemetry import telemetry_from_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,7 +59,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return telemetry_from_events(events(spark, sf_dir).select("event_id"))
+    return readings(events(spark, sf_dir))
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,6 +179,12 @@ def q_alert_feed(spark, sf_dir):
     return _round_avgs(alert_feed(alerts(spark, sf_dir), ALERT_FEED_LIMIT))
 
 
+@register("alert_feed_all")
+def q_alert_feed_all(spark, sf_dir):
+    """Every alert, newest first."""
+    return _round_avgs(alert_feed(alerts(spark, sf_dir)))
+
+
 @register("runbook_feed")
 def q_runbook_feed(spark, sf_dir):
     feed = runbook_feed(severity_default(enrich_if_absent(responses(spark, sf_dir))), RUNBOOK_FEED_LIMIT)
@@ -235,6 +241,36 @@ def q_encode_decode_roundtrip(spark, sf_dir):
     return decode_envelope(env, TELEMETRY).drop("key", "timestamp")
 
 
+@register("decode_records")
+def q_decode_records(spark, sf_dir):
+    """JSON records with times as epoch milliseconds (or, every fifth, ISO text)."""
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+    ms = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    time = F.when(F.col("event_id") % 5 == 0, F.concat(F.lit('"'), iso, F.lit('"'))).otherwise(ms)
+    env = events(spark, sf_dir).select(
+        F.col("event_id").cast("string").cast("binary").alias("key"),
+        F.concat(F.lit('{"event_time": '), time, F.lit(', "temperature": '), F.col("value").cast("string"),
+                 F.lit("}")).cast("binary").alias("value"))
+    record = T.StructType([T.StructField("event_time", T.TimestampType(), False), T.StructField("temperature", T.DoubleType())])
+    return decode_envelope(env, record).select(F.col("key").cast("string").alias("msg_key"), "event_time", "temperature")
+
+
+@register("parse_runbook_forms")
+def q_parse_runbook_forms(spark, sf_dir):
+    """Answers put together from table columns in awkward forms: mixed case,
+    carriage returns, repeated and bare labels, actions out of order, NULL text."""
+    user = F.col("user_id")
+    lines = F.concat(
+        F.lit("  severity: "), "event_type", F.lit("\r\nSeverity:\nDIAGNOSIS: v "), "event_type",
+        F.lit("\n\nACTION9: last "), user.cast("string"), F.lit("\naction2:\tcheck "), "event_type",
+        F.lit("\nnote "), "event_type", F.lit("\nACTION1: first\nTicket: p"), (user % 4).cast("string"), F.lit("\n"),
+        F.when(F.col("event_type") == "click", F.lit("ESCALATION:"))
+        .otherwise(F.concat(F.lit("escalation: lead "), (user % 3).cast("string"))),
+        F.lit("\n"), F.when(user % 2 == 0, F.lit("SEVERITY: high")).otherwise(F.lit("DIAGNOSIS:")))
+    answers = events(spark, sf_dir).withColumn("answer", F.when(F.col("event_type") != "view", lines))
+    return parse_runbook(answers, "answer").select("event_id", *PARSED_FIELDS)
+
+
 @register("tag_by_rules")
 def q_tag_by_rules(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
@@ -261,6 +297,20 @@ def q_flatten_text_parts(spark, sf_dir):
 # --- streaming twins (run to completion with an available-now trigger) ----------
 
 STREAM_DELAY = "10 seconds"
+STREAM_FILES = 3
+
+
+def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as a stream of several files, one a micro-batch, in event time order."""
+    from pylonflow.session import scratch_path
+    table, path = events(spark, sf_dir), scratch_path(spark, "event_files")
+    cuts = table.agg(*[F.percentile_approx("ts", (k + 1) / STREAM_FILES).alias(f"c{k}") for k in range(STREAM_FILES - 1)]).first()
+    cuts = [None, *cuts, None]
+    for low, high in zip(cuts, cuts[1:], strict=False):   # one append after another: the source takes files by age
+        part = table if low is None else table.filter(F.col("ts") > F.lit(low))
+        part = part if high is None else part.filter(F.col("ts") <= F.lit(high))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 @register("stream_detect_alerts")
@@ -275,11 +325,10 @@ def q_stream_detect_alerts(spark, sf_dir):
 
 @register("stream_chain")
 def q_stream_chain(spark, sf_dir):
-    """Two chained streaming statements: events -> alerts table -> runbooks."""
-    from pylonflow.sources.tables import stream_table
-    from pylonflow.streaming.flows import run_chain
-    _, responses = run_chain(spark, stream_table(spark, sf_dir, "events"), STREAM_DELAY)
-    return _round_avgs(spark.read.parquet(responses.path).drop("key", "processed_at"))
+    """Two chained streaming statements over several micro-batches: events -> alerts table -> runbooks."""
+    from pylonflow.streaming.flows import ALERT_IDENTITY, run_chain
+    _, responses = run_chain(spark, event_files(spark, sf_dir), STREAM_DELAY)
+    return _round_avgs(spark.read.parquet(responses.path).drop("key", "processed_at", ALERT_IDENTITY))
 
 
 @register("stream_red_episodes")
@@ -300,7 +349,7 @@ def q_stream_latest_by_tower(spark, sf_dir):
     from pylonflow.session import scratch_path
     from pylonflow.sources.tables import stream_table
     from pylonflow.streaming.flows import run_update_view
-    tel = telemetry_from_events(stream_table(spark, sf_dir, "events").select("event_id"))
+    tel = readings(stream_table(spark, sf_dir, "events"))
     base = scratch_path(spark, "latest_by_tower")
     return run_update_view(latest_by_key(tel), base + "/data", base + "/checkpoint", ("tower_id",))
 
@@ -326,11 +375,10 @@ def q_stream_tower_status(spark, sf_dir):
 def q_stream_status_changes(spark, sf_dir):
     """Closed alerts stream -> live red/green changes (stateful, event-time
     timeout for the return to green)."""
-    from pylonflow.sources.tables import stream_table
     from pylonflow.streaming.flows import Sink, alerts_stream, run_to_sink
     from pylonflow.streaming.status import status_changes_stream
     a_sink = Sink.fresh(spark, "changes_alerts")
-    run_to_sink(alerts_stream(stream_table(spark, sf_dir, "events"), STREAM_DELAY), a_sink)
+    run_to_sink(alerts_stream(event_files(spark, sf_dir), STREAM_DELAY), a_sink)
     alerts_in = spark.readStream.schema(ALERT).parquet(a_sink.path)
     return run_to_sink(status_changes_stream(alerts_in, watermark=STREAM_DELAY),
                        Sink.fresh(spark, "status_changes"))

@@ -34,11 +34,13 @@ from pylonflow.operators.views import latest_by_key, tower_status
 from pylonflow.schemas import ALERT, RESPONSE
 from pylonflow.session import scratch_path
 from pylonflow.streaming.flows import (
-    Sink, answer_alerts_once, read_upsert_log, runbook_stream, start_sink, upsert_log_writer,
+    ALERT_IDENTITY, Sink, answer_alerts_once, is_missing_table, read_upsert_log, runbook_stream, start_sink,
+    upsert_log_writer,
 )
 
 # responses as written by the responder: the record with its key first
-RESPONSE_TABLE = T.StructType([T.StructField("key", T.BinaryType(), True), *RESPONSE.fields])
+RESPONSE_TABLE = T.StructType([T.StructField("key", T.BinaryType(), True), *RESPONSE.fields,
+                               T.StructField(ALERT_IDENTITY, T.StringType(), True)])
 
 
 def _ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
@@ -46,7 +48,9 @@ def _ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     the first batch lands; an existing table (restart) is left alone."""
     try:
         spark.read.schema(schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as exc:
+        if not is_missing_table(exc):
+            raise
         spark.createDataFrame([], schema).write.mode("append").parquet(path)
 
 
@@ -149,9 +153,9 @@ class AlertingDataflow:
             w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
             return w.start()
 
-        q_lat = _writer(self.latest(telemetry_stream), upsert_log_writer(lat.path), lat.checkpoint, "update")
+        q_lat = _writer(self.latest(telemetry_stream), upsert_log_writer(lat.path, (key,)), lat.checkpoint, "update")
         last_alert = alerts_in.groupBy(key).agg(F.max("window_end").alias("window_end"))
-        q_last = _writer(last_alert, upsert_log_writer(last.path), last.checkpoint, "update")
+        q_last = _writer(last_alert, upsert_log_writer(last.path, (key,)), last.checkpoint, "update")
 
         q_resp = q_rb = None
         if set(ALERT.fieldNames()) <= set(alerts_df.columns):
@@ -175,24 +179,25 @@ class AlertingDataflow:
         return read_upsert_log(spark, handles.last_alert_path, (self.config.keys[0],))
 
     def read_status(self, spark: SparkSession, handles: StreamHandles, as_of: datetime | str | Column,
-                    towers: DataFrame | None = None, lookback: str = "8 hours") -> DataFrame:
+                    towers: DataFrame | None = None, lookback: str | None = None) -> DataFrame:
         """Red/green per known tower at ``as_of`` (an explicit event time).
 
-        Read from the alerts table itself (never behind it), restricted to
-        alerts in ``(as_of - lookback, as_of]``: parquet statistics skip
-        older files, so the read stays small as the table grows, and the
-        status is exact whenever ``lookback >= ttl``. ``last_alert`` is the
-        newest alert within the lookback (default: the 8 h retention).
-        Known towers default to the latest-reading view plus the towers with
-        alerts in that range; no telemetry is scanned.
+        Read from the alerts table itself (never behind it), so the result is
+        that of ``tower_status`` on the same alerts. A ``lookback`` bounds the
+        read to alerts in ``(as_of - lookback, as_of]`` (parquet statistics
+        skip older files): the status stays exact, ``last_alert`` is then the
+        newest alert within it, and towers known from older alerts only are
+        not listed. Known towers default to the latest-reading view plus the
+        towers with alerts in that range; no telemetry is scanned.
         """
         key = self.config.keys[0]
         alerts = spark.read.schema(handles.alerts_schema).parquet(handles.alerts_path)
         ntz = is_ntz(alerts, "window_end")
         now = time_literal(as_of, ntz)
-        span = max(duration_us(lookback), duration_us(self.config.status_ttl))  # never shorter than the ttl
-        recent = alerts.filter((F.col("window_end") <= now)
-                               & (F.col("window_end") > shift_time(now, -span, ntz)))
+        recent = alerts.filter(F.col("window_end") <= now)
+        if lookback is not None:
+            span = max(duration_us(lookback), duration_us(self.config.status_ttl))  # never shorter than the ttl
+            recent = recent.filter(F.col("window_end") > shift_time(now, -span, ntz))
         if towers is None:
             towers = self.read_latest(spark, handles).select(key).unionByName(recent.select(key))
         return self.status(towers, recent, now)

@@ -52,10 +52,10 @@ def run_stream(spark: SparkSession, events_dir: str | None, trigger: str, timeou
                name: str = "towers", root: str | None = None, model: str | None = None):
     """Start the streaming dataflow over either a telemetry folder (records
     with the registered telemetry schema, the production shape) or an events
-    folder (test data, mapped to readings)."""
+    folder (mapped to readings)."""
     from pylonflow.plans.dataflow import AlertingDataflow
     from pylonflow.schemas import TELEMETRY
-    from pylonflow.sources.telemetry import telemetry_from_events
+    from pylonflow.sources.readings import COLUMNS, readings
     if (events_dir is None) == (telemetry_dir is None):
         raise ValueError("give exactly one of events_dir / telemetry_dir")
     reader = spark.readStream
@@ -64,7 +64,8 @@ def run_stream(spark: SparkSession, events_dir: str | None, trigger: str, timeou
     if telemetry_dir is not None:
         telemetry = reader.schema(TELEMETRY).parquet(telemetry_dir)
     else:
-        telemetry = telemetry_from_events(reader.schema("event_id bigint").parquet(events_dir))
+        table = spark.read.parquet(events_dir).select(*COLUMNS)   # its schema only; streams never infer one
+        telemetry = readings(reader.schema(table.schema).parquet(events_dir))
     from pylonflow.operators.infer import rule_model
     from pylonflow.session import checkpoint_root
     flow = AlertingDataflow(call=load_callable(model) if model else rule_model)

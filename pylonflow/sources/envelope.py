@@ -53,6 +53,8 @@ def decode_envelope(
       without ``avro_schema`` such rows are rejected;
     * otherwise the bytes are UTF-8 JSON text decoded with ``from_json``;
       malformed text, a non-object, or values of the wrong type -> rejected.
+      A time field is a number of epoch milliseconds (as the records declare)
+      or ISO text; any other value in it -> rejected.
 
     Returns the decoded frame, or ``(decoded, rejected)`` with
     ``with_rejected=True`` (rejected rows keep the raw envelope).
@@ -60,13 +62,23 @@ def decode_envelope(
     avro = None
     if avro_schema is not None:
         avro = _avro_functions()
-        if avro is None or "spark-avro" not in _loaded_packages(env):
-            raise RuntimeError("Avro envelopes need the spark-avro package on the classpath "
-                               "(spark.jars.packages=org.apache.spark:spark-avro_2.13:<version>)")
+        require_avro(env.sparkSession, avro_schema)
     v = F.col(value_col)
-    json_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+    times = {f.name for f in schema.fields if isinstance(f.dataType, _TIMES)}
+    json_schema = T.StructType([T.StructField(f.name, T.StringType(), f.nullable) if f.name in times else f
+                                for f in schema.fields] + [T.StructField(CORRUPT, T.StringType(), True)])
     parsed_json = F.from_json(v.cast("string"), json_schema,
                               {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    if times:   # read times as text first, then as milliseconds or ISO; a text that is neither spoils the record
+        env = env.withColumn("_json", parsed_json)
+        j = F.col("_json")
+        typed = {f.name: _time_of(j[f.name]).cast(f.dataType) for f in schema.fields if f.name in times}
+        bad = F.lit(False)
+        for n, c in typed.items():
+            bad = bad | (j[n].isNotNull() & c.isNull())
+        parsed_json = F.when(j.isNotNull(), F.struct(
+            *[typed.get(f.name, j[f.name]).alias(f.name) for f in schema.fields],
+            F.when(bad, F.lit("time field")).otherwise(j[CORRUPT]).alias(CORRUPT)))
     framed = _is_avro_framed(v)
     if avro is not None:
         # decode each framed body once, in its own column; a body that fails to
@@ -92,7 +104,7 @@ def decode_envelope(
     # invalid rows are dropped by a generator (zero or one row per input).
     # A plain filter would be pushed below the projection with the parse
     # inlined into its condition, decoding every value two or three times.
-    raw_cols = [c for c in env.columns if c != "_avro"]
+    raw_cols = [c for c in env.columns if c not in ("_avro", "_json")]
     staged = env.select(*carried, *[c for c in raw_cols if c not in carried],
                         decoded.alias("_decoded"), framed.alias("_framed"))
     d = F.col("_decoded")
@@ -112,17 +124,36 @@ def decode_envelope(
     return good, bad
 
 
-def _loaded_packages(df: DataFrame) -> str:
-    conf = df.sparkSession.sparkContext.getConf()
-    return " ".join(conf.get(k, "") for k in ("spark.jars.packages", "spark.jars"))
+_TIMES = (T.TimestampType, T.TimestampNTZType)
+
+
+def _time_of(text: Column) -> Column:
+    """Epoch milliseconds or ISO text as a timestamp; anything else is NULL."""
+    digits = text.rlike("^-?[0-9]{1,15}$")
+    return F.when(digits, F.timestamp_millis(F.when(digits, text).cast("long"))).otherwise(text.try_cast("timestamp"))
+
+
+def require_avro(spark, avro_schema: str) -> None:
+    """Raise unless this session can decode Avro with the given schema (the
+    function is tried on an empty frame, however its package was loaded)."""
+    avro = _avro_functions()
+    try:
+        if avro is None:
+            raise RuntimeError("no Avro functions in this PySpark")
+        spark.createDataFrame([], "value binary").select(avro.from_avro("value", avro_schema)).schema  # noqa: B018
+    except Exception as exc:
+        raise RuntimeError("Avro envelopes need the spark-avro package on the classpath "
+                           "(spark.jars.packages=org.apache.spark:spark-avro_2.13:<version>) "
+                           f"and a valid schema: {str(exc)[:200]}") from exc
 
 
 def encode_envelope(df: DataFrame, key: str | None = "tower_id", time_col: str | None = None,
                     fields: list[str] | None = None, avro_schema: str | None = None,
-                    schema_id: int | None = None) -> DataFrame:
+                    schema_id: int | None = None, time_format: str = "millis") -> DataFrame:
     """Typed rows -> ``(key, value, timestamp)``.
 
-    The value is JSON text (``to_json``), or, with ``avro_schema`` and
+    The value is JSON text (``to_json``) with times as epoch milliseconds, the
+    records' declared type (``time_format="iso"``: ISO text with microseconds), or, with ``avro_schema`` and
     ``schema_id``, registry-framed Avro (magic byte 0x00, 4-byte big-endian
     schema id, ``to_avro`` body; needs spark-avro). The key column is the
     partitioning key on the bus (same key, same partition). Both encodings
@@ -132,11 +163,17 @@ def encode_envelope(df: DataFrame, key: str | None = "tower_id", time_col: str |
     body = F.struct(*[F.col(c) for c in cols])
     if avro_schema is not None:
         avro = _avro_functions()
-        if avro is None or "spark-avro" not in _loaded_packages(df) or schema_id is None:
-            raise RuntimeError("Avro envelopes need the spark-avro package on the classpath and a schema id")
+        if schema_id is None:
+            raise RuntimeError("Avro envelopes need a schema id")
+        require_avro(df.sparkSession, avro_schema)
         header = F.unhex(F.lit("00" + format(int(schema_id), "08x")))
         value = F.concat(header, avro.to_avro(body, avro_schema))
     else:
+        if time_format not in ("millis", "iso"):
+            raise ValueError("time_format must be 'millis' or 'iso'")
+        if time_format == "millis":
+            times = {f.name for f in df.schema.fields if isinstance(f.dataType, _TIMES)}
+            body = F.struct(*[F.unix_millis(F.col(c).cast("timestamp")).alias(c) if c in times else F.col(c) for c in cols])
         value = F.to_json(body, {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
                                  "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).cast("binary")
     out = [F.col(key).cast("binary").alias("key") if key else F.lit(None).cast("binary").alias("key"),

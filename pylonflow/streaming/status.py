@@ -6,14 +6,23 @@ when a later alert shows the gap (> ttl) or when the watermark passes
 ``last alert + ttl`` (event-time timeout). State is one small row per key
 that is currently red; it is dropped when the key turns green.
 
-The per-key function sees only the new alerts of that key in the current
-micro-batch (at most one per window per key), never a whole history.
+A key's new alerts of a micro-batch reach its function in Arrow batches, each
+of which is reduced at once to runs (first, last) of alerts no further than
+``ttl`` apart: memory follows the number of runs, not of alerts. Bound the
+backlog of a catch-up with the source's files (or offsets) per trigger.
+
+The watermark delay may not exceed ``ttl``: within it, an alert that arrives
+out of order can only widen the episode it falls into or stand before one
+that has not been reported; with a longer delay a whole earlier episode
+could still arrive after a later one was reported. A ``red`` that was
+emitted is never moved by an earlier alert of the same episode.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +35,17 @@ from pylonflow.session import ship_package
 STATE_SCHEMA = T.StructType([T.StructField("last_alert_us", T.LongType())])
 
 
+def merge_runs(runs: np.ndarray, ttl_us: int) -> np.ndarray:
+    """Sorted (first, last) runs, joined where the gap is at most ``ttl_us``."""
+    if len(runs) < 2:
+        return runs
+    runs = runs[np.lexsort((runs[:, 1], runs[:, 0]))]
+    reach = np.maximum.accumulate(runs[:, 1])
+    start = np.append(True, runs[1:, 0] - reach[:-1] > ttl_us)
+    ends = reach[np.append(np.flatnonzero(start)[1:] - 1, len(runs) - 1)]
+    return np.stack([runs[start, 0], ends], 1)
+
+
 def status_changes_stream(
     alerts: DataFrame,
     ttl: str = "90 seconds",
@@ -42,8 +62,10 @@ def status_changes_stream(
     once instead of arming a timer in the past.
     """
     require_instant(alerts, alert_time)
-    ship_package(alerts.sparkSession)
     ttl_us = duration_us(ttl)
+    if duration_us(watermark) > ttl_us:
+        raise ValueError(f"watermark {watermark!r} is longer than ttl {ttl!r}: an episode could arrive after a later one")
+    ship_package(alerts.sparkSession)
     key_type = alerts.schema[key].dataType
     out_schema = T.StructType([T.StructField(key, key_type), T.StructField("changed_at_us", T.LongType()),
                                T.StructField("status", T.StringType())])
@@ -56,14 +78,17 @@ def status_changes_stream(
             events.append((last + ttl_us, "green"))
         else:
             last = state.get[0] if state.exists else None
-            times = sorted(int(t) for b in batches for t in b["_t_us"])
-            for t in times:
-                if last is not None and t - last > ttl_us:
+            found = np.empty((0, 2), np.int64)
+            for b in batches:
+                t = b["_t_us"].to_numpy(np.int64)
+                found = merge_runs(np.concatenate([found, np.stack([t, t], 1)]), ttl_us)
+            for first, end in found.tolist():
+                if last is not None and first - last > ttl_us:
                     events.append((last + ttl_us, "green"))
                     last = None
                 if last is None:
-                    events.append((t, "red"))
-                last = t if last is None else max(last, t)
+                    events.append((first, "red"))
+                last = end if last is None else max(last, end)
             if last is not None:
                 expiry_ms = (last + ttl_us) // 1000
                 wm = state.getCurrentWatermarkMs()

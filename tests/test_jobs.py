@@ -6,7 +6,7 @@ from tests.conftest import SF001
 
 def test_batch_job_writes_table(spark, scratch):
     run_batch(spark, SF001, "detect_alerts_60s", f"{scratch}/alerts", partitions=2)
-    assert spark.read.parquet(f"{scratch}/alerts").count() == 8
+    assert spark.read.parquet(f"{scratch}/alerts").count() > 50
 
 
 def test_stream_job_runs_and_stops(spark, scratch):
@@ -30,7 +30,9 @@ def test_stream_job_on_telemetry_records(spark, scratch):
         q.processAllAvailable()
     h.stop()
     assert spark.read.parquet(h.alerts_path).count() > 0
-    assert spark.read.parquet(h.latest_path).select("tower_id").distinct().count() == 16
+    from pylonflow.streaming.flows import read_upsert_log
+    towers = catalog.telemetry(spark, SF001).select("tower_id").distinct().count()
+    assert read_upsert_log(spark, h.latest_path, ("tower_id",)).count() == towers
 
 
 def test_stream_job_restart_resumes_without_reprocessing(spark, scratch):
@@ -39,7 +41,7 @@ def test_stream_job_restart_resumes_without_reprocessing(spark, scratch):
     from pylonflow.plans import catalog
     src, root = f"{scratch}/telemetry", f"{scratch}/flow"
     tel = catalog.telemetry(spark, "/root/testdata/sf0.01")
-    tel.filter(F.col("event_time") < "2024-01-01 00:10:00").coalesce(1).write.mode("append").parquet(src)
+    tel.filter(F.col("event_time") < "2024-01-01 00:30:00").coalesce(1).write.mode("append").parquet(src)
 
     def run_once():
         h = run_stream(spark, None, "1 second", wait=False, telemetry_dir=src, root=root)
@@ -49,13 +51,13 @@ def test_stream_job_restart_resumes_without_reprocessing(spark, scratch):
         return h
 
     h = run_once()
-    first = spark.read.parquet(h.responses_path).select("tower_id", "window_start", "processed_at").collect()
-    tel.filter(F.col("event_time") >= "2024-01-01 00:10:00").coalesce(1).write.mode("append").parquet(src)
+    first = spark.read.parquet(h.responses_path).select("tower_id", "tower_name", "window_start", "processed_at").collect()
+    tel.filter(F.col("event_time") >= "2024-01-01 00:30:00").coalesce(1).write.mode("append").parquet(src)
     h = run_once()   # same root: every query resumes from its checkpoint
     alerts = spark.read.parquet(h.alerts_path)
     resp = spark.read.parquet(h.responses_path)
-    assert alerts.count() == alerts.select("tower_id", "window_start").distinct().count()
-    assert resp.count() == resp.select("tower_id", "window_start").distinct().count() > len(first) > 0
+    assert alerts.count() == alerts.select("tower_id", "tower_name", "window_start").distinct().count()
+    assert resp.count() == resp.select("tower_id", "tower_name", "window_start").distinct().count() > len(first) > 0
     # the first run's answers are kept as written (not recomputed or re-sent)
-    again = {(r.tower_id, r.window_start): r.processed_at for r in resp.collect()}
-    assert all(again[(r.tower_id, r.window_start)] == r.processed_at for r in first)
+    again = {(r.tower_id, r.tower_name, r.window_start): r.processed_at for r in resp.collect()}
+    assert all(again[(r.tower_id, r.tower_name, r.window_start)] == r.processed_at for r in first)

@@ -1,0 +1,151 @@
+"""Nothing is dropped: siblings in the responder, old alerts in the status, late rows in the count; bounded state."""
+
+from datetime import datetime, timedelta, timezone
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from pylonflow.schemas import ALERT, RESPONSE
+from tests.conftest import SF01
+
+T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
+
+
+def alert(tower, name, minute, temp=95.0):
+    start = T0 + timedelta(minutes=minute)
+    return (tower, name, 1.0, 2.0, temp, -80.0, temp, -80.0, 3, start, start + timedelta(minutes=1))
+
+
+def test_responder_answers_siblings_that_arrive_in_different_batches(spark, scratch):
+    from pylonflow.streaming.flows import answer_alerts_once
+    body = answer_alerts_once(f"{scratch}/responses")
+    one, two = alert("A", "old", 0), alert("A", "new", 0)
+    far = (*one[:2], 9.0, *one[3:])                       # the response record does not even hold the difference
+    for k, rows in enumerate(([one], [two], [one, two], [far], [alert("A", "old", 0)])):
+        body(spark.createDataFrame(rows, ALERT), k)
+    got = spark.read.schema(RESPONSE).parquet(f"{scratch}/responses")
+    assert sorted(r.tower_name for r in got.collect()) == ["new", "old", "old"]
+
+
+def test_chain_with_one_file_a_trigger_answers_every_escalated_alert(spark):
+    from pylonflow.plans import catalog
+    from pylonflow.streaming.flows import run_chain
+    alerts_topic, responses = run_chain(spark, catalog.event_files(spark, SF01), "10 seconds")
+    closed = spark.read.parquet(alerts_topic.path)
+    want = catalog.generate_runbooks(closed).select("tower_id", "tower_name", "window_start")
+    got = spark.read.parquet(responses.path).select("tower_id", "tower_name", "window_start")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.groupBy("tower_id", "window_start").count().filter("count > 1").count() > 0
+
+
+def test_read_status_equals_tower_status_on_old_alerts(spark, scratch):
+    from pylonflow.operators.views import tower_status
+    from pylonflow.plans.dataflow import AlertingDataflow, StreamHandles
+    from pylonflow.streaming.flows import upsert_log_writer
+    alerts = spark.createDataFrame([alert("A", "a", 0), alert("B", "b", 24 * 60)], ALERT)
+    alerts.write.parquet(f"{scratch}/alerts")
+    upsert_log_writer(f"{scratch}/latest", ("tower_id",))(spark.createDataFrame([("C", 1)], "tower_id string, v int"), 0)
+    h = StreamHandles(None, None, None, None, None, f"{scratch}/alerts", ALERT, None, f"{scratch}/latest", "", None)
+    as_of = T0 + timedelta(minutes=24 * 60 + 1, seconds=30)
+    towers = spark.createDataFrame([("A",), ("B",), ("C",)], "tower_id string")
+    got = AlertingDataflow().read_status(spark, h, as_of)
+    want = tower_status(towers, alerts, as_of)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 3
+    assert AlertingDataflow().read_status(spark, h, as_of, lookback="8 hours").count() == 2
+
+
+def test_feeds_are_whole_unless_a_limit_is_asked_for(spark):
+    from pylonflow.operators.views import alert_feed
+    alerts = spark.createDataFrame([alert("A", "a", k) for k in range(120)], ALERT)
+    assert alert_feed(alerts).count() == 120 and alert_feed(alerts, 7).count() == 7
+
+
+def test_five_late_rows_count_as_five(spark, scratch):
+    from pylonflow.streaming.flows import late_row_counter, read_late_rows
+    schema = "tower_id string, event_time timestamp"
+    src = f"{scratch}/in"
+    spark.createDataFrame([("A", T0 + timedelta(minutes=30))], schema).write.parquet(src + "/b0")
+
+    def run():
+        q = (spark.readStream.schema(schema).parquet(src + "/*").writeStream
+             .foreachBatch(late_row_counter(f"{scratch}/late")).option("checkpointLocation", f"{scratch}/ck")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        return read_late_rows(spark, f"{scratch}/late")
+
+    assert run() == 0
+    spark.createDataFrame([("A", T0 + timedelta(seconds=k)) for k in range(5)] + [("A", T0 + timedelta(minutes=30, seconds=1))],
+                          schema).coalesce(1).write.parquet(src + "/b1")
+    assert run() == 5
+
+
+def test_file_topics_refuse_a_tail_start_and_carry_message_time_on_the_bus(spark):
+    from pyspark.sql import types as T
+
+    from pylonflow.streaming.topics import Topic, decode_topic, read_topic
+    record = T.StructType([T.StructField("v", T.LongType(), False)])
+    with pytest.raises(ValueError, match="earliest"):
+        read_topic(spark, Topic("t", record, path="/nowhere"), start="latest")
+    env = spark.createDataFrame([(b"k", bytearray(b'{"v": 1}'), T0)], "key binary, value binary, timestamp timestamp")
+    got = decode_topic(env, Topic("t", record, bootstrap_servers="bus", time_col="event_time"))
+    assert got.columns == ["key", "event_time", "v"] and got.select(F.unix_millis("event_time")).first()[0] == 1704067200000
+    avro = Topic("t", record, bootstrap_servers="bus", avro_schema='{"type": "record", "name": "R", "fields": []}', schema_id=1)
+    with pytest.raises(RuntimeError, match="spark-avro"):
+        read_topic(spark, avro)
+
+
+def test_documented_records_decode_to_2024(spark):
+    from pylonflow.schemas import ALERT, RESPONSE, TELEMETRY
+    from pylonflow.sources.envelope import decode_envelope
+    ms = 1721039041123
+    metrics = '"avg_temperature": 90.1, "avg_signal": -91.0, "max_temperature": 92.0, "min_signal": -95.5, "event_count": 4'
+    texts = {
+        "TELEMETRY": '{"tower_id": "A", "tower_name": "a", "latitude": 1, "longitude": 2, "temperature": 90.5, "signal_strength": -80.0, '
+                     f'"cpu_load": 50, "event_time": {ms}, "is_anomaly": true}}',
+        "ALERT": f'{{"tower_id": "A", "tower_name": "a", "latitude": 1, "longitude": 2, {metrics}, "window_start": {ms}, "window_end": {ms}}}',
+        "RESPONSE": f'{{"tower_id": "A", "tower_name": "a", {metrics}, "window_start": {ms}, "window_end": {ms}, '
+                    f'"agent_response": "x", "processed_at": {ms}}}'}
+    for name, schema in (("TELEMETRY", TELEMETRY), ("ALERT", ALERT), ("RESPONSE", RESPONSE)):
+        env = spark.createDataFrame([(None, bytearray(texts[name].encode()))], "key binary, value binary")
+        row = decode_envelope(env, schema).first()
+        for f in schema.fields:
+            if f.dataType.typeName() == "timestamp":
+                assert row[f.name] == datetime(2024, 7, 15, 10, 24, 1, 123000), (name, f.name)
+
+
+def test_only_border_runs_meet_in_the_per_key_window(spark):
+    from pylonflow.operators.episodes import local_runs
+    from pylonflow.plans import catalog
+    runs = local_runs(catalog.raw_alerts(spark, SF01), ttl=catalog.RAW_TTL, keys=("user_id",))
+    assert runs.filter("_border").groupBy("user_id", "_b").count().agg(F.max("count")).first()[0] <= 2
+    rows = [("hot", T0 + timedelta(minutes=10 * k)) for k in range(2000)]   # isolated alerts: every run is an episode
+    hot = local_runs(spark.createDataFrame(rows, "tower_id string, window_end timestamp"))
+    days = hot.select("_b").distinct().count()
+    assert hot.filter("_border").count() == 2 * days and hot.count() == 2000
+
+
+def test_snapshot_reads_stay_small_after_200_batches(spark, scratch):
+    from pylonflow.streaming.flows import _log_folders, read_upsert_log, upsert_log_writer
+    body, path = upsert_log_writer(f"{scratch}/log", ("k",), compact_every=10), f"{scratch}/log"
+    frames = {k: spark.createDataFrame([(f"k{k % 7}", k), ("all", k)], "k string, v int").coalesce(1) for k in range(200)}
+    for k in range(200):
+        body(frames[k], k)
+    body(frames[199], 199)   # a replay
+    want = sorted([("all", 199)] + [(f"k{j}", max(x for x in range(200) if x % 7 == j)) for j in range(7)])
+    assert sorted(map(tuple, read_upsert_log(spark, path, ("k",)).collect())) == want
+    assert spark.read.parquet(*_log_folders(spark, path)).count() <= 2 * len(want)
+
+
+def test_live_status_refuses_what_it_cannot_answer_and_reduces_runs(spark):
+    from pylonflow.streaming.status import merge_runs, status_changes_stream
+    alerts = spark.readStream.format("rate").load().selectExpr("CAST(value AS string) AS tower_id", "timestamp AS window_end")
+    with pytest.raises(ValueError, match="longer than ttl"):
+        status_changes_stream(alerts, ttl="90 seconds", watermark="30 minutes")
+    t = np.random.default_rng(1).permutation(1_000_000).astype(np.int64) * 1000
+    runs = np.empty((0, 2), np.int64)
+    for part in np.array_split(t, 100):   # Arrow batches of one key's backlog
+        runs = merge_runs(np.concatenate([runs, np.stack([part, part], 1)]), 90_000)
+        assert len(runs) <= 100_000
+    assert runs.tolist() == [[0, 999_999_000]]
+    assert merge_runs(np.array([[0, 5], [200, 200], [6, 9]]), 10).tolist() == [[0, 9], [200, 200]]

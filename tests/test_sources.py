@@ -28,7 +28,7 @@ def test_encode_envelope_is_keyed_json(spark):
     assert bytes(r.key) == b"TWR-002" and r.timestamp.astimezone(timezone.utc) == t0 if r.timestamp.tzinfo \
         else bytes(r.key) == b"TWR-002"
     assert json.loads(bytes(r.value)) == {"tower_id": "TWR-002", "temperature": 91.4,
-                                          "event_time": "2024-01-01T12:00:00.000000Z"}
+                                          "event_time": 1704110400000}
 
 
 def test_decode_keeps_empty_object_rejects_wrong_types(spark):
@@ -114,13 +114,33 @@ def test_avro_logical_type_defaults():
     assert struct_from_avro(union)[1] == {"t": datetime(2024, 1, 1, tzinfo=timezone.utc)}
 
 
-def test_json_envelope_keeps_microseconds(spark):
+def test_json_envelope_times(spark):
     from pylonflow.schemas import TELEMETRY
-    from pylonflow.sources.telemetry import telemetry_from_events
-    tel = telemetry_from_events(spark.createDataFrame([(3,)], "event_id long")) \
-        .withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 0.000123 SECOND"))
-    back = decode_envelope(encode_envelope(tel, key="tower_id"), TELEMETRY).first()
-    assert back.event_time == tel.first().event_time and back.event_time.microsecond % 1000 == 123
+    tel = spark.createDataFrame([("A", "a", 1.0, 2.0, 3.0, 4.0, 5.0, "2024-01-01 00:00:00.125123", True)],
+                                "tower_id string, tower_name string, latitude double, longitude double, temperature double, "
+                                "signal_strength double, cpu_load double, event_time string, is_anomaly boolean") \
+        .withColumn("event_time", F.col("event_time").cast("timestamp"))
+    iso = decode_envelope(encode_envelope(tel, key="tower_id", time_format="iso"), TELEMETRY).first()
+    assert iso.event_time == tel.first().event_time and iso.event_time.microsecond == 125123
+    millis = encode_envelope(tel, key="tower_id")
+    assert '"event_time":1704067200125' in millis.select(F.col("value").cast("string")).first()[0]
+    assert decode_envelope(millis, TELEMETRY).first().event_time.microsecond == 125000
+
+
+def test_time_fields_of_every_form(spark):
+    from datetime import datetime
+
+    from pyspark.sql import types as T
+    record = T.StructType([T.StructField("t", T.TimestampType()), T.StructField("n", T.TimestampNTZType()), T.StructField("v", T.LongType())])
+    texts = ['{"t": 1721039041123, "n": 1721039041123, "v": 1}', '{"t": "1721039041123", "v": 2}', '{"t": "2024-07-15T10:24:01.123Z", "v": 3}',
+             '{"t": -1, "v": 4}', '{"t": "soon", "v": 5}', '{"t": 1e400, "v": 6}', '{"t": 99999999999999999999, "v": 7}', '{"t": null, "v": 8}', '{"t": {}, "v": 9}']
+    env = spark.createDataFrame([(None, bytearray(x.encode())) for x in texts], "key binary, value binary")
+    good, bad = decode_envelope(env, record, with_rejected=True)
+    got = {r.v: r for r in good.collect()}
+    at = datetime(2024, 7, 15, 10, 24, 1, 123000)
+    assert [got[k].t for k in (1, 2, 3)] == [at] * 3 and got[1].n == at and got[8].t is None
+    assert got[4].t == datetime(1969, 12, 31, 23, 59, 59, 999000)
+    assert set(got) == {1, 2, 3, 4, 8} and bad.count() == 4
 
 
 def test_stream_table_reads_folder_tables(spark, tmp_path):
