@@ -460,3 +460,18 @@ def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text") -
 def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id").select(
         "doc_id", "n_shingles", "component_id")
+
+
+OP8_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                       'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS sh
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM pair JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, edge.b FROM reach JOIN edge ON edge.a = reach.b)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) r USING (doc_id)
+"""

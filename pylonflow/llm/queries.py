@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pylonflow.llm.decontaminate import OP1_SQL, op1_decontamination
-from pylonflow.llm.jaccard import op8_jaccard_join
+from pylonflow.llm.jaccard import OP8_SQL, op8_jaccard_join
 from pylonflow.llm.mixing import op7_entropy_mixing
 from pylonflow.llm.pii import op5_pii
 from pylonflow.llm.preferences import OP10_SQL, op10_preference_format
 from pylonflow.llm.quality import OP3_SQL, op3_quality_rules
-from pylonflow.llm.sharding import op2_hash_tree_sharding
+from pylonflow.llm.sharding import OP2_SQL, op2_hash_tree_sharding
 from pylonflow.llm.toxicity import op6_toxicity_cnn
 from pylonflow.llm.training_order import op9_training_order
 from pylonflow.llm.url_filter import op4_url_filter
@@ -28,6 +28,8 @@ QUERIES = {
 
 ORACLE = {
     "op1_decontamination": OP1_SQL,
+    "op2_hash_tree_sharding": OP2_SQL,
     "op3_quality_rules": OP3_SQL,
+    "op8_jaccard_join": OP8_SQL,
     "op10_preference_format": OP10_SQL,
 }

@@ -112,3 +112,28 @@ def shard_documents(df: DataFrame, key: str = "doc_id", text: str = "text", tree
 def op2_hash_tree_sharding(spark, sf_dir: str) -> DataFrame:
     placed = shard_documents(documents(spark, sf_dir))
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+# The default tree in SQL; the checksum is folded bytewise over a table made from the polynomial.
+OP2_SQL = r"""
+WITH tab AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+             FROM (SELECT unnest(range(256)) AS i)),
+d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, '')))::BIGINT AS n FROM documents),
+c AS (SELECT doc_id, n + 1 AS size, xor(list_reduce(list_prepend(4294967295, list_transform(range(n),
+        lambda j: ('0x' || substr(h, 2 * j + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+      FROM d, tab),
+leaf AS (SELECT 'r' || s // 4 AS region, 'r' || s // 4 || '/k' || s // 2 AS rack, 'r' || s // 4 || '/k' || s // 2 || '/' || s AS leaf, s AS shard
+         FROM (SELECT unnest(range(16)) AS s)),
+big AS (SELECT * FROM leaf UNION ALL SELECT 'r+16', 'r+16/k+16', 'r+16/k+16/16', 16),
+node AS (SELECT DISTINCT grown, 1 AS level, '' AS parent, region AS name, count(*) OVER (PARTITION BY grown, region) AS w FROM (SELECT *, false AS grown FROM leaf UNION ALL SELECT *, true FROM big)
+   UNION SELECT DISTINCT grown, 2, region, rack, count(*) OVER (PARTITION BY grown, rack) FROM (SELECT *, false AS grown FROM leaf UNION ALL SELECT *, true FROM big)
+   UNION SELECT grown, 3, rack, leaf, 1 FROM (SELECT *, false AS grown FROM leaf UNION ALL SELECT *, true FROM big)),
+k AS (SELECT DISTINCT coalesce(doc_id::VARCHAR, '') AS key FROM documents),
+l1 AS (SELECT key, grown, arg_min(name, [-ln((('0x' || substr(md5(key || '@' || name), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496) / w]) AS won FROM k, node WHERE level = 1 GROUP BY key, grown),
+l2 AS (SELECT key, l1.grown, arg_min(name, [-ln((('0x' || substr(md5(key || '@' || name), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496) / w]) AS won FROM l1 JOIN node ON level = 2 AND parent = won AND node.grown = l1.grown GROUP BY key, l1.grown),
+l3 AS (SELECT key, l2.grown, arg_min(name, [-ln((('0x' || substr(md5(key || '@' || name), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496) / w]) AS won FROM l2 JOIN node ON level = 3 AND parent = won AND node.grown = l2.grown GROUP BY key, l2.grown),
+s AS (SELECT key, max(CASE WHEN NOT grown THEN string_split(won, '/')[-1]::INTEGER END) AS shard, max(CASE WHEN grown THEN string_split(won, '/')[-1]::INTEGER END) AS grown_shard FROM l3 GROUP BY key)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
+FROM c JOIN s ON s.key = coalesce(doc_id::VARCHAR, '')
+"""
