@@ -62,10 +62,10 @@ _ROOT_LOCK = threading.Lock()
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage; we never invent a
-    machine-local folder there. A local-mode session without the setting
-    (tests) uses the context's checkpoint directory if one was set, otherwise
-    a scratch folder that is registered as the context's checkpoint directory
+    Without the setting the context's checkpoint directory is used, if one
+    was set. On a cluster one of the two must point at shared storage; we
+    never invent a machine-local folder there. A local-mode session without
+    either (tests) gets a scratch folder that is registered as the context's checkpoint directory
     and reused for the rest of the application.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
@@ -75,17 +75,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     with _ROOT_LOCK:
         if app in _LOCAL_ROOTS:
             return _LOCAL_ROOTS[app]
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set; point it at shared storage "
-                "(HDFS/S3/ABFS) before running stateful or chained jobs"
-            )
         existing = None
         try:
             existing = spark.sparkContext.getCheckpointDir()
         except Exception:  # noqa: BLE001 - Spark Connect / fakes
             pass
+        if not existing and not spark.conf.get("spark.master", "").startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; point it (or the context's checkpoint directory) at "
+                "shared storage (HDFS/S3/ABFS) before running stateful or chained jobs"
+            )
         if existing:
             root = existing.rstrip("/")
         else:
