@@ -57,17 +57,17 @@ def summarize(plan: str) -> dict:
 def main(sf_dir: str = "/root/testdata/sf0.01") -> None:
     import os
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-    import __spark_entry__ as entry
+    from pylonflow.plans.catalog import QUERIES
     from pylonflow.session import local_session
 
     spark = local_session(8)
     print("# PLANS\n")
-    print(f"Final physical plans (AQE applied) of every registered query at `{sf_dir}`, summarised by "
+    print(f"Final physical plans (AQE applied) of every core query at `{sf_dir}`, summarised by "
           "`python -m pylonflow.plans.report`. Streaming queries are summarised by the batch read of their "
           "sink, so only their batch twins are listed.\n")
     print("| Query | Scans | Exchanges | Joins | Windows | Python | Partial agg | Pushed filters / read schema |")
     print("|---|---|---|---|---|---|---|---|")
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         if name.startswith("stream_"):
             continue
         s = summarize(final_plan(fn(spark, sf_dir)))
