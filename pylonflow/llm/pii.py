@@ -2,17 +2,21 @@
 
 Seeds are the entities that fixed expressions find: e-mail addresses, IP
 addresses, card numbers and phone numbers. The one to three words in front
-of an entity are its lexical patterns. Candidates are other tokens that look
-like one of the kinds without being well formed (a card number with a wrong
-check digit, a phone number without country code).
+of an entity are its lexical patterns. Candidates are other tokens, or series of
+digit groups with single separators, that look like one of the kinds without
+being well formed (a card number with a wrong check digit, a phone number
+without country code).
 
 Patterns and instances form a graph that Spark scores in rounds: a pattern's
-confidence for a kind is the confidence of the instances it introduces over
-all its occurrences in the corpus, counted exactly; an instance's
+confidence for a kind is the confidence of the known instances it introduces
+over its decided occurrences in the corpus, counted exactly: those before
+known instances and those before anything that is no candidate of the kind.
+Candidates not yet known speak neither for nor against it. An instance's
 confidence is that of its best pattern. Only patterns with several distinct
-instances count. Instances at or above ``accept`` are discovered: all their
-occurrences become spans, and the patterns they stand in are scored with
-them in the next round. Base spans always stay.
+known instances count. Instances at or above ``accept`` are discovered: all
+their occurrences become spans, and the patterns they stand in are scored
+with them in the next round, until a round finds nothing new. Base spans
+always stay; a discovered span inside another one of its kind is left out.
 
 Two scans of the texts (entities, then pattern counts); what is joined are
 distinct (pattern, instance) pairs. A fixed-size bit field tells the second
@@ -32,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pylonflow.llm.common import documents, stored
@@ -52,6 +56,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _CANDIDATE = re.compile(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
+_RUN = re.compile(r"[0-9]++(?:\)?(?:\x20?[-/]\x20?|[.\x20])?\(?[0-9]++)*+")
+_DIGITS = re.compile(r"[0-9]++")
 _EDGE = "\"'`.,;:!?()[]{}<>|*#$%&="
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -106,13 +112,51 @@ def _shape(token: str) -> int | None:
     return 2 if 12 <= digits <= 19 else 3 if 7 <= digits <= 11 else None
 
 
+# Of a series of digit groups: least and most digits, and the fewest in a group after the first.
+_SERIES = {2: (12, 19, 3), 3: (7, 11, 2)}
+
+
+def _series(t: str, shaped: dict[int, int], taken: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(start, kind, end) of digit groups that read as a number of the kind: from each group that begins a word, the
+    longest series of whole groups. Tokens in ``shaped`` (start: kind) have their kind without what follows."""
+    k = 0
+    for run in _RUN.finditer(t):
+        groups = [g.span() for g in _DIGITS.finditer(t, run.start(), run.end())]
+        if len(groups) < 2:
+            continue
+        while k < len(taken) and taken[k][1] <= groups[0][0]:
+            k += 1
+        near = k
+        for i, (a, b) in enumerate(groups):
+            while near < len(taken) and taken[near][1] <= a:
+                near += 1
+            open_ = a > 0 and t[a - 1] == "("
+            before = t[a - 1 - open_: a - open_]
+            own = shaped.get(a, shaped.get(a - 1) if open_ else None)
+            if own == 1 or (before and not before.isspace() and before not in _EDGE) or before in (".", ")"):
+                continue
+            for kind, (least, most, part) in _SERIES.items():
+                if own == kind:
+                    continue
+                digits, end = 0, None
+                for j, (x, y) in enumerate(groups[i:]):
+                    digits += y - x
+                    if digits > most or (j and y - x < part) or any(u < y and v > a for u, v in taken[near: near + 8]):
+                        break
+                    if j and digits >= least and not (t[y: y + 1].isalnum() or t[y: y + 1] in ("_", "@")):
+                        end = y
+                if end is not None:
+                    yield a - (open_ and ")" in t[a:end]), kind, end
+
+
 def candidates(t: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(start, kind, end) of whole tokens, edges trimmed, that look like a kind and overlap no base span."""
+    """(start, kind, end) of whole tokens, edges trimmed, and of series of digit groups that look like a kind and
+    overlap no base span; of a kind at most one at a start."""
     out, k = [], 0
     taken = sorted((a, b) for a, _, b in base)
     for m in _CANDIDATE.finditer(t):
         token = m[0].strip(_EDGE)
-        if not token or len(token) > 100:   # longer tokens have no kind's shape
+        if not token:
             continue
         start = m.start() + m[0].index(token)
         end = start + len(token)
@@ -123,7 +167,8 @@ def candidates(t: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int,
         kind = _shape(token)
         if kind is not None:
             out.append((start, kind, end))
-    return out
+    out.extend(_series(t, {a: kind for a, kind, _ in out}, taken))
+    return sorted(set(out))
 
 
 def _word_hash(word: bytes) -> int:
@@ -213,32 +258,40 @@ def _pattern_counts(df: DataFrame, text: str, patterns: DataFrame) -> DataFrame:
     return stored(got.groupBy("pattern").agg(F.sum("n").alias("total")).join(patterns, "pattern", "left_semi"), "patterns")
 
 
-def discover(found: DataFrame, totals_of, rounds: int = 3, support: int = 3, sure: float = 0.5,
+def discover(found: DataFrame, totals_of, rounds: int | None = None, support: int = 3, sure: float = 0.5,
              accept: float = 0.8) -> DataFrame:
     """(value, kind) of discovered instances.
 
     ``totals_of`` maps a table of patterns to (pattern, total). ``support``
-    is the number of distinct instances a pattern needs, ``sure`` the least
-    confidence of a pattern, ``accept`` that of an instance.
+    is the number of distinct known instances a pattern needs, ``sure`` the
+    least confidence of a pattern, ``accept`` that of an instance. Rounds go
+    on until one finds nothing new, or ``rounds`` of them have run.
     """
     entity = found.select(F.explode("found").alias("e")).select("e.kind", "e.seed", "e.value", "e.patterns")
     edges = stored(entity.select("kind", "seed", "value", F.explode("patterns").alias("pattern"))
                    .groupBy("pattern", "value", "kind").agg(F.max("seed").alias("seed"), F.count("*").alias("n")), "edges")
     wide = edges.groupBy("pattern").agg(F.count("*").alias("c")).where(F.col("c") >= support).select("pattern")
     totals = totals_of(stored(wide, "wide"))
-    edges = stored(edges.join(totals, "pattern"), "edges")
-    seeds = edges.where("seed").select("value", "kind").distinct().withColumn("conf", F.lit(1.0))
-    known = seeds
-    new = None
-    for _ in range(rounds):
+    # other: occurrences before what is no entity and no candidate of the kind
+    other = (edges.groupBy("pattern", "kind").agg(F.sum("n").alias("own")).join(totals, "pattern")
+             .select("pattern", "kind", F.greatest(F.col("total") - F.col("own"), F.lit(0)).alias("other")))
+    edges = stored(edges.join(other, ["pattern", "kind"]), "edges")
+    seeds = edges.where("seed").select("value", "kind").distinct()
+    new = edges.select("value", "kind", F.lit(1.0).alias("conf")).limit(0)
+    while rounds is None or rounds > 0:
+        known = seeds.withColumn("conf", F.lit(1.0)).unionByName(new)
         scored = (edges.join(known, ["value", "kind"]).groupBy("pattern", "kind")
-                  .agg(F.sum(F.col("n") * F.col("conf")).alias("hits"), F.count("*").alias("c"), F.max("total").alias("total"))
-                  .where(F.col("c") >= support).select("pattern", "kind", F.least(F.col("hits") / F.col("total"), F.lit(1.0)).alias("conf")))
+                  .agg(F.sum(F.col("n") * F.col("conf")).alias("hits"), F.sum("n").alias("n"), F.count("*").alias("c"),
+                       F.max("other").alias("other"))
+                  .where(F.col("c") >= support).select("pattern", "kind", (F.col("hits") / (F.col("n") + F.col("other"))).alias("conf")))
         scored = scored.where(F.col("conf") >= sure)
         fresh = (edges.where("NOT seed").join(scored, ["pattern", "kind"]).groupBy("value", "kind")
                  .agg(F.max("conf").alias("conf")).where(F.col("conf") >= accept))
-        new = stored(fresh.join(seeds.select("value", "kind"), ["value", "kind"], "left_anti"), "instances")
-        known = seeds.unionByName(new)
+        fresh = stored(fresh.join(known.select("value", "kind"), ["value", "kind"], "left_anti"), "instances")
+        if fresh.isEmpty():
+            break
+        new = new.unionByName(fresh)   # what is known stays known, so the rounds come to an end
+        rounds = None if rounds is None else rounds - 1
     return new.select("value", "kind")
 
 
@@ -250,7 +303,9 @@ def find_pii(df: DataFrame, key: str = "doc_id", text: str = "text", **settings)
     span = lambda e: F.struct(e["start"].alias("start"), e["kind"].alias("kind"), e["end"].alias("end"))
     base = F.array_sort(F.transform(F.filter("found", lambda e: e["seed"]), span))
     loose = found.select("rid", F.explode(F.filter("found", lambda e: ~e["seed"])).alias("e")).select("rid", "e.*")
-    added = (loose.join(new, ["value", "kind"]).groupBy("rid")
+    loose = loose.join(new, ["value", "kind"])
+    earlier = Window.partitionBy("rid", "kind").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
+    added = (loose.withColumn("_reach", F.max("end").over(earlier)).where("_reach IS NULL OR _reach < end").groupBy("rid")
              .agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end"))).alias("added")))
     return found.select("rid", "id", base.alias("base")).join(added, "rid", "left").select(
         "id", "base", F.coalesce("added", F.expr("CAST(array() AS array<struct<start:int,kind:int,end:int>>)")).alias("added"))

@@ -60,3 +60,39 @@ def test_high_confidence_patterns_discover_unseen_identifiers(spark, odd_docs, n
     # the same identifier elsewhere is known by now
     assert [rows[-3][1][s["start"]:s["end"]] for s in got[300]["added"]] == ["030/0555012"]
     assert pii.find_pii(odd_docs).count() == odd_docs.count() and pii.find_pii(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("t,want", [
+    ("at 030 555 1234 now", {(3, "030 555 1234")}), ("at (555) 123-4567.", {(3, "(555) 123-4567"), (3, "123-4567")}),
+    ("at (030 555 1234)", {(3, "030 555 1234")}), ("at 030 / 555 1234x", set()), ("at 030 / 555 1234", {(3, "030 / 555 1234")}),
+    ("no 4111 1111 1111 1112 07", {(2, "4111 1111 1111 1112"), (3, "4111 1111")}), ("at 5551234 20 times", {(3, "5551234")}),
+    ("by 2024. 555 1234", {(3, "555 1234")}), ("of 300.1.2.3 99", {(1, "300.1.2.3")}), ("b" * 150 + "@host", {(0, "b" * 150 + "@host")})])
+def test_candidates_span_digit_groups_and_long_tokens(t, want):
+    got = {(k, t[a:e]) for a, k, e in pii.candidates(t, pii.base_spans(t))}
+    assert want <= got and (want or not got)
+    starts = [(a, k) for a, k, _ in pii.candidates(t, pii.base_spans(t))]
+    assert len(starts) == len(set(starts))
+
+
+def test_undecided_candidates_do_not_count_against_a_pattern(spark):
+    near = [f"030 555 {1000 + k}" for k in range(5)] + [f"(555) 123-{4000 + k}" for k in range(4)]
+    rows = [(k, f"w{k} reach our hotline +4930{k:07d} now") for k in range(14)]
+    rows += [(100 + k, f"v{k} reach our hotline {x} now") for k, x in enumerate(near)]   # 9 of 23
+    cards = [f"4111 1111 1111 {k:04d}" for k in range(10_000)]
+    good, bad = [c for c in cards if pii.luhn(c.replace(" ", ""))][:4], [c for c in cards if not pii.luhn(c.replace(" ", ""))][:4]
+    rows += [(200 + k, f"u{k} the card number {x} was") for k, x in enumerate(good + bad)]
+    # many plain words behind the pattern speak against it
+    rows += [(300 + k, f"t{k} see some page {x} then") for k, x in enumerate([f"+4940{k:07d}" for k in range(4)] + [f"040 555 {k}777" for k in range(1, 5)] + ["one"] * 9)]
+    # each round's discoveries introduce the next pattern: more than three rounds
+    chain = [f"0999 {k}00{j}00" for k in range(1, 7) for j in range(3)]
+    rows += [(400 + k, f"hotline {x} end") for k, x in enumerate(chain[:3])]
+    for k in range(1, 6):
+        rows += [(500 + 10 * k + j, f"step{k}x is {chain[3 * (k - 1) + j]} and") for j in range(3)]
+        rows += [(600 + 10 * k + j, f"step{k}x is {chain[3 * k + j]} and") for j in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["id"]: {r["text"][s["start"]:s["end"]] for s in r["added"]} for r in pii.find_pii(df).withColumnRenamed("id", "doc_id")
+           .join(df, "doc_id").withColumnRenamed("doc_id", "id").collect()}
+    assert [got[100 + k] for k in range(len(near))] == [{x} for x in near]
+    assert [got[204 + k] for k in range(4)] == [{x} for x in bad] and not any(got[200 + k] for k in range(4))
+    assert not any(got[300 + k] for k in range(17))
+    assert [got[600 + 50 + j] for j in range(3)] == [{x} for x in chain[15:18]]
