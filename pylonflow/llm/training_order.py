@@ -11,8 +11,9 @@ slots are shards; a shard holds ``rows`` sequences of ``length * 2`` bytes
 ``(s % rows) * length * 2`` of shard ``s // rows``: reads are sequential, and
 resume at any slot.
 
-Only pieces of sequences are shuffled, once, by ranges of slots; documents
-of any length are cut over their sequences. The driver sees one token count
+Only pieces of sequences are shuffled, once, by ranges of whole shards, so
+that the files are written without another shuffle; documents of any length
+are cut over their sequences. The driver sees one token count
 a partition. Null and empty texts contribute their end mark, and every
 input row is in the stream once, repeated ids included.
 """
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from pylonflow.llm.common import documents, stored
 from pylonflow.llm.decontaminate import _slices
-from pylonflow.session import ship_package
+from pylonflow.session import scratch_path, ship_package
 
 END_OF_TEXT = 50_256     # free in the default vocabulary of 50,256 ids
 LENGTH = 1024
@@ -130,7 +131,8 @@ def _cut(row_at: int, tokens: bytes, length: int) -> Iterator[tuple[int, int, by
 
 def training_order(tokens: DataFrame, length: int = LENGTH, rows: int = ROWS, seed: int = KEY,
                    end: int = END_OF_TEXT) -> DataFrame:
-    """(slot, shard, byte_offset, sequence, keys, tokens): every sequence once, sorted by slot in its partition."""
+    """(slot, shard, byte_offset, sequence, keys, tokens): every sequence once, sorted by slot in its partition,
+    every shard whole in one partition."""
     spark = tokens.sparkSession
     totals = tokens.groupBy("part").agg(F.sum("n").alias("n")).collect()   # one row a partition of the input
     bases, total = {}, 0
@@ -184,27 +186,31 @@ def training_order(tokens: DataFrame, length: int = LENGTH, rows: int = ROWS, se
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut = tokens.select("part", "at", "key", "tokens").mapInArrow(
         pieces, "slot long, sequence long, place int, key string, ids binary")
-    return (cut.repartitionByRange(n, "slot").sortWithinPartitions("slot", "place")
+    shard = F.floor(F.col("slot") / F.lit(rows))   # AQE leaves a repartition into a given number alone
+    return (cut.repartitionByRange(n, shard).sortWithinPartitions("slot", "place")
             .mapInArrow(join, "slot long, shard long, byte_offset long, sequence long, keys array<string>, tokens binary"))
 
 
-def write_shards(sequences: DataFrame, uri: str, rows: int = ROWS) -> DataFrame:
-    """Write one file a shard under ``uri`` (any file system that pyarrow opens) and return the manifest
-    (shard, file, first_slot, rows, bytes, crc32).
+def _shard_folder(uri: str) -> str:
+    """``uri`` as pyarrow names it: Hadoop's s3a is its s3."""
+    return "s3" + uri[3:] if uri.startswith("s3a:") else uri
 
-    A shard is one task's sorted stream; it is written under a name of the
-    attempt's own and renamed when whole, so a lost or repeated task leaves
-    no half shard. Shards already there are rewritten alike.
-    """
-    spark = sequences.sparkSession
-    ship_package(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+def _written(sequences: DataFrame, uri: str) -> DataFrame:
+    """Write one file a shard and return, stored, a row a sequence (slot, shard, byte_offset, sequence, keys) and a row
+    a shard (shard, file, first_slot, rows, bytes, crc32; null slot). Every shard must be whole in one partition and
+    sorted by slot."""
+    uri = _shard_folder(uri)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
         store, root = fs.FileSystem.from_uri(uri)
         store.create_dir(root, recursive=True)
-        attempt, now, sink, done = TaskContext.get().taskAttemptId(), None, None, []
+        attempt, now, sink = TaskContext.get().taskAttemptId(), None, None
+        shards = pa.schema([("shard", pa.int64()), ("file", pa.string()), ("first_slot", pa.int64()), ("rows", pa.int64()),
+                            ("bytes", pa.int64()), ("crc32", pa.int64())])
+        whole = pa.schema([("slot", pa.int64()), ("byte_offset", pa.int64()), ("sequence", pa.int64()),
+                           ("keys", pa.list_(pa.string())), *shards])
 
         def close():
             sink.close()
@@ -212,6 +218,7 @@ def write_shards(sequences: DataFrame, uri: str, rows: int = ROWS) -> DataFrame:
             done.append(now)
 
         for b in batches:
+            done, none = [], pa.nulls(b.num_rows)
             for shard, slot, ids in zip(*[b.column(c).to_pylist() for c in range(3)], strict=True):
                 if now is None or now["shard"] != shard:
                     if now is not None:
@@ -222,16 +229,78 @@ def write_shards(sequences: DataFrame, uri: str, rows: int = ROWS) -> DataFrame:
                 now["rows"] += 1
                 now["bytes"] += len(ids)
                 now["crc32"] = zlib.crc32(ids, now["crc32"])
+            columns = [b.column(1), *[b.column(c) for c in (3, 4, 5)], b.column(0), *[none.cast(f.type) for f in list(shards)[1:]]]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, whole, strict=True)], schema=whole)
+            if done:
+                yield pa.RecordBatch.from_pylist(done, schema=whole)
         if now is not None:
+            done = []
             close()
-        yield pa.RecordBatch.from_pylist(done, schema=pa.schema([
-            ("shard", pa.int64()), ("file", pa.string()), ("first_slot", pa.int64()), ("rows", pa.int64()),
-            ("bytes", pa.int64()), ("crc32", pa.int64())]))
+            yield pa.RecordBatch.from_pylist(done, schema=whole)
 
-    return stored(sequences.select("shard", "slot", "tokens").repartitionByRange(n, "shard").sortWithinPartitions("shard", "slot")
-                  .mapInArrow(write, "shard long, file string, first_slot long, rows long, bytes long, crc32 long"), "manifest")
+    return stored(sequences.select("shard", "slot", "tokens", "byte_offset", "sequence", "keys").mapInArrow(
+        write, "slot long, byte_offset long, sequence long, keys array<string>, shard long, file string, first_slot long, "
+               "rows long, bytes long, crc32 long"), "manifest")
+
+
+def write_shards(sequences: DataFrame, uri: str, rows: int = ROWS, dealt: bool = False) -> DataFrame:
+    """Write one file a shard under ``uri`` (any file system that pyarrow opens) and return the manifest
+    (shard, file, first_slot, rows, bytes, crc32).
+
+    A shard is one task's sorted stream; it is written under a name of the
+    attempt's own and renamed when whole, so a lost or repeated task leaves
+    no half shard. Shards already there are rewritten alike. ``dealt`` says
+    that ``sequences`` comes straight from ``training_order`` with the same
+    ``rows``; it is not shuffled again then.
+    """
+    spark = sequences.sparkSession
+    ship_package(spark)
+    if not dealt:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        sequences = sequences.repartitionByRange(n, "shard").sortWithinPartitions("shard", "slot")
+    return _written(sequences, uri).where("slot IS NULL").select("shard", "file", "first_slot", "rows", "bytes", "crc32")
+
+
+def read_slots(slots: DataFrame, uri: str, length: int = LENGTH, rows: int = ROWS) -> DataFrame:
+    """``slots`` (any frame with ``slot``) with ``tokens`` from the shards under ``uri``, each read at its place."""
+    ship_package(slots.sparkSession)
+    uri, at, stride = _shard_folder(uri), slots.columns.index("slot"), length * 2
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+        store, root = fs.FileSystem.from_uri(uri)
+        shard, source = None, None
+        try:
+            for b in batches:
+                for lo in range(0, b.num_rows, 1024):
+                    part, out = b.slice(lo, 1024), []
+                    for slot in part.column(at).to_pylist():
+                        if shard != slot // rows:
+                            if source is not None:
+                                source.close()
+                            shard = slot // rows
+                            source = store.open_input_file(f"{root}/shard-{shard:06d}.bin")
+                        out.append(source.read_at(stride, slot % rows * stride))
+                        if len(out[-1]) != stride:
+                            raise ValueError(f"shard {shard} ends before slot {slot}")
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], names=[*part.schema.names, "tokens"])
+        finally:
+            if source is not None:
+                source.close()
+
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in slots.schema.fields]
+    return slots.mapInArrow(read, ", ".join([*fields, "tokens binary"]))
+
+
+def read_shards(manifest: DataFrame, uri: str, first_slot: int = 0, length: int = LENGTH, rows: int = ROWS) -> DataFrame:
+    """(slot, tokens) of all sequences from ``first_slot`` on, in order of slot: training goes on where it stopped."""
+    total = manifest.agg(F.sum("rows")).first()[0] or 0
+    return read_slots(manifest.sparkSession.range(min(first_slot, total), total).select(F.col("id").alias("slot")), uri, length, rows)
 
 
 def op9_training_order(spark, sf_dir: str) -> DataFrame:
-    """All sequences of ``documents`` with their slots: the rows that ``write_shards`` puts into files."""
-    return training_order(tokenise(documents(spark, sf_dir)))
+    """All sequences of ``documents`` with their slots, written into shards and read back from them."""
+    uri = scratch_path(spark, "llm", "shards")
+    ship_package(spark)
+    index = _written(training_order(tokenise(documents(spark, sf_dir))), uri).where("slot IS NOT NULL")
+    return read_slots(index.select("slot", "shard", "byte_offset", "sequence", "keys"), uri)

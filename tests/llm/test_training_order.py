@@ -44,3 +44,24 @@ def test_stream_round_trips_through_shards(spark, odd_docs, tmp_path):
 
 def test_empty_table(spark, no_docs):
     assert t.training_order(t.tokenise(no_docs)).count() == 0
+
+
+def test_shards_without_a_second_shuffle_and_reads_from_a_slot_on(spark, odd_docs, tmp_path):
+    sequences = t.training_order(t.tokenise(odd_docs), length=64, rows=50)
+    one, two = (f"file://{tmp_path}/{name}" for name in ("one", "two"))
+    manifest = t.write_shards(sequences, one, rows=50, dealt=True)
+    assert sorted(manifest.collect()) == sorted(t.write_shards(sequences, two, rows=50).collect())
+    want = [(r["slot"], bytes(r["tokens"])) for r in sorted(sequences.collect(), key=lambda r: r["slot"])]
+    assert len(want) > 120
+    for first in (0, 73, len(want), len(want) + 9):   # inside a shard; past the end
+        assert [(r["slot"], bytes(r["tokens"])) for r in t.read_shards(manifest, one, first, 64, 50).collect()] == want[first:]
+
+
+def test_query_writes_its_shards(spark, odd_docs, tmp_path, monkeypatch):
+    odd_docs.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(t, "scratch_path", lambda spark, *parts: f"{tmp_path}/{parts[-1]}")
+    got = sorted(t.op9_training_order(spark, str(tmp_path)).collect())
+    stream = t.training_order(t.tokenise(spark.read.parquet(f"{tmp_path}/documents.parquet")))
+    assert got == sorted(stream.collect()) and got[0]["slot"] == 0
+    with open(tmp_path / "shards" / "shard-000000.bin", "rb") as f:
+        assert f.read() == b"".join(r["tokens"] for r in got)
