@@ -7,7 +7,7 @@ writes it to the shared checkpoint folder and rereads it as the next one's
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pylonflow.llm import decontaminate, jaccard, mixing, quality, sharding
@@ -41,11 +41,19 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
+def _row_key(key: str, text: str) -> Column:
+    """128 bits of a row's id and text: rows that agree in it have equal texts."""
+    parts = [F.col(key).isNull(), F.col(key).cast("string"), F.col(text).isNull(), F.col(text)]
+    return F.concat_ws(":", F.xxhash64(*parts).cast("string"), F.xxhash64(F.lit(1), *parts).cast("string"))
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a window of the benchmark go, by id: rows that repeat an id go together."""
-    found = decontaminate.contamination(docs, documents(spark, sf_dir, "benchmark"))
-    dirty = found.where("n_hit > 0").select(F.col("key").alias("_dirty_id")).distinct()
-    return docs.join(dirty, F.col("doc_id").cast("string").eqNullSafe(F.col("_dirty_id")), "left_anti").select(*docs.columns)
+    """Documents that hold a window of the benchmark go, each by its own text: others with its id, or without id, stay."""
+    rows, names = _numbered(docs)
+    rows = rows.withColumn("_row", _row_key(names["doc_id"], names["text"]))
+    found = decontaminate.contamination(rows, documents(spark, sf_dir, "benchmark"), "_row", names["text"])
+    dirty = found.where("n_hit > 0").select(F.col("key").alias("_row")).distinct()
+    return _named(rows.join(dirty, "_row", "left_anti"), names)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

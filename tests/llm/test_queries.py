@@ -71,6 +71,15 @@ def test_pipeline_matches_brute_force(spark, corpus):
     assert Counter((r["doc_id"], r["size"], r["text_crc32"], r["shard"]) for r in final) == want
 
 
+def test_decontamination_keeps_clean_rows_of_a_dirty_id(spark, corpus):
+    _, bench, root = corpus
+    dirty, clean = "own " + bench[0][1], sentence(900, 40)
+    docs = [doc(None, dirty), doc(None, clean), doc(None, clean), doc(7, dirty), doc(7, clean), doc(8, None), doc(None, None), doc(9, dirty)]
+    got = dict(corpus_pipeline.STAGES)["benchmark_decontamination"](spark, spark.createDataFrame(docs, DOCS), root)
+    want = [d for d in docs if d[1] != dirty]
+    assert Counter(map(tuple, got.collect())) == Counter(want) and got.columns == DOCS.names
+
+
 def test_pipeline_of_an_empty_table(spark, no_docs, tmp_path):
     no_docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
