@@ -7,7 +7,7 @@ writes it to the shared checkpoint folder and rereads it as the next one's
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pylonflow.llm import decontaminate, jaccard, mixing, quality, sharding
@@ -57,13 +57,25 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it: not at all, once, or repeated."""
-    taken = mixing.mix_documents(docs).where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_mix_row"), "copies").dropDuplicates(["_id", "_mix_row"])
+    """Every document as often as the mix takes it: not at all, once, or repeated.
+
+    The copies of rows that are equal to the mix are added up. Where such rows differ in other columns, each
+    variant gets its share of the sum by the number of its rows, to whole copies.
+    """
+    taken = stored(mixing.mix_documents(docs).groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_mix_row"))
+                   .agg(F.sum("copies").alias("copies"), F.count("*").alias("_rows")).where("copies > 0"), "taken")
     rows, names = _numbered(docs)
     rows = rows.withColumn("_row", mixing.row_hash(names["doc_id"], names["source"], names["text"]))
-    kept = rows.join(taken, F.col(names["doc_id"]).cast("string").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_mix_row")))
-    return _named(kept.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))), names)
+    same = F.col(names["doc_id"]).cast("string").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_mix_row"))
+    single = rows.join(taken.where("_rows = 1"), same).select(*names.values(), "copies")
+    variants = rows.join(taken.where("_rows > 1"), same).groupBy(*names.values(), "_id", "_row", "copies", "_rows").agg(F.count("*").alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy("_id", "_row").orderBy(*[F.col(c) for c in names.values()])
+                            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    share = lambda n: F.floor(F.col("copies") * n / F.col("_rows"))
+    repeated = variants.withColumn("_upto", upto).select(
+        *names.values(), (share(F.col("_upto")) - share(F.col("_upto") - F.col("_n"))).alias("copies"))
+    kept = single.unionByName(repeated.where("copies > 0"))
+    return _named(kept.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))), names)
 
 
 def hash_tree_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

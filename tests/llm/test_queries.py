@@ -80,6 +80,21 @@ def test_decontamination_keeps_clean_rows_of_a_dirty_id(spark, corpus):
     assert Counter(map(tuple, got.collect())) == Counter(want) and got.columns == DOCS.names
 
 
+def test_mixing_stage_takes_the_copies_of_equal_rows_once(spark):
+    from pylonflow.llm import mixing
+    docs = [doc(None, sentence(1, 20), "en", "b")] * 1000 + [doc(None, sentence(2, 30), lang, "b") for lang in "xyyy" * 25]
+    docs += [doc(k, sentence(k, 40), "en", "a") for k in range(5)] + [doc(9, sentence(3, 8), "en", "c")] * 2
+    table = spark.createDataFrame(docs, DOCS)
+    want = Counter()
+    for r in mixing.mix_documents(table).collect():
+        want[r["doc_id"], r["size"]] += r["copies"]
+    assert want[None, 20] % 1000 and want[None, 30] % 100   # rates that are not whole
+    got = dict(corpus_pipeline.STAGES)["source_mixing"](spark, table, "").collect()
+    assert Counter((None if r["doc_id"] is None else str(r["doc_id"]), len(r["text"].split())) for r in got) == +want
+    langs = Counter(r["lang"] for r in got if len(r["text"].split()) == 30)
+    assert abs(langs["y"] - 3 * langs["x"]) <= 4 and set(map(tuple, got)) <= set(docs)
+
+
 def test_pipeline_of_an_empty_table(spark, no_docs, tmp_path):
     no_docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
