@@ -3,14 +3,15 @@
 Host and path are cut from the URL; a rule fits its host and all
 subdomains where the path starts with the rule's, and the longest rule wins.
 URLs that a rule judges are the labelled ones: a bounded part of them
-(``max_train_rows``, drawn by a hash of the URL) trains the trees, which
-judge every URL that no rule fits.
+(``max_train_rows``, drawn from each label by a hash of the row, and weighted
+back to the label's share) trains the trees, which judge every URL that no
+rule fits.
 
 Features: lengths, path depth, digit ratio, character entropy, counts of
 parameters, hyphens and labels, scheme, and suffix statistics (the smoothed
-block rate of the labelled URLs that share the top-level domain, the last two
-host labels or the first path segment, in a fixed number of hash buckets, so
-that they need no join). Everything is DataFrame expressions and spark.ml.
+block rate of all labelled URLs that share the top-level domain, the last two
+host labels or the first path segment; the overall rate where none does),
+joined by the suffix. Everything is DataFrame expressions and spark.ml.
 
 A null URL, or one without ``://``, has empty host and path and is judged by
 the model. Every input row gives one output row; only the named columns are
@@ -20,6 +21,7 @@ that label (allow without any).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
@@ -29,7 +31,6 @@ from pyspark.sql import functions as F
 
 from pylonflow.llm.common import LOWER, UPPER, documents, stored
 
-SUFFIX_BUCKETS = 256
 PRIOR = 10.0     # rows' worth of the overall block rate mixed into a suffix's rate
 
 
@@ -100,27 +101,20 @@ def lexical_features(url: Column, host: Column, path: Column) -> dict[str, Colum
     }
 
 
-def _bucket(name: str, value: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(name), value), F.lit(SUFFIX_BUCKETS)).cast("int")
+def _suffix_rates(labelled: DataFrame) -> tuple[DataFrame, float]:
+    """Stored (name, suffix, rate) of every suffix of all labelled rows, and the overall block rate."""
+    overall = float(labelled.agg(F.avg("label")).first()[0] or 0.0)
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"{n}_suffix").alias("suffix")) for n in SUFFIXES]))
+    got = labelled.select("label", each.alias("s")).groupBy("s.name", "s.suffix").agg(F.sum("label").alias("hits"), F.count("*").alias("n"))
+    return stored(got.select("name", "suffix", ((F.col("hits") + PRIOR * overall) / (F.col("n") + PRIOR)).alias("rate")), "rates"), overall
 
 
-def _suffix_rates(labelled: DataFrame) -> dict[str, list[float]]:
-    """Block rate of each hash bucket of each suffix: a fixed number of values."""
-    overall = labelled.agg(F.avg("label")).first()[0] or 0.0
-    out = {}
-    for name in SUFFIXES:
-        got = (labelled.groupBy(F.col(f"{name}_bucket").alias("b"))
-               .agg(F.sum("label").alias("hits"), F.count("*").alias("n")).collect())
-        rates = [overall] * SUFFIX_BUCKETS
-        for r in got:
-            rates[r["b"]] = (r["hits"] + PRIOR * overall) / (r["n"] + PRIOR)
-        out[name] = rates
-    return out
-
-
-def _with_rates(df: DataFrame, rates: dict[str, list[float]]) -> DataFrame:
-    return df.withColumns({f"{n}_rate": F.array(*[F.lit(float(x)) for x in r])[F.col(f"{n}_bucket")]
-                           for n, r in rates.items()})
+def _with_rates(df: DataFrame, rates: tuple[DataFrame, float]) -> DataFrame:
+    table, overall = rates
+    for n in SUFFIXES:
+        mine = table.where(F.col("name") == n).select(F.col("suffix").alias(f"{n}_suffix"), F.col("rate").alias(f"{n}_rate"))
+        df = df.join(mine, f"{n}_suffix", "left").withColumn(f"{n}_rate", F.coalesce(f"{n}_rate", F.lit(overall)))
+    return df
 
 
 def prepared(df: DataFrame, key: str, url: str, rules: tuple[UrlRule, ...]) -> DataFrame:
@@ -130,13 +124,31 @@ def prepared(df: DataFrame, key: str, url: str, rules: tuple[UrlRule, ...]) -> D
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     d = d.withColumns({"rule": name, "by_rule": verdict})
     d = d.withColumns(lexical_features(F.col("url"), F.col("host"), F.col("path")))
-    return d.withColumns({f"{n}_bucket": _bucket(n, f(F.col("host"), F.col("path"))) for n, f in SUFFIXES.items()})
+    return d.withColumns({f"{n}_suffix": f(F.col("host"), F.col("path")) for n, f in SUFFIXES.items()})
 
 
 def feature_names() -> list[str]:
     return [*lexical_features(F.lit(""), F.lit(""), F.lit("")), *[f"{n}_rate" for n in SUFFIXES]]
 
 
+def _drawn(labelled: DataFrame, labels: dict[int, int], max_train_rows: int) -> DataFrame:
+    """About ``max_train_rows`` rows, some of either label, with the weight that gives each label its share of all rows."""
+    scale, rarer = 1 << 30, min(labels, key=labels.get)
+    few = max(1, min(labels[rarer], max_train_rows // 2))
+    quota = {k: few if k == rarer else max(1, min(n, max_train_rows - few)) for k, n in labels.items()}
+    at = F.pmod(F.xxhash64("url", "page_id"), F.lit(scale))
+    share = lambda k: labelled.where((F.col("label") == k) & (at < math.ceil(scale * quota[k] / labels[k])))
+    parts = []
+    for k in sorted(labels):
+        part = share(k)
+        n = part.count()
+        if not n:   # the hash passes over the label, as where all its rows are alike
+            part = labelled.where(F.col("label") == k).limit(quota[k])
+            n = quota[k]
+        parts.append(part.withColumn("weight", F.lit(labels[k] / n)))
+    return parts[0].unionByName(parts[1])
+
+
 def train(labelled: DataFrame, max_train_rows: int = 20_000, trees: int = 20, depth: int = 4):
     """(assembler, model, rates), or the single label there is (0.0 without any).
 
@@ -145,15 +157,11 @@ def train(labelled: DataFrame, max_train_rows: int = 20_000, trees: int = 20, de
     labels = {r["label"]: r["n"] for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(labels) < 2:
         return float(next(iter(labels), 0))
-    scale = 1 << 30
-    drawn = labelled.where(F.pmod(F.xxhash64("url"), F.lit(scale)) < int(scale * min(1.0, max_train_rows / sum(labels.values()))))
-    drawn = stored(drawn, "urls")
-    rates = _suffix_rates(drawn)
+    rates = _suffix_rates(labelled)
+    drawn = stored(_drawn(labelled, labels, max_train_rows), "urls")
     assembler = VectorAssembler(inputCols=feature_names(), outputCol="features")
-    rows = assembler.transform(_with_rates(drawn, rates)).select("features", F.col("label").cast("double").alias("label"))
-    if rows.select("label").distinct().count() < 2:
-        return float(max(labels, key=labels.get))
-    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, labelCol="label").fit(rows)
+    rows = assembler.transform(_with_rates(drawn, rates)).select("features", "weight", F.col("label").cast("double").alias("label"))
+    model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, labelCol="label", weightCol="weight").fit(rows)
     return assembler, model, rates
 
 

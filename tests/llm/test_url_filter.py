@@ -60,3 +60,27 @@ def test_without_two_labels(spark, urls, verdict):
 def test_main_path_runs_no_python(spark):
     plan = u.op4_url_filter(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_suffix_rates_come_from_all_labelled_rows(spark):
+    rows = [(k, f"http://a.d{k % 900}.org/s{k % 700}/x", int(k % 900 < 300)) for k in range(3600)]
+    df = u.prepared(spark.createDataFrame([r[:2] for r in rows], "page_id long, url string"), "page_id", "url", ())
+    df = df.withColumn("label", (df["page_id"] % 900 < 300).cast("int"))
+    _, _, (table, overall) = u.train(df, max_train_rows=100, trees=1, depth=1)
+    got = {r["suffix"]: r["rate"] for r in table.where("name = 'domain'").collect()}
+    assert math.isclose(overall, 1 / 3) and len(got) == 900
+    for k in range(900):   # each domain has its own rate, from its own four rows
+        assert math.isclose(got[f"d{k}.org"], ((4 if k < 300 else 0) + u.PRIOR / 3) / (4 + u.PRIOR))
+    assert u._with_rates(df, (table, overall)).count() == 3600
+
+
+def test_a_rare_label_stays_in_the_sample(spark):
+    rows = [(1, "http://x.net/es/1")] * 3 + [(k, f"http://x{k}.org/") for k in range(3000)]
+    df = u.prepared(spark.createDataFrame(rows, "page_id long, url string"), "page_id", "url", u.RULES)
+    df = df.withColumn("label", df["url"].contains("/es/").cast("int"))
+    drawn = u._drawn(df, {0: 3000, 1: 3}, 20)
+    got = {}
+    for r in drawn.collect():
+        n, w = got.get(r["label"], (0, 0.0))
+        got[r["label"]] = (n + 1, w + r["weight"])
+    assert got[1][0] == 3 and 0 < got[0][0] < 60 and math.isclose(got[1][1], 3) and math.isclose(got[0][1], 3000)
