@@ -6,6 +6,7 @@ from pylonflow.llm.decontaminate import OP1_SQL, op1_decontamination
 from pylonflow.llm.jaccard import OP8_SQL, op8_jaccard_join
 from pylonflow.llm.mixing import op7_entropy_mixing
 from pylonflow.llm.pii import op5_pii
+from pylonflow.llm.pieces import op11_piece_encoding
 from pylonflow.llm.preferences import OP10_SQL, op10_preference_format
 from pylonflow.llm.quality import OP3_SQL, op3_quality_rules
 from pylonflow.llm.sharding import OP2_SQL, op2_hash_tree_sharding
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_training_order": op9_training_order,
     "op10_preference_format": op10_preference_format,
+    "op11_piece_encoding": op11_piece_encoding,
 }
 
 ORACLE = {
