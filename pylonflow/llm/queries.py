@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pylonflow.llm.decontaminate import OP1_SQL, op1_decontamination
+from pylonflow.llm.divergence import OP13_SQL, op13_source_divergence
 from pylonflow.llm.jaccard import OP8_SQL, op8_jaccard_join
 from pylonflow.llm.mixing import op7_entropy_mixing
 from pylonflow.llm.pii import op5_pii
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_training_order": op9_training_order,
     "op10_preference_format": op10_preference_format,
     "op11_piece_encoding": op11_piece_encoding,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE = {
@@ -34,4 +36,5 @@ ORACLE = {
     "op3_quality_rules": OP3_SQL,
     "op8_jaccard_join": OP8_SQL,
     "op10_preference_format": OP10_SQL,
+    "op13_source_divergence": OP13_SQL,
 }
