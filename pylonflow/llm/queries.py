@@ -7,6 +7,7 @@ from pylonflow.llm.divergence import OP13_SQL, op13_source_divergence
 from pylonflow.llm.jaccard import OP8_SQL, op8_jaccard_join
 from pylonflow.llm.mixing import op7_entropy_mixing
 from pylonflow.llm.pii import op5_pii
+from pylonflow.llm.negatives import OP12_SQL, op12_hard_negatives
 from pylonflow.llm.pieces import op11_piece_encoding
 from pylonflow.llm.preferences import OP10_SQL, op10_preference_format
 from pylonflow.llm.quality import OP3_SQL, op3_quality_rules
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_training_order": op9_training_order,
     "op10_preference_format": op10_preference_format,
     "op11_piece_encoding": op11_piece_encoding,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_source_divergence": op13_source_divergence,
 }
 
@@ -36,5 +38,6 @@ ORACLE = {
     "op3_quality_rules": OP3_SQL,
     "op8_jaccard_join": OP8_SQL,
     "op10_preference_format": OP10_SQL,
+    "op12_hard_negatives": OP12_SQL,
     "op13_source_divergence": OP13_SQL,
 }
