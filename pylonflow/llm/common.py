@@ -18,8 +18,8 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return read_table(spark, sf_dir, name)
 
 
-def stored(df: DataFrame, tag: str, compression: str = "zstd") -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+def stored(df: DataFrame, tag: str, compression: str = "zstd", **options: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder (with the writer's ``options``) and read it back.
 
     Cuts the lineage on storage every executor can reach: a lost executor
     costs a re-read, never a recomputation of what stands above, and jobs
@@ -27,7 +27,7 @@ def stored(df: DataFrame, tag: str, compression: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "llm", tag)
-    df.write.option("compression", compression).parquet(path)
+    df.write.options(compression=compression, **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -35,15 +35,15 @@ def global_index(df: DataFrame, order: list[str], out: str, partitions: int | No
     """Add ``out``: the row's gapless position (from 0) in the total order ``order``.
 
     One range shuffle and a sort inside each partition; the partitions' row
-    counts (one number each) become offsets. Nothing is gathered in one task,
-    so a hot leading key is spread over as many ranges as it fills. Rows that
-    agree in every order column are interchangeable.
+    counts (one number each) become offsets. Rows that agree in every order
+    column are interchangeable; their place in the input parts them, so that a
+    hot key, or a flood of equal rows, is spread over as many ranges as it fills.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    at = "_at_partition"
-    placed = stored(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                    .withColumn(at, F.monotonically_increasing_id()), "index")
+    at, tie = "_at_partition", "_tie"
+    placed = stored(df.withColumn(tie, F.monotonically_increasing_id()).repartitionByRange(n, *order, tie)
+                    .sortWithinPartitions(*order).drop(tie).withColumn(at, F.monotonically_increasing_id()), "index")
     part = F.shiftright(F.col(at), 33)
     sizes = placed.groupBy(part.alias("p")).count().collect()   # one row per partition
     offsets, total = {}, 0

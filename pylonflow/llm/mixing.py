@@ -30,7 +30,8 @@ from pylonflow.llm.common import SPACE_WORD, documents, global_index, stored
 from pylonflow.session import ship_package
 
 BUCKET = 4096        # documents a rounding bucket holds on average
-SPREAD = 50.0        # tilts beyond +-SPREAD mean "all" or "none" of a source
+PART = 512           # of them, equal rows that go there together at most
+ROUNDS = 500         # Newton rounds after which something is wrong: a bracket doubles or halves in each
 
 
 def word_count(text: Column) -> Column:
@@ -68,24 +69,26 @@ def target_table(sizes: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0),
     return t.withColumn("target", F.least(F.col("weight") * F.lit(level), cap * F.col("source_size").cast("double")))
 
 
-def tilt_table(sizes: DataFrame, targets: DataFrame, cap: float = 3.0, tolerance: float = 1e-9,
-               iterations: int = 60) -> DataFrame:
+def tilt_table(sizes: DataFrame, targets: DataFrame, cap: float = 3.0, tolerance: float = 1e-9) -> DataFrame:
     """``targets`` with every source's ``mean`` size and ``tilt`` (the dual's minimiser).
 
-    Safeguarded Newton: where a step would leave the bracket around the root
-    (the taken tokens rise with the tilt), the bracket is halved instead.
-    Sources whose target is all they have at the cap, or nothing, start at
-    the end of the range and stay there.
+    Safeguarded Newton: the taken tokens rise with the tilt, so every round moves one end of a bracket around the
+    root. A step may not leave the bracket (it is halved instead), and where the bracket is still open on that side a
+    step may at most double the tilt: the root is found however far out it is. Sources whose target is all they have
+    at the cap have an infinite tilt, those whose target is nothing an infinitely negative one. A source that is not
+    within ``tolerance`` after ``ROUNDS`` rounds is an error, never an answer.
     """
-    state = targets.select(
-        "source", "source_size", "docs", "target",
-        (F.col("source_size") / F.col("docs")).alias("mean"),
-        F.lit(0.0).alias("tilt"), F.lit(-SPREAD).alias("low"), F.lit(SPREAD).alias("high"))
     full = F.col("target") >= cap * F.col("source_size") * (1 - 1e-12)
-    state = state.withColumn("done", full | (F.col("target") <= 0)).withColumn(
-        "tilt", F.when(F.col("target") <= 0, -SPREAD).when(full, float("inf")).otherwise(0.0))
+    none = F.col("target") <= 0
+    open_end = F.lit(None).cast("double")
+    state = targets.select(
+        "source", "source_size", "docs", "target", (F.col("source_size") / F.col("docs")).alias("mean"),
+        F.when(none, float("-inf")).when(full, float("inf")).otherwise(0.0).alias("tilt"),
+        open_end.alias("low"), open_end.alias("high"), (full | none).alias("done"))
     state = stored(state, "tilt")
-    for _ in range(iterations):
+    for _ in range(ROUNDS):
+        if state.where(~F.col("done")).isEmpty():
+            return state
         raw = F.exp(F.col("tilt") * F.col("size") / F.col("mean"))
         x = sizes.alias("h").join(state.where(~F.col("done")).alias("t"),
                                   F.col("h.source").eqNullSafe(F.col("t.source")))
@@ -96,30 +99,34 @@ def tilt_table(sizes: DataFrame, targets: DataFrame, cap: float = 3.0, tolerance
                                   * F.col("raw")).otherwise(0.0)).alias("slope")))
         s, m = state.alias("s"), moved.alias("m")
         error = F.col("taken") - F.col("target")
-        low = F.when(error < 0, F.col("tilt")).otherwise(F.col("low"))
-        high = F.when(error > 0, F.col("tilt")).otherwise(F.col("high"))
-        newton = F.col("tilt") - error / F.col("slope")
         nxt = s.join(m, F.col("s.source").eqNullSafe(F.col("m.source")), "left").select(
-            "s.source", "source_size", "docs", "target", "mean", "done", "taken", "slope", "tilt",
-            low.alias("low"), high.alias("high"), error.alias("error"), newton.alias("newton"))
-        stop = F.col("done") | (F.abs("error") <= tolerance * F.col("target")) | (F.col("high") - F.col("low") < 1e-13)
-        inside = (F.col("slope") > 0) & (F.col("newton") > F.col("low")) & (F.col("newton") < F.col("high"))
-        nxt = nxt.select("source", "source_size", "docs", "target", "mean",
-                         F.when(stop, F.col("tilt")).when(inside, F.col("newton"))
-                         .otherwise((F.col("low") + F.col("high")) / 2).alias("tilt"), "low", "high", stop.alias("done"))
-        state = stored(nxt, "tilt")
-        if not state.where(~F.col("done")).limit(1).count():
-            break
-    return state
+            "s.source", "source_size", "docs", "target", "mean", "done", "tilt", error.alias("error"), "slope",
+            F.when(error < 0, F.col("tilt")).otherwise(F.col("low")).alias("low"),
+            F.when(error > 0, F.col("tilt")).otherwise(F.col("high")).alias("high"))
+        reach = F.abs("tilt") + 1
+        newton = F.when(F.col("slope") > 0, F.col("tilt") - F.col("error") / F.col("slope")).otherwise(
+            F.when(F.col("error") < 0, float("inf")).otherwise(float("-inf")))
+        step = F.least(F.greatest(newton, F.col("tilt") - reach), F.col("tilt") + reach)
+        both = F.col("low").isNotNull() & F.col("high").isNotNull()
+        inside = (F.col("low").isNull() | (step > F.col("low"))) & (F.col("high").isNull() | (step < F.col("high")))
+        tight = both & (F.col("high") - F.col("low") <= 1e-13 * (1 + F.abs("tilt")))
+        stop = F.col("done") | (F.abs("error") <= tolerance * F.col("target")) | tight
+        state = stored(nxt.select(
+            "source", "source_size", "docs", "target", "mean",
+            F.when(stop, F.col("tilt")).when(inside, step).otherwise((F.col("low") + F.col("high")) / 2).alias("tilt"),
+            "low", "high", stop.alias("done")), "tilt")
+    raise RuntimeError(f"some source's tilt is not found after {ROUNDS} rounds")
 
 
 def _round_bucket(group: pd.DataFrame, cap: float = 3.0) -> pd.DataFrame:
-    """Copies of one bucket's documents, largest first, by feedback of the token error."""
-    g = group.sort_values(["size", "mix", "doc_id"], ascending=[False, True, True], kind="stable")
+    """Copies of one bucket's documents, largest first, by feedback of the token error; equal rows are told apart here."""
+    g = group.loc[group.index.repeat(group["n"])]
+    g = g.sort_values(["size", "mix", "doc_id"], ascending=[False, True, True], kind="stable")
     size = g["size"].to_numpy(np.int64)
     mean, tilt = g["mean"].to_numpy(float), g["tilt"].to_numpy(float)
-    with np.errstate(over="ignore", invalid="ignore"):
-        rate = np.minimum(cap, np.exp(np.where(np.isinf(tilt), 700.0, np.minimum(tilt * size / np.maximum(mean, 1e-300), 700.0))))
+    with np.errstate(over="ignore", invalid="ignore", divide="ignore"):
+        at = np.where(size > 0, tilt * size / mean, 0.0)
+        rate = np.minimum(cap, np.exp(np.minimum(at, 700.0)))
     floor = np.floor(rate).astype(np.int64)
     part = (rate - floor) * size
     copies, error = floor.copy(), 0.0
@@ -145,10 +152,14 @@ def mix_documents(df: DataFrame, key: str = "doc_id", text: str = "text", source
                             word_count(F.col(text)).alias("size"), row_hash(key, source, text).alias("row")), "mix")
     sizes = stored(rows.groupBy("source", "size").agg(F.count("*").alias("docs")), "sizes")
     tilts = tilt_table(sizes, target_table(sizes, weights, cap), cap)
-    x = rows.alias("r").join(tilts.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")))
-    x = x.select("r.doc_id", "r.row", "size", F.col("r.source").alias("source"), "source_size", "target", "mean", "tilt",
-                 F.xxhash64("doc_id", "r.row").alias("mix"),
-                 F.pmod(F.xxhash64("doc_id", "r.row", F.lit(7)), F.ceil(F.col("docs") / BUCKET)).alias("bucket"))
+    # equal rows are counted before the shuffle and dealt out in parts, so that a flood of them fills many buckets
+    same = rows.groupBy("source", "doc_id", "row", "size").agg(F.count("*").alias("all"))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("all") - 1) / PART)))
+    same = same.select("*", part.alias("part")).withColumn("n", F.least(F.lit(PART), F.col("all") - F.col("part") * PART))
+    x = same.alias("r").join(tilts.alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")))
+    x = x.select("r.doc_id", "r.row", "size", "n", F.col("r.source").alias("source"), "source_size", "target", "mean", "tilt",
+                 F.xxhash64("doc_id", "r.row", "part").alias("mix"),
+                 F.pmod(F.xxhash64("doc_id", "r.row", "part", F.lit(7)), F.ceil(F.col("docs") / BUCKET)).alias("bucket"))
     return x.groupBy("source", "bucket").applyInPandas(
         lambda g: _round_bucket(g, cap),
         "doc_id string, row long, size long, source_size long, target double, copies long")

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pylonflow.llm import mixing as m
 
@@ -76,3 +77,41 @@ def test_reruns_agree_and_odd_rows(spark, odd_docs, no_docs):
     assert m.mix_documents(no_docs).count() == 0
     empty = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert [(r["size"], r["target"], r["copies"]) for r in m.mix_documents(empty).collect()] == [(0, 0.0, 0)] * 2
+
+
+@pytest.mark.parametrize("sizes,target", [([10] * 999 + [1_000_000], 1010.0), ([1_000_000] + [1] * 50, 30.0), ([1] * 5000 + [100_000], 250_000.0),
+                                          ([7], 3.5), ([3, 1_000_000_000], 1e9 + 4)])
+def test_far_tilts_are_found(spark, sizes, target):
+    hist = spark.createDataFrame([("s", n, sizes.count(n)) for n in set(sizes)], "source string, size long, docs long")
+    targets = spark.createDataFrame([("s", sum(sizes), len(sizes), target)], "source string, source_size long, docs long, target double")
+    r = m.tilt_table(hist, targets).first()
+    taken = sum(n * min(3.0, math.exp(min(r["tilt"] * n / r["mean"], 700))) for n in sizes)
+    assert math.isclose(taken, target, rel_tol=1e-6), (r["tilt"], taken)
+
+
+def test_too_few_rounds_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(m, "ROUNDS", 2)
+    hist = spark.createDataFrame([("s", 10, 999), ("s", 1_000_000, 1)], "source string, size long, docs long")
+    with pytest.raises(RuntimeError, match="2 rounds"):
+        m.tilt_table(hist, spark.createDataFrame([("s", 1_009_990, 1000, 1010.0)], "source string, source_size long, docs long, target double"))
+
+
+def test_a_flood_of_equal_rows_is_dealt_out(spark):
+    df = spark.range(200_000).selectExpr("CAST(NULL AS long) AS doc_id", "'w w w' AS text", "'a' AS source").unionByName(
+        spark.createDataFrame([(k, "w " * (k % 9 + 1), "b") for k in range(2000)], "doc_id long, text string, source string"))
+    got = m.mix_documents(df)
+    by = {r["source_size"]: r for r in got.groupBy("source_size").agg({"*": "count", "target": "max"}).collect()}
+    assert by[600_000]["count(1)"] == 200_000
+    taken = {r["source_size"]: r["t"] for r in got.groupBy("source_size").agg(F.sum(F.col("copies") * F.col("size")).alias("t")).collect()}
+    for size, r in by.items():
+        assert abs(taken[size] - r["max(target)"]) <= 0.002 * r["max(target)"] + 30
+    plan = got._jdf.queryExecution().toString()
+    assert "partial_count" in plan
+
+
+def test_positions_of_equal_rows_are_spread(spark):
+    from pylonflow.llm.common import global_index
+    df = spark.range(200_000).selectExpr("CAST(NULL AS long) AS k", "'same' AS v").repartition(8)
+    got = global_index(df, ["k", "v"], "at", 8)
+    parts = got.groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) > 1 and sorted(r["at"] for r in got.collect()) == list(range(200_000))
