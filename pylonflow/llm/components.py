@@ -12,17 +12,17 @@ def _signature(e: DataFrame) -> tuple:
     return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def connected_components(links: DataFrame, rounds: int = 40) -> DataFrame:
+def connected_components(links: DataFrame) -> DataFrame:
     """(id, component) for every id in ``links`` (a, b): component is the smallest id reachable.
 
     Each round hangs every node under the smallest neighbour it knows, until
-    nothing moves (about the logarithm of the longest path). Nodes and links
+    nothing moves, however many rounds that takes (about the logarithm of the longest path). Nodes and links
     stay in stored tables; the driver sees two numbers a round.
     """
     e = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = stored(e, "links")
     mark = _signature(e)
-    for _ in range(rounds if mark[0] else 0):
+    while mark[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
