@@ -86,7 +86,8 @@ def stale_answers(convs: DataFrame) -> DataFrame:
     """Pairs from single conversations: chosen ends with the last assistant turn; rejected gives in its place the
     assistant turn before it, or an echo of the turn before it where that is the first answer.
 
-    A conversation without an answer has both sides empty after a prompt of all its turns.
+    A conversation without an answer has both sides empty after a prompt of all its turns. Turns behind the last answer
+    belong to neither side: they are kept in ``later``.
     """
     turns = F.col("turns")
     at = F.filter(F.sequence(F.lit(1), F.greatest(F.size(turns), F.lit(1))),
@@ -98,15 +99,18 @@ def stale_answers(convs: DataFrame) -> DataFrame:
     worse = F.concat(F.slice(turns, F.lit(1), F.col("_last") - 1),
                      F.array(F.struct(F.lit("assistant").alias("role"), other.alias("text"))))
     chosen = F.slice(turns, F.lit(1), F.col("_last"))
-    return c.select("conv_id", chosen.alias("chosen"), F.when(F.size("_answers") > 0, worse).otherwise(chosen).alias("rejected"))
+    later = F.slice(turns, F.col("_last") + 1, F.greatest(F.size(turns), F.lit(1)))
+    return c.select("conv_id", chosen.alias("chosen"), F.when(F.size("_answers") > 0, worse).otherwise(chosen).alias("rejected"),
+                    later.alias("later"))
 
 
 def op10_preference_format(spark, sf_dir: str) -> DataFrame:
     pairs = stale_answers(conversation_turns(documents(spark, sf_dir, "conversations")))
-    got = format_preferences(pairs, carry=["conv_id"])
+    got = format_preferences(pairs, carry=["conv_id", "later"])
     listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
     return got.select("conv_id", "prompt_turns", "prompt", "chosen", listed("chosen_spans").alias("chosen_spans"),
-                      "rejected", listed("rejected_spans").alias("rejected_spans"))
+                      "rejected", listed("rejected_spans").alias("rejected_spans"),
+                      F.size("later").alias("later_turns"), render(F.col("later")).alias("later"))
 
 
 OP10_SQL = r"""
@@ -114,16 +118,16 @@ WITH c AS (SELECT conv_id, list(struct_pack(role := coalesce(role, 'unknown'), t
               ORDER BY turn NULLS FIRST, coalesce(role, 'unknown'), coalesce(text, '')) AS t FROM conversations GROUP BY conv_id),
 a AS (SELECT *, list_filter(range(1, len(t) + 1), lambda i: t[i].role = 'assistant') AS answers FROM c),
 l AS (SELECT *, coalesce(answers[len(answers)], len(t)) AS last FROM a),
-p AS (SELECT conv_id, list_slice(t, 1, last) AS ch,
+p AS (SELECT conv_id, list_slice(t, last + 1, len(t)) AS la, list_slice(t, 1, last) AS ch,
         CASE WHEN len(answers) = 0 THEN list_slice(t, 1, last) ELSE list_concat(list_slice(t, 1, last - 1), [struct_pack(
           role := 'assistant', text := CASE WHEN len(answers) > 1 THEN t[answers[len(answers) - 1]].text
                                             WHEN last > 1 THEN t[last - 1].text ELSE '' END)]) END AS rj FROM l),
 k AS (SELECT *, coalesce(list_min(list_filter(range(1, least(len(ch), len(rj)) + 1),
         lambda i: ch[i].role <> rj[i].role OR ch[i].text <> rj[i].text)) - 1, least(len(ch), len(rj))) AS n FROM p),
-r AS (SELECT conv_id, n, list_transform(list_concat(ch, rj), lambda x: struct_pack(head := '<|im_start|>' || x.role || chr(10),
+r AS (SELECT conv_id, n, list_transform(list_concat(list_concat(ch, rj), la), lambda x: struct_pack(head := '<|im_start|>' || x.role || chr(10),
         body := replace(replace(x.text, '<|im_start|>', '<| im_start|>'), '<|im_end|>', '<| im_end|>') || '<|im_end|>',
-        own := x.role = 'assistant')) AS b, len(ch) AS nc, len(ch) + len(rj) AS na FROM k),
-s AS (SELECT conv_id, n, list_slice(b, 1, n) AS pr, list_slice(b, n + 1, nc) AS ch, list_slice(b, nc + n + 1, na) AS rj FROM r)
+        own := x.role = 'assistant')) AS b, len(ch) AS nc, len(ch) + len(rj) AS na, len(ch) + len(rj) + len(la) AS nl FROM k),
+s AS (SELECT conv_id, n, list_slice(b, 1, n) AS pr, list_slice(b, n + 1, nc) AS ch, list_slice(b, nc + n + 1, na) AS rj, list_slice(b, na + 1, nl) AS la FROM r)
 SELECT conv_id, n::INTEGER AS prompt_turns,
   array_to_string(list_transform(pr, lambda x: x.head || x.body || chr(10)), '') AS prompt,
   array_to_string(list_transform(ch, lambda x: x.head || x.body || chr(10)), '') AS chosen,
@@ -133,6 +137,7 @@ SELECT conv_id, n::INTEGER AS prompt_turns,
   array_to_string(list_transform(rj, lambda x: x.head || x.body || chr(10)), '') AS rejected,
   array_to_string(list_transform(list_filter(range(1, len(rj) + 1), lambda i: rj[i].own), lambda i:
     (coalesce(list_sum(list_transform(list_slice(rj, 1, i - 1), lambda y: length(y.head) + length(y.body) + 1)), 0) + length(rj[i].head))::BIGINT || ':' ||
-    (coalesce(list_sum(list_transform(list_slice(rj, 1, i - 1), lambda y: length(y.head) + length(y.body) + 1)), 0) + length(rj[i].head) + length(rj[i].body))::BIGINT), ',') AS rejected_spans
+    (coalesce(list_sum(list_transform(list_slice(rj, 1, i - 1), lambda y: length(y.head) + length(y.body) + 1)), 0) + length(rj[i].head) + length(rj[i].body))::BIGINT), ',') AS rejected_spans,
+  len(la)::INTEGER AS later_turns, array_to_string(list_transform(la, lambda x: x.head || x.body || chr(10)), '') AS later
 FROM s
 """

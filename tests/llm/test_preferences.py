@@ -57,3 +57,14 @@ def test_main_path_runs_no_python(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
     got = p.op10_preference_format(spark, "/root/testdata/sf0.001")
     assert got.where(~F.col("prompt").startswith("<|im_start|>")).count() == 0
+
+
+def test_turns_behind_the_last_answer_are_kept(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "thanks"), (1, 3, "user", None), (2, 0, "user", "q"), (3, 0, "assistant", "x")]
+    pairs = p.stale_answers(p.conversation_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")))
+    later = {r["conv_id"]: [tuple(t) for t in r["later"]] for r in pairs.collect()}
+    assert later == {1: [("user", "thanks"), ("user", "")], 2: [], 3: []}
+    got = p.op10_preference_format(spark, "/root/testdata/sf0.01")
+    convs = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    inside = got.select(sum((F.size(F.split(F.col(c), r"<\|im_start\|>")) - 1 for c in ("prompt", "chosen", "later")), F.lit(0)).alias("n"))
+    assert inside.agg(F.sum("n")).first()[0] == convs.count() and got.agg(F.sum("later_turns")).first()[0] > 0
