@@ -142,8 +142,8 @@ def _drawn(labelled: DataFrame, labels: dict[int, int], max_train_rows: int) ->
     for k in sorted(labels):
         part = share(k)
         n = part.count()
-        if not n:   # the hash passes over the label, as where all its rows are alike
-            part = labelled.where(F.col("label") == k).limit(quota[k])
+        if not n:   # the hash passes over the label, as where all its rows are alike: the rows with the smallest hashes
+            part = labelled.where(F.col("label") == k).orderBy(at, "url", "page_id").limit(quota[k])
             n = quota[k]
         parts.append(part.withColumn("weight", F.lit(labels[k] / n)))
     return parts[0].unionByName(parts[1])
