@@ -25,7 +25,10 @@ def _named(rows: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that some quality rule rejects go."""
+    """Documents that some quality rule rejects go: null, empty and very short texts among them.
+
+    Each row is judged by its own text; repeated rows stay or go alike.
+    """
     rows, names = _numbered(docs)
     return _named(quality.quality_cascade(rows, names["text"], rows.columns).where("kept"), names)
 
@@ -33,12 +36,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of linked documents the one with the smallest id stays.
 
-    Rows without id are not grouped and stay. Rows that repeat an id stay or go together, equal ones as one row.
+    Rows without id are not grouped and stay. Rows that repeat an id stay or go together: every distinct one of them is
+    kept, rows that are equal in all columns as one row.
     """
     groups = jaccard.jaccard_components(docs)
     stays = groups.where("id = component_id").select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.where("doc_id IS NOT NULL").join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    kept = docs.where("doc_id IS NOT NULL").join(stays, "doc_id", "left_semi").select(*docs.columns).distinct()
+    return kept.unionByName(docs.where("doc_id IS NULL"))
 
 
 def _row_key(key: str, text: str) -> Column:
@@ -79,7 +83,11 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def hash_tree_sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every document that is left, by its id."""
+    """Shard and slot of every document that is left, by its id.
+
+    A row without id has a place too (all of them in one shard); a null text is of size 1. Copies of a row share its
+    shard and take slots of their own.
+    """
     return sharding.shard_documents(docs).select("doc_id", "size", "text_crc32", "shard", "slot", "grown_shard")
 
 
@@ -92,7 +100,7 @@ STAGES = [
 ]
 
 # The Jaccard join's components and the mix's Newton iterations have no SQL form; the
-# pipeline is tested against a brute-force version (tests/llm/test_pipeline.py).
+# pipeline is tested against a brute-force version (tests/llm/test_queries.py).
 ORACLE_SQL = None
 
 
