@@ -4,8 +4,8 @@ Frequencies come from single-pass in-memory indexing. Each task reads its
 texts once and counts the postings (language, term, source) in a block in
 memory; a full block is spilled as a run, sorted by term and cut by hash shard
 of (language, term). The shuffle brings a shard's runs together, in order of
-their first terms, and a heap merges them: the smallest term at hand is
-complete once every run yet to come starts behind it. Terms in fewer documents
+their first terms, and a heap merges them: a term is complete once every run
+yet to come starts behind it. Terms in fewer documents
 than asked for end there, so that the long tail of rare terms is shuffled as
 compact runs and never again. Postings are summed before the shuffle: a word
 that stands in every text costs one posting a run and source.
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -87,19 +88,28 @@ class _Block:
         """The block's run: rows of a shard and language, terms in order."""
         for lang, docs in self.docs.items():
             sources = sorted(s for l, s in self.counts if l == lang)
-            salt, parts = zlib.crc32(lang.encode()), {}
-            for term in sorted(docs):
-                parts.setdefault(zlib.crc32(term, salt) % shards, []).append(term)
-            groups = [(k, self.counts[lang, s]) for k, s in enumerate(sources)]
-            for shard, terms in parts.items():
-                for lo in range(0, len(terms), CHUNK):
-                    chunk = terms[lo:lo + CHUNK]
-                    found = [[(k, n) for k, c in groups if (n := c.get(t))] for t in chunk]
-                    yield {"shard": shard, "lang": lang, "first": chunk[0], "terms": b" ".join(chunk),
-                           "docs": np.fromiter((docs[t] for t in chunk), np.int64, len(chunk)).tobytes(),
-                           "sizes": np.fromiter(map(len, found), np.int32, len(chunk)).tobytes(), "sources": sources,
-                           "who": np.array([k for x in found for k, _ in x], np.int32).tobytes(),
-                           "counts": np.array([n for x in found for _, n in x], np.int64).tobytes()}
+            salt, terms, n = zlib.crc32(lang.encode()), sorted(docs), len(docs)
+            if not n:
+                continue
+            shard = np.fromiter((zlib.crc32(t, salt) for t in terms), np.int64, n) % shards
+            order = np.argsort(shard, kind="stable")
+            shard, terms = shard[order], [terms[k] for k in order.tolist()]
+            place = dict(zip(terms, range(n), strict=True))
+            held = [self.counts[lang, s] for s in sources]
+            of = np.concatenate([np.fromiter(map(place.__getitem__, c), np.int64, len(c)) for c in held])
+            order = np.argsort(of, kind="stable")
+            who = np.repeat(np.arange(len(held), dtype=np.int32), [len(c) for c in held])[order]
+            counts = np.concatenate([np.fromiter(c.values(), np.int64, len(c)) for c in held])[order]
+            sizes = np.bincount(of, minlength=n).astype(np.int32)
+            ends, in_docs = np.cumsum(sizes), np.fromiter(map(docs.__getitem__, terms), np.int64, n)
+            starts = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1]]))
+            for first, last in zip(starts, [*starts[1:], n], strict=True):
+                for lo in range(first, last, CHUNK):
+                    hi = min(lo + CHUNK, last)
+                    own = slice(ends[lo] - sizes[lo], ends[hi - 1])
+                    yield {"shard": int(shard[lo]), "lang": lang, "first": terms[lo], "terms": b" ".join(terms[lo:hi]),
+                           "docs": in_docs[lo:hi].tobytes(), "sizes": sizes[lo:hi].tobytes(), "sources": sources,
+                           "who": who[own].tobytes(), "counts": counts[own].tobytes()}
 
 
 def _spilled(shards: int, block: int):
@@ -134,45 +144,74 @@ def _spilled(shards: int, block: int):
 
 
 class _Cursor:
-    """A place in one chunk of a run."""
+    """A place in one chunk of a run; cursors are ordered by their last term."""
 
     def __init__(self, row: dict):
         self.terms = row["terms"].split(b" ")
         self.docs = np.frombuffer(row["docs"], np.int64).tolist()
-        self.ends = np.cumsum(np.frombuffer(row["sizes"], np.int32)).tolist()
-        self.row, self.at = row, 0
-
-    def postings(self, at: int) -> Iterator[tuple[str, int]]:
-        lo, hi, row = self.ends[at - 1] if at else 0, self.ends[at], self.row
-        who, counts = np.frombuffer(row["who"], np.int32)[lo:hi].tolist(), np.frombuffer(row["counts"], np.int64)[lo:hi].tolist()
-        return zip([row["sources"][k] for k in who], counts, strict=True)
-
-
-def _merged(chunks: Iterator[dict]) -> Iterator[tuple[int, str, bytes, list[tuple[_Cursor, int]]]]:
-    """(shard, language, term, its places) of chunks ordered by shard, language and first term, by a heap."""
-    heap, now, made = [], None, 0
-
-    def complete(before: bytes | None):
-        while heap and (before is None or heap[0][0] < before):
-            term, places = heap[0][0], []
-            while heap and heap[0][0] == term:
-                _, number, cursor = heap[0]
-                places.append((cursor, cursor.at))
-                cursor.at += 1
-                if cursor.at < len(cursor.terms):
-                    heapq.heapreplace(heap, (cursor.terms[cursor.at], number, cursor))
-                else:
-                    heapq.heappop(heap)
-            yield (*now, term, places)
+        self.row, self.at, self.last = row, 0, self.terms[-1]
+
+    def __lt__(self, other: _Cursor) -> bool:
+        return self.last < other.last
+
+    def postings(self, lo: int, hi: int, wanted: set[bytes]) -> Iterator[tuple[bytes, str, int]]:
+        """(term, source, occurrences) of the wanted ones among the terms ``lo`` to ``hi``."""
+        found = [k for k in range(lo, hi) if self.terms[k] in wanted]
+        if not found:
+            return
+        ends = np.cumsum(np.frombuffer(self.row["sizes"], np.int32)).tolist()
+        who, counts = np.frombuffer(self.row["who"], np.int32), np.frombuffer(self.row["counts"], np.int64)
+        for k in found:
+            first, end = ends[k - 1] if k else 0, ends[k]
+            for s, n in zip(who[first:end].tolist(), counts[first:end].tolist(), strict=True):
+                yield self.terms[k], self.row["sources"][s], n
+
+
+def _merged(chunks: Iterator[dict]) -> Iterator[tuple[int, str, list[tuple[_Cursor, int, int]]]]:
+    """(shard, language, stretches of chunks) of chunks ordered by shard, language and first term.
+
+    A heap holds the open chunks, the one that ends first on top. Once it ends before the next chunk begins, no chunk
+    to come has a term below that beginning: what the open ones have there goes out together, every term whole.
+    """
+    heap: list[_Cursor] = []
+    now = None
+
+    def below(first: bytes | None):
+        out = []
+        for c in heap:
+            hi = len(c.terms) if first is None else bisect_left(c.terms, first, c.at)
+            if hi > c.at:
+                out.append((c, c.at, hi))
+            c.at = hi
+        heap[:] = [c for c in heap if c.at < len(c.terms)]
+        heapq.heapify(heap)
+        return out
 
     for row in chunks:
         if (row["shard"], row["lang"]) != now:
-            yield from complete(None)
+            if heap:
+                yield (*now, below(None))
             now = row["shard"], row["lang"]
-        yield from complete(row["first"])
-        made += 1
-        heapq.heappush(heap, (row["first"], made, _Cursor(row)))
-    yield from complete(None)
+        if heap and heap[0].last < row["first"]:
+            yield (*now, below(row["first"]))
+        heapq.heappush(heap, _Cursor(row))
+    if heap:
+        yield (*now, below(None))
+
+
+def _frequencies(stretches: list[tuple[_Cursor, int, int]], min_docs: int) -> Iterator[tuple[bytes, dict[str, int]]]:
+    """(term, occurrences by source), in order, of the terms that stand in ``min_docs`` documents."""
+    docs: dict[bytes, int] = {}
+    for c, lo, hi in stretches:
+        for term, n in zip(c.terms[lo:hi], c.docs[lo:hi], strict=True):
+            docs[term] = docs.get(term, 0) + n
+    kept = sorted(t for t, n in docs.items() if n >= min_docs)
+    counts: dict[bytes, dict[str, int]] = {t: {} for t in kept}
+    wanted = set(kept)
+    for c, lo, hi in stretches if kept else ():
+        for term, source, n in c.postings(lo, hi, wanted):
+            counts[term][source] = counts[term].get(source, 0) + n
+    yield from counts.items()
 
 
 def term_frequencies(df: DataFrame, lang: str = "lang", source: str = "source", text: str = "text", min_docs: int = 10,
@@ -191,19 +230,14 @@ def term_frequencies(df: DataFrame, lang: str = "lang", source: str = "source",
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = (row for b in batches for k in range(0, b.num_rows, 64) for row in b.slice(k, 64).to_pylist())
         out, shard, number = [], None, 0
-        for at, lang_, term, places in _merged(chunks):
+        for at, lang_, stretches in _merged(chunks):
             if at != shard:
                 shard, number = at, 0
-            if sum(c.docs[k] for c, k in places) < min_docs:
-                continue
-            counts: Counter = Counter()
-            for c, k in places:
-                for s, x in c.postings(k):
-                    counts[s] += x
-            number += 1
-            out.append({"term_id": (shard << 40) + number, "lang": lang_, "term": term.decode(), "total": sum(counts.values()),
-                        "sources": list(counts), "counts": list(counts.values())})
-            if len(out) == 4096:
+            for term, counts in _frequencies(stretches, min_docs):
+                number += 1
+                out.append({"term_id": (shard << 40) + number, "lang": lang_, "term": term.decode(), "total": sum(counts.values()),
+                            "sources": list(counts), "counts": list(counts.values())})
+            if len(out) >= 4096:
                 yield pa.RecordBatch.from_pylist(out, schema=schema)
                 out = []
         if out:
