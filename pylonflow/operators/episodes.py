@@ -89,11 +89,12 @@ def red_episodes_stream(
 ) -> DataFrame:
     """Streaming twin: ``session_window(alert_time, ttl)`` per key, append
     mode (an episode is emitted once the watermark passes its end). Event
-    time must be TIMESTAMP (Spark's watermark rejects TIMESTAMP_NTZ). Sessions
-    are merged inside each input partition first, so that a hot key sends a
-    few sessions a task, not its rows."""
+    time must be TIMESTAMP (Spark's watermark rejects TIMESTAMP_NTZ). With
+    ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition``
+    (set in ``ENGINE_CONF``; the session's owner decides) sessions are merged
+    inside each input partition first, so that a hot key sends a few sessions
+    a task, not its rows."""
     require_instant(alerts, alert_time)
-    alerts.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     df = alerts.withWatermark(alert_time, spark_duration(watermark, allow_zero=True)) if watermark else alerts
     return (df.groupBy(*keys, F.session_window(alert_time, spark_duration(ttl)).alias("_s"))
             .agg(F.min(alert_time).alias("episode_start"), F.max(alert_time).alias("last_alert"),

@@ -301,16 +301,18 @@ STREAM_FILES = 3
 
 
 def event_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a stream of several files, one a micro-batch, in event time order."""
+    """``events`` as a stream of several ranges of event time, one a micro-batch; rows without time are in the first.
+
+    A range has as many files as its share of the table has, all of them in one trigger.
+    """
     from pylonflow.session import scratch_path
     table, path = events(spark, sf_dir), scratch_path(spark, "event_files")
     cuts = table.agg(*[F.percentile_approx("ts", (k + 1) / STREAM_FILES).alias(f"c{k}") for k in range(STREAM_FILES - 1)]).first()
-    cuts = [None, *cuts, None]
-    for low, high in zip(cuts, cuts[1:], strict=False):   # one append after another: the source takes files by age
-        part = table if low is None else table.filter(F.col("ts") > F.lit(low))
-        part = part if high is None else part.filter(F.col("ts") <= F.lit(high))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    at = sum((F.when(F.col("ts") > F.lit(c), 1).otherwise(0) for c in cuts if c is not None), F.lit(0))
+    files = max(1, -(-len(table.inputFiles()) // STREAM_FILES))
+    for k in range(STREAM_FILES):   # one append after another: the source takes files by age
+        table.filter(at == k).repartition(files, "event_id").write.mode("append").parquet(path)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @register("stream_detect_alerts")
@@ -326,9 +328,9 @@ def q_stream_detect_alerts(spark, sf_dir):
 @register("stream_chain")
 def q_stream_chain(spark, sf_dir):
     """Two chained streaming statements over several micro-batches: events -> alerts table -> runbooks."""
-    from pylonflow.streaming.flows import ALERT_IDENTITY, run_chain
+    from pylonflow.streaming.flows import ALERT_IDENTITY, responses_table, run_chain
     _, responses = run_chain(spark, event_files(spark, sf_dir), STREAM_DELAY)
-    return _round_avgs(spark.read.parquet(responses.path).drop("key", "processed_at", ALERT_IDENTITY))
+    return _round_avgs(responses_table(responses.path).read(spark).drop("key", "processed_at", ALERT_IDENTITY))
 
 
 @register("stream_red_episodes")
@@ -345,28 +347,27 @@ def q_stream_red_episodes(spark, sf_dir):
 
 @register("stream_latest_by_tower")
 def q_stream_latest_by_tower(spark, sf_dir):
-    """Latest reading per tower kept by a streaming aggregate in update mode."""
+    """Latest reading per tower, read from the state of a streaming aggregate."""
     from pylonflow.session import scratch_path
     from pylonflow.sources.tables import stream_table
-    from pylonflow.streaming.flows import run_update_view
+    from pylonflow.streaming.live import run_view
     tel = readings(stream_table(spark, sf_dir, "events"))
-    base = scratch_path(spark, "latest_by_tower")
-    return run_update_view(latest_by_key(tel), base + "/data", base + "/checkpoint", ("tower_id",))
+    return run_view(latest_by_key(tel), scratch_path(spark, "latest_by_tower"), ("tower_id",))
 
 
 @register("stream_tower_status")
 def q_stream_tower_status(spark, sf_dir):
-    """Closed alerts stream -> last alert per tower (update mode); status is
+    """Closed alerts stream -> last alert per tower (a state view); status is
     computed at read time against the known towers."""
     from pylonflow.session import scratch_path
     from pylonflow.sources.tables import stream_table
-    from pylonflow.streaming.flows import Sink, alerts_stream, run_to_sink, run_update_view
+    from pylonflow.streaming.flows import Sink, alerts_stream, run_to_sink
+    from pylonflow.streaming.live import run_view
     a_sink = Sink.fresh(spark, "status_alerts")
     closed = run_to_sink(alerts_stream(stream_table(spark, sf_dir, "events"), STREAM_DELAY), a_sink)
     last = (spark.readStream.schema(ALERT).parquet(a_sink.path)
             .groupBy("tower_id").agg(F.max("window_end").alias("window_end")))
-    base = scratch_path(spark, "last_alert")
-    snapshot = run_update_view(last, base + "/data", base + "/checkpoint", ("tower_id",))
+    snapshot = run_view(last, scratch_path(spark, "last_alert"), ("tower_id",))
     as_of = closed.select(shift_time(F.max("window_end"), STATUS_LOOKAHEAD)).scalar()
     return tower_status(telemetry(spark, sf_dir), snapshot, as_of)
 
@@ -390,13 +391,46 @@ def q_stream_runbook_feed(spark, sf_dir):
     into runbook fields and persists them."""
     from pylonflow.schemas import RESPONSE
     from pylonflow.sources.tables import stream_table
-    from pylonflow.streaming.flows import Sink, run_chain, run_to_sink, runbook_stream
+    from pylonflow.streaming.flows import Sink, responses_table, run_chain, run_to_sink, runbook_stream
     _, responses = run_chain(spark, stream_table(spark, sf_dir, "events"), STREAM_DELAY)
-    resp_in = spark.readStream.schema(RESPONSE).parquet(responses.path)
+    resp_in = responses_table(responses.path).stream(spark).select(*RESPONSE.fieldNames())
     out = run_to_sink(runbook_stream(resp_in), Sink.fresh(spark, "runbooks"))
     return _round_avgs(out.drop("processed_at"))
 
 
+@register("stream_alert_feed")
+def q_stream_alert_feed(spark, sf_dir):
+    """Closed alerts stream -> live feed of the newest alerts, several micro-batches; the state is the feed itself."""
+    from pylonflow.session import scratch_path
+    from pylonflow.streaming.flows import Sink, alerts_stream, run_to_sink
+    from pylonflow.streaming.live import feed_writer, read_feed
+    a_sink = Sink.fresh(spark, "feed_alerts")
+    run_to_sink(alerts_stream(event_files(spark, sf_dir), STREAM_DELAY), a_sink)
+    alerts_in = spark.readStream.schema(ALERT).option("maxFilesPerTrigger", 2).parquet(a_sink.path)
+    base = scratch_path(spark, "alert_feed")
+    (alerts_in.writeStream.foreachBatch(feed_writer(base, ALERT, ALERT_FEED_LIMIT)).option("checkpointLocation", base + "/checkpoint")
+     .trigger(availableNow=True).start().awaitTermination())
+    return _round_avgs(read_feed(spark, base, ALERT))
+
+
+@register("stream_late_rows")
+def q_stream_late_rows(spark, sf_dir):
+    """Readings in order of arrival (event id), in several micro-batches: those whose window the watermark had closed."""
+    from pylonflow.session import scratch_path
+    from pylonflow.streaming.late import late_row_writer, read_late_rows
+    table, path = events(spark, sf_dir), scratch_path(spark, "arrivals")
+    last = table.agg(F.max("event_id")).first()[0] or 0
+    arrival = F.when(F.col("event_id") % 50 == 7, F.col("event_id") + (last // 2)).otherwise(F.col("event_id"))   # some come late
+    third = F.least(F.floor(arrival * STREAM_FILES / F.lit(last + 1)), F.lit(STREAM_FILES - 1))
+    for k in range(STREAM_FILES):
+        table.where(third == k).repartition(1, "event_id").write.mode("append").parquet(path)
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    base = scratch_path(spark, "late")
+    (stream.writeStream.foreachBatch(late_row_writer(base, "ts", "60 seconds", STREAM_DELAY)).option("checkpointLocation", base + "/checkpoint")
+     .trigger(availableNow=True).start().awaitTermination())
+    return read_late_rows(spark, base, table.schema, "ts").select("event_id", "ts", "event_type")
+
+
 # --- the same statements written in Spark SQL ----------------------------------
 
 @register("sql_detect_alerts")

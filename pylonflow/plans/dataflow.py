@@ -6,10 +6,11 @@ and on streams.
     handles = flow.start(spark, telemetry_stream, root=".../flows/towers")  # restartable
 
 Streaming layout (each query owns its checkpoint under the shared root):
-telemetry stream -> alerts table (append) -> responses table (exactly-once
-responder) -> parsed runbook table; telemetry stream -> latest-reading
-upsert log; alerts table -> last-alert upsert log (a live per-tower view for
-dashboards). Status is computed at read time from the alerts table.
+telemetry stream -> alerts table -> responses table (exactly-once responder)
+-> parsed runbook table, all partitioned by event hour and, with ``keep``,
+held for that long; telemetry stream -> latest-reading view; alerts table ->
+last-alert view, both read from the queries' own state. Status is computed at
+read time from the alerts table.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -33,25 +33,9 @@ from pylonflow.operators.runbook import enrich_if_absent, generate_runbooks
 from pylonflow.operators.views import latest_by_key, tower_status
 from pylonflow.schemas import ALERT, RESPONSE
 from pylonflow.session import scratch_path
-from pylonflow.streaming.flows import (
-    ALERT_IDENTITY, Sink, answer_alerts_once, is_missing_table, read_upsert_log, runbook_stream, start_sink,
-    upsert_log_writer,
-)
-
-# responses as written by the responder: the record with its key first
-RESPONSE_TABLE = T.StructType([T.StructField("key", T.BinaryType(), True), *RESPONSE.fields,
-                               T.StructField(ALERT_IDENTITY, T.StringType(), True)])
-
-
-def _ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Create an empty table once, so its stream consumer can start before
-    the first batch lands; an existing table (restart) is left alone."""
-    try:
-        spark.read.schema(schema).parquet(path)
-    except AnalysisException as exc:
-        if not is_missing_table(exc):
-            raise
-        spark.createDataFrame([], schema).write.mode("append").parquet(path)
+from pylonflow.streaming.flows import Sink, answer_alerts_once, responses_table, runbook_stream
+from pylonflow.streaming.live import read_view, start_view
+from pylonflow.streaming.retained import EventTable
 
 
 @dataclass(frozen=True)
@@ -69,6 +53,7 @@ class AlertingConfig:
     status_ttl: str = "90 seconds"
     episode_bucket: str = "1 day"
     latest_values: Sequence[str] = ("tower_name", "temperature", "signal_strength", "cpu_load")
+    keep: str | None = None      # how long alerts, responses and runbooks stay ("8 hours"); None: for good
 
 
 @dataclass
@@ -81,9 +66,11 @@ class StreamHandles:
     alerts_path: str
     alerts_schema: T.StructType
     responses_path: str | None   # None when the runbook stage does not apply (custom alert schema)
-    latest_path: str
+    latest_path: str             # checkpoints of the two view queries, whose state is the view
     last_alert_path: str
     runbooks_path: str | None
+    latest_schema: T.StructType | None = None
+    last_alert_schema: T.StructType | None = None
 
     def queries(self) -> list[StreamingQuery]:
         """Upstream first: alerts, responder, latest, last alert, runbooks."""
@@ -139,44 +126,52 @@ class AlertingDataflow:
         key = self.config.keys[0]
         base = (root.rstrip("/") if root else scratch_path(spark, "flow"))
         sink = lambda name: Sink(f"{base}/{name}/data", f"{base}/{name}/checkpoint")
+        keep = self.config.keep
         alerts_df = self.alerts(telemetry_stream, streaming=True)
         alerts_sink, resp, lat, last, rb = (sink(n) for n in ("alerts", "responses", "latest", "last_alert",
                                                                "runbooks"))
-        q_alerts = start_sink(alerts_df, alerts_sink, available_now=available_now, processing_time=trigger)
-        if available_now:
-            q_alerts.awaitTermination()
-        # the file sink has created its commit log by now, so readers see only committed files
-        alerts_in = spark.readStream.schema(alerts_df.schema).parquet(alerts_sink.path)
 
-        def _writer(df, body, ckpt, mode="append"):
-            w = df.writeStream.outputMode(mode).foreachBatch(body).option("checkpointLocation", ckpt)
+        def _writer(df, body, ckpt):
+            w = df.writeStream.outputMode("append").foreachBatch(body).option("checkpointLocation", ckpt)
             w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
             return w.start()
 
-        q_lat = _writer(self.latest(telemetry_stream), upsert_log_writer(lat.path, (key,)), lat.checkpoint, "update")
+        alerts_table = EventTable(alerts_sink.path, alerts_df.schema, "window_end", keep)
+        alerts_table.create(spark)      # readers may start before the first batch lands
+        q_alerts = _writer(alerts_df, alerts_table.writer(), alerts_sink.checkpoint)
+        if available_now:
+            q_alerts.awaitTermination()
+        alerts_in = alerts_table.stream(spark)
+
+        latest = self.latest(telemetry_stream)
+        q_lat = start_view(latest, lat.checkpoint, available_now, trigger)
         last_alert = alerts_in.groupBy(key).agg(F.max("window_end").alias("window_end"))
-        q_last = _writer(last_alert, upsert_log_writer(last.path, (key,)), last.checkpoint, "update")
+        q_last = start_view(last_alert, last.checkpoint, available_now, trigger)
 
         q_resp = q_rb = None
         if set(ALERT.fieldNames()) <= set(alerts_df.columns):
-            _ensure_table(spark, resp.path, RESPONSE_TABLE)
+            responses = responses_table(resp.path, keep)
+            responses.create(spark)
             q_resp = _writer(alerts_in, answer_alerts_once(resp.path, self.call, self.config.model,
                                                            self.config.options, self.config.n_callers,
-                                                           rules=self.config.escalation_rules),
+                                                           rules=self.config.escalation_rules, keep=keep),
                              resp.checkpoint)
             if available_now:
                 q_resp.awaitTermination()
-            q_rb = start_sink(runbook_stream(spark.readStream.schema(RESPONSE).parquet(resp.path)), rb,
-                              available_now=available_now, processing_time=trigger)
+            runbooks = runbook_stream(responses.stream(spark).select(*RESPONSE.fieldNames()))
+            runbook_table = EventTable(rb.path, runbooks.schema, "window_start", keep)
+            runbook_table.create(spark)
+            q_rb = _writer(runbooks, runbook_table.writer(), rb.checkpoint)
         return StreamHandles(q_alerts, q_resp, q_lat, q_last, q_rb, alerts_sink.path, alerts_df.schema,
-                             resp.path if q_resp else None, lat.path, last.path, rb.path if q_rb else None)
+                             resp.path if q_resp else None, lat.checkpoint, last.checkpoint, rb.path if q_rb else None,
+                             latest.schema, last_alert.schema)
 
     def read_latest(self, spark: SparkSession, handles: StreamHandles) -> DataFrame:
-        return read_upsert_log(spark, handles.latest_path, (self.config.keys[0],))
+        return read_view(spark, handles.latest_path, handles.latest_schema, (self.config.keys[0],))
 
     def read_last_alert(self, spark: SparkSession, handles: StreamHandles) -> DataFrame:
-        """Newest alert end per tower (the live update-mode view)."""
-        return read_upsert_log(spark, handles.last_alert_path, (self.config.keys[0],))
+        """Newest alert end per tower (the state of the last-alert query)."""
+        return read_view(spark, handles.last_alert_path, handles.last_alert_schema, (self.config.keys[0],))
 
     def read_status(self, spark: SparkSession, handles: StreamHandles, as_of: datetime | str | Column,
                     towers: DataFrame | None = None, lookback: str | None = None) -> DataFrame:

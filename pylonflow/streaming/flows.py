@@ -11,14 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pylonflow.functions.predicates import ESCALATION_RULES
-from pylonflow.functions.timeutil import duration_us
 from pylonflow.operators.detect import TOWER_KEYS, detect_alerts
 from pylonflow.operators.filters import escalation_filter
 from pylonflow.operators.infer import CallOptions, ModelCall, ModelSpec, rule_model
@@ -26,6 +24,7 @@ from pylonflow.operators.runbook import generate_runbooks
 from pylonflow.schemas import ALERT, DEFAULTS, RESPONSE, conform
 from pylonflow.session import scratch_path
 from pylonflow.sources.readings import readings
+from pylonflow.streaming.retained import EventTable, hour_of
 
 ALERT_IDENTITY = "alert_identity"   # stored next to each response: the hash of its alert's grouping keys
 
@@ -83,6 +82,20 @@ def alerts_stream(events_stream: DataFrame, delay: str = "10 seconds") -> DataFr
 
 # --- stage B: alerts -> runbooks, exactly once per alert ------------------------
 
+RESPONSE_ROW = T.StructType([T.StructField("key", T.BinaryType()), *RESPONSE.fields, T.StructField(ALERT_IDENTITY, T.StringType())])
+
+
+def responses_table(path: str, keep: str | None = None) -> EventTable:
+    """Responses with their alert's identity, by the hour of the alert's window."""
+    return EventTable(path, RESPONSE_ROW, "window_start", keep)
+
+
+def answered_in(table: EventTable, alerts: DataFrame) -> DataFrame:
+    """Identities of the answered alerts of the hours that ``alerts`` fall into; no other folder is listed."""
+    hours = [r[0] for r in alerts.select(hour_of(table.time_col)).distinct().collect()]    # the hours of one micro-batch
+    return table.read(alerts.sparkSession, hours).select(ALERT_IDENTITY)
+
+
 def answer_alerts_once(
     responses_path: str,
     call: ModelCall = rule_model,
@@ -90,43 +103,37 @@ def answer_alerts_once(
     options: CallOptions = CallOptions(),
     n_callers: int | None = None,
     rules=ESCALATION_RULES,
+    keep: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body that calls the model at most once per alert.
 
-    A replayed micro-batch (restart, task retry of the write) first drops the
-    alerts that already have a response, using a left-anti join on the
-    alert's whole identity (every grouping attribute and the window) against
-    the responses table restricted to the batch's window range (parquet
-    statistics prune the rest), so answered alerts are not sent again and
-    siblings that share tower and window are told apart; identity and
-    response are one row, committed by one append per batch. Calls that were
-    in flight in a task or batch that failed before its append are repeated
+    A micro-batch first drops the alerts that already have a response, by a
+    left-anti join on the alert's whole identity (every grouping attribute and
+    the window): answered alerts are not sent again, and siblings that share
+    tower and window are told apart. Responses are partitioned by the hour of
+    the window, and a batch reads the hours of its own alerts only, so what a
+    batch costs does not grow with the history. Identity and response are one
+    row, written by one batch into its own partitions. Calls that were in
+    flight in a task or batch that failed before its write are repeated
     (at-least-once calls, exactly-once responses). ``rules=None`` answers
-    every alert.
+    every alert; ``keep`` lets old responses go, after which a replay of an
+    alert as old as that would be answered anew.
     """
+    table = responses_table(responses_path, keep)
+    store = table.writer(replays=False)
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()  # read once: it feeds the window bound and the anti-join
+        batch.persist()  # read once: it feeds the hours and the anti-join
         try:
             severe = batch if rules is None else escalation_filter(batch, rules)
             severe = severe.withColumn(ALERT_IDENTITY, alert_identity(severe))
-            try:
-                answered = spark.read.schema(T.StructType([*RESPONSE.fields, T.StructField(ALERT_IDENTITY, T.StringType())])
-                                             ).parquet(responses_path)
-            except AnalysisException as exc:
-                if not is_missing_table(exc):   # anything but the first batch's missing table is an error
-                    raise
-                answered = None
-            if answered is not None:
-                lo = severe.select(F.min("window_start")).scalar()
-                seen = answered.filter(F.col("window_start") >= lo).select(ALERT_IDENTITY)
-                severe = severe.join(seen, ALERT_IDENTITY, "left_anti")
+            # hours that this batch wrote before a stop are whole: they count as answered and stay as they are
+            severe = severe.join(answered_in(table, severe), ALERT_IDENTITY, "left_anti")
             out = generate_runbooks(severe, call, model, rules=None, options=options, n_callers=n_callers,
                                     carry=(ALERT_IDENTITY,))
             record = conform(out, T.StructType([*RESPONSE.fields, T.StructField(ALERT_IDENTITY, T.StringType())]),
                              defaults=DEFAULTS["response"], key="tower_id")
-            record.write.mode("append").parquet(responses_path)
+            store(record, batch_id)
         finally:
             batch.unpersist()
 
@@ -161,92 +168,6 @@ def partition_by_key(df: DataFrame, n: int = 3, key: str = "tower_id") -> DataFr
     return df.repartition(n, key)
 
 
-# --- update-mode views: an idempotent upsert log ---------------------------------
-
-BATCH_COL = "_batch_id"
-COMPACT_EVERY = 20
-
-
-def is_missing_table(exc: AnalysisException) -> bool:
-    return (exc.getCondition() or "") in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
-
-
-def _folder(spark: SparkSession, path: str):
-    """Hadoop's handle on a folder: (file system, path, {name: is complete})."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = {}
-    if fs.exists(p):
-        for st in fs.listStatus(p):
-            if st.isDirectory():
-                child = jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-                names[st.getPath().getName()] = bool(fs.exists(child))
-    return fs, p, names
-
-
-def _snapshots(names: dict[str, bool]) -> list[int]:
-    return sorted(int(n.split("-")[1]) for n, whole in names.items() if n.startswith("snapshot-") and whole)
-
-
-def upsert_log_writer(path: str, keys: tuple[str, ...] = (), compact_every: int = COMPACT_EVERY) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body for ``update`` output mode.
-
-    Each batch writes its changed rows into a folder of its own
-    (``batch-<id>``); a replayed batch overwrites it. With ``keys``, every
-    ``compact_every`` batches the newest row of each key goes into
-    ``snapshot-<id>``, and the folders that it replaces are removed once it
-    is whole, but for one generation that running readers may still have
-    open. So a read costs the number of keys, not the length of the history.
-    """
-
-    def body(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{path}/batch-{batch_id:012d}")
-        if not keys or batch_id % compact_every != compact_every - 1:
-            return
-        _newest(spark, path, keys, upto=batch_id).write.mode("overwrite").parquet(f"{path}/snapshot-{batch_id:012d}")
-        fs, p, names = _folder(spark, path)
-        whole = _snapshots(names)
-        for n in names:
-            kind, _, number = n.partition("-")
-            if len(whole) > 1 and (kind == "batch" and int(number) <= whole[-2] or kind == "snapshot" and int(number) < whole[-2]):
-                fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p, n), True)
-
-    return body
-
-
-def _log_folders(spark: SparkSession, path: str, upto: int | None = None) -> list[str]:
-    """The newest whole snapshot and the batches behind it."""
-    _, _, names = _folder(spark, path)
-    whole = [n for n in _snapshots(names) if upto is None or n < upto]
-    base = whole[-1] if whole else -1
-    batches = sorted(n for n, done in names.items() if n.startswith("batch-") and done and int(n.split("-")[1]) > base)
-    return [f"{path}/{n}" for n in ([f"snapshot-{base:012d}"] if whole else []) + batches]
-
-
-def _newest(spark: SparkSession, path: str, keys: tuple[str, ...], upto: int | None = None) -> DataFrame:
-    log = spark.read.parquet(*_log_folders(spark, path, upto))
-    values = [c for c in log.columns if c not in keys and c != BATCH_COL]
-    return (log.groupBy(*keys).agg(F.max_by(F.struct(*values), F.struct(F.col(BATCH_COL), *values)).alias("_v"), F.max(BATCH_COL).alias(BATCH_COL))
-            .select(*keys, "_v.*", BATCH_COL))
-
-
-def read_upsert_log(spark: SparkSession, path: str, keys: tuple[str, ...]) -> DataFrame:
-    """Current snapshot of an upsert log: per key, the row of the newest batch
-    (``max_by``, partially aggregated: no key is gathered in one task)."""
-    return _newest(spark, path, keys).drop(BATCH_COL)
-
-
-def run_update_view(agg: DataFrame, path: str, checkpoint: str, keys: tuple[str, ...]) -> DataFrame:
-    """Run a streaming aggregate in update mode into an upsert log (available
-    now) and return the compacted snapshot."""
-    q = (agg.writeStream.outputMode("update").foreachBatch(upsert_log_writer(path, keys))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return read_upsert_log(agg.sparkSession, path, keys)
-
-
 def runbook_stream(responses_stream: DataFrame) -> DataFrame:
     """Responses stream -> parsed runbooks (raw text kept). Stateless, so it
     runs in append mode and the parse is persisted once instead of being
@@ -258,39 +179,9 @@ def runbook_stream(responses_stream: DataFrame) -> DataFrame:
 def late_groups_dropped(query: StreamingQuery) -> int:
     """Groups that the query's stateful operators dropped as late, over the
     progress reports Spark still keeps. It counts after the partial
-    aggregation, per group and batch; ``late_row_counter`` counts rows."""
+    aggregation, per group and batch; ``late.late_row_writer`` counts and keeps rows."""
     total = 0
     for p in query.recentProgress:
         for op in p.get("stateOperators") or []:
             total += int(op.get("numRowsDroppedByWatermark", 0))
     return total
-
-
-def late_row_counter(path: str, time_col: str = "event_time", window: str = "60 seconds",
-                     delay: str = "10 seconds") -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body that counts rows whose window the watermark has closed.
-
-    The watermark of a batch is the newest event time of all batches before
-    it, less ``delay``, as Spark's is; a row is late when the end of its
-    window is not after it. One row a batch goes into its own folder under
-    ``path`` (a replay overwrites it); ``read_late_rows`` sums them up. Run
-    it on the stream that feeds the aggregation, with the same trigger.
-    """
-    width, wait = duration_us(window), duration_us(delay)
-
-    def body(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        _, _, names = _folder(spark, path)
-        before = [f"{path}/{n}" for n, done in names.items() if done and int(n.split("-")[1]) < batch_id]
-        newest = spark.read.parquet(*before).agg(F.max("newest_us")).first()[0] if before else None
-        t = F.unix_micros(F.col(time_col))
-        end = t - F.pmod(t, F.lit(width)) + width
-        late = F.lit(False) if newest is None else end <= newest - wait
-        (batch.agg(F.count("*").alias("rows"), F.count(F.when(late, 1)).alias("late"), F.max(t).alias("newest_us"))
-         .coalesce(1).write.mode("overwrite").parquet(f"{path}/batch-{batch_id:012d}"))
-
-    return body
-
-
-def read_late_rows(spark: SparkSession, path: str) -> int:
-    return spark.read.parquet(f"{path}/batch-*").agg(F.sum("late")).first()[0] or 0

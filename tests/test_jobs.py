@@ -30,9 +30,9 @@ def test_stream_job_on_telemetry_records(spark, scratch):
         q.processAllAvailable()
     h.stop()
     assert spark.read.parquet(h.alerts_path).count() > 0
-    from pylonflow.streaming.flows import read_upsert_log
+    from pylonflow.streaming.live import read_view
     towers = catalog.telemetry(spark, SF001).select("tower_id").distinct().count()
-    assert read_upsert_log(spark, h.latest_path, ("tower_id",)).count() == towers
+    assert read_view(spark, h.latest_path, h.latest_schema, ("tower_id",)).count() == towers
 
 
 def test_stream_job_restart_resumes_without_reprocessing(spark, scratch):

@@ -1,0 +1,212 @@
+"""Tables and views of a running flow: state views, retention by the hour, bounded answers, late rows, live feeds."""
+
+import os
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from pylonflow.operators.views import alert_feed, latest_by_key
+from pylonflow.schemas import ALERT
+from pylonflow.streaming.flows import ALERT_IDENTITY, answer_alerts_once, answered_in, responses_table
+from pylonflow.streaming.late import count_late_rows, late_row_writer, read_late_rows
+from pylonflow.streaming.live import feed_tables, feed_writer, read_feed, read_view, run_view, start_view
+from pylonflow.streaming.retained import CarriedTable, EventTable
+
+T0 = datetime(2024, 1, 1)
+ROW = "k string, v long, at timestamp"
+
+
+def frame(spark, rows, schema=ROW):
+    return spark.createDataFrame(rows, schema)
+
+
+def alert(tower, minute, temp=95.0, name="n"):
+    start = T0 + timedelta(minutes=minute)
+    return (tower, name, 1.0, 2.0, temp, -80.0, temp, -80.0, 3, start, start + timedelta(minutes=1))
+
+
+def files(path):
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet"))
+
+
+# --- state views ------------------------------------------------------------------
+
+def test_a_view_read_after_200_batches_costs_the_number_of_keys(spark, scratch):
+    os.makedirs(f"{scratch}/in")
+    one = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        for n in range(200):
+            pq.write_table(pa.table({"k": [f"k{n % 7}", "all"], "v": [n, n], "at": pa.array([T0 + timedelta(seconds=n)] * 2, pa.timestamp("us", "UTC"))}),
+                           f"{scratch}/in/{n:03d}.parquet")
+            os.utime(f"{scratch}/in/{n:03d}.parquet", (1_700_000_000 + n, 1_700_000_000 + n))
+        stream = spark.readStream.schema(ROW).option("maxFilesPerTrigger", 1).parquet(f"{scratch}/in")
+        view = latest_by_key(stream, ("k",), "at", ("v",))
+        q = start_view(view, f"{scratch}/ck", available_now=True)
+        q.awaitTermination()
+        assert q.lastProgress["batchId"] >= 199 - 1
+        got = read_view(spark, f"{scratch}/ck", view.schema, ("k",))
+        want = sorted([("all", 199)] + [(f"k{j}", max(x for x in range(200) if x % 7 == j)) for j in range(7)])
+        assert sorted((r["k"], r["v"]) for r in got.collect()) == want
+        assert spark.read.format("statestore").load(f"{scratch}/ck").count() == len(want)   # what is read
+        # a restart goes on from the state
+        pq.write_table(pa.table({"k": ["k0"], "v": [999], "at": pa.array([T0 + timedelta(hours=1)], pa.timestamp("us", "UTC"))}), f"{scratch}/in/200.parquet")
+        again = {r["k"]: r["v"] for r in run_view(view, f"{scratch}/ck", ("k",)).collect()}
+        assert again["k0"] == 999 and again["all"] == 199
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", one)
+
+
+def test_views_of_plain_buffers_and_without_a_batch(spark, scratch):
+    frame(spark, [("a", 1, T0), ("a", 5, T0 + timedelta(hours=1)), ("b", None, None)]).write.parquet(f"{scratch}/in")
+    stream = spark.readStream.schema(ROW).parquet(f"{scratch}/in")
+    view = stream.groupBy("k").agg(F.max("at").alias("last"), F.min("v").alias("least"))
+    assert read_view(spark, f"{scratch}/ck", view.schema, ("k",)).collect() == []
+    got = {r["k"]: (r["last"], r["least"]) for r in run_view(view, f"{scratch}/ck", ("k",)).collect()}
+    assert got == {"a": (T0 + timedelta(hours=1), 1), "b": (None, None)}
+    with pytest.raises(ValueError, match="the state holds"):
+        read_view(spark, f"{scratch}/ck", stream.schema, ())
+
+
+# --- tables that keep their rows for a time ------------------------------------------
+
+def test_replayed_batches_leave_every_row_once_and_old_hours_go(spark, scratch):
+    table = EventTable(f"{scratch}/t", frame(spark, []).schema, "at", "2 hours")
+    table.create(spark)
+    assert table.read(spark).count() == 0 and table.newest_batch(spark) == -1
+    body = table.writer()
+    batches = [[("a", 10 * n + j, T0 + timedelta(hours=n, minutes=j)) for j in range(3)] for n in range(6)]
+    for n, rows in enumerate(batches):
+        body(frame(spark, rows + [("null", n, None)]), n)
+        body(frame(spark, rows + [("null", n, None)]), n)      # again
+        left = {r["v"] for r in table.read(spark).where("k = 'a'").collect()}
+        assert left == {r[1] for m, b in enumerate(batches[:n + 1]) if m >= n - 2 for r in b}
+    assert not any("event_hour=2024-01-01-00" in f for f in files(table.path))      # gone from the disk
+    assert table.read(spark).where("k = 'null'").count() == 6 and table.newest_batch(spark) == 5
+    late = frame(spark, [("late", 0, T0)])
+    body(late, 6)
+    body(frame(spark, [("a", 99, T0 + timedelta(hours=6))]), 7)
+    assert table.read(spark).where("k = 'late'").count() == 0
+    some = table.read(spark, ["2024-01-01-05", "2024-01-01-23"])
+    assert {r["v"] for r in some.collect()} == {50, 51, 52} and all("event_hour=2024-01-01-05" in f for f in some.inputFiles())
+    assert table.read(spark, ["1999-01-01-00"]).count() == 0 and table.read(spark, []).count() == 0
+
+
+def test_a_stream_reads_on_while_hours_expire_and_after_a_restart(spark, scratch):
+    table = EventTable(f"{scratch}/t", frame(spark, []).schema, "at", "2 hours")
+    table.create(spark)
+    out = EventTable(f"{scratch}/out", frame(spark, []).schema, "at")
+
+    def consume():
+        (table.stream(spark).writeStream.foreachBatch(out.writer()).option("checkpointLocation", f"{scratch}/ck")
+         .trigger(availableNow=True).start().awaitTermination())
+
+    for n in range(5):
+        table.writer()(frame(spark, [("a", n, T0 + timedelta(hours=n))]), n)      # a new writer each time: a restart
+        table.writer()(frame(spark, [("a", n, T0 + timedelta(hours=n))]), n)      # that replays its last batch
+        consume()
+    assert sorted(r["v"] for r in out.read(spark).collect()) == [0, 1, 2, 3, 4]
+    assert table.read(spark).count() == 3
+    # a consumer that starts behind a batch never reads what was there before
+    tail = table.stream(spark, after_batch=3)
+    tail.writeStream.format("parquet").option("path", f"{scratch}/tail").option("checkpointLocation", f"{scratch}/ck2").trigger(availableNow=True).start().awaitTermination()
+    assert [r["v"] for r in spark.read.parquet(f"{scratch}/tail").collect()] == [4]
+
+
+def test_the_whole_flow_keeps_eight_hours_over_a_restart(spark, scratch):
+    from pylonflow.plans.dataflow import AlertingConfig, AlertingDataflow
+    from pylonflow.schemas import TELEMETRY
+    flow = AlertingDataflow(AlertingConfig(keep="3 hours"))
+    for day in range(3):      # each run: some hours of readings, one hot reading an hour
+        rows = [("T1", "one", 1.0, 2.0, 95.0 if m % 60 == 0 else 20.0, -95.0 if m % 60 == 0 else -60.0, 50.0, T0 + timedelta(hours=4 * day, minutes=m), True)
+                for m in range(240)]
+        spark.createDataFrame(rows, TELEMETRY).coalesce(1).write.mode("append").parquet(f"{scratch}/telemetry")
+        h = flow.start(spark, spark.readStream.schema(TELEMETRY).parquet(f"{scratch}/telemetry"), available_now=True, root=f"{scratch}/flow")
+        for q in h.queries():
+            q.awaitTermination()
+            assert q.exception() is None
+    newest = T0 + timedelta(hours=11, minutes=1)
+    for path, time in ((h.alerts_path, "window_end"), (h.responses_path, "window_start"), (h.runbooks_path, "window_start")):
+        hours = {f.split("event_hour=")[1][:13] for f in files(path)}
+        oldest = (newest - timedelta(hours=3)).strftime("%Y-%m-%d-%H")
+        assert hours and min(hours) >= min(oldest, "2024-01-01-07") and "2024-01-01-00" not in hours, (path, hours)
+        got = spark.read.parquet(path)
+        assert got.count() == got.select(time).distinct().count() > 0
+    assert flow.read_latest(spark, h).first()["last_updated"] == T0 + timedelta(hours=11, minutes=59)
+    assert flow.read_last_alert(spark, h).count() == 1
+
+
+# --- answers ----------------------------------------------------------------------
+
+def test_a_batch_lists_the_hours_of_its_own_alerts_only(spark, scratch):
+    table = responses_table(f"{scratch}/responses")
+    history = spark.range(500).selectExpr("CAST(NULL AS binary) AS key", "CAST(id AS string) AS tower_id",
+                                          "timestamp '2024-01-01 00:00:00' + make_dt_interval(0, CAST(id AS int)) AS window_start", "id AS batch",
+                                          f"CAST(id AS string) AS {ALERT_IDENTITY}")
+    missing = [f for f in table.schema.fields if f.name not in history.columns]
+    history = history.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+    (history.withColumn("event_hour", F.date_format("window_start", "yyyy-MM-dd-HH")).coalesce(1)      # 500 batches, an hour each
+     .write.partitionBy("event_hour", "batch").parquet(table.path))
+    alerts = spark.createDataFrame([alert("A", 60 * 499), alert("B", 60 * 498), alert("C", 60 * 10_000)], ALERT)
+    seen = answered_in(table, alerts)
+    assert sorted(r[0] for r in seen.collect()) == ["498", "499"] and len(seen.inputFiles()) == 2
+    calls = []
+
+    def call(system, prompt, params):
+        calls.append(prompt)
+        return "SEVERITY: high"
+
+    for n in range(2):
+        answer_alerts_once(table.path, call, rules=None)(alerts, 500)
+    got = table.read(spark, parts=True).where("batch = 500")
+    assert got.count() == 3 and got.select(ALERT_IDENTITY).distinct().count() == 3
+
+
+# --- late rows ----------------------------------------------------------------------
+
+def test_late_rows_are_counted_kept_and_replayed_without_listing_history(spark, scratch):
+    schema = "k string, event_time timestamp"
+    body, path = late_row_writer(f"{scratch}/late"), f"{scratch}/late"
+    first = spark.createDataFrame([("new", T0 + timedelta(minutes=30)), ("none", None)], schema)
+    second = spark.createDataFrame([("late", T0 + timedelta(seconds=k)) for k in range(5)]
+                                   + [("edge", T0 + timedelta(minutes=29, seconds=1)), ("ok", T0 + timedelta(minutes=29, seconds=50)), ("none", None)], schema)
+    assert count_late_rows(spark, path) == 0
+    for batch, n in ((first, 0), (first, 0), (second, 1), (second, 1), (first, 2), (spark.createDataFrame([], schema), 3), (second, 4)):
+        body(batch, n)
+    # a window that ends 10 s before the newest time is closed, one that ends with it is not
+    assert count_late_rows(spark, path) == 10
+    kept = read_late_rows(spark, path, first.schema)
+    assert kept.count() == 10 and {r["k"] for r in kept.collect()} == {"late"}
+    assert len([d for d in os.listdir(f"{path}/seen") if not d.startswith(".")]) == 3
+    with pytest.raises(ValueError, match="left no count"):
+        body(first, 9)
+
+
+# --- live feeds ----------------------------------------------------------------------
+
+def test_a_live_feed_equals_the_batch_feed_and_tells_its_news(spark, scratch):
+    rows = [alert(f"T{(7 * n) % 5}", (13 * n) % 90, 90.0 + n % 4) for n in range(120)]
+    told = []
+    body = feed_writer(f"{scratch}/feed", ALERT, 20, emit=lambda df, n: told.append((n, [tuple(r) for r in df.collect()])))
+    for n in range(6):
+        part = spark.createDataFrame(rows[20 * n:20 * n + 20], ALERT)
+        body(part, n)
+        if n in (2, 5):
+            body(part, n)      # a replay
+        want = alert_feed(spark.createDataFrame(rows[:20 * n + 20], ALERT), 20)
+        assert [tuple(r) for r in read_feed(spark, f"{scratch}/feed", ALERT).collect()] == [tuple(r) for r in want.collect()]
+        assert feed_tables(f"{scratch}/feed", ALERT)[0].current(spark).count() == 20
+    assert told[2] == told[3] and told[-1] == told[-2]
+    assert all(news == sorted(news, key=lambda r: r[-1]) for _, news in told)
+    assert {r for _, news in told for r in news} >= {tuple(r) for r in want.collect()}
+
+
+def test_a_carried_table_starts_empty(spark, scratch):
+    t = CarriedTable(f"{scratch}/c", frame(spark, []).schema)
+    assert t.current(spark).count() == 0 and t.version(spark, -1).count() == 0
+    for n in range(7):
+        t.write(t.version(spark, n - 1).unionByName(frame(spark, [("x", n, T0)])), n)
+    assert [r["v"] for r in t.current(spark).orderBy("v").collect()] == list(range(7))

@@ -42,11 +42,13 @@ def test_chain_with_one_file_a_trigger_answers_every_escalated_alert(spark):
 def test_read_status_equals_tower_status_on_old_alerts(spark, scratch):
     from pylonflow.operators.views import tower_status
     from pylonflow.plans.dataflow import AlertingDataflow, StreamHandles
-    from pylonflow.streaming.flows import upsert_log_writer
+    from pylonflow.streaming.live import start_view
     alerts = spark.createDataFrame([alert("A", "a", 0), alert("B", "b", 24 * 60)], ALERT)
     alerts.write.parquet(f"{scratch}/alerts")
-    upsert_log_writer(f"{scratch}/latest", ("tower_id",))(spark.createDataFrame([("C", 1)], "tower_id string, v int"), 0)
-    h = StreamHandles(None, None, None, None, None, f"{scratch}/alerts", ALERT, None, f"{scratch}/latest", "", None)
+    spark.createDataFrame([("C", 1)], "tower_id string, v int").write.parquet(f"{scratch}/readings")
+    latest = spark.readStream.schema("tower_id string, v int").parquet(f"{scratch}/readings").groupBy("tower_id").agg(F.max("v").alias("v"))
+    start_view(latest, f"{scratch}/latest", available_now=True).awaitTermination()
+    h = StreamHandles(None, None, None, None, None, f"{scratch}/alerts", ALERT, None, f"{scratch}/latest", "", None, latest.schema)
     as_of = T0 + timedelta(minutes=24 * 60 + 1, seconds=30)
     towers = spark.createDataFrame([("A",), ("B",), ("C",)], "tower_id string")
     got = AlertingDataflow().read_status(spark, h, as_of)
@@ -62,17 +64,18 @@ def test_feeds_are_whole_unless_a_limit_is_asked_for(spark):
 
 
 def test_five_late_rows_count_as_five(spark, scratch):
-    from pylonflow.streaming.flows import late_row_counter, read_late_rows
+    from pylonflow.streaming.late import count_late_rows, late_row_writer, read_late_rows
     schema = "tower_id string, event_time timestamp"
-    src = f"{scratch}/in"
+    src, stream_schema = f"{scratch}/in", spark.createDataFrame([], schema).schema
     spark.createDataFrame([("A", T0 + timedelta(minutes=30))], schema).write.parquet(src + "/b0")
 
     def run():
         q = (spark.readStream.schema(schema).parquet(src + "/*").writeStream
-             .foreachBatch(late_row_counter(f"{scratch}/late")).option("checkpointLocation", f"{scratch}/ck")
+             .foreachBatch(late_row_writer(f"{scratch}/late")).option("checkpointLocation", f"{scratch}/ck")
              .trigger(availableNow=True).start())
         q.awaitTermination()
-        return read_late_rows(spark, f"{scratch}/late")
+        assert read_late_rows(spark, f"{scratch}/late", stream_schema).count() == count_late_rows(spark, f"{scratch}/late")
+        return count_late_rows(spark, f"{scratch}/late")
 
     assert run() == 0
     spark.createDataFrame([("A", T0 + timedelta(seconds=k)) for k in range(5)] + [("A", T0 + timedelta(minutes=30, seconds=1))],
@@ -125,18 +128,6 @@ def test_only_border_runs_meet_in_the_per_key_window(spark):
     assert hot.filter("_border").count() == 2 * days and hot.count() == 2000
 
 
-def test_snapshot_reads_stay_small_after_200_batches(spark, scratch):
-    from pylonflow.streaming.flows import _log_folders, read_upsert_log, upsert_log_writer
-    body, path = upsert_log_writer(f"{scratch}/log", ("k",), compact_every=10), f"{scratch}/log"
-    frames = {k: spark.createDataFrame([(f"k{k % 7}", k), ("all", k)], "k string, v int").coalesce(1) for k in range(200)}
-    for k in range(200):
-        body(frames[k], k)
-    body(frames[199], 199)   # a replay
-    want = sorted([("all", 199)] + [(f"k{j}", max(x for x in range(200) if x % 7 == j)) for j in range(7)])
-    assert sorted(map(tuple, read_upsert_log(spark, path, ("k",)).collect())) == want
-    assert spark.read.parquet(*_log_folders(spark, path)).count() <= 2 * len(want)
-
-
 def test_live_status_refuses_what_it_cannot_answer_and_reduces_runs(spark):
     from pylonflow.streaming.status import merge_runs, status_changes_stream
     alerts = spark.readStream.format("rate").load().selectExpr("CAST(value AS string) AS tower_id", "timestamp AS window_end")

@@ -89,18 +89,6 @@ def test_partition_by_key_colocates(spark):
     assert per_part.count() == per_part.select("tower_id").distinct().count() == 16
 
 
-def test_upsert_log_compaction_is_idempotent(spark, scratch):
-    from pylonflow.streaming.flows import read_upsert_log, upsert_log_writer
-    body = upsert_log_writer(f"{scratch}/log")
-    b0 = spark.createDataFrame([("A", 1), ("B", 1)], "k string, v int")
-    b1 = spark.createDataFrame([("A", 2)], "k string, v int")
-    body(b0, 0)
-    body(b1, 1)
-    body(b1, 1)  # replayed batch
-    snap = sorted(tuple(r) for r in read_upsert_log(spark, f"{scratch}/log", ("k",)).collect())
-    assert snap == [("A", 2), ("B", 1)]
-
-
 def test_live_status_turns_red_immediately_and_green_on_expiry(spark, scratch):
     from datetime import datetime, timedelta
 
