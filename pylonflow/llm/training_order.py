@@ -11,7 +11,7 @@ slots are shards; a shard holds ``rows`` sequences of ``length * 2`` bytes
 ``(s % rows) * length * 2`` of shard ``s // rows``: reads are sequential, and
 resume at any slot.
 
-Only pieces of sequences are shuffled, once, by ranges of whole shards, so
+Only sequences, whole but where they lie across tasks, are shuffled, once, packed, by ranges of whole shards, so
 that the files are written without another shuffle; documents of any length
 are cut over their sequences. The driver sees one token count
 a partition. Null and empty texts contribute their end mark, and every
@@ -28,6 +28,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,9 @@ END_OF_TEXT = 50_256     # free in the default vocabulary of 50,256 ids
 LENGTH = 1024
 ROWS = 4096
 KEY = 0x5DEECE66D
+SAMPLES = 4000           # beginnings of texts, of a sequence's size at most, that the dictionary for packing pieces is made of
+# the token table is as long as the corpus: pages wide enough for zstd to find copies of texts
+PACKED = {"parquet.compression.codec.zstd.level": "5", "parquet.page.size": str(8 << 20)}
 _M = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -107,7 +111,7 @@ def tokenise(df: DataFrame, key: str = "doc_id", text: str = "text", ranks_path:
         for b in batches:
             for lo, hi in _slices(b.column(1), 4 << 20):
                 texts = pc.fill_null(b.column(1).slice(lo, hi - lo), "").to_pylist()
-                ids = [np.array([*enc.encode_ordinary(t), end], np.uint16) for t in texts]
+                ids = [np.append(enc.encode_to_numpy(t, disallowed_special=()).astype(np.uint16), np.uint16(end)) for t in texts]
                 sizes = np.array([len(x) for x in ids], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(ids), part, np.int32)), pa.array(at + np.cumsum(sizes) - sizes),
@@ -116,7 +120,7 @@ def tokenise(df: DataFrame, key: str = "doc_id", text: str = "text", ranks_path:
                 at += int(sizes.sum())
 
     return stored(df.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text")).mapInArrow(
-        encode, "part int, at long, key string, n long, tokens binary"), "tokens")
+        encode, "part int, at long, key string, n long, tokens binary"), "tokens", **PACKED)
 
 
 def _cut(row_at: int, tokens: bytes, length: int) -> Iterator[tuple[int, int, bytes]]:
@@ -129,6 +133,15 @@ def _cut(row_at: int, tokens: bytes, length: int) -> Iterator[tuple[int, int, by
         done += take
 
 
+def _dictionary(tokens: DataFrame, length: int) -> bytes:
+    """What pieces of token ids have in common, of a bounded sample (32 KB); it changes their packed size, nothing else."""
+    sample = [bytes(r["x"]) for r in tokens.select(F.expr(f"substring(tokens, 1, {2 * length})").alias("x")).limit(SAMPLES).collect()]
+    try:
+        return zstandard.train_dictionary(1 << 15, sample).as_bytes() if len(sample) >= 100 else b""
+    except zstandard.ZstdError:     # too little, or all alike
+        return b""
+
+
 def training_order(tokens: DataFrame, length: int = LENGTH, rows: int = ROWS, seed: int = KEY,
                    end: int = END_OF_TEXT) -> DataFrame:
     """(slot, shard, byte_offset, sequence, keys, tokens): every sequence once, sorted by slot in its partition,
@@ -139,23 +152,41 @@ def training_order(tokens: DataFrame, length: int = LENGTH, rows: int = ROWS, se
     for p, n in sorted((r["part"], r["n"]) for r in totals):
         bases[p], total = total, total + n
     count = -(-total // length)
+    common = _dictionary(tokens, length)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(common) if common else None).compress
+        now, first, size, blobs, owners, rows = None, 0, 0, [], [], []     # the stretch of a sequence being put together
+
+        def out():
+            k = np.array([r[0] for r in rows], np.int64)
+            columns = [pa.array(permute(k, count, seed)), pa.array(k), pa.array([r[1] for r in rows], pa.int32()),
+                       pa.array([r[2] for r in rows], pa.list_(pa.string())), pa.array([r[3] for r in rows], pa.binary())]
+            rows.clear()
+            return pa.RecordBatch.from_arrays(columns, names=["slot", "sequence", "place", "keys", "ids"])
+
         for b in batches:
-            ks, places, owners, blobs = [], [], [], []
             for part, at, key, ids in zip(*[b.column(c).to_pylist() for c in range(4)], strict=True):
                 for k, place, blob in _cut(bases[part] + at, ids, length):
-                    ks.append(k), places.append(place), owners.append(key), blobs.append(blob)
-            k = np.array(ks, np.int64)
-            slot = permute(k, count, seed) if len(k) else k
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array(k), pa.array(places, pa.int32()), pa.array(owners, pa.string()),
-                 pa.array(blobs, pa.binary())], names=["slot", "sequence", "place", "key", "ids"])
+                    if now is not None and (k != now or place != first + size):
+                        rows.append((now, first, owners, pack(b"".join(blobs))))
+                        now = None
+                    if now is None:
+                        now, first, size, blobs, owners = k, place, 0, [], []
+                    blobs.append(blob), owners.append(key)
+                    size += len(blob) // 2
+                    if len(rows) >= 2048:
+                        yield out()
+        if now is not None:
+            rows.append((now, first, owners, pack(b"".join(blobs))))
+        if rows:
+            yield out()
 
     fill = np.full(length, end, np.uint16).tobytes()
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blob, owners = None, [], []   # the sequence being put together
+        unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(common) if common else None).decompress
 
         def close():
             whole = b"".join(blob)
@@ -168,13 +199,13 @@ def training_order(tokens: DataFrame, length: int = LENGTH, rows: int = ROWS, se
         names = ["slot", "shard", "byte_offset", "sequence", "keys", "tokens"]
         for b in batches:
             done = []
-            for slot, k, key, ids in zip(*[b.column(c).to_pylist() for c in (0, 1, 3, 4)], strict=True):
+            for slot, k, keys, ids in zip(*[b.column(c).to_pylist() for c in (0, 1, 3, 4)], strict=True):
                 if now is None or now[0] != slot:
                     if now is not None:
                         done.append(close())
                     now, blob, owners = (slot, k), [], []
-                blob.append(ids)
-                owners.append(key)
+                blob.append(unpack(ids))
+                owners += keys
                 if len(done) >= 4096:
                     yield out(done)
                     done = []
@@ -185,7 +216,7 @@ def training_order(tokens: DataFrame, length: int = LENGTH, rows: int = ROWS, se
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut = tokens.select("part", "at", "key", "tokens").mapInArrow(
-        pieces, "slot long, sequence long, place int, key string, ids binary")
+        pieces, "slot long, sequence long, place int, keys array<string>, ids binary")
     shard = F.floor(F.col("slot") / F.lit(rows))   # AQE leaves a repartition into a given number alone
     return (cut.repartitionByRange(n, shard).sortWithinPartitions("slot", "place")
             .mapInArrow(join, "slot long, shard long, byte_offset long, sequence long, keys array<string>, tokens binary"))
