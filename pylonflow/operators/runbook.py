@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from pylonflow.functions.predicates import ESCALATION_RULES, Rule
 from pylonflow.functions.prompt import prompt_expr
-from pylonflow.functions.text import all_label_values, last_label_value, nonempty_lines, numbered
+from pylonflow.functions.text import labelled_lines, last_value, numbered, values_after
 from pylonflow.operators.filters import escalation_filter
 from pylonflow.operators.infer import CallOptions, ModelCall, ModelSpec, predict, rule_model
 from pylonflow.schemas import DEFAULTS, PARSED_FIELDS, RESPONSE, conform
@@ -73,8 +73,11 @@ def generate_runbooks(
     )
 
 
+LABELS = ("SEVERITY", "DIAGNOSIS", "ACTION[0-9]+", "ESCALATION", "TICKET")
+
+
 def fields_from_lines(lines: Column) -> dict[str, Column]:
-    """The five runbook fields of an array of trimmed, non-empty lines.
+    """The five runbook fields of the ``labelled_lines`` of a text.
 
     Rules: NULL/'' text -> all NULL; lines split on LF, trimmed, empties
     dropped; labels case-insensitive and anchored at line start; a label with
@@ -84,23 +87,24 @@ def fields_from_lines(lines: Column) -> dict[str, Column]:
     renumbered 1..n; unlabelled lines are ignored.
     """
     return {
-        "severity_level": F.upper(last_label_value(lines, "SEVERITY")),
-        "diagnosis": last_label_value(lines, "DIAGNOSIS"),
-        "immediate_actions": numbered(all_label_values(lines, "ACTION[0-9]+")),
-        "escalation": last_label_value(lines, "ESCALATION"),
-        "ticket_priority": F.upper(last_label_value(lines, "TICKET")),
+        "severity_level": F.upper(last_value(lines, "SEVERITY")),
+        "diagnosis": last_value(lines, "DIAGNOSIS"),
+        "immediate_actions": numbered(values_after(lines, "ACTION")),
+        "escalation": last_value(lines, "ESCALATION"),
+        "ticket_priority": F.upper(last_value(lines, "TICKET")),
     }
 
 
-def parse_runbook(df: DataFrame, text_col: str = "agent_response") -> DataFrame:
+def parse_runbook(df: DataFrame, text_col: str = "agent_response", where: Column | None = None) -> DataFrame:
     """Add (or replace) the five parsed columns from ``text_col``.
 
-    The line array is materialised once in its own projection so the five
-    extractions share it (Catalyst does not re-inline a non-trivial
-    expression that is referenced several times).
+    The text is scanned once, in a projection of its own that the five fields
+    share. Rows for which ``where`` does not hold are not scanned at all;
+    their fields are NULL.
     """
     tmp = "_runbook_lines"
-    staged = df.withColumn(tmp, nonempty_lines(F.col(text_col)))
+    text = F.col(text_col) if where is None else F.when(where, F.col(text_col))
+    staged = df.withColumn(tmp, labelled_lines(text, LABELS))
     return staged.withColumns(fields_from_lines(F.col(tmp))).drop(tmp)
 
 
@@ -111,18 +115,18 @@ def _falsy(c: Column) -> Column:
 def enrich_if_absent(responses: DataFrame, text_col: str = "agent_response") -> DataFrame:
     """Parse only where severity is absent (NULL or '') and text is present.
 
-    When the condition holds, all five fields are overwritten with the parse
+    Other rows are not parsed. When the condition holds, all five fields are overwritten with the parse
     result, NULLs included, even a field that was already set; otherwise the
     row is unchanged.
     """
     parsed = "_parsed_"
     missing = {f: F.lit(None).cast("string") for f in PARSED_FIELDS if f not in responses.columns}
     base = responses.withColumns(missing) if missing else responses
+    cond = _falsy(F.col("_orig_severity_level")) & ~_falsy(F.col(text_col))
     staged = parse_runbook(
         base.withColumnsRenamed({f: f"_orig_{f}" for f in PARSED_FIELDS}),
-        text_col,
+        text_col, cond,
     ).withColumnsRenamed({f: parsed + f for f in PARSED_FIELDS})
-    cond = _falsy(F.col("_orig_severity_level")) & ~_falsy(F.col(text_col))
     out = staged.withColumns({
         f: F.when(cond, F.col(parsed + f)).otherwise(F.col(f"_orig_{f}")) for f in PARSED_FIELDS
     })
