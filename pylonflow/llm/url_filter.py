@@ -11,7 +11,8 @@ Features: lengths, path depth, digit ratio, character entropy, counts of
 parameters, hyphens and labels, scheme, and suffix statistics (the smoothed
 block rate of all labelled URLs that share the top-level domain, the last two
 host labels or the first path segment; the overall rate where none does),
-joined by the suffix. Everything is DataFrame expressions and spark.ml.
+joined by the suffix. A training row's rates leave out all URLs of its own
+registered domain, as if its host were unknown. Everything is DataFrame expressions and spark.ml.
 
 A null URL, or one without ``://``, has empty host and path and is judged by
 the model. Every input row gives one output row; only the named columns are
@@ -106,7 +107,7 @@ def _suffix_rates(labelled: DataFrame) -> tuple[DataFrame, float]:
     overall = float(labelled.agg(F.avg("label")).first()[0] or 0.0)
     each = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(f"{n}_suffix").alias("suffix")) for n in SUFFIXES]))
     got = labelled.select("label", each.alias("s")).groupBy("s.name", "s.suffix").agg(F.sum("label").alias("hits"), F.count("*").alias("n"))
-    return stored(got.select("name", "suffix", ((F.col("hits") + PRIOR * overall) / (F.col("n") + PRIOR)).alias("rate")), "rates"), overall
+    return stored(got.select("name", "suffix", "hits", "n", ((F.col("hits") + PRIOR * overall) / (F.col("n") + PRIOR)).alias("rate")), "rates"), overall
 
 
 def _with_rates(df: DataFrame, rates: tuple[DataFrame, float]) -> DataFrame:
@@ -117,6 +118,21 @@ def _with_rates(df: DataFrame, rates: tuple[DataFrame, float]) -> DataFrame:
     return df
 
 
+def _with_rates_elsewhere(df: DataFrame, labelled: DataFrame, rates: tuple[DataFrame, float]) -> DataFrame:
+    """Rates as a row would find them if no labelled URL of its own registered domain were known.
+
+    The trees learn from these: a rate that holds the row's own label, or its host's, would teach them to repeat it.
+    """
+    table, overall = rates
+    for n in SUFFIXES:
+        all_ = table.where(F.col("name") == n).select(F.col("suffix").alias(f"{n}_suffix"), F.col("hits").alias("_hits"), F.col("n").alias("_n"))
+        own = labelled.groupBy(*{f"{n}_suffix", "domain_suffix"}).agg(F.sum("label").alias("_own_hits"), F.count("*").alias("_own_n"))
+        df = df.join(all_, f"{n}_suffix", "left").join(own, list({f"{n}_suffix", "domain_suffix"}), "left")
+        left = lambda of: F.coalesce(f"_{of}", F.lit(0)) - F.coalesce(f"_own_{of}", F.lit(0))
+        df = df.withColumn(f"{n}_rate", (left("hits") + PRIOR * overall) / (left("n") + PRIOR)).drop("_hits", "_n", "_own_hits", "_own_n")
+    return df
+
+
 def prepared(df: DataFrame, key: str, url: str, rules: tuple[UrlRule, ...]) -> DataFrame:
     d = df.select(F.col(key).alias("page_id"), F.col(url).cast("string").alias("url"))
     host, path = host_and_path(F.col("url"))
@@ -160,11 +176,28 @@ def train(labelled: DataFrame, max_train_rows: int = 20_000, trees: int = 20, de
     rates = _suffix_rates(labelled)
     drawn = stored(_drawn(labelled, labels, max_train_rows), "urls")
     assembler = VectorAssembler(inputCols=feature_names(), outputCol="features")
-    rows = assembler.transform(_with_rates(drawn, rates)).select("features", "weight", F.col("label").cast("double").alias("label"))
+    rows = assembler.transform(_with_rates_elsewhere(drawn, labelled, rates)).select("features", "weight", F.col("label").cast("double").alias("label"))
     model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=7, labelCol="label", weightCol="weight").fit(rows)
     return assembler, model, rates
 
 
+def accuracy_elsewhere(labelled: DataFrame, folds: int = 3, max_train_rows: int = 20_000) -> list[tuple[int, int, int, int]]:
+    """(fold, rows, rows judged right, rows of the fold's larger label) by registered domain: each fold's domains are
+    judged by a model that has seen none of their URLs."""
+    out, fold = [], F.pmod(F.xxhash64("domain_suffix"), F.lit(folds))
+    for k in range(folds):
+        test = labelled.where(fold == k)
+        fitted = train(labelled.where(fold != k), max_train_rows)
+        if isinstance(fitted, float):
+            judged = test.withColumn("prediction", F.lit(fitted))
+        else:
+            assembler, model, rates = fitted
+            judged = model.transform(assembler.transform(_with_rates(test, rates)))
+        r = judged.agg(F.count("*"), F.count(F.when(F.col("prediction") == F.col("label"), 1)), F.coalesce(F.sum("label"), F.lit(0))).first()
+        out.append((k, r[0], r[1], max(r[2], r[0] - r[2])))
+    return out
+
+
 def filter_urls(df: DataFrame, key: str = "page_id", url: str = "url", rules: tuple[UrlRule, ...] = RULES,
                 max_train_rows: int = 20_000) -> DataFrame:
     """(page_id, host, path, rule, verdict, block_score) of every row."""

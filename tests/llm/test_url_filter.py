@@ -84,3 +84,19 @@ def test_a_rare_label_stays_in_the_sample(spark):
         n, w = got.get(r["label"], (0, 0.0))
         got[r["label"]] = (n + 1, w + r["weight"])
     assert got[1][0] == 3 and 0 < got[0][0] < 60 and math.isclose(got[1][1], 3) and math.isclose(got[0][1], 3000)
+
+
+def test_training_rates_leave_out_the_own_domain_and_unknown_hosts_are_judged(spark):
+    # the path tells, and so does the host; a host is in one fold only
+    rows = [(k, f"http://h{k % 30}.org/{'x/' * (5 if k % 30 < 10 else 1)}{k}?{'a=1&' * (4 if k % 30 < 10 else 0)}") for k in range(1200)]
+    df = u.prepared(spark.createDataFrame(rows, "page_id long, url string"), "page_id", "url", ())
+    df = df.withColumn("label", (df["page_id"] % 30 < 10).cast("int")).cache()
+    rates = u._suffix_rates(df)
+    one = u._with_rates_elsewhere(df.where("page_id = 3"), df, rates).first()
+    assert math.isclose(one["domain_rate"], 1 / 3) and math.isclose(one["tld_rate"], (400 - 40 + 10 / 3) / (1200 - 40 + 10))
+    got = u.accuracy_elsewhere(df, 3)
+    assert sum(n for _, n, _, _ in got) == 1200 and all(right == n for _, n, right, _ in got)
+    model = u.train(df, trees=3)[1]
+    weight = dict(zip(u.feature_names(), model.featureImportances.toArray(), strict=True))
+    assert weight["parameters"] + weight["depth"] + weight["path_length"] + weight["url_length"] > 0.5 and weight["domain_rate"] == 0
+    df.unpersist()
