@@ -15,7 +15,7 @@ read time from the alerts table.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -34,8 +34,8 @@ from pylonflow.operators.views import latest_by_key, tower_status
 from pylonflow.schemas import ALERT, RESPONSE
 from pylonflow.session import scratch_path
 from pylonflow.streaming.flows import Sink, answer_alerts_once, responses_table, runbook_stream
-from pylonflow.streaming.live import read_view, start_view
-from pylonflow.streaming.retained import EventTable
+from pylonflow.streaming.live import feed_writer, read_feed, read_view, start_view
+from pylonflow.streaming.retained import EventTable, consumer_generation
 
 
 @dataclass(frozen=True)
@@ -54,6 +54,8 @@ class AlertingConfig:
     episode_bucket: str = "1 day"
     latest_values: Sequence[str] = ("tower_name", "temperature", "signal_strength", "cpu_load")
     keep: str | None = None      # how long alerts, responses and runbooks stay ("8 hours"); None: for good
+    alert_feed: int | None = None       # rows of the live feeds; None: no such feed
+    runbook_feed: int | None = None
 
 
 @dataclass
@@ -71,10 +73,15 @@ class StreamHandles:
     runbooks_path: str | None
     latest_schema: T.StructType | None = None
     last_alert_schema: T.StructType | None = None
+    alert_feed: StreamingQuery | None = None
+    runbook_feed: StreamingQuery | None = None
+    alert_feed_path: str | None = None
+    runbook_feed_path: str | None = None
+    runbooks_schema: T.StructType | None = None
 
     def queries(self) -> list[StreamingQuery]:
-        """Upstream first: alerts, responder, latest, last alert, runbooks."""
-        return [q for q in (self.alerts, self.responder, self.latest, self.last_alert, self.runbooks) if q]
+        """Upstream first: alerts, responder, latest, last alert, runbooks, feeds."""
+        return [q for q in (self.alerts, self.responder, self.latest, self.last_alert, self.runbooks, self.alert_feed, self.runbook_feed) if q]
 
     def stop(self) -> None:
         for q in self.queries():
@@ -109,7 +116,8 @@ class AlertingDataflow:
 
     # --- streaming --------------------------------------------------------------
     def start(self, spark: SparkSession, telemetry_stream: DataFrame, available_now: bool = False,
-              trigger: str = "2 seconds", root: str | None = None) -> StreamHandles:
+              trigger: str = "2 seconds", root: str | None = None, on_restart: str = "resume",
+              news: Callable[[DataFrame, int], None] | None = None) -> StreamHandles:
         """Start the streaming queries; returns their handles and tables.
 
         With ``root`` (a folder under the shared ``spark.checkpoint.dir``)
@@ -117,7 +125,13 @@ class AlertingDataflow:
         a stop or a crash resumes each query where it stopped: no input is
         reprocessed and an answered alert is never sent to the model again
         (calls in flight in a failed task repeat). Without it a fresh folder
-        is used (tests, one-off runs).
+        is used (tests, one-off runs). ``on_restart="skip"`` drops the alerts
+        that wait for an answer: the responder starts behind what the alerts
+        table holds now, as a redeploy that must not replay would.
+
+        With ``alert_feed`` or ``runbook_feed`` in the configuration a live
+        feed of that many rows is kept; ``news`` gets the rows that each
+        micro-batch brought into it, oldest first, and the batch's number.
 
         The responder and the runbook consumer need the alert record's
         columns (the prompt is built from them); with custom keys or metrics
@@ -152,19 +166,31 @@ class AlertingDataflow:
         if set(ALERT.fieldNames()) <= set(alerts_df.columns):
             responses = responses_table(resp.path, keep)
             responses.create(spark)
-            q_resp = _writer(alerts_in, answer_alerts_once(resp.path, self.call, self.config.model,
+            checkpoint, after = consumer_generation(spark, f"{base}/responses", alerts_table, on_restart)
+            q_resp = _writer(alerts_table.stream(spark, after), answer_alerts_once(resp.path, self.call, self.config.model,
                                                            self.config.options, self.config.n_callers,
                                                            rules=self.config.escalation_rules, keep=keep),
-                             resp.checkpoint)
+                             checkpoint)
             if available_now:
                 q_resp.awaitTermination()
             runbooks = runbook_stream(responses.stream(spark).select(*RESPONSE.fieldNames()))
             runbook_table = EventTable(rb.path, runbooks.schema, "window_start", keep)
             runbook_table.create(spark)
             q_rb = _writer(runbooks, runbook_table.writer(), rb.checkpoint)
+            if available_now:
+                q_rb.awaitTermination()
+
+        def _feed(name, rows, limit):
+            if limit is None:
+                return None, None
+            path = f"{base}/{name}"
+            return _writer(rows, feed_writer(path, rows.schema, limit, emit=news), f"{path}/checkpoint"), path
+
+        q_af, af_path = _feed("alert_feed", alerts_in, self.config.alert_feed)
+        q_rf, rf_path = _feed("runbook_feed", runbook_table.stream(spark), self.config.runbook_feed) if q_rb else (None, None)
         return StreamHandles(q_alerts, q_resp, q_lat, q_last, q_rb, alerts_sink.path, alerts_df.schema,
                              resp.path if q_resp else None, lat.checkpoint, last.checkpoint, rb.path if q_rb else None,
-                             latest.schema, last_alert.schema)
+                             latest.schema, last_alert.schema, q_af, q_rf, af_path, rf_path, runbooks.schema if q_rb else None)
 
     def read_latest(self, spark: SparkSession, handles: StreamHandles) -> DataFrame:
         return read_view(spark, handles.latest_path, handles.latest_schema, (self.config.keys[0],))
@@ -173,6 +199,14 @@ class AlertingDataflow:
         """Newest alert end per tower (the state of the last-alert query)."""
         return read_view(spark, handles.last_alert_path, handles.last_alert_schema, (self.config.keys[0],))
 
+    def read_alert_feed(self, spark: SparkSession, handles: StreamHandles) -> DataFrame:
+        """The live alert feed, newest first."""
+        return read_feed(spark, handles.alert_feed_path, handles.alerts_schema)
+
+    def read_runbook_feed(self, spark: SparkSession, handles: StreamHandles) -> DataFrame:
+        """The live runbook feed, newest first."""
+        return read_feed(spark, handles.runbook_feed_path, handles.runbooks_schema)
+
     def read_status(self, spark: SparkSession, handles: StreamHandles, as_of: datetime | str | Column,
                     towers: DataFrame | None = None, lookback: str | None = None) -> DataFrame:
         """Red/green per known tower at ``as_of`` (an explicit event time).

@@ -49,11 +49,12 @@ def load_callable(spec: str):
 
 def run_stream(spark: SparkSession, events_dir: str | None, trigger: str, timeout_s: float | None = None,
                wait: bool = True, telemetry_dir: str | None = None, max_files_per_trigger: int | None = None,
-               name: str = "towers", root: str | None = None, model: str | None = None):
+               name: str = "towers", root: str | None = None, model: str | None = None, keep: str | None = None,
+               on_restart: str = "resume", feed: int | None = None):
     """Start the streaming dataflow over either a telemetry folder (records
     with the registered telemetry schema, the production shape) or an events
     folder (mapped to readings)."""
-    from pylonflow.plans.dataflow import AlertingDataflow
+    from pylonflow.plans.dataflow import AlertingConfig, AlertingDataflow
     from pylonflow.schemas import TELEMETRY
     from pylonflow.sources.readings import COLUMNS, readings
     if (events_dir is None) == (telemetry_dir is None):
@@ -68,10 +69,10 @@ def run_stream(spark: SparkSession, events_dir: str | None, trigger: str, timeou
         telemetry = readings(reader.schema(table.schema).parquet(events_dir))
     from pylonflow.operators.infer import rule_model
     from pylonflow.session import checkpoint_root
-    flow = AlertingDataflow(call=load_callable(model) if model else rule_model)
+    flow = AlertingDataflow(AlertingConfig(keep=keep, alert_feed=feed, runbook_feed=feed), load_callable(model) if model else rule_model)
     # a fixed folder per flow name: a restarted job resumes every query from its checkpoint
     root = root or f"{checkpoint_root(spark)}/pylonflow/flows/{name}"
-    handles = flow.start(spark, telemetry, trigger=trigger, root=root)
+    handles = flow.start(spark, telemetry, trigger=trigger, root=root, on_restart=on_restart)
     if not wait:
         return handles
     if timeout_s is None:
@@ -100,13 +101,17 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--name", default="towers", help="flow name: its tables/checkpoints live under "
                    "<spark.checkpoint.dir>/pylonflow/flows/<name>, so a restart resumes")
     s.add_argument("--model", help="model client as 'package.module:function' (default: local stub)")
+    s.add_argument("--keep", help="how long alerts, responses and runbooks stay, e.g. '8 hours' (default: for good)")
+    s.add_argument("--on-restart", choices=("resume", "skip"), default="resume", help="skip drops the alerts that wait for an answer")
+    s.add_argument("--feed", type=int, help="keep live feeds of so many alerts and runbooks")
     args = ap.parse_args(argv)
     spark = _session(f"pylonflow-{args.cmd}")
     if args.cmd == "batch":
         run_batch(spark, args.sf_dir, args.query, args.out, args.partitions)
     else:
         run_stream(spark, args.events, args.trigger, args.timeout, telemetry_dir=args.telemetry,
-                   max_files_per_trigger=args.max_files_per_trigger, name=args.name, model=args.model)
+                   max_files_per_trigger=args.max_files_per_trigger, name=args.name, model=args.model,
+                   keep=args.keep, on_restart=args.on_restart, feed=args.feed)
 
 
 if __name__ == "__main__":

@@ -146,6 +146,29 @@ class EventTable:
         return body
 
 
+def consumer_generation(spark: SparkSession, root: str, table: EventTable, on_restart: str = "resume") -> tuple[str, int | None]:
+    """Checkpoint folder of a consumer of ``table``, and the batch behind which it starts (None: at the beginning).
+
+    Generations are rows of a small table under ``root``. ``resume`` goes on with the newest one; ``skip`` opens the
+    next, which starts behind what the table holds now and drops that backlog. A later ``resume`` goes on with that
+    generation, so what was skipped stays skipped; skipped batches are never read, their partitions are left out.
+    """
+    if on_restart not in ("resume", "skip"):
+        raise ValueError("on_restart must be 'resume' or 'skip'")
+    record = T.StructType([T.StructField("generation", T.LongType()), T.StructField("after_batch", T.LongType())])
+    try:
+        known = spark.read.schema(record).parquet(f"{root}/generations").orderBy(F.col("generation").desc()).first()
+    except AnalysisException as exc:
+        if not is_missing_table(exc):
+            raise
+        known = None
+    number, after = known or (0, None)
+    if on_restart == "skip":
+        number, after = number + 1, table.newest_batch(spark)
+        spark.createDataFrame([(number, after)], record).coalesce(1).write.mode("append").parquet(f"{root}/generations")
+    return f"{root}/checkpoint" + (f"-{number}" if number else ""), after
+
+
 @dataclass(frozen=True)
 class CarriedTable:
     """A small table carried from batch to batch: batch ``n`` is in folder ``n % 3``."""

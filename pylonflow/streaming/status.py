@@ -6,10 +6,12 @@ when a later alert shows the gap (> ttl) or when the watermark passes
 ``last alert + ttl`` (event-time timeout). State is one small row per key
 that is currently red; it is dropped when the key turns green.
 
-A key's new alerts of a micro-batch reach its function in Arrow batches, each
-of which is reduced at once to runs (first, last) of alerts no further than
-``ttl`` apart: memory follows the number of runs, not of alerts. Bound the
-backlog of a catch-up with the source's files (or offsets) per trigger.
+Before the shuffle every input task reduces its Arrow batches of alerts to
+runs (first, last) per key, alerts no further than ``ttl`` apart: a key that
+holds a third of all alerts is reduced where its rows are read, and its state
+function sees a few runs a task, not alerts. The function joins them again;
+memory follows the number of runs. Bound the backlog of a catch-up with the
+source's files (or offsets) per trigger.
 
 The watermark delay may not exceed ``ttl``: within it, an alert that arrives
 out of order can only widen the episode it falls into or stand before one
@@ -24,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +49,17 @@ def merge_runs(runs: np.ndarray, ttl_us: int) -> np.ndarray:
     return np.stack([runs[start, 0], ends], 1)
 
 
+def runs_of(keys: pa.Array, t: np.ndarray, ttl_us: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(key, first, last) of the runs of each key in one batch of alerts; null keys are a key."""
+    coded = keys.dictionary_encode(null_encoding="encode")
+    code = coded.indices.to_numpy(zero_copy_only=False)
+    order = np.lexsort((t, code))
+    code, t = code[order], t[order]
+    start = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (t[1:] - t[:-1] > ttl_us)])) if len(t) else np.zeros(0, int)
+    ends = np.append(start[1:] - 1, len(t) - 1) if len(t) else start
+    return coded.dictionary.take(pa.array(code[start])), t[start], t[ends]
+
+
 def status_changes_stream(
     alerts: DataFrame,
     ttl: str = "90 seconds",
@@ -80,8 +94,8 @@ def status_changes_stream(
             last = state.get[0] if state.exists else None
             found = np.empty((0, 2), np.int64)
             for b in batches:
-                t = b["_t_us"].to_numpy(np.int64)
-                found = merge_runs(np.concatenate([found, np.stack([t, t], 1)]), ttl_us)
+                runs = np.stack([b["_first"].to_numpy(np.int64), b["_last"].to_numpy(np.int64)], 1)
+                found = merge_runs(np.concatenate([found, runs]), ttl_us)
             for first, end in found.tolist():
                 if last is not None and first - last > ttl_us:
                     events.append((last + ttl_us, "green"))
@@ -102,9 +116,15 @@ def status_changes_stream(
             yield pd.DataFrame({key: [k[0]] * len(events), "changed_at_us": [e[0] for e in events],
                                 "status": [e[1] for e in events]})
 
-    staged = (alerts.withWatermark(alert_time, spark_duration(watermark, allow_zero=True))
-              .filter(F.col(alert_time).isNotNull())
-              .select(key, alert_time, F.unix_micros(F.col(alert_time)).alias("_t_us")))
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, first, last = runs_of(b.column(0), b.column(1).to_numpy(zero_copy_only=False), ttl_us)
+            yield pa.RecordBatch.from_arrays([keys, pa.array(first), pa.array(last)], names=[key, "_first", "_last"])
+
+    runs = (alerts.filter(F.col(alert_time).isNotNull()).select(key, F.unix_micros(F.col(alert_time)).alias("_t_us"))
+            .mapInArrow(reduce, T.StructType([alerts.schema[key], T.StructField("_first", T.LongType()), T.StructField("_last", T.LongType())])))
+    # the newest alert is the end of its run, so event time moves as it would by single alerts
+    staged = runs.withColumn(alert_time, F.timestamp_micros("_last")).withWatermark(alert_time, spark_duration(watermark, allow_zero=True))
     return (staged.groupBy(key)
             .applyInPandasWithState(step, out_schema, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
             .select(key, F.timestamp_micros("changed_at_us").alias("changed_at"), "status"))

@@ -210,3 +210,71 @@ def test_a_carried_table_starts_empty(spark, scratch):
     for n in range(7):
         t.write(t.version(spark, n - 1).unionByName(frame(spark, [("x", n, T0)])), n)
     assert [r["v"] for r in t.current(spark).orderBy("v").collect()] == list(range(7))
+
+
+# --- redeploys, feeds of a flow, hot keys -------------------------------------------------
+
+def readings_at(hours):
+    return [("T1", "one", 1.0, 2.0, 95.0 if m % 60 == 0 else 20.0, -95.0 if m % 60 == 0 else -60.0, 50.0, T0 + timedelta(hours=h, minutes=m), True)
+            for h in hours for m in range(60)]
+
+
+def test_skip_drops_the_backlog_for_good_and_feeds_follow(spark, scratch):
+    from pylonflow.plans.dataflow import AlertingConfig, AlertingDataflow
+    from pylonflow.schemas import TELEMETRY
+    flow, told = AlertingDataflow(AlertingConfig(alert_feed=2, runbook_feed=2)), []
+
+    def run(hours, on_restart):
+        spark.createDataFrame(readings_at(hours), TELEMETRY).coalesce(1).write.mode("append").parquet(f"{scratch}/telemetry")
+        h = flow.start(spark, spark.readStream.schema(TELEMETRY).parquet(f"{scratch}/telemetry"), available_now=True, root=f"{scratch}/flow",
+                       on_restart=on_restart, news=lambda df, n: told.append([r["window_start"] for r in df.collect()]))
+        for q in h.queries():
+            q.awaitTermination()
+            assert q.exception() is None
+        alerts = sorted(r[0].hour for r in spark.read.parquet(h.alerts_path).select("window_start").collect())
+        return h, alerts, sorted(r[0].hour for r in responses_table(h.responses_path).read(spark).select("window_start").collect())
+
+    assert run([0, 1], "resume")[1:] == ([0, 1], [0, 1])
+    assert run([2, 3], "skip")[1:] == ([0, 1, 2, 3], [0, 1])
+    h, alerts, answered = run([4, 5], "resume")
+    assert alerts == [0, 1, 2, 3, 4, 5] and answered == [0, 1, 4, 5]
+    assert [r["window_start"].hour for r in flow.read_alert_feed(spark, h).collect()] == [5, 4]
+    feed = flow.read_runbook_feed(spark, h).collect()
+    assert [r["window_start"].hour for r in feed] == [5, 4] and all(r["severity_level"] for r in feed)
+    assert all(news == sorted(news) for news in told) and any(t.hour == 5 for news in told for t in news)
+
+
+def test_generations_of_a_consumer(spark, scratch):
+    from pylonflow.streaming.retained import consumer_generation
+    table = EventTable(f"{scratch}/t", frame(spark, []).schema, "at")
+    table.create(spark)
+    assert consumer_generation(spark, f"{scratch}/c", table) == (f"{scratch}/c/checkpoint", None)
+    table.writer()(frame(spark, [("a", 1, T0)]), 4)
+    assert consumer_generation(spark, f"{scratch}/c", table, "skip") == (f"{scratch}/c/checkpoint-1", 4)
+    assert consumer_generation(spark, f"{scratch}/c", table) == (f"{scratch}/c/checkpoint-1", 4)
+    with pytest.raises(ValueError, match="on_restart"):
+        consumer_generation(spark, f"{scratch}/c", table, "rewind")
+
+
+def test_a_key_with_a_million_alerts_is_reduced_where_it_is_read(spark, scratch):
+    import numpy as np
+    import pyarrow as pa
+
+    from pylonflow.operators.episodes import status_changes
+    from pylonflow.streaming.status import runs_of, status_changes_stream
+    t = np.random.default_rng(2).permutation(1_000_000).astype(np.int64) * 1000
+    runs = [runs_of(pa.array(["hot"] * len(part)), part, 90_000_000) for part in np.array_split(t, 100)]
+    assert all(len(keys) == 1 for keys, _, _ in runs)
+    keys, first, last = runs_of(pa.array(["a", None, "a", None, "b"]), np.array([5, 1, 200, 9, 7]), 10)
+    assert sorted(zip(keys.to_pylist(), first.tolist(), last.tolist(), strict=True), key=str) == sorted([("a", 5, 5), ("a", 200, 200), (None, 1, 9), ("b", 7, 7)], key=str)
+    assert len(runs_of(pa.array([], pa.string()), np.zeros(0, np.int64), 10)[0]) == 0
+    rows = [("hot", T0 + timedelta(seconds=10 * k)) for k in range(3000)] + [(f"k{k % 40}", T0 + timedelta(seconds=97 * k)) for k in range(300)]
+    alerts = spark.createDataFrame(rows, "tower_id string, window_end timestamp")
+    alerts.repartition(4).write.parquet(f"{scratch}/in")
+    spark.createDataFrame([("end", T0 + timedelta(days=9))], alerts.schema).write.mode("append").parquet(f"{scratch}/in")
+    stream = status_changes_stream(spark.readStream.schema(alerts.schema).parquet(f"{scratch}/in"))
+    q = stream.writeStream.format("parquet").option("path", f"{scratch}/out").option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {tuple(r) for r in spark.read.parquet(f"{scratch}/out").where("tower_id <> 'end'").collect()}
+    assert got == {tuple(r) for r in status_changes(alerts).collect()}
+    assert sum(p["numRowsUpdated"] for x in q.recentProgress for p in x["stateOperators"]) < 500
