@@ -18,7 +18,23 @@ ALERT_METRICS = (
     ("max_temperature", "max", "temperature"),
     ("min_signal", "min", "signal_strength"),
 )
-_AGGS = {"avg": F.avg, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
+EXACT_DIGITS = 6
+
+
+def exact_avg(c: Column, digits: int = EXACT_DIGITS) -> Column:
+    """Average that does not depend on the order of the rows: batch, stream and any partitioning agree in the last bit.
+
+    Values count as whole multiples of ``10**-digits``; their sum is a whole number, and one division rounds once. NULLs
+    are left out, no value gives NULL, and a sum beyond 64 bits is an error.
+    """
+    unit = F.round(c.cast("double") * F.lit(float(10 ** digits))).cast("long")
+    n = F.count(unit)
+    return F.when(n > 0, F.sum(unit).cast("double") / (F.greatest(n, F.lit(1)).cast("double") * F.lit(float(10 ** digits))))
+
+
+# The same metrics with averages that any order of the rows gives alike.
+EXACT_METRICS = tuple((name, "exact_avg" if agg == "avg" else agg, col) for name, agg, col in ALERT_METRICS)
+_AGGS = {"avg": F.avg, "exact_avg": exact_avg, "max": F.max, "min": F.min, "sum": F.sum, "count": F.count}
 
 
 def _metric(name: str, agg: str, col: str) -> Column:

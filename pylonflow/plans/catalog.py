@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pylonflow.operators.detect import detect_alerts
+from pylonflow.operators.detect import EXACT_METRICS, detect_alerts
 from pylonflow.operators.episodes import red_episodes, status_changes
 from pylonflow.operators.filters import anomaly_filter, breach_flags, escalation_filter
 from pylonflow.operators.maintain import retain
@@ -104,6 +104,12 @@ def q_detect_alerts_60s(spark, sf_dir):
     return _round_avgs(alerts(spark, sf_dir))
 
 
+@register("detect_alerts_exact")
+def q_detect_alerts_exact(spark, sf_dir):
+    """Alerts whose averages do not depend on the order of the readings: nothing is rounded to compare them."""
+    return detect_alerts(telemetry(spark, sf_dir), metrics=EXACT_METRICS)
+
+
 @register("detect_alerts_1h_raw_events")
 def q_detect_alerts_1h_raw_events(spark, sf_dir):
     return _round_avgs(raw_alerts(spark, sf_dir))
@@ -325,6 +331,14 @@ def q_stream_detect_alerts(spark, sf_dir):
     return _round_avgs(out)
 
 
+@register("stream_detect_alerts_exact")
+def q_stream_detect_alerts_exact(spark, sf_dir):
+    """The same on a stream of several micro-batches."""
+    from pylonflow.streaming.flows import Sink, run_to_sink
+    closed = detect_alerts(readings(event_files(spark, sf_dir)), metrics=EXACT_METRICS, watermark=STREAM_DELAY)
+    return run_to_sink(closed, Sink.fresh(spark, "stream_detect_alerts_exact"))
+
+
 @register("stream_chain")
 def q_stream_chain(spark, sf_dir):
     """Two chained streaming statements over several micro-batches: events -> alerts table -> runbooks."""
