@@ -56,6 +56,7 @@ SKETCH_CHUNKS = 32
 BLOOM_BITS = 23          # bits of the filter before the last pass over the texts: 1 MB
 BLOCK = 1024             # classes that one task compares with one another
 SETS_A_TASK = 2000       # whole sets, and rows of token lists, that one call of the linking functions gets on average
+TOKENS_A_TASK = 4_000_000     # and of their tokens: sets of 200,000 tokens come by twenties
 ROWS_A_TASK = 20_000
 SLICE_BYTES = 4 << 20
 
@@ -420,9 +421,11 @@ def jaccard_components(df: DataFrame, key: str = "doc_id", text: str = "text") -
     home = lists.groupBy("cid").agg(F.max(F.struct("df", F.xxhash64("token").alias("h"), "token")).alias("top"))
     home = home.select("cid", F.col("top.token").alias("home"))
     full = _whole_sets(df, key, text, classes.join(home, "cid", "left_semi"))
-    sizes = home.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    sized = home.join(classes.select("cid", "n"), "cid")
+    each = sized.agg(F.avg("n")).first()[0] or 1
+    sizes = sized.groupBy("home").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / TOKENS_A_TASK)).alias("blocks"))
     grouped = home.join(sizes, "home").select(
-        "cid", "home", F.pmod(F.xxhash64("cid"), F.col("blocks")).alias("block"), _task("home", home, SETS_A_TASK).alias("task"))
+        "cid", "home", F.pmod(F.xxhash64("cid"), F.col("blocks")).alias("block"), _task("home", home, max(1, min(SETS_A_TASK, int(TOKENS_A_TASK / each)))).alias("task"))
     links = stored(full.join(grouped, "cid").groupBy("task", "block").applyInPandas(_link_groups, "a long, b long"), "links")
 
     # matrix of tokens and components, then opening

@@ -117,3 +117,16 @@ def test_components_of_a_long_path_and_a_star(spark):
     got = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: 1 for k in range(1, 61)} | {100 + k: 100 for k in range(30)}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_groups_are_sized_by_tokens(spark, monkeypatch):
+    monkeypatch.setattr(j, "TOKENS_A_TASK", 150)     # two or three sets at a time
+    docs = near_copies(11, groups=3, size=14)
+    assert found(spark.createDataFrame(docs, "doc_id long, text string")) == brute(docs)
+
+
+def test_sets_of_200_000_tokens(spark):
+    words = [f"w{k * k % 99_991}x{k}" for k in range(200_000)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[:-20_000])), (3, " ".join(words[60_000:])), (4, " ".join(words[::-1])), (5, " ".join([*words, "tail"]))]
+    assert found(spark.createDataFrame(docs, "doc_id long, text string")) == [
+        (1, 199_996, 1), (2, 179_996, 1), (3, 139_996, 3), (4, 199_996, 4), (5, 199_997, 1)]
