@@ -1,5 +1,7 @@
 """Every registered query with SQL against DuckDB, and the pipeline against a brute-force version."""
 
+import hashlib
+import re
 import zlib
 from collections import Counter
 
@@ -9,7 +11,7 @@ import __spark_entry__ as entry
 import corpus_pipeline
 from pylonflow.llm import queries
 from tests.conftest import SF001
-from tests.llm import test_decontaminate, test_jaccard, test_sharding
+from tests.llm import test_decontaminate, test_jaccard, test_mixing, test_sharding
 from tests.llm.conftest import DOCS, doc, sentence
 from tests.oracle_compare import duck, fingerprint
 
@@ -23,7 +25,7 @@ def test_query_matches_sql(spark, name):
 
 def test_one_query_for_each_operator():
     numbers = [int(n[2:].split("_")[0]) for n in queries.QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and set(queries.QUERIES) < set(entry.queries()) and "pipeline" in entry.queries()
+    assert sorted(numbers) == list(range(1, 14)) and set(queries.QUERIES) < set(entry.queries()) and "pipeline" in entry.queries()
 
 
 @pytest.fixture(scope="module")
@@ -99,3 +101,61 @@ def test_pipeline_of_an_empty_table(spark, no_docs, tmp_path):
     no_docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_jaccard_stage_keeps_every_distinct_row_of_an_id(spark):
+    t, u = sentence(1, 60), sentence(2, 60)
+    docs = [doc(1, t, "en", "a"), doc(1, t, "de", "b"), doc(1, t, "de", "b"), doc(2, t, "en", "a"), doc(3, u), doc(None, u), doc(None, u)]
+    got = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, spark.createDataFrame(docs, DOCS), "")
+    assert Counter(map(tuple, got.collect())) == Counter([docs[0], docs[1], docs[4], docs[5], docs[5]])
+
+
+def _documents(spark):
+    return spark.read.parquet(f"{SF001}/documents.parquet").collect()
+
+
+def test_op5_matches_a_plain_version_of_every_column(spark):
+    from tests.llm import test_pii
+    kinds = ["email", "ip", "card", "phone"]
+    got = {r["doc_id"]: r for r in queries.QUERIES["op5_pii"](spark, SF001).collect()}
+    docs = _documents(spark)
+    assert len(got) == len(docs)
+    for d in docs:
+        base = test_pii.brute(d["text"] or "")
+        listed = [f"{kinds[k]}:{a}:{b}" for a, k, b in base]
+        r = got[d["doc_id"]]
+        assert r["base_sha256"] == hashlib.sha256(",".join(listed).encode()).hexdigest()
+        spans = [x for x in r["spans"].split(",") if x]
+        added = sorted(set(spans) - set(listed))
+        assert set(listed) <= set(spans) and spans == sorted(spans, key=lambda x: (int(x.split(":")[1]), kinds.index(x.split(":")[0])))
+        for k, name in enumerate(kinds):
+            assert r[f"n_{name}"] == sum(x.startswith(name + ":") for x in spans)
+        assert added == []      # nothing to discover in the given tables, as README says
+
+
+def test_op6_marks_the_held_out_rows_and_scores_every_text(spark):
+    got = {r["doc_id"]: r for r in queries.QUERIES["op6_toxicity_cnn"](spark, SF001).collect()}
+    docs = _documents(spark)
+    assert len(got) == len(docs)
+    by_text = {}
+    for d in docs:
+        r = got[d["doc_id"]]
+        assert r["held_out"] == (zlib.crc32(str(d["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5)
+        assert by_text.setdefault(d["text"] or "", r["score"]) == r["score"]
+
+
+def test_op7_meets_every_target(spark):
+    got = {r["doc_id"]: r for r in queries.QUERIES["op7_entropy_mixing"](spark, SF001).collect()}
+    docs = _documents(spark)
+    size = {d["doc_id"]: len([w for w in re.split("[\x20\x09-\x0D]+", d["text"] or "") if w]) for d in docs}
+    sources = {}
+    for d in docs:
+        sources.setdefault(d["source"], []).append(d["doc_id"])
+    order = sorted((s for s in sources if s is not None), key=lambda s: s.encode()) + [None] * (None in sources)
+    want = test_mixing.waterfill([sum(size[i] for i in sources[s]) for s in order], [(5, 2, 1)[k % 3] for k in range(len(order))], 3.0)
+    for s, target in zip(order, want, strict=True):
+        mine = [got[i] for i in sources[s]]
+        assert all(r["size"] == size[r["doc_id"]] and 0 <= r["taken"] <= 3 * r["size"] and r["source_size"] == sum(x["size"] for x in mine) for r in mine)
+        assert all(abs(r["target"] - target) <= 1e-6 * max(target, 1) for r in mine)
+        assert abs(sum(r["taken"] for r in mine) - target) <= max(r["size"] for r in mine)
