@@ -1,6 +1,8 @@
 """Stream == batch on closed windows, late rows, restart without duplicates,
 chained statements, exactly-once model calls."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from pylonflow.operators.detect import detect_alerts
@@ -149,12 +151,13 @@ def test_file_topic_roundtrip_keyed(spark, scratch):
     assert back.columns == ["key"] + ALERT.fieldNames()  # 12 columns, key first
     assert back.filter(F.col("key").cast("string") != F.col("tower_id")).count() == 0
     assert back.count() == catalog.q_stream_detect_alerts(spark, SF01).count()
-    ck, start = consumer_checkpoint(spark, "dash", "resume")
-    assert start == "earliest" and ck == consumer_checkpoint(spark, "dash", "resume")[0]
-    ck2, start2 = consumer_checkpoint(spark, "dash", "skip")
+    dash = f"dash-{uuid.uuid4().hex}"     # the checkpoint root may outlive a test run
+    ck, start = consumer_checkpoint(spark, dash, "resume")
+    assert start == "earliest" and ck == consumer_checkpoint(spark, dash, "resume")[0]
+    ck2, start2 = consumer_checkpoint(spark, dash, "skip")
     assert start2 == "latest" and ck2 != ck
-    assert consumer_checkpoint(spark, "dash", "resume") == (ck2, "latest")   # what was skipped stays skipped
-    assert consumer_checkpoint(spark, "dash", "skip")[0] not in (ck, ck2)
+    assert consumer_checkpoint(spark, dash, "resume") == (ck2, "latest")   # what was skipped stays skipped
+    assert consumer_checkpoint(spark, dash, "skip")[0] not in (ck, ck2)
 
 
 def test_stateful_twins_on_rocksdb_state_store(spark):
