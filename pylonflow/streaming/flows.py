@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from pylonflow.operators.runbook import generate_runbooks
 from pylonflow.schemas import ALERT, DEFAULTS, RESPONSE, conform
 from pylonflow.session import scratch_path
 from pylonflow.sources.readings import readings
-from pylonflow.streaming.retained import EventTable, hour_of
+from pylonflow.streaming.retained import EventTable, hour_of, is_missing_table
 
 ALERT_IDENTITY = "alert_identity"   # stored next to each response: the hash of its alert's grouping keys
 
@@ -65,12 +66,17 @@ def start_sink(df: DataFrame, sink: Sink, output_mode: str = "append", available
 
 
 def run_to_sink(df: DataFrame, sink: Sink, **kw) -> DataFrame:
-    """Drain the currently available input into the sink, then read it back."""
+    """Drain the currently available input into the sink, then read it back; an input without rows leaves it empty."""
     q = start_sink(df, sink, **kw)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    return df.sparkSession.read.parquet(sink.path)
+    try:    # a sink without a file has no schema of its own
+        return df.sparkSession.read.schema(df.schema).parquet(sink.path)
+    except AnalysisException as exc:
+        if not is_missing_table(exc):
+            raise
+        return df.sparkSession.createDataFrame([], df.schema)
 
 
 # --- stage A: telemetry -> alerts ----------------------------------------------
