@@ -419,8 +419,9 @@ def q_stream_alert_feed(spark, sf_dir):
     from pylonflow.streaming.flows import Sink, alerts_stream, run_to_sink
     from pylonflow.streaming.live import feed_writer, read_feed
     a_sink = Sink.fresh(spark, "feed_alerts")
-    run_to_sink(alerts_stream(event_files(spark, sf_dir), STREAM_DELAY), a_sink)
-    alerts_in = spark.readStream.schema(ALERT).option("maxFilesPerTrigger", 2).parquet(a_sink.path)
+    closed = run_to_sink(alerts_stream(event_files(spark, sf_dir), STREAM_DELAY), a_sink)
+    files = max(1, -(-len(closed.inputFiles()) // STREAM_FILES))    # the feed's batches are no more when the alerts fill more files
+    alerts_in = spark.readStream.schema(ALERT).option("maxFilesPerTrigger", files).parquet(a_sink.path)
     base = scratch_path(spark, "alert_feed")
     (alerts_in.writeStream.foreachBatch(feed_writer(base, ALERT, ALERT_FEED_LIMIT)).option("checkpointLocation", base + "/checkpoint")
      .trigger(availableNow=True).start().awaitTermination())
