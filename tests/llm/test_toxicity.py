@@ -84,3 +84,40 @@ def test_one_label_only(spark):
     df = spark.createDataFrame([(k, sentence(k, 20), "en", 0) for k in range(50)], "key long, text string, lang string, label int")
     net = t.fit(df, SMALL)
     assert all(r["score"] < 0.5 for r in t.score(df, net, {"key": df["key"]}).collect())
+
+
+def test_every_labelled_row_teaches_and_the_net_is_the_mean_of_its_parts(spark):
+    # one rare word in a thousand rows is the only one that is toxic; a sample of 50 rows does not meet it
+    rows = [(k, f"{sentence(k, 12)} {'vile' if k % 97 == 0 else 'kind'} word", "en", int(k % 97 == 0)) for k in range(1500)]
+    df = spark.createDataFrame(rows, "key long, text string, lang string, label int")
+    s = t.Settings(max_train_rows=50, buckets=512, dims=8, filters=4, calibration=10**6, least_steps=100)
+    net = t.fit(df, s)
+    met = {x for r in rows for w in r[1].split() for x in t._buckets_of(w.lower().encode(), 512)}
+    moved = np.flatnonzero((net.embed != t.begun(0.5, s).embed).any(1))
+    assert len(moved) > 0.9 * len(met) and set(moved.tolist()) <= met
+    old, parts = t.begun(0.5, s), []
+    for k in range(300):     # more parts than are added up in one group
+        new = t.begun(0.5, s)
+        new.embed[1 + k % 2] += k
+        new.out_bias += 2.0 * k
+        parts += [(k, *m) for m in t.moves_of(old, new)]
+    mean = t.averaged(old, spark.createDataFrame(parts, "part int, chunk int, met binary, moved binary"), 300)
+    assert np.allclose(mean.embed[1] - old.embed[1], np.mean(range(2, 300, 2)), rtol=1e-4) or np.allclose(mean.embed[1] - old.embed[1], np.mean(range(0, 300, 2)), rtol=1e-4)
+    assert np.allclose(mean.embed[2] - old.embed[2], np.mean(range(1, 300, 2)), rtol=1e-4)
+    assert np.isclose(mean.out_bias - old.out_bias, 299, rtol=1e-4) and np.array_equal(mean.filters[1], old.filters[1])
+
+
+def test_thresholds_of_all_rows_are_those_of_the_sorted_arrays(spark):
+    rng = np.random.default_rng(7)
+    lang, y = rng.choice(["en", "de", "fr", "xx"], 3000, p=[0.6, 0.3, 0.096, 0.004]), rng.random(3000) < 0.2
+    s = np.clip(np.round(rng.normal(0.3 + 0.3 * y, 0.2), 3), 0, 1)
+    rows = list(zip(lang.tolist(), s.tolist(), t.score_bin(s).tolist(), y.astype(int).tolist(), strict=True))
+    got = t.best_thresholds(spark.createDataFrame(rows, "lang string, score double, bin int, label int"))
+    common = t.best_threshold(s, y.astype(int))
+    assert got == {"": common} | {x: t.best_threshold(s[lang == x], y[lang == x].astype(int), common) for x in ("en", "de", "fr", "xx")}
+    assert t.best_thresholds(spark.createDataFrame([], "lang string, score double, bin int, label int")) == {"": 0.5}
+
+
+def test_buckets_are_kept_by_their_number():
+    texts = pa.array(["one two three", "four"])
+    assert t.coded_words(texts, 1 << 15)[1].max() > 512 >= t.coded_words(texts, 512)[1].max()
