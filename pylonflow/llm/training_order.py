@@ -11,7 +11,7 @@ slots are shards; a shard holds ``rows`` sequences of ``length * 2`` bytes
 ``(s % rows) * length * 2`` of shard ``s // rows``: reads are sequential, and
 resume at any slot.
 
-Only sequences, whole but where they lie across tasks, are shuffled, once, packed, by ranges of whole shards, so
+Only sequences, whole but where they lie across tasks, are cut and shuffled once, packed, by ranges of whole shards, so
 that the files are written without another shuffle; documents of any length
 are cut over their sequences. The driver sees one token count
 a partition. Null and empty texts contribute their end mark, and every
@@ -111,7 +111,7 @@ def tokenise(df: DataFrame, key: str = "doc_id", text: str = "text", ranks_path:
         for b in batches:
             for lo, hi in _slices(b.column(1), 4 << 20):
                 texts = pc.fill_null(b.column(1).slice(lo, hi - lo), "").to_pylist()
-                ids = [np.append(enc.encode_to_numpy(t, disallowed_special=()).astype(np.uint16), np.uint16(end)) for t in texts]
+                ids = [np.array([*enc.encode_ordinary(t), end], np.uint16) for t in texts]    # no ids are special
                 sizes = np.array([len(x) for x in ids], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(ids), part, np.int32)), pa.array(at + np.cumsum(sizes) - sizes),
@@ -217,8 +217,10 @@ def training_order(tokens: DataFrame, length: int = LENGTH, rows: int = ROWS, se
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut = tokens.select("part", "at", "key", "tokens").mapInArrow(
         pieces, "slot long, sequence long, place int, keys array<string>, ids binary")
-    shard = F.floor(F.col("slot") / F.lit(rows))   # AQE leaves a repartition into a given number alone
-    return (cut.repartitionByRange(n, shard).sortWithinPartitions("slot", "place")
+    # slots are dense, so the ranges are known: nothing is cut twice to sample them; AQE leaves a given number alone
+    shards = max(1, -(-count // rows))
+    owner = F.floor(F.floor(F.col("slot") / F.lit(rows)) * F.lit(n) / F.lit(shards)).cast("int")
+    return (cut.repartitionById(n, owner).sortWithinPartitions("slot", "place")
             .mapInArrow(join, "slot long, shard long, byte_offset long, sequence long, keys array<string>, tokens binary"))
 
 

@@ -2,6 +2,7 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pylonflow.llm import training_order as t
 
@@ -65,3 +66,10 @@ def test_query_writes_its_shards(spark, odd_docs, tmp_path, monkeypatch):
     assert got == sorted(stream.collect()) and got[0]["slot"] == 0
     with open(tmp_path / "shards" / "shard-000000.bin", "rb") as f:
         assert f.read() == b"".join(r["tokens"] for r in got)
+
+
+def test_shards_are_dealt_without_a_sample_of_the_sequences(spark, odd_docs):
+    got = t.training_order(t.tokenise(odd_docs), length=64, rows=10)
+    assert "rangepartitioning" not in got._jdf.queryExecution().toString()
+    rows = [(r["shard"], r["p"]) for r in got.withColumn("p", F.spark_partition_id()).collect()]
+    assert len(set(rows)) == len({s for s, _ in rows}) and rows == sorted(rows) and len({p for _, p in rows}) > 1
