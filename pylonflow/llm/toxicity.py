@@ -31,7 +31,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pylonflow.llm.common import documents
+from pylonflow.llm.common import documents, stored
 from pylonflow.llm.decontaminate import _slices, words_of
 from pylonflow.session import ship_package
 
@@ -310,18 +310,38 @@ def averaged(net: Net, moves: DataFrame, parts: int) -> Net:
     return Net(net.settings, embed, filters, bias, rest[at:-1], float(rest[-1]))
 
 
-def fit(labelled: DataFrame, settings: Settings | None = None) -> Net | None:
+FILTER_WORDS = 1 << 20   # of ``among``, at most
+
+
+def among(rows: DataFrame, known: DataFrame, n: int) -> DataFrame:
+    """``rows`` without most of those whose hash ``h`` is not among the ``n`` of ``known``, before any shuffle.
+
+    A hash sets one of 64 bits of a word of 8 hashes or more; the words are broadcast, 8 MB of bits at most. Some rows
+    that are not known pass (about one in eight, more where the words are too few), so that a join has to follow.
+    """
+    words = max(1, min(-(-n // 8), FILTER_WORDS))
+    word, bit = F.pmod("h", F.lit(words)).cast("int"), F.shiftrightunsigned("h", 58).cast("int")
+    bits = known.select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(
+        F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    return rows.join(F.broadcast(bits), word == F.col("_word")).where(F.getbit("_bits", bit) == 1).drop("_word", "_bits")
+
+
+def fit(labelled: DataFrame, settings: Settings | None = None, texts: DataFrame | None = None) -> Net | None:
     """Train on all (text, lang, label) rows, in parts of a bounded size.
 
     Rows are told apart by ``key``, where they have that column, text and label: copies of a text under several keys
-    are trained on one by one; rows equal in all count once.
+    are trained on one by one; rows equal in all count once. Where ``labelled`` comes of a join, ``texts`` are the
+    ``sized`` rows of it before that join: texts then go through one shuffle, coded, straight to their part, and meet
+    their label there by ``h``; of ``labelled`` only hashes, sizes and labels are read.
     """
     s = settings or Settings()
     spark = labelled.sparkSession
     ship_package(spark)
     rows = labelled if "h" in labelled.columns else sized(labelled)
-    facts = (rows.groupBy("h", "label").agg(F.max("chars").alias("chars")).groupBy("label")
-             .agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).collect())   # a row a label
+    known = rows.groupBy("h", "label").agg(F.max("chars").alias("chars"))
+    if texts is not None:
+        known = stored(known, "labelled")
+    facts = known.groupBy("label").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).collect()   # a row a label
     if not facts:
         return None
     n, chars = sum(r["n"] for r in facts), sum(r["chars"] for r in facts)
@@ -336,7 +356,7 @@ def fit(labelled: DataFrame, settings: Settings | None = None) -> Net | None:
                 bounds = np.concatenate([[0], np.cumsum(counts) * 2 * pair.itemsize]).astype(np.int32)
                 blobs = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(bounds),
                                                                          pa.py_buffer(np.ascontiguousarray(distinct.astype(pair)[codes]))])
-                yield pa.RecordBatch.from_arrays([blobs, *part.columns[1:]], names=["ids", "lang", "label", "h", "part", "held"])
+                yield pa.RecordBatch.from_arrays([blobs, *part.columns[1:]], names=["ids", *b.schema.names[1:]])
 
     def wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
         """The distinct rows of each part, in order of part and hash."""
@@ -356,11 +376,16 @@ def fit(labelled: DataFrame, settings: Settings | None = None) -> Net | None:
     def words(ids: bytes) -> np.ndarray:
         return np.frombuffer(ids, pair).reshape(-1, 2).astype(np.int32)
 
-    dealt = (rows.select("text", "lang", "label", "h", F.pmod("h", F.lit(parts)).cast("int").alias("part"),
-                         (F.pmod(F.shiftright("h", 32), F.lit(s.calibration)) == 0).alias("held"))
-             .mapInArrow(coded, "ids binary, lang string, label int, h long, part int, held boolean")
-             .repartitionById(parts, F.col("part")).sortWithinPartitions("part", "h", "label", F.col("lang").asc_nulls_last())
-             .persist(StorageLevel.DISK_ONLY))
+    part = F.pmod("h", F.lit(parts)).cast("int").alias("part")
+    held = (F.pmod(F.shiftright("h", 32), F.lit(s.calibration)) == 0).alias("held")
+    if texts is None:
+        dealt = (rows.select("text", "lang", "h", part, held, "label").mapInArrow(coded, "ids binary, lang string, h long, part int, held boolean, label int")
+                 .repartitionById(parts, F.col("part")))
+    else:
+        dealt = (among(texts, known, n).select("text", "lang", "h", part, held).mapInArrow(coded, "ids binary, lang string, h long, part int, held boolean")
+                 .repartitionById(parts, F.col("part"))
+                 .join(known.select("h", part, "label").repartitionById(parts, F.col("part")).hint("merge"), ["part", "h"]))
+    dealt = dealt.sortWithinPartitions("part", "h", "label", F.col("lang").asc_nulls_last()).persist(StorageLevel.DISK_ONLY)
     try:
         taught = dealt.where(~F.col("held"))
         net = begun(sum(r["n"] for r in facts if r["label"]) / n, s)
@@ -416,17 +441,21 @@ def held_out(key: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
+def learnable_texts(docs: DataFrame) -> DataFrame:
+    """(text, lang, h, chars, key) of the documents with an id that are not held out, labelled or not."""
+    return sized(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("key"), "text", "lang"))
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, text, lang, h, chars, label) of labelled documents that are not held out; of several labels of one document
-    the largest. Sizes and hashes are taken before the join, so that counting and drawing shuffle no text."""
+    the largest. Sizes and hashes are taken before the join, so that a reader of those shuffles no text."""
     flags = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    d = sized(docs.where(~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("key"), "text", "lang"))
-    return d.join(flags.withColumnRenamed("doc_id", "key"), "key").withColumn("label", F.col("label").cast("int"))
+    return learnable_texts(docs).join(flags.withColumnRenamed("doc_id", "key"), "key").withColumn("label", F.col("label").cast("int"))
 
 
 def op6_toxicity_cnn(spark, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    net = fit(labelled_texts(docs, documents(spark, sf_dir, "labels")))
+    net = fit(labelled_texts(docs, documents(spark, sf_dir, "labels")), texts=learnable_texts(docs))
     cut = net.thresholds if net else {"": 0.5}
     by_lang = F.create_map(*[F.lit(x) for kv in cut.items() for x in kv])
     got = score(docs, net, {"doc_id": F.col("doc_id"), "held_out": held_out(F.col("doc_id")),

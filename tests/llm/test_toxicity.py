@@ -121,3 +121,50 @@ def test_thresholds_of_all_rows_are_those_of_the_sorted_arrays(spark):
 def test_buckets_are_kept_by_their_number():
     texts = pa.array(["one two three", "four"])
     assert t.coded_words(texts, 1 << 15)[1].max() > 512 >= t.coded_words(texts, 512)[1].max()
+
+
+def shuffled(plan):
+    """The columns of every shuffle below a node of a physical plan."""
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.initialPlan()
+    if plan.getClass().getSimpleName() == "ShuffleExchangeExec":
+        out = plan.output()
+        yield {out.apply(k).name() for k in range(out.size())}
+    below = plan.children()
+    for k in range(below.size()):
+        yield from shuffled(below.apply(k))
+
+
+def test_no_text_is_shuffled_and_every_labelled_row_meets_its_label(spark, tmp_path, monkeypatch):
+    rows = [(i, text, lang) for i, text, lang, _ in labelled(400)]
+    rows += [rows[7]] * 30 + [(8, "another text of a known id", "en"), (None, "no id", "de"), (11, None, None), (11, "", "de"), (12, "", None)]
+    flags = [(i, bad) for i, _, _, bad in labelled(400) if i % 3] + [(4, 0), (4, 1), (5, None), (None, 1), (9999, 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(flags, "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs, labels = (t.documents(spark, str(tmp_path), x) for x in ("documents", "labels"))
+    small = t.Settings(max_train_rows=100, buckets=512, dims=8, filters=4, least_steps=60)
+    frame, kept, nets = type(docs), [], []
+    persist, fit = frame.persist, t.fit
+    monkeypatch.setattr(frame, "persist", lambda df, *a: kept.append(df) or persist(df, *a))
+    monkeypatch.setattr(t, "fit", lambda df, settings=None, **k: nets.append(fit(df, small, **k)) or nets[-1])
+    wide = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")    # as with labels too many to broadcast
+    try:
+        got = t.op6_toxicity_cnn(spark, str(tmp_path))
+        columns = list(shuffled(kept[0]._jdf.queryExecution().executedPlan()))
+        plain = fit(t.labelled_texts(docs, labels), small)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", wide)
+    assert sum("ids" in c for c in columns) == 1 and not any("text" in c for c in columns)
+    assert np.array_equal(nets[0].embed, plain.embed) and np.array_equal(nets[0].out, plain.out) and nets[0].thresholds == plain.thresholds
+    assert got.count() == len(rows)
+
+
+def test_filter_of_hashes_passes_all_known_rows_and_few_others(spark, monkeypatch):
+    rows = spark.range(8000).selectExpr("id", "xxhash64(id) h")
+    known = rows.where("id % 4 = 0").select("h")
+    got = [r["id"] for r in t.among(rows, known, 2000).select("id").collect()]
+    assert len(got) == len(set(got)) < 2000 + 6000 / 6 and {i for i in range(8000) if i % 4 == 0} <= set(got)
+    monkeypatch.setattr(t, "FILTER_WORDS", 4)      # full: it lets others through, but loses none
+    assert {i for i in range(8000) if i % 4 == 0} <= {r["id"] for r in t.among(rows, known, 2000).collect()}
+    assert t.among(rows, known.limit(0), 0).count() == 0
